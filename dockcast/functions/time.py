@@ -88,3 +88,8 @@ def time_features(ts) -> list[Column]:
     return [day.alias("day"), hour.alias("hour"), minute.alias("minute"),
             ordering_key(day, hour, minute).alias("x"),
             minute_of_week(day, hour, minute).alias("minute_of_week")]
+
+
+def from_epoch_millis(ms) -> Column:
+    """Inverse of C2: epoch milliseconds -> wall-clock TIMESTAMP_NTZ (no session time zone)."""
+    return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

@@ -19,6 +19,9 @@ READING_COLUMNS = ["bikes", "day", "dtUpdate", "hour", "id", "label", "lg", "lt"
                    "nBike", "nPlace", "name", "places", "soleil", "x", "minute_of_week"]
 # A2: fields of the source's equality (equals/hashCode).
 IDENTITY_COLUMNS = ["nBike", "id", "soleil", "minute", "day", "hour", "nPlace"]
+# Survivor order among readings of one station: latest time first, then the raw values. Within a
+# station, (dtUpdate, bikes, places, name) determine every other column, so this is a total order.
+LATEST_ORDER = ["dtUpdate", "bikes", "places", "name"]
 OPEN_STATUS = "OPEN"
 
 
@@ -99,7 +102,7 @@ def dedup_identity(readings: DataFrame) -> DataFrame:
     in one task as a window would be.
     """
     rest = [c for c in readings.columns if c not in IDENTITY_COLUMNS]
-    order_first = ["dtUpdate"] + [c for c in rest if c != "dtUpdate"]
+    order_first = LATEST_ORDER + [c for c in rest if c not in LATEST_ORDER]
     best = readings.groupBy(*IDENTITY_COLUMNS).agg(F.max(F.struct(*order_first)).alias("r"))
     return best.select(*IDENTITY_COLUMNS, *[F.col(f"r.{c}").alias(c) for c in order_first]) \
                .select(*readings.columns)

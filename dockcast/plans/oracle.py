@@ -83,3 +83,251 @@ READING_COLS = ("bikes, day, dtUpdate, hour, id, label, lg, lt, minute, nBike, n
 SQL: dict[str, str] = {}
 
 SQL["curate_readings"] = with_readings(f"SELECT {READING_COLS} FROM readings")
+
+_LATEST = """
+st AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY dtUpdate DESC, bikes DESC, places DESC, name DESC) AS rn
+    FROM readings) q WHERE rn = 1
+)"""
+
+_REQUESTS = """
+req AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS req_id, n_name AS station,
+         CAST(n_nationkey % 7 AS INTEGER) AS req_day, CAST((n_nationkey * 5) % 24 AS INTEGER) AS req_hour,
+         CAST((n_nationkey * 7) % 60 AS INTEGER) AS req_minute, CAST(n_nationkey % 2 AS DOUBLE) AS req_soleil,
+         CAST(n_nationkey * 37 AS BIGINT) AS delay
+  FROM nation
+),
+res AS (
+  SELECT q.*, s.id, s.name AS station_name, s.nBike, s.nPlace, s.label
+  FROM st s JOIN req q ON contains(s.name, q.station)
+)"""
+
+_BASELINE = """
+spl AS (
+  SELECT *, CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || CAST(dtUpdate AS VARCHAR)), 1, 8)) AS BIGINT)
+                 % 100 AS INTEGER) AS bucket
+  FROM readings
+),
+tr AS (SELECT * FROM spl WHERE bucket < 60),
+te AS (SELECT * FROM spl WHERE bucket >= 60),
+mt AS (
+  SELECT id, hour, label AS prediction FROM (
+    SELECT id, hour, label, row_number() OVER (PARTITION BY id, hour ORDER BY n DESC, label ASC) AS rn
+    FROM (SELECT id, hour, label, count(*) AS n FROM tr GROUP BY id, hour, label) a) b
+  WHERE rn = 1
+),
+gm AS (SELECT label AS g FROM (SELECT label, count(*) AS n FROM tr GROUP BY label) c ORDER BY n DESC, label ASC LIMIT 1),
+pred AS (
+  SELECT te.label, COALESCE(mt.prediction, (SELECT g FROM gm)) AS prediction
+  FROM te LEFT JOIN mt ON mt.id = te.id AND mt.hour = te.hour
+),
+cc AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY label, prediction),
+act AS (SELECT label AS cls, CAST(sum(n) AS BIGINT) AS n_actual,
+               CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS BIGINT) AS tp FROM cc GROUP BY label),
+prd AS (SELECT prediction AS cls, CAST(sum(n) AS BIGINT) AS n_predicted FROM cc GROUP BY prediction),
+per AS (
+  SELECT COALESCE(a.cls, p.cls) AS cls, COALESCE(a.tp, 0) AS tp, COALESCE(a.n_actual, 0) AS n_actual,
+         COALESCE(p.n_predicted, 0) AS n_predicted
+  FROM act a FULL OUTER JOIN prd p ON a.cls = p.cls
+),
+pc0 AS (
+  SELECT cls AS label, tp, n_actual, n_predicted, CAST(sum(n_actual) OVER () AS BIGINT) AS n_total FROM per
+),
+pc1 AS (
+  SELECT *,
+    CASE WHEN n_predicted = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(tp AS DOUBLE) / CAST(n_predicted AS DOUBLE) END AS precision,
+    CASE WHEN n_actual = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(tp AS DOUBLE) / CAST(n_actual AS DOUBLE) END AS recall,
+    CASE WHEN n_total - n_actual = 0 THEN CAST(0 AS DOUBLE)
+         ELSE CAST(n_predicted - tp AS DOUBLE) / CAST(n_total - n_actual AS DOUBLE) END AS false_positive_rate
+  FROM pc0
+),
+pc AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN CAST(0 AS DOUBLE)
+                 ELSE CAST(2 AS DOUBLE) * precision * recall / (precision + recall) END AS f1
+  FROM pc1
+)"""
+
+_IDX = """
+ix AS (
+  SELECT id, n, CAST(row_number() OVER (ORDER BY n DESC, CAST(id AS VARCHAR)) - 1 AS DOUBLE) AS id_index
+  FROM (SELECT id, count(*) AS n FROM readings WHERE soleil IS NOT NULL GROUP BY id) c
+)"""
+
+_RAW = """
+raw AS (
+  SELECT r.bikes, r.day, r.dtUpdate, r.hour, r.id, r.nBike * 3 + r.nPlace AS label, r.lg, r.lt,
+         r.minute, r.nBike, r.nPlace, r.name, r.places, w.soleil,
+         CAST(r.day * 24 + r.hour * 60 + r.minute AS INTEGER) AS x,
+         CAST(r.day * 1440 + r.hour * 60 + r.minute AS INTEGER) AS minute_of_week
+  FROM rd r LEFT JOIN wday w ON w.obs_day = r.obs_day
+)"""
+
+_LATEST_DAY = """
+lday AS (
+  SELECT * FROM readings
+  WHERE strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') =
+        (SELECT max(strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d')) FROM readings)
+)"""
+
+_LABEL_TEXT = ("'bikes ' || ['0-3', '4-9', '10+'][CAST(floor(label / 3) AS INTEGER) + 1] || ', places ' || "
+               "['0-3', '4-9', '10+'][CAST(label AS INTEGER) % 3 + 1]")
+
+
+def _ctes(*extra: str) -> str:
+    return ",".join(x.strip("\n") for x in extra)
+
+
+SQL["scan_snapshots"] = SQL["curate_readings"]
+SQL["export_ordered"] = SQL["curate_readings"]
+SQL["load_latest"] = with_readings(f"SELECT {READING_COLS} FROM lday", extra=_LATEST_DAY)
+SQL["append_readings"] = with_readings(
+    f"SELECT DISTINCT * FROM (SELECT {READING_COLS} FROM readings UNION ALL SELECT {READING_COLS} FROM lday) u",
+    extra=_LATEST_DAY)
+
+SQL["open_stations"] = with_readings("""
+SELECT CAST(id AS VARCHAR) AS number, name, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS last_update,
+       CAST(places AS VARCHAR) AS available_bike_stands, CAST(bikes AS VARCHAR) AS available_bikes,
+       lt, lg, status
+FROM el WHERE status = 'OPEN'""")
+
+SQL["name_filter"] = with_readings(f"SELECT {READING_COLS} FROM readings", name_filter="TION_1")
+
+SQL["station_lookup"] = with_readings(f"""
+SELECT {READING_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY dtUpdate DESC, bikes DESC, places DESC, name DESC) AS rn
+  FROM readings WHERE contains(name, 'NATION_1')) q
+WHERE rn = 1""")
+
+SQL["drop_columns"] = with_readings(
+    "SELECT bikes, day, hour, id, label, minute, name, places, soleil, x, minute_of_week FROM readings")
+
+SQL["distinct_readings"] = with_readings(
+    f"SELECT DISTINCT * FROM (SELECT {READING_COLS} FROM raw UNION ALL SELECT {READING_COLS} FROM raw) u",
+    extra=_RAW)
+
+SQL["dedup_identity"] = with_readings(f"""
+SELECT {READING_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY nBike, id, soleil, minute, day, hour, nPlace
+                               ORDER BY dtUpdate DESC, bikes DESC, places DESC, name DESC) AS rn
+  FROM readings) q
+WHERE rn = 1""")
+
+SQL["reading_count"] = with_readings("SELECT count(*) AS n_readings FROM readings")
+
+SQL["natural_order"] = with_readings("SELECT id, dtUpdate, label FROM readings ORDER BY id, dtUpdate")
+
+SQL["preview"] = with_readings(f"""
+SELECT bikes, day, dtUpdate, hour, id, label, lg, lt, minute, nBike, nPlace, substr(name, 1, 100) AS name,
+       places, soleil, x, minute_of_week
+FROM readings ORDER BY id, dtUpdate, bikes, places, name LIMIT 1000""")
+
+SQL["station_list"] = with_readings(f"""
+SELECT id, name, day, hour, minute, strftime(make_timestamp(dtUpdate * 1000), '%d/%m %H:%M') AS at_text,
+       {_LABEL_TEXT} AS label_text, nPlace, nBike
+FROM (SELECT * FROM readings ORDER BY name, x, dtUpdate, bikes, places LIMIT 2000) q""")
+
+SQL["split_train_test"] = with_readings("""
+SELECT id, dtUpdate, bucket, CASE WHEN bucket < 60 THEN 'train' ELSE 'test' END AS part FROM spl""",
+                                        extra=_BASELINE)
+
+SQL["weather_enrich"] = with_readings("""
+SELECT r.id, r.dtUpdate, r.obs_day, w.temperature, w.soleil FROM rd r LEFT JOIN wday w ON w.obs_day = r.obs_day""")
+
+SQL["request_resolve"] = with_readings("SELECT req_id, station, id, station_name FROM res",
+                                       extra=_ctes(_LATEST, _REQUESTS))
+
+SQL["scenario_delay"] = with_readings("""
+SELECT req_id, id, name, day, hour, minute,
+       CAST(day * 24 + hour * 60 + minute AS INTEGER) AS x,
+       CAST(day * 1440 + hour * 60 + minute AS INTEGER) AS minute_of_week, soleil
+FROM (
+  SELECT req_id, id, station_name AS name, req_soleil AS soleil,
+         CAST(dayofweek(t) AS INTEGER) AS day, CAST(hour(t) AS INTEGER) AS hour,
+         CAST(minute(t) - minute(t) % 5 AS INTEGER) AS minute
+  FROM (SELECT *, TIMESTAMP '2024-01-31 08:00:00' + to_minutes(delay) AS t FROM res) a) b""",
+                                      extra=_ctes(_LATEST, _REQUESTS))
+
+SQL["scenario_explicit"] = with_readings("""
+SELECT req_id, id, station_name AS name, req_day AS day, req_hour AS hour,
+       CAST(req_minute - req_minute % 5 AS INTEGER) AS minute,
+       CAST(req_day * 24 + req_hour * 60 + (req_minute - req_minute % 5) AS INTEGER) AS x,
+       CAST(req_day * 1440 + req_hour * 60 + (req_minute - req_minute % 5) AS INTEGER) AS minute_of_week,
+       req_soleil AS soleil, nBike, nPlace, label
+FROM res""", extra=_ctes(_LATEST, _REQUESTS))
+
+SQL["parse_update_time"] = with_readings("""
+SELECT CAST(id AS VARCHAR) AS number, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS last_update,
+       epoch_ms(ts) AS dtUpdate
+FROM el WHERE status = 'OPEN'""")
+
+SQL["time_features"] = with_readings("""
+SELECT id, dtUpdate, day, hour, minute, CAST(day * 24 + hour * 60 + minute AS INTEGER) AS x,
+       CAST(day * 1440 + hour * 60 + minute AS INTEGER) AS minute_of_week FROM rd""")
+
+SQL["availability_bins"] = with_readings(
+    "SELECT id, dtUpdate, bikes, places, nBike, nPlace, nBike * 3 + nPlace AS label FROM rd")
+
+SQL["on_poll_minute"] = with_readings(
+    "SELECT id, epoch_ms(ts) AS dtUpdate, minute(ts) % 5 = 0 AS on_poll FROM el WHERE status = 'OPEN'")
+
+SQL["label_text"] = with_readings(f"SELECT id, dtUpdate, label, {_LABEL_TEXT} AS label_text FROM readings")
+
+SQL["clamp"] = with_readings("""
+SELECT id, dtUpdate, bikes, places,
+       CASE WHEN CAST(bikes AS DOUBLE) > 9 THEN CAST(10 AS DOUBLE) ELSE CAST(bikes AS DOUBLE) END AS bikes_clamped,
+       CASE WHEN CAST(places AS DOUBLE) > 9 THEN CAST(10 AS DOUBLE) ELSE CAST(places AS DOUBLE) END AS places_clamped
+FROM readings""")
+
+SQL["date_text"] = with_readings("""
+SELECT id, dtUpdate, strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') AS day_text,
+       strftime(make_timestamp(dtUpdate * 1000), '%d/%m %H:%M') AS short_text
+FROM readings""")
+
+SQL["confusion_matrix"] = with_readings("SELECT label, prediction, n FROM cc", extra=_BASELINE)
+
+SQL["accuracy"] = with_readings("""
+SELECT n_rows, n_correct, CAST(n_correct AS DOUBLE) / CAST(n_rows AS DOUBLE) AS accuracy,
+       CAST(n_correct AS DOUBLE) / CAST(n_rows AS DOUBLE) AS recall
+FROM (SELECT CAST(sum(n) AS BIGINT) AS n_rows,
+             CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS BIGINT) AS n_correct FROM cc) q""",
+                                extra=_BASELINE)
+
+SQL["class_metrics"] = with_readings("""
+SELECT label, tp, n_actual, n_predicted, n_total, precision, recall, false_positive_rate, f1 FROM pc""",
+                                     extra=_BASELINE)
+
+SQL["weighted_metrics"] = with_readings("""
+SELECT list_reduce(list(p ORDER BY label), lambda a, b: a + b) AS weighted_precision,
+       list_reduce(list(r ORDER BY label), lambda a, b: a + b) AS weighted_recall,
+       list_reduce(list(f ORDER BY label), lambda a, b: a + b) AS weighted_f1,
+       list_reduce(list(fpr ORDER BY label), lambda a, b: a + b) AS weighted_false_positive_rate
+FROM (SELECT label,
+             precision * (CAST(n_actual AS DOUBLE) / CAST(n_total AS DOUBLE)) AS p,
+             recall * (CAST(n_actual AS DOUBLE) / CAST(n_total AS DOUBLE)) AS r,
+             f1 * (CAST(n_actual AS DOUBLE) / CAST(n_total AS DOUBLE)) AS f,
+             false_positive_rate * (CAST(n_actual AS DOUBLE) / CAST(n_total AS DOUBLE)) AS fpr
+      FROM pc WHERE n_actual > 0) q""", extra=_BASELINE)
+
+SQL["id_index"] = with_readings("SELECT id, n, id_index FROM ix", extra=_IDX)
+
+SQL["features_l2"] = with_readings("""
+SELECT id, dtUpdate, label, id_index,
+       CASE WHEN nrm = 0 THEN h ELSE h / nrm END AS f0, CASE WHEN nrm = 0 THEN m ELSE m / nrm END AS f1,
+       CASE WHEN nrm = 0 THEN i ELSE i / nrm END AS f2, CASE WHEN nrm = 0 THEN s ELSE s / nrm END AS f3,
+       CASE WHEN nrm = 0 THEN d ELSE d / nrm END AS f4
+FROM (SELECT *, sqrt(h * h + m * m + i * i + s * s + d * d) AS nrm
+      FROM (SELECT r.id, r.dtUpdate, r.label, ix.id_index, CAST(r.hour AS DOUBLE) AS h, CAST(r.minute AS DOUBLE) AS m,
+                   ix.id_index AS i, r.soleil AS s, CAST(r.day AS DOUBLE) AS d
+            FROM readings r JOIN ix ON ix.id = r.id WHERE r.soleil IS NOT NULL) a) b""", extra=_IDX)
+
+SQL["features_l1"] = with_readings("""
+SELECT id, dtUpdate, label,
+       CASE WHEN nrm = 0 THEN a ELSE a / nrm END AS g0, CASE WHEN nrm = 0 THEN b ELSE b / nrm END AS g1,
+       CASE WHEN nrm = 0 THEN c ELSE c / nrm END AS g2, CASE WHEN nrm = 0 THEN s ELSE s / nrm END AS g3,
+       CASE WHEN nrm = 0 THEN e ELSE e / nrm END AS g4
+FROM (SELECT *, abs(a) + abs(b) + abs(c) + abs(s) + abs(e) AS nrm
+      FROM (SELECT id, dtUpdate, label, CAST(id AS DOUBLE) AS a, CAST(day AS DOUBLE) AS b, CAST(hour AS DOUBLE) AS c,
+                   soleil AS s, CAST(minute AS DOUBLE) AS e
+            FROM readings WHERE soleil IS NOT NULL) x) y""")

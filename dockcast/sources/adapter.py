@@ -56,3 +56,23 @@ def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(sta.alias("numer_sta"),
                      F.date_format("ts", "yyyyMMddHHmmss").alias("date"),
                      (F.lit(WEATHER_BASE_K) + F.col("value") % WEATHER_SPAN).alias("t"))
+
+
+# Forecast requests: one per nation; the station text is the nation name, so it matches several
+# stations (every station of that nation, and NATION_1 also hits NATION_10..19).
+REQUEST_NOW = "2024-01-31 08:00:00"
+
+
+def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> requests (req_id, station, req_day, req_hour, req_minute, req_soleil, delay, now_ts)."""
+    k = F.col("n_nationkey")
+    return read_table(spark, sf_dir, "nation").select(
+        k.cast("bigint").alias("req_id"),
+        F.col("n_name").alias("station"),
+        (k % 7).cast("int").alias("req_day"),
+        ((k * 5) % 24).cast("int").alias("req_hour"),
+        ((k * 7) % 60).cast("int").alias("req_minute"),
+        (k % 2).cast("double").alias("req_soleil"),
+        (k * 37).cast("bigint").alias("delay"),
+        F.lit(REQUEST_NOW).cast("timestamp_ntz").alias("now_ts"),
+    )
