@@ -93,7 +93,7 @@ def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT
     else:
         model = Pipeline(stages=[*feature_stages(normalize), perceptron(layers, max_iter, seed)]).fit(rows)
     m = mlp_stage(model)
-    hist = list(m.summary.objectiveHistory) if m.hasSummary else []
+    hist = list(m.summary().objectiveHistory) if m.hasSummary else []
     return TrainResult(model, list(layers), max(len(hist) - 1, 0), hist)
 
 

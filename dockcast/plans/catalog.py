@@ -317,3 +317,147 @@ def q_export_ordered(spark, sf_dir):
     r = readings(spark, sf_dir)
     path = sk.export_ordered(r, scratch_path(spark, "exports/readings"))
     return sk.read_export(spark, path, r.schema)
+
+
+# --- model (rows-only checks: an MLP has no SQL form) -----------------------------------------
+
+TRAIN_HIDDEN = "20-20"     # first topology of the service's search list
+TRAIN_ITERS = 50
+SEARCH_TOPOLOGIES = ["20-20", "60"]   # two of the service's ten, to keep the driver check short
+SEARCH_ITERS = 10
+_MODELS: dict[tuple, str] = {}        # (sf_dir, hidden, iters) -> saved model folder
+
+
+def training_rows(spark: SparkSession, sf_dir: str):
+    """Usable readings split 60/40 by hash; the training part is written to the shared folder."""
+    from dockcast.operators import model as mo
+    rows = fe.usable(readings(spark, sf_dir))
+    train, test = sp.split_parts(rows)
+    return mo.materialize(spark, train, "train"), test
+
+
+def trained_model(spark: SparkSession, sf_dir: str, hidden: str = TRAIN_HIDDEN, iters: int = TRAIN_ITERS):
+    """Fit once per (data, topology, iterations) and keep the saved model's folder; later calls load
+    it. Returns (PipelineModel, TrainResult or None, test rows)."""
+    import os
+
+    from dockcast.operators import model as mo
+    key = (sf_dir, hidden, iters)
+    train, test = training_rows(spark, sf_dir)
+    path = _MODELS.get(key)
+    if path and os.path.exists(path):
+        return mo.load(path), None, test
+    res = mo.train(train, mo.topology(hidden), iters)
+    _MODELS[key] = mo.save(res.model, mo.model_path(spark, res.layers))
+    return res.model, res, test
+
+
+@register("train_model")
+def q_train_model(spark, sf_dir):
+    """M6 (+K4): fit features + MLP on the training part, save; one summary row."""
+    from dockcast.operators import model as mo
+    train, _ = training_rows(spark, sf_dir)
+    res = mo.train(train, mo.topology(TRAIN_HIDDEN), TRAIN_ITERS)
+    _MODELS[(sf_dir, TRAIN_HIDDEN, TRAIN_ITERS)] = mo.save(res.model, mo.model_path(spark, res.layers))
+    return mo.summary_frame(spark, res, train.count())
+
+
+@register("model_weights")
+def q_model_weights(spark, sf_dir):
+    """(idx, weight) of the fitted MLP."""
+    from dockcast.operators import model as mo
+    model, _, _ = trained_model(spark, sf_dir)
+    return mo.weights_frame(spark, model)
+
+
+@register("predict_batch")
+def q_predict_batch(spark, sf_dir):
+    """M8: score the held-out rows with the saved pipeline (no refit, Q1)."""
+    from dockcast.operators import model as mo
+    model, _, test = trained_model(spark, sf_dir)
+    return mo.predict(model, test).select("id", "dtUpdate", "label", "prediction")
+
+
+@register("evaluate_model")
+def q_evaluate_model(spark, sf_dir):
+    """M9: A6 per-class metrics of the saved model on held-out rows (Q2)."""
+    from dockcast.operators import model as mo
+    model, _, test = trained_model(spark, sf_dir)
+    return me.class_metrics(me.confusion_counts(mo.predict(model, test)))
+
+
+@register("forecast")
+def q_forecast(spark, sf_dir):
+    """Every request's stations at now + delay, scored with the saved pipeline."""
+    from dockcast.operators import model as mo
+    model, _, _ = trained_model(spark, sf_dir)
+    scen = sc.scenario_delay(_resolved(spark, sf_dir))
+    out = mo.predict(model, scen)
+    return out.select("req_id", "id", "name", "day", "hour", "minute", "soleil", "prediction",
+                      B.label_text("prediction").alias("prediction_text"))
+
+
+@register("search_topology")
+def q_search_topology(spark, sf_dir):
+    """M7: 3-fold CV (hash folds) over topologies, F1; one row per topology."""
+    from dockcast.operators import model as mo
+    train, _ = training_rows(spark, sf_dir)
+    best, scores = mo.search(sp.fold_column(train), SEARCH_TOPOLOGIES, SEARCH_ITERS, fold_col="fold")
+    rows = [(h, "-".join(map(str, layers)), f1) for h, layers, f1 in scores]
+    return spark.createDataFrame(rows, "hidden STRING, layers STRING, avg_f1 DOUBLE")
+
+
+@register("export_predictions")
+def q_export_predictions(spark, sf_dir):
+    """K3: held-out predictions exported as ordered CSV, read back."""
+    from dockcast.operators import model as mo
+    model, _, test = trained_model(spark, sf_dir)
+    scored = mo.prediction_columns(mo.predict(model, test))
+    path = sk.export_ordered(scored, scratch_path(spark, "exports/predictions"))
+    return sk.read_export(spark, path, scored.schema)
+
+
+# --- streaming (T1, T2, T4) -------------------------------------------------------------------
+
+def _landing(spark, sf_dir, copies: int = 1) -> str:
+    """Land the elements ``copies`` times (overlapping snapshots) as files of one folder."""
+    root = scratch_path(spark, "landing")
+    el = snapshot_elements(spark, sf_dir)
+    for i in range(copies):
+        write_landing(el, f"{root}/copy={i}")
+    return root
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Landing folder -> curated readings -> parquet table by day (availableNow)."""
+    from dockcast.streaming import ingest as st
+    land = _landing(spark, sf_dir)
+    s = st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir))
+    sink = scratch_path(spark, "tables/readings_stream")
+    st.run_available_now(s.drop("event_time"), sink, scratch_path(spark, "streams/ingest"), ["obs_day"])
+    return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Every snapshot landed twice; the stream keeps one row per (id, dtUpdate)."""
+    from dockcast.streaming import ingest as st
+    land = _landing(spark, sf_dir, copies=2)
+    s = st.dedup_stream(st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir)))
+    sink = scratch_path(spark, "tables/readings_dedup")
+    st.run_available_now(s.drop("event_time"), sink, scratch_path(spark, "streams/dedup"), ["obs_day"])
+    return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
+
+
+@register("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    """T4: the saved pipeline scores the landing stream."""
+    from dockcast.streaming import ingest as st
+    model, _, _ = trained_model(spark, sf_dir)
+    land = _landing(spark, sf_dir)
+    s = st.score_stream(st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir)), model)
+    sink = scratch_path(spark, "tables/predictions_stream")
+    st.run_available_now(s.select("id", "dtUpdate", "label", "prediction", "obs_day"), sink,
+                         scratch_path(spark, "streams/predict"), ["obs_day"])
+    return spark.read.parquet(sink).select("id", "dtUpdate", "label", "prediction")

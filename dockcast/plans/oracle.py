@@ -331,3 +331,6 @@ FROM (SELECT *, abs(a) + abs(b) + abs(c) + abs(s) + abs(e) AS nrm
       FROM (SELECT id, dtUpdate, label, CAST(id AS DOUBLE) AS a, CAST(day AS DOUBLE) AS b, CAST(hour AS DOUBLE) AS c,
                    soleil AS s, CAST(minute AS DOUBLE) AS e
             FROM readings WHERE soleil IS NOT NULL) x) y""")
+
+# The stream keeps every open reading (no distinct; that is T2).
+SQL["stream_ingest"] = with_readings(f"SELECT {READING_COLS} FROM raw", extra=_RAW)
