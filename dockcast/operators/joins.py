@@ -13,8 +13,9 @@ STATION_MAX_ROWS = 1_000_000   # one row per station
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check runs ``limit(max_rows + 1).count()``, which stops once the bound is passed, so it is
-    cheap for a real dimension and never scans a large side completely. Beyond the bound the
+    The check runs ``limit(max_rows + 1).count()``, which stops once the bound is passed. Call it on
+    a stored table (a source file or a written dimension): there the count reads parquet metadata
+    or a few rows. On a derived plan it would run that plan once more. Beyond the bound the
     planner keeps its shuffle (sort-merge) join and AQE handles skew.
     """
     n = df.limit(max_rows + 1).count()

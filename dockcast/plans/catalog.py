@@ -21,7 +21,7 @@ from dockcast.operators import scenario as sc
 from dockcast.operators import sinks as sk
 from dockcast.operators import split as sp
 from dockcast.operators.joins import DIMENSION_MAX_ROWS, bounded_broadcast
-from dockcast.session import scratch_path
+from dockcast.session import path_exists, scratch_path, scratch_root
 from dockcast.sources.adapter import forecast_requests, snapshot_elements, weather_observations
 from dockcast.sources.snapshots import scan_snapshots, write_landing
 from dockcast.sources.weather import daily_weather
@@ -44,8 +44,19 @@ def register(name: str):
 
 # --- shared building blocks -------------------------------------------------------------------
 
+_TABLES: dict[tuple, str] = {}   # (name, sf_dir, scratch root) -> written table
+
+
 def weather_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_weather(weather_observations(spark, sf_dir))
+    """Per-day weather (F4, C11, C10), written once to the shared folder as a small dimension table
+    (one row per day). Later queries read it; its size check is then a metadata read."""
+    key = ("weather_daily", sf_dir, scratch_root(spark))
+    path = _TABLES.get(key)
+    if path is None or not path_exists(spark, path):
+        path = scratch_path(spark, "tables/weather_daily")
+        daily_weather(weather_observations(spark, sf_dir)).write.parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def readings(spark: SparkSession, sf_dir: str, name_filter: str | None = None, keep_day: bool = False) -> DataFrame:
@@ -78,8 +89,8 @@ def baseline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_day_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of the newest snapshot day (the newest landing file's content)."""
     r = readings(spark, sf_dir, keep_day=True)
-    newest = r.agg(F.max("obs_day").alias("obs_day"))          # one row
-    return r.join(F.broadcast(newest), "obs_day").select(*cur.READING_COLUMNS)
+    newest = r.agg(F.max("obs_day")).scalar()     # scalar subquery; on a day-partitioned table it prunes
+    return r.where(F.col("obs_day") == newest).select(*cur.READING_COLUMNS)
 
 
 # --- sources ----------------------------------------------------------------------------------
@@ -325,7 +336,7 @@ TRAIN_HIDDEN = "20-20"     # first topology of the service's search list
 TRAIN_ITERS = 50
 SEARCH_TOPOLOGIES = ["20-20", "60"]   # two of the service's ten, to keep the driver check short
 SEARCH_ITERS = 10
-_MODELS: dict[tuple, str] = {}        # (sf_dir, hidden, iters) -> saved model folder
+_MODELS: dict[tuple, str] = {}        # (sf_dir, hidden, iters, scratch root) -> saved model folder
 
 
 def training_rows(spark: SparkSession, sf_dir: str):
@@ -339,13 +350,11 @@ def training_rows(spark: SparkSession, sf_dir: str):
 def trained_model(spark: SparkSession, sf_dir: str, hidden: str = TRAIN_HIDDEN, iters: int = TRAIN_ITERS):
     """Fit once per (data, topology, iterations) and keep the saved model's folder; later calls load
     it. Returns (PipelineModel, TrainResult or None, test rows)."""
-    import os
-
     from dockcast.operators import model as mo
-    key = (sf_dir, hidden, iters)
+    key = (sf_dir, hidden, iters, scratch_root(spark))
     train, test = training_rows(spark, sf_dir)
     path = _MODELS.get(key)
-    if path and os.path.exists(path):
+    if path and path_exists(spark, path):
         return mo.load(path), None, test
     res = mo.train(train, mo.topology(hidden), iters)
     _MODELS[key] = mo.save(res.model, mo.model_path(spark, res.layers))
@@ -358,7 +367,7 @@ def q_train_model(spark, sf_dir):
     from dockcast.operators import model as mo
     train, _ = training_rows(spark, sf_dir)
     res = mo.train(train, mo.topology(TRAIN_HIDDEN), TRAIN_ITERS)
-    _MODELS[(sf_dir, TRAIN_HIDDEN, TRAIN_ITERS)] = mo.save(res.model, mo.model_path(spark, res.layers))
+    _MODELS[(sf_dir, TRAIN_HIDDEN, TRAIN_ITERS, scratch_root(spark))] = mo.save(res.model, mo.model_path(spark, res.layers))
     return mo.summary_frame(spark, res, train.count())
 
 

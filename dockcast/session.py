@@ -56,6 +56,13 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{scratch_root(spark)}/{kind}/{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS, object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def write_table(df: DataFrame, spark: SparkSession, kind: str, partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing a parquet table to the shared folder and reading it back.
 
