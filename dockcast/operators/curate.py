@@ -62,29 +62,29 @@ def derive(typed: DataFrame) -> DataFrame:
     )
 
 
-def attach_weather(readings: DataFrame, weather_daily: DataFrame | None) -> DataFrame:
+def attach_weather(readings: DataFrame, weather_daily: DataFrame | None, weather_rows: int | None = None) -> DataFrame:
     """J1 + C10: left join on the day; ``soleil`` is NULL for a day without observation.
 
     The per-day table is broadcast only after its size is checked; otherwise it is a shuffle join.
     """
     if weather_daily is None:
         return readings.withColumn("soleil", F.lit(None).cast("double"))
-    w = bounded_broadcast(weather_daily.select("obs_day", "soleil"), DIMENSION_MAX_ROWS)
+    w = bounded_broadcast(weather_daily.select("obs_day", "soleil"), DIMENSION_MAX_ROWS, weather_rows)
     return readings.join(w, "obs_day", "left")
 
 
 def readings_from_elements(elements: DataFrame, weather_daily: DataFrame | None,
-                           name_filter: str | None = None) -> DataFrame:
+                           name_filter: str | None = None, weather_rows: int | None = None) -> DataFrame:
     """P1 -> F1 -> C12/C13/C1 -> F2 -> C2..C9 -> J1, before dedup (keeps ``obs_day``)."""
     typed = filter_name(parse_fields(open_elements(elements)), name_filter)
-    return attach_weather(derive(typed), weather_daily)
+    return attach_weather(derive(typed), weather_daily, weather_rows)
 
 
 def curate(elements: DataFrame, weather_daily: DataFrame | None, name_filter: str | None = None,
-           keep_day: bool = False) -> DataFrame:
+           keep_day: bool = False, weather_rows: int | None = None) -> DataFrame:
     """Readings table: the pipeline above, then A1 (full-row distinct, Q10: always deduplicated)."""
     cols = READING_COLUMNS + (["obs_day"] if keep_day else [])
-    return readings_from_elements(elements, weather_daily, name_filter).select(*cols).distinct()
+    return readings_from_elements(elements, weather_daily, name_filter, weather_rows).select(*cols).distinct()
 
 
 def distinct_readings(readings: DataFrame) -> DataFrame:

@@ -6,10 +6,12 @@ the session's shared checkpoint folder, each run into a new sub-folder.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dockcast.functions import bins as B
 from dockcast.functions import time as TM
@@ -44,24 +46,48 @@ def register(name: str):
 
 # --- shared building blocks -------------------------------------------------------------------
 
-_TABLES: dict[tuple, str] = {}   # (name, sf_dir, scratch root) -> written table
+_TABLES: dict[tuple, tuple] = {}   # (name, sf_dir, scratch root) -> (path, rows, schema json)
+
+
+def stored(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
+           partition_by: list[str] | None = None) -> tuple[DataFrame, int]:
+    """A table derived from the given tables, written once to the shared folder and read back by
+    later queries (like the service's loaded and persisted dataset). Returns (table, row count);
+    the count comes from parquet metadata right after the write."""
+    key = (name, sf_dir, scratch_root(spark))
+    hit = _TABLES.get(key)
+    if hit is None or not path_exists(spark, hit[0]):
+        df = build()
+        path = scratch_path(spark, f"tables/{name}")
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        hit = (path, spark.read.schema(df.schema).parquet(path).count(), df.schema.json())
+        _TABLES[key] = hit
+    schema = StructType.fromJson(json.loads(hit[2]))
+    return spark.read.schema(schema).parquet(hit[0]), hit[1]
+
+
+def weather_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Per-day weather (F4, C11, C10) as a small dimension table (one row per day)."""
+    return stored(spark, "weather_daily", sf_dir, lambda: daily_weather(weather_observations(spark, sf_dir)))
 
 
 def weather_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-day weather (F4, C11, C10), written once to the shared folder as a small dimension table
-    (one row per day). Later queries read it; its size check is then a metadata read."""
-    key = ("weather_daily", sf_dir, scratch_root(spark))
-    path = _TABLES.get(key)
-    if path is None or not path_exists(spark, path):
-        path = scratch_path(spark, "tables/weather_daily")
-        daily_weather(weather_observations(spark, sf_dir)).write.parquet(path)
-        _TABLES[key] = path
-    return spark.read.parquet(path)
+    return weather_table(spark, sf_dir)[0]
 
 
 def readings(spark: SparkSession, sf_dir: str, name_filter: str | None = None, keep_day: bool = False) -> DataFrame:
-    """The curated readings table (A1 applied)."""
-    return cur.curate(snapshot_elements(spark, sf_dir), weather_days(spark, sf_dir), name_filter, keep_day)
+    """The curated readings, computed from the given tables (A1 applied)."""
+    w, n = weather_table(spark, sf_dir)
+    return cur.curate(snapshot_elements(spark, sf_dir), w, name_filter, keep_day, n)
+
+
+def stored_readings(spark: SparkSession, sf_dir: str, keep_day: bool = False) -> DataFrame:
+    """The curated readings table, written once (partitioned by day) and read by downstream queries."""
+    df, _ = stored(spark, "readings", sf_dir, lambda: readings(spark, sf_dir, keep_day=True), ["obs_day"])
+    return df.select(*cur.READING_COLUMNS, *(["obs_day"] if keep_day else []))
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,14 +107,14 @@ def derived_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion counts of the deterministic baseline on the held-out part of the hash split."""
-    r = readings(spark, sf_dir)
+    r = stored_readings(spark, sf_dir)
     train, test = sp.split_parts(r)
     return me.confusion_counts(me.baseline_predictions(train, test))
 
 
 def latest_day_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of the newest snapshot day (the newest landing file's content)."""
-    r = readings(spark, sf_dir, keep_day=True)
+    r = stored_readings(spark, sf_dir, keep_day=True)
     newest = r.agg(F.max("obs_day")).scalar()     # scalar subquery; on a day-partitioned table it prunes
     return r.where(F.col("obs_day") == newest).select(*cur.READING_COLUMNS)
 
@@ -117,7 +143,7 @@ def q_load_latest(spark, sf_dir):
 @register("append_readings")
 def q_append_readings(spark, sf_dir):
     """S5 + U1: current readings + the newest load, union then distinct (nothing lost, Q5)."""
-    return cur.append_readings(readings(spark, sf_dir), latest_day_readings(spark, sf_dir))
+    return cur.append_readings(stored_readings(spark, sf_dir), latest_day_readings(spark, sf_dir))
 
 
 # --- projections, filters, dedup ------------------------------------------------------------------
@@ -139,13 +165,13 @@ def q_name_filter(spark, sf_dir):
 @register("station_lookup")
 def q_station_lookup(spark, sf_dir):
     """stations whose name contains the text, latest reading each."""
-    return lk.station_lookup(readings(spark, sf_dir), LOOKUP_TEXT)
+    return lk.station_lookup(stored_readings(spark, sf_dir), LOOKUP_TEXT)
 
 
 @register("drop_columns")
 def q_drop_columns(spark, sf_dir):
     """P2."""
-    return cur.drop_columns(readings(spark, sf_dir), DROPPED)
+    return cur.drop_columns(stored_readings(spark, sf_dir), DROPPED)
 
 
 @register("distinct_readings")
@@ -158,37 +184,37 @@ def q_distinct_readings(spark, sf_dir):
 @register("dedup_identity")
 def q_dedup_identity(spark, sf_dir):
     """A2."""
-    return cur.dedup_identity(readings(spark, sf_dir))
+    return cur.dedup_identity(stored_readings(spark, sf_dir))
 
 
 @register("reading_count")
 def q_reading_count(spark, sf_dir):
     """A3."""
-    return cur.reading_count(readings(spark, sf_dir))
+    return cur.reading_count(stored_readings(spark, sf_dir))
 
 
 @register("natural_order")
 def q_natural_order(spark, sf_dir):
     """O2 (order itself is tested in pytest)."""
-    return lk.natural_order(readings(spark, sf_dir)).select("id", "dtUpdate", "label")
+    return lk.natural_order(stored_readings(spark, sf_dir)).select("id", "dtUpdate", "label")
 
 
 @register("preview")
 def q_preview(spark, sf_dir):
     """K7: the first 1000 rows in natural order, text cut to 100 characters."""
-    return lk.preview(readings(spark, sf_dir))
+    return lk.preview(stored_readings(spark, sf_dir))
 
 
 @register("station_list")
 def q_station_list(spark, sf_dir):
     """K8: listing text of the first 2000 readings by name, x."""
-    return lk.station_listing(readings(spark, sf_dir))
+    return lk.station_listing(stored_readings(spark, sf_dir))
 
 
 @register("split_train_test")
 def q_split_train_test(spark, sf_dir):
     """Repeatable 60/40 hash split."""
-    return sp.label_parts(readings(spark, sf_dir)).select("id", "dtUpdate", "bucket", "part")
+    return sp.label_parts(stored_readings(spark, sf_dir)).select("id", "dtUpdate", "bucket", "part")
 
 
 # --- joins and scenarios ------------------------------------------------------------------------
@@ -196,13 +222,14 @@ def q_split_train_test(spark, sf_dir):
 @register("weather_enrich")
 def q_weather_enrich(spark, sf_dir):
     """J1 + C10/C11: each open reading with its day's temperature and warm flag."""
-    w = bounded_broadcast(weather_days(spark, sf_dir), DIMENSION_MAX_ROWS)
+    days, n_days = weather_table(spark, sf_dir)
+    w = bounded_broadcast(days, DIMENSION_MAX_ROWS, n_days)
     return derived_open(spark, sf_dir).join(w, "obs_day", "left") \
         .select("id", "dtUpdate", "obs_day", "temperature", "soleil")
 
 
 def _resolved(spark, sf_dir):
-    stations = lk.latest_per_station(readings(spark, sf_dir))
+    stations = lk.latest_per_station(stored_readings(spark, sf_dir))
     return sc.resolve_requests(forecast_requests(spark, sf_dir), stations)
 
 
@@ -255,13 +282,13 @@ def q_on_poll_minute(spark, sf_dir):
 @register("label_text")
 def q_label_text(spark, sf_dir):
     """C14."""
-    return readings(spark, sf_dir).select("id", "dtUpdate", "label", B.label_text("label").alias("label_text"))
+    return stored_readings(spark, sf_dir).select("id", "dtUpdate", "label", B.label_text("label").alias("label_text"))
 
 
 @register("clamp")
 def q_clamp(spark, sf_dir):
     """C15."""
-    return readings(spark, sf_dir).select("id", "dtUpdate", "bikes", "places",
+    return stored_readings(spark, sf_dir).select("id", "dtUpdate", "bikes", "places",
                                           B.clamp("bikes").alias("bikes_clamped"),
                                           B.clamp("places").alias("places_clamped"))
 
@@ -270,7 +297,7 @@ def q_clamp(spark, sf_dir):
 def q_date_text(spark, sf_dir):
     """C17."""
     ts = TM.from_epoch_millis("dtUpdate")
-    return readings(spark, sf_dir).select("id", "dtUpdate", TM.day_text(ts).alias("day_text"),
+    return stored_readings(spark, sf_dir).select("id", "dtUpdate", TM.day_text(ts).alias("day_text"),
                                           TM.short_text(ts).alias("short_text"))
 
 
@@ -305,19 +332,19 @@ def q_weighted_metrics(spark, sf_dir):
 @register("id_index")
 def q_id_index(spark, sf_dir):
     """Frequency order of station ids as the fitted indexer sees it."""
-    return fe.id_index_table(fe.usable(readings(spark, sf_dir)))
+    return fe.id_index_table(fe.usable(stored_readings(spark, sf_dir)))
 
 
 @register("features_l2")
 def q_features_l2(spark, sf_dir):
     """M1-M3 (M5)."""
-    return fe.features_l2(fe.usable(readings(spark, sf_dir)))
+    return fe.features_l2(fe.usable(stored_readings(spark, sf_dir)))
 
 
 @register("features_l1")
 def q_features_l1(spark, sf_dir):
     """M4."""
-    return fe.features_l1(fe.usable(readings(spark, sf_dir)))
+    return fe.features_l1(fe.usable(stored_readings(spark, sf_dir)))
 
 
 # --- sinks --------------------------------------------------------------------------------------
@@ -325,7 +352,7 @@ def q_features_l1(spark, sf_dir):
 @register("export_ordered")
 def q_export_ordered(spark, sf_dir):
     """K1/K2: ordered CSV export of the readings, read back with the declared schema."""
-    r = readings(spark, sf_dir)
+    r = stored_readings(spark, sf_dir)
     path = sk.export_ordered(r, scratch_path(spark, "exports/readings"))
     return sk.read_export(spark, path, r.schema)
 
@@ -342,7 +369,7 @@ _MODELS: dict[tuple, str] = {}        # (sf_dir, hidden, iters, scratch root) ->
 def training_rows(spark: SparkSession, sf_dir: str):
     """Usable readings split 60/40 by hash; the training part is written to the shared folder."""
     from dockcast.operators import model as mo
-    rows = fe.usable(readings(spark, sf_dir))
+    rows = fe.usable(stored_readings(spark, sf_dir))
     train, test = sp.split_parts(rows)
     return mo.materialize(spark, train, "train"), test
 

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.operators.joins import bounded_broadcast
-from dockcast.sources.tables import read_table
+from dockcast.sources.tables import read_table, spread
 
 # Fixed values of the stand-in (the weather station id is the one the service reads).
 N_NATIONS = 25
@@ -28,9 +27,11 @@ NO_WEATHER_DAY_REM = 7
 
 def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events + nation -> ``fields`` struct per event (snapshot JSON shape)."""
-    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value", "props"),
+                "event_id")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = ev.join(bounded_broadcast(nation), F.col("n_nationkey") == (F.col("user_id") % N_NATIONS))
+    # nation has 25 rows by definition of the schema: a proven bound, broadcast without a count job
+    joined = ev.join(F.broadcast(nation), F.col("n_nationkey") == (F.col("user_id") % N_NATIONS))
     bikes = F.floor("value").cast("int") % COUNT_MOD
     places = F.get_json_object("props", "$.k").cast("int") % COUNT_MOD
     lt = (F.lit(48800) + F.col("user_id") % 100).cast("double") / F.lit(1000.0)
@@ -49,7 +50,7 @@ def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (numer_sta, date 'yyyyMMddHHmmss', t kelvin), like rows of a synop file."""
-    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), "event_id")
     ours = ((F.col("user_id") % 3) == 0) & ((F.dayofmonth("ts") % NO_WEATHER_DAY_MOD) != NO_WEATHER_DAY_REM)
     sta = F.when(ours, F.lit(WEATHER_STATION)).otherwise(
         F.lpad((F.col("user_id") % 1000).cast("string"), 5, "0"))

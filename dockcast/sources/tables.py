@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -11,3 +12,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition on a unique key when a scan yields fewer partitions than the cluster has
+    task slots (a table stored as one large row group is read by one task). A large table already
+    has many splits: then nothing changes and no shuffle is added. Hashing a unique key keeps
+    partitions even however skewed the other columns are."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, F.col(key))
