@@ -32,8 +32,14 @@ def parse_update_time(s) -> Column:
 
 
 def epoch_millis(ts) -> Column:
-    """Epoch milliseconds of a wall-clock time read as UTC."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts))
+    """Epoch milliseconds of a wall-clock time read as UTC.
+
+    Built from the value's own date and clock fields: ``timestamp_diff`` and ``date_format`` cast
+    TIMESTAMP_NTZ to the session zone first, which shifts results across daylight-saving changes.
+    """
+    t = _c(ts)
+    return (F.unix_date(F.to_date(t)).cast("bigint") * 86_400_000 + F.hour(t) * 3_600_000 + F.minute(t) * 60_000
+            + F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("bigint"))
 
 
 def day_of_week(ts) -> Column:
@@ -73,13 +79,29 @@ def on_poll_minute(ts) -> Column:
 
 
 def day_text(ts) -> Column:
-    """C17: ``yyyyMMdd``."""
-    return F.date_format(_c(ts), DAY_FORMAT)
+    """C17: ``yyyyMMdd`` (formatted from the wall-clock fields, zone-free)."""
+    t = _c(ts)
+    return F.format_string("%04d%02d%02d", F.year(t), F.month(t), F.dayofmonth(t))
 
 
 def short_text(ts) -> Column:
     """C17: ``dd/MM HH:mm``."""
-    return F.date_format(_c(ts), SHORT_FORMAT)
+    t = _c(ts)
+    return F.format_string("%02d/%02d %02d:%02d", F.dayofmonth(t), F.month(t), F.hour(t), F.minute(t))
+
+
+def iso_text(ts) -> Column:
+    """``yyyy-MM-dd'T'HH:mm:ss`` (the snapshot's time text without offset)."""
+    t = _c(ts)
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t), F.second(t))
+
+
+def stamp_text(ts) -> Column:
+    """``yyyyMMddHHmmss`` (synop observation time)."""
+    t = _c(ts)
+    return F.format_string("%04d%02d%02d%02d%02d%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t), F.second(t))
 
 
 def time_features(ts) -> list[Column]:

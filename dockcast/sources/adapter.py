@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockcast.functions.time import iso_text, stamp_text
 from dockcast.sources.tables import read_table, spread
 
 # Fixed values of the stand-in (the weather station id is the one the service reads).
@@ -39,7 +40,7 @@ def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.struct(
         F.col("user_id").cast("string").alias("number"),
         F.concat(F.col("user_id").cast("string"), F.lit(" - "), F.col("n_name")).alias("name"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("last_update"),
+        F.concat(iso_text("ts"), F.lit("+00:00")).alias("last_update"),
         places.cast("string").alias("available_bike_stands"),
         bikes.cast("string").alias("available_bikes"),
         F.array(lt, lg).alias("position"),
@@ -55,7 +56,7 @@ def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     sta = F.when(ours, F.lit(WEATHER_STATION)).otherwise(
         F.lpad((F.col("user_id") % 1000).cast("string"), 5, "0"))
     return ev.select(sta.alias("numer_sta"),
-                     F.date_format("ts", "yyyyMMddHHmmss").alias("date"),
+                     stamp_text("ts").alias("date"),
                      (F.lit(WEATHER_BASE_K) + F.col("value") % WEATHER_SPAN).alias("t"))
 
 

@@ -47,15 +47,21 @@ def rejected_files(spark: SparkSession, path: str, multi_line: bool = True) -> D
     raw = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .option("pathGlobFilter", SNAPSHOT_GLOB).json(path)
-           .select(F.col("_metadata.file_name").alias("file_name"), "_corrupt_record"))
-    return (raw.where(F.col("_corrupt_record").isNotNull())
+           .select(F.col("_metadata.file_name").alias("file_name"), "_corrupt_record", "fields"))
+    # Spark refuses a query that reads only the corrupt-record column: keep a data column in it
+    return (raw.where(F.col("_corrupt_record").isNotNull() & F.col("fields").isNull())
             .groupBy("file_name").agg(F.count(F.lit(1)).alias("bad_records")))
 
 
 def landed_files(spark: SparkSession, path: str, prefix: str = LANDING_PREFIX) -> DataFrame:
-    """Inventory of landed snapshot files; only file metadata is read, never the content."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*").load(path)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime"))
+    """Names of landed snapshot files (empty ones included, as the service listed them).
+
+    The names come from the file source's own listing (the driver lists, in parallel for large
+    folders, as for every file scan); no file content is read. Scanning with ``binaryFile`` would
+    skip zero-length files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*").load(path).inputFiles()
+    names = sorted({f.rstrip("/").rsplit("/", 1)[-1] for f in files})
+    return spark.createDataFrame([(n,) for n in names], "file_name STRING")
 
 
 def write_landing(elements: DataFrame, path: str, poll_col: str | None = None) -> str:
