@@ -87,6 +87,16 @@ def curate(elements: DataFrame, weather_daily: DataFrame | None, name_filter: st
     return readings_from_elements(elements, weather_daily, name_filter, weather_rows).select(*cols).distinct()
 
 
+def curate_by_day(elements: DataFrame, weather_daily: DataFrame | None, name_filter: str | None = None,
+                  weather_rows: int | None = None, files_per_day: int = 4) -> DataFrame:
+    """The readings table laid out for a day-partitioned write: one shuffle on (day, row bucket),
+    then the distinct in the same stage (its keys contain the partitioning columns). Keeps
+    ``obs_day`` and the ``_bucket`` column (dropped by the writer)."""
+    from dockcast.operators.sinks import by_day
+    raw = readings_from_elements(elements, weather_daily, name_filter, weather_rows).select(*READING_COLUMNS, "obs_day")
+    return by_day(raw, "obs_day", files_per_day).distinct()
+
+
 def distinct_readings(readings: DataFrame) -> DataFrame:
     """A1: full-row distinct. Partial aggregation removes copies before the shuffle, and a hot
     station is spread over many hash partitions because the key is the whole row."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Normalizer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +19,15 @@ L1_COLUMNS = ["id", "day", "hour", "soleil", "minute"]               # M4 (alter
 N_FEATURES = len(FEATURE_COLUMNS)
 
 
+# The service's display vector of a reading (fixed order).
+INPUT_VECTOR_COLUMNS = ["id", "day", "hour", "minute", "soleil"]
+
+
+def input_vector(prefix: str = "") -> "F.Column":
+    """Dense vector [id, day, hour, minute, soleil] of a row."""
+    return array_to_vector(F.array(*[F.col(prefix + c).cast("double") for c in INPUT_VECTOR_COLUMNS]))
+
+
 def usable(readings: DataFrame) -> DataFrame:
     """Rows the model can use: a reading without weather (``soleil`` NULL) is left out (Q13)."""
     return readings.where(F.col("soleil").isNotNull())

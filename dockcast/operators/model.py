@@ -178,3 +178,36 @@ def summary_frame(spark: SparkSession, res: TrainResult, n_rows: int | None = No
 def prediction_columns(scored: DataFrame) -> DataFrame:
     """Scored rows without vector columns (CSV and SQL cannot hold vectors)."""
     return scored.drop("features", "tempFeatures", "rawPrediction", "probability")
+
+
+def weights_file_name(layers: list[int]) -> str:
+    """The service's weight file name, ``mlp-<l1>-<l2>-...-.weights``."""
+    return "mlp-" + "".join(f"{n}-" for n in layers) + ".weights"
+
+
+def write_weights_text(spark: SparkSession, model: PipelineModel, folder: str) -> str:
+    """K4 (text form): one line of ``w;`` items, as the service wrote them. The vector's size is
+    fixed by the topology; it is written as a one-row text table."""
+    m = mlp_stage(model)
+    text = "".join(f"{w!r};" for w in m.weights.toArray().tolist())
+    path = f"{folder.rstrip('/')}/{weights_file_name(list(m.getLayers()))}"
+    spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.mode("errorifexists").text(path)
+    return path
+
+
+def read_weights_text(spark: SparkSession, path: str) -> list[float]:
+    """S8 (text form): weights for a warm start (C19 parsing on Spark, one row back)."""
+    from dockcast.functions.text import parse_weights
+    row = spark.read.text(path).select(parse_weights("value").alias("w")).where(F.size("w") > 0).first()
+    return [] if row is None else list(row["w"])
+
+
+def retrain(spark: SparkSession, readings: DataFrame, hidden: str, iters: int, seed: int = DEFAULT_SEED,
+            warm: PipelineModel | None = None) -> tuple[TrainResult, DataFrame]:
+    """Retrain on the current readings table (e.g. the streaming sink), warm-started from the
+    previous model when given. Returns the fit and the held-out rows for evaluation."""
+    from dockcast.operators.features import usable
+    from dockcast.operators.split import split_parts
+    train_rows, test_rows = split_parts(usable(readings))
+    res = train_stepwise(materialize(spark, train_rows, "retrain"), topology(hidden), iters, seed, warm=warm)
+    return res, test_rows

@@ -59,10 +59,11 @@ def stored(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], Data
     if hit is None or not path_exists(spark, hit[0]):
         df = build()
         path = scratch_path(spark, f"tables/{name}")
-        w = df.write.mode("errorifexists")
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+            sk.store_readings(df, path, partition_by[0], mode="errorifexists")
+            df = df.drop(sk.BUCKET_COL)
+        else:
+            df.write.mode("errorifexists").parquet(path)
         hit = (path, spark.read.schema(df.schema).parquet(path).count(), df.schema.json())
         _TABLES[key] = hit
     schema = StructType.fromJson(json.loads(hit[2]))
@@ -86,7 +87,11 @@ def readings(spark: SparkSession, sf_dir: str, name_filter: str | None = None, k
 
 def stored_readings(spark: SparkSession, sf_dir: str, keep_day: bool = False) -> DataFrame:
     """The curated readings table, written once (partitioned by day) and read by downstream queries."""
-    df, _ = stored(spark, "readings", sf_dir, lambda: readings(spark, sf_dir, keep_day=True), ["obs_day"])
+    def build():
+        w, n = weather_table(spark, sf_dir)
+        return cur.curate_by_day(snapshot_elements(spark, sf_dir), w, weather_rows=n)
+
+    df, _ = stored(spark, "readings", sf_dir, build, ["obs_day"])
     return df.select(*cur.READING_COLUMNS, *(["obs_day"] if keep_day else []))
 
 

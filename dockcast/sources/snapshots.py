@@ -41,6 +41,12 @@ def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> D
             .json(path))
 
 
+def scan_json_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
+    """JSON scan with an inferred schema (the service's unused ``createTrain(file)``). Inference
+    reads the input once more; ``sampling_ratio`` < 1 bounds that on large inputs."""
+    return spark.read.option("samplingRatio", sampling_ratio).json(path)
+
+
 def rejected_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """F5 accounting: files (or lines) that fail to parse, with their count of bad records."""
     schema = T.StructType(ELEMENT_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
