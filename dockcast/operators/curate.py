@@ -26,8 +26,10 @@ OPEN_STATUS = "OPEN"
 
 
 def open_elements(elements: DataFrame) -> DataFrame:
-    """P1 + F1: ``fields.*`` of elements whose status is exactly OPEN (no fields / no status drop)."""
-    return elements.select("fields.*").where(F.col("status") == OPEN_STATUS)
+    """P1 + F1: ``fields.*`` of elements whose status is exactly OPEN (no fields / no status drop).
+    Elements already flattened (no ``fields`` column) are taken as they are."""
+    flat = elements.select("fields.*") if "fields" in elements.columns else elements
+    return flat.where(F.col("status") == OPEN_STATUS)
 
 
 def filter_name(df: DataFrame, part: str | None) -> DataFrame:

@@ -135,7 +135,7 @@ def q_curate_readings(spark, sf_dir):
 @register("scan_snapshots")
 def q_scan_snapshots(spark, sf_dir):
     """Land the elements as snapshot files, scan the landing folder, curate."""
-    path = write_landing(snapshot_elements(spark, sf_dir), scratch_path(spark, "landing"))
+    path = write_landing(snapshot_elements(spark, sf_dir, nested=True), scratch_path(spark, "landing"))
     return cur.curate(scan_snapshots(spark, path, multi_line=False), weather_days(spark, sf_dir))
 
 
@@ -463,7 +463,7 @@ def q_export_predictions(spark, sf_dir):
 def _landing(spark, sf_dir, copies: int = 1) -> str:
     """Land the elements ``copies`` times (overlapping snapshots) as files of one folder."""
     root = scratch_path(spark, "landing")
-    el = snapshot_elements(spark, sf_dir)
+    el = snapshot_elements(spark, sf_dir, nested=True)
     for i in range(copies):
         write_landing(el, f"{root}/copy={i}")
     return root

@@ -39,7 +39,13 @@ def scratch_root(spark: SparkSession) -> str:
     Uses the checkpoint directory the cluster names (``spark.checkpoint.dir`` or one already set on
     the context). Only when none is set (local tests) a fresh folder under /tmp is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no context handle: use the setting as given
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d.rstrip("/")
     d = sc.getCheckpointDir()
     if d:
         # the context appends a random sub-folder; keep our tables beside it
@@ -58,9 +64,12 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (local, HDFS, object stores alike)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM handle (remote session): treat as absent, the table is rebuilt
+        return os.path.exists(path)
 
 
 def write_table(df: DataFrame, spark: SparkSession, kind: str, partition_by: list[str] | None = None) -> DataFrame:

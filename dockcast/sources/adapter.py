@@ -26,8 +26,12 @@ NO_WEATHER_DAY_MOD = 10   # days of month ending in 7 carry no observation of th
 NO_WEATHER_DAY_REM = 7
 
 
-def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events + nation -> ``fields`` struct per event (snapshot JSON shape)."""
+def snapshot_elements(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataFrame:
+    """events + nation -> one snapshot element per event.
+
+    Flat element columns by default, so Catalyst prunes the scan to what a query uses (a struct
+    built in a projection keeps every member alive); ``nested=True`` wraps them in ``fields`` as in
+    the JSON files (used when writing landing files)."""
     ev = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value", "props"),
                 "event_id")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -37,7 +41,7 @@ def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = F.get_json_object("props", "$.k").cast("int") % COUNT_MOD
     lt = (F.lit(48800) + F.col("user_id") % 100).cast("double") / F.lit(1000.0)
     lg = (F.lit(2300) + F.col("n_nationkey")).cast("double") / F.lit(1000.0)
-    fields = F.struct(
+    cols = [
         F.col("user_id").cast("string").alias("number"),
         F.concat(F.col("user_id").cast("string"), F.lit(" - "), F.col("n_name")).alias("name"),
         F.concat(iso_text("ts"), F.lit("+00:00")).alias("last_update"),
@@ -45,8 +49,8 @@ def snapshot_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         bikes.cast("string").alias("available_bikes"),
         F.array(lt, lg).alias("position"),
         F.when(F.col("event_type") == "error", F.lit("CLOSED")).otherwise(F.lit("OPEN")).alias("status"),
-    )
-    return joined.select(fields.alias("fields"))
+    ]
+    return joined.select(F.struct(*cols).alias("fields")) if nested else joined.select(*cols)
 
 
 def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

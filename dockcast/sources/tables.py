@@ -19,7 +19,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     task slots (a table stored as one large row group is read by one task). A large table already
     has many splits: then nothing changes and no shuffle is added. Hashing a unique key keeps
     partitions even however skewed the other columns are."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # remote session: no partition count available, leave the scan as it is
         return df
     return df.repartition(slots, F.col(key))

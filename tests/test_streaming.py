@@ -11,7 +11,7 @@ from dockcast.streaming import ingest as st
 
 
 def _land(spark, root, copies=1):
-    el = snapshot_elements(spark, SF_SMALL)
+    el = snapshot_elements(spark, SF_SMALL, nested=True)
     for i in range(copies):
         write_landing(el, os.path.join(root, f"copy={i}"))
     return root
