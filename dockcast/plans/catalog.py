@@ -26,7 +26,7 @@ from dockcast.operators.joins import DIMENSION_MAX_ROWS, bounded_broadcast
 from dockcast.session import path_exists, scratch_path, scratch_root
 from dockcast.sources.adapter import forecast_requests, snapshot_elements, weather_observations
 from dockcast.sources.snapshots import scan_snapshots, write_landing
-from dockcast.sources.weather import daily_weather
+from dockcast.sources.weather import daily_weather, scan_weather, write_synop
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +151,14 @@ def q_append_readings(spark, sf_dir):
     return cur.append_readings(stored_readings(spark, sf_dir), latest_day_readings(spark, sf_dir))
 
 
+@register("weather_daily")
+def q_weather_daily(spark, sf_dir):
+    """S3 + F4 + C11 + C10: observations written as synop files, scanned by position, reduced to
+    the station's first observation per day."""
+    path = write_synop(weather_observations(spark, sf_dir), scratch_path(spark, "landing/synop"))
+    return daily_weather(scan_weather(spark, path))
+
+
 # --- projections, filters, dedup ------------------------------------------------------------------
 
 @register("open_stations")
@@ -308,6 +316,12 @@ def q_date_text(spark, sf_dir):
 
 # --- metrics ------------------------------------------------------------------------------------
 
+@register("confusion_pivot")
+def q_confusion_pivot(spark, sf_dir):
+    """A4 (matrix form): one row per actual class, one column per predicted class."""
+    return me.confusion_matrix(baseline_counts(spark, sf_dir))
+
+
 @register("confusion_matrix")
 def q_confusion_matrix(spark, sf_dir):
     """A4 (long form) on the baseline's held-out predictions."""
@@ -340,6 +354,15 @@ def q_id_index(spark, sf_dir):
     return fe.id_index_table(fe.usable(stored_readings(spark, sf_dir)))
 
 
+@register("input_vector")
+def q_input_vector(spark, sf_dir):
+    """The display vector [id, day, hour, minute, soleil] (as columns)."""
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array(fe.input_vector())
+    return fe.usable(stored_readings(spark, sf_dir)).select(
+        "id", "dtUpdate", *[v[i].alias(f"i{i}") for i in range(len(fe.INPUT_VECTOR_COLUMNS))])
+
+
 @register("features_l2")
 def q_features_l2(spark, sf_dir):
     """M1-M3 (M5)."""

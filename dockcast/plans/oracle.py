@@ -334,3 +334,14 @@ FROM (SELECT *, abs(a) + abs(b) + abs(c) + abs(s) + abs(e) AS nrm
 
 # The stream keeps every open reading (no distinct; that is T2).
 SQL["stream_ingest"] = with_readings(f"SELECT {READING_COLS} FROM raw", extra=_RAW)
+
+SQL["weather_daily"] = with_readings("SELECT obs_day, temperature, soleil FROM wday")
+
+SQL["input_vector"] = with_readings("""
+SELECT id, dtUpdate, CAST(id AS DOUBLE) AS i0, CAST(day AS DOUBLE) AS i1, CAST(hour AS DOUBLE) AS i2,
+       CAST(minute AS DOUBLE) AS i3, soleil AS i4
+FROM readings WHERE soleil IS NOT NULL""")
+
+SQL["confusion_pivot"] = with_readings("SELECT label, " + ", ".join(
+    f"CAST(sum(CASE WHEN prediction = {c} THEN n ELSE 0 END) AS BIGINT) AS \"{c}.0\"" for c in range(9))
+    + " FROM cc GROUP BY label", extra=_BASELINE)

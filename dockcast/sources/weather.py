@@ -21,6 +21,20 @@ def scan_weather(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(f"`{cols[i]}`").alias(name) for name, i in SYNOP_POSITIONS.items() if i < len(cols)])
 
 
+# Column names of a synop file up to position 9; 'mq' is the file's missing-value mark.
+SYNOP_COLUMNS = ["numer_sta", "date", "pmer", "tend", "cod_tend", "dd", "ff", "t", "td", "u"]
+MISSING = "mq"
+
+
+def write_synop(obs: DataFrame, path: str) -> str:
+    """Write observations (numer_sta, date, t[, u]) as synop-like ``;`` files with a header; columns
+    the observations do not carry are written as 'mq'. Distributed write, one file per task."""
+    have = set(obs.columns)
+    cols = [F.col(c).cast("string").alias(c) if c in have else F.lit(MISSING).alias(c) for c in SYNOP_COLUMNS]
+    obs.select(*cols).write.mode("errorifexists").option("sep", ";").option("header", True).csv(path)
+    return path
+
+
 def pick_station(obs: DataFrame, station: str = WEATHER_STATION) -> DataFrame:
     """observations of one weather station."""
     return obs.where(F.col("numer_sta") == station)
