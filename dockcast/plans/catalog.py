@@ -241,9 +241,9 @@ def q_weather_enrich(spark, sf_dir):
         .select("id", "dtUpdate", "obs_day", "temperature", "soleil")
 
 
-def _resolved(spark, sf_dir):
+def _resolved(spark, sf_dir, upper: bool = False):
     stations = lk.latest_per_station(stored_readings(spark, sf_dir))
-    return sc.resolve_requests(forecast_requests(spark, sf_dir), stations)
+    return sc.resolve_requests(forecast_requests(spark, sf_dir), stations, upper)
 
 
 @register("request_resolve")
@@ -254,8 +254,8 @@ def q_request_resolve(spark, sf_dir):
 
 @register("scenario_delay")
 def q_scenario_delay(spark, sf_dir):
-    """P4."""
-    return sc.scenario_delay(_resolved(spark, sf_dir))
+    """P4 (the delay route upper-cases the station text)."""
+    return sc.scenario_delay(_resolved(spark, sf_dir, upper=True))
 
 
 @register("scenario_explicit")
@@ -455,7 +455,7 @@ def q_forecast(spark, sf_dir):
     """Every request's stations at now + delay, scored with the saved pipeline."""
     from dockcast.operators import model as mo
     model, _, _ = trained_model(spark, sf_dir)
-    scen = sc.scenario_delay(_resolved(spark, sf_dir))
+    scen = sc.scenario_delay(_resolved(spark, sf_dir, upper=True))
     out = mo.predict(model, scen)
     return out.select("req_id", "id", "name", "day", "hour", "minute", "soleil", "prediction",
                       B.label_text("prediction").alias("prediction_text"))

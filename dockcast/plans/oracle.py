@@ -219,7 +219,8 @@ SQL["reading_count"] = with_readings("SELECT count(*) AS n_readings FROM reading
 SQL["natural_order"] = with_readings("SELECT id, dtUpdate, label FROM readings ORDER BY id, dtUpdate")
 
 SQL["preview"] = with_readings(f"""
-SELECT bikes, day, dtUpdate, hour, id, label, lg, lt, minute, nBike, nPlace, substr(name, 1, 100) AS name,
+SELECT bikes, day, dtUpdate, hour, id, label, lg, lt, minute, nBike, nPlace,
+       CASE WHEN length(name) > 100 THEN substr(name, 1, 97) || '...' ELSE name END AS name,
        places, soleil, x, minute_of_week
 FROM readings ORDER BY id, dtUpdate, bikes, places, name LIMIT 1000""")
 

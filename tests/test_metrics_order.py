@@ -95,3 +95,10 @@ def test_export_is_ordered_by_name_then_x(spark, workdir):
         lines += [tuple(line.split(";")) for line in body[1:]]
     keys = [(n, int(x), int(v)) for n, x, v in lines]
     assert len(keys) == 300 and keys == sorted(keys)
+
+
+def test_preview_cuts_like_show(spark):
+    long = "x" * 150
+    df = spark.createDataFrame([(1, 1, 1, 1, long)], "id bigint, dtUpdate bigint, bikes int, places int, name string")
+    got = lk.preview(df).first().name
+    assert got == "x" * 97 + "..." and len(got) == 100

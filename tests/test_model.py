@@ -86,3 +86,24 @@ def test_topology_validation():
     assert mo.topology("20-20") == [5, 20, 20, 9]
     with pytest.raises(ValueError):
         mo.topology("0")
+
+
+def test_weights_text_round_trip(spark, fitted, workdir):
+    path = mo.write_weights_text(spark, fitted.model, workdir)
+    assert path.endswith("mlp-5-20-20-9-.weights")
+    w = mo.read_weights_text(spark, path)
+    assert w == mo.mlp_stage(fitted.model).weights.toArray().tolist()
+    warm = mo.perceptron([5, 20, 20, 9], 1, initial_weights=w)
+    assert list(warm.getInitialWeights().toArray()) == w
+
+
+def test_retrain_on_table(spark, fitted):
+    readings = cat.stored_readings(spark, SF_CHECK)
+    res, held_out = mo.retrain(spark, readings, "20-20", 3, warm=fitted.model)
+    assert res.layers == [5, 20, 20, 9] and held_out.count() > 0
+
+
+def test_input_vector(spark):
+    row = spark.createDataFrame([(7, 1, 2, 25, 1.0)], "id bigint, day int, hour int, minute int, soleil double") \
+        .select(fe.input_vector().alias("v")).first()
+    assert row.v.toArray().tolist() == [7.0, 1.0, 2.0, 25.0, 1.0]

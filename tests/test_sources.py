@@ -105,3 +105,9 @@ def test_weather_join_missing_day_is_null(spark):
     days = spark.createDataFrame([("20170226", 17.0, 1.0)], "obs_day string, temperature double, soleil double")
     got = {r.id: r.soleil for r in cur.attach_weather(readings, days).collect()}
     assert got == {1: 1.0, 2: None}
+
+
+def test_inferred_json_scan(spark, workdir):
+    d = _landing(workdir)
+    df = sn.scan_json_inferred(spark, os.path.join(d, "velib_1.json"))
+    assert "fields" in df.columns or "_corrupt_record" in df.columns
