@@ -90,13 +90,14 @@ def curate(elements: DataFrame, weather_daily: DataFrame | None, name_filter: st
 
 
 def curate_by_day(elements: DataFrame, weather_daily: DataFrame | None, name_filter: str | None = None,
-                  weather_rows: int | None = None, files_per_day: int = 4) -> DataFrame:
-    """The readings table laid out for a day-partitioned write: one shuffle on (day, row bucket),
-    then the distinct in the same stage (its keys contain the partitioning columns). Keeps
-    ``obs_day`` and the ``_bucket`` column (dropped by the writer)."""
-    from dockcast.operators.sinks import by_day
-    raw = readings_from_elements(elements, weather_daily, name_filter, weather_rows).select(*READING_COLUMNS, "obs_day")
-    return by_day(raw, "obs_day", files_per_day).distinct()
+                  weather_rows: int | None = None) -> DataFrame:
+    """The readings table with its day column, laid out for a day-partitioned write.
+
+    Two exchanges, each skew-proof: the distinct (its partial aggregate collapses copies inside
+    every map task, so a group of copies holding a third of the rows never reaches one task whole)
+    and the REBALANCE on the day (AQE splits a hot day, merges small ones)."""
+    from dockcast.operators.sinks import rebalance_by_day
+    return rebalance_by_day(curate(elements, weather_daily, name_filter, keep_day=True, weather_rows=weather_rows))
 
 
 def distinct_readings(readings: DataFrame) -> DataFrame:

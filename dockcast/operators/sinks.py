@@ -41,25 +41,17 @@ def read_export(spark: SparkSession, path: str, schema: StructType, sep: str = C
     return spark.read.schema(schema).option("sep", sep).option("header", True).csv(path)
 
 
-BUCKET_COL = "_bucket"
-
-
-def by_day(df: DataFrame, day_col: str = "obs_day", files_per_day: int = 4) -> DataFrame:
-    """Hash-distribute rows on (day, bucket of the whole row) and keep the bucket as a column.
-
-    Each day is then held by at most ``files_per_day`` tasks (a day with a third of all rows is
-    still split ``files_per_day`` ways), and a later ``distinct()`` (whose keys include both
-    columns) needs no second shuffle. Drop ``_bucket`` before writing."""
-    cols = [F.col(c) for c in df.columns]
-    return (df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*cols), F.lit(files_per_day)))
-            .repartition(F.col(day_col), F.col(BUCKET_COL)))
+def rebalance_by_day(df: DataFrame, day_col: str = "obs_day") -> DataFrame:
+    """Lay rows out for a day-partitioned write with the REBALANCE hint: rows of a day meet in few
+    tasks, AQE splits a day larger than the advisory partition size and merges small ones, so the
+    table gets about one file per advisory size per day, not one per task and day."""
+    return df.hint("rebalance", day_col)
 
 
 def store_readings(readings: DataFrame, path: str, day_col: str = "obs_day", mode: str = "append") -> str:
     """Readings table on shared storage, partitioned by day: a day's load or the weather join
-    then reads only the matching folders (partition pruning). Rows distributed with ``by_day``
-    give days x files_per_day files, not tasks x days."""
-    readings.drop(BUCKET_COL).write.mode(mode).partitionBy(day_col).parquet(path)
+    then reads only the matching folders (partition pruning)."""
+    rebalance_by_day(readings, day_col).write.mode(mode).partitionBy(day_col).parquet(path)
     return path
 
 

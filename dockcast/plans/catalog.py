@@ -61,7 +61,6 @@ def stored(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], Data
         path = scratch_path(spark, f"tables/{name}")
         if partition_by:
             sk.store_readings(df, path, partition_by[0], mode="errorifexists")
-            df = df.drop(sk.BUCKET_COL)
         else:
             df.write.mode("errorifexists").parquet(path)
         hit = (path, spark.read.schema(df.schema).parquet(path).count(), df.schema.json())
