@@ -504,12 +504,13 @@ def q_stream_ingest(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """Every snapshot landed twice; the stream keeps one row per (id, dtUpdate)."""
+    """Every snapshot landed twice; the stream keeps one row per (id, dtUpdate) (copies combined
+    map-side in each micro-batch, the sink table is the dedup state)."""
     from dockcast.streaming import ingest as st
     land = _landing(spark, sf_dir, copies=2)
-    s = st.dedup_stream(st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir)))
+    s = st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir))
     sink = scratch_path(spark, "tables/readings_dedup")
-    st.run_available_now(s.drop("event_time"), sink, scratch_path(spark, "streams/dedup"), ["obs_day"])
+    st.dedup_into_table(s, sink, scratch_path(spark, "streams/dedup"))
     return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
 
 

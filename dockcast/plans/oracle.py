@@ -346,3 +346,14 @@ FROM readings WHERE soleil IS NOT NULL""")
 SQL["confusion_pivot"] = with_readings("SELECT label, " + ", ".join(
     f"CAST(sum(CASE WHEN prediction = {c} THEN n ELSE 0 END) AS BIGINT) AS \"{c}.0\"" for c in range(9))
     + " FROM cc GROUP BY label", extra=_BASELINE)
+
+# T2 (table-backed): one row per (id, dtUpdate); within a batch the greatest row by the remaining
+# columns in reading order survives (a max over a struct, NULL smallest).
+SQL["stream_dedup"] = with_readings(f"""
+SELECT {READING_COLS} FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY id, dtUpdate
+    ORDER BY bikes DESC, day DESC, hour DESC, label DESC, lg DESC, lt DESC, minute DESC, nBike DESC,
+             nPlace DESC, name DESC, places DESC, soleil DESC NULLS LAST, x DESC, minute_of_week DESC) AS rn
+  FROM raw) q
+WHERE rn = 1""", extra=_RAW)

@@ -48,6 +48,42 @@ def dedup_stream(readings: DataFrame, delay: str = DEFAULT_DELAY, key: list[str]
     return readings.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(key or DEDUP_KEY)
 
 
+def dedup_into_table(readings: DataFrame, sink: str, checkpoint: str, key: list[str] | None = None,
+                     day_col: str = "obs_day") -> StreamingQuery:
+    """T2, table-backed: each micro-batch is reduced to one row per key, then rows whose key is
+    already in the sink table are dropped, and the rest are appended (partitioned by day).
+
+    * Copies are combined map-side: the per-batch reduction is a ``max(struct)`` aggregate, so a
+      group of copies holding a third of a batch never reaches one task whole (the watermark form
+      shuffles every copy to the key's task).
+    * The sink is the dedup state: no state store, no watermark, late copies are still caught.
+      The anti-join reads only the batch's days (the day is a join key and the sink's partition
+      column, so dynamic partition pruning applies).
+    * A batch that is run again after a failure adds nothing, since its keys are then in the sink.
+    * Survivor within a batch: the greatest row (deterministic); across batches the first batch wins.
+    """
+    key = key or DEDUP_KEY
+    cols = [c for c in readings.columns if c != "event_time"]
+    rest = [c for c in cols if c not in key and c != day_col]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        best = (batch.groupBy(*key, day_col).agg(F.max(F.struct(*rest)).alias("r"))
+                .select(*key, day_col, *[F.col(f"r.{c}").alias(c) for c in rest]))
+        try:
+            existing = spark.read.parquet(sink).select(*key, day_col)
+            best = best.join(existing, [*key, day_col], "left_anti")
+        except Exception as ex:  # first batch: the sink does not exist yet
+            if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
+                raise
+        best.select(*cols).write.mode("append").partitionBy(day_col).parquet(sink)
+
+    q = (readings.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def score_stream(readings: DataFrame, model: PipelineModel) -> DataFrame:
     """T4: the fitted pipeline applies to a streaming DataFrame as to a batch one (rows without
     weather are skipped by the assembler)."""

@@ -45,6 +45,21 @@ def test_stream_dedup_removes_overlap(spark, workdir):
     assert got.count() == expected > 0
 
 
+def test_table_backed_dedup_is_exact_and_idempotent(spark, workdir):
+    land = _land(spark, os.path.join(workdir, "landing"), copies=2)
+    weather = cat.weather_days(spark, SF_SMALL)
+    sink, ck = os.path.join(workdir, "sink"), os.path.join(workdir, "ck")
+    st.dedup_into_table(st.stream_readings(st.stream_elements(spark, land, max_files=3), weather), sink, ck)
+    got = spark.read.parquet(sink)
+    keys = cat.readings(spark, SF_SMALL).select("id", "dtUpdate").distinct()
+    assert got.count() == keys.count() > 0
+    assert got.select("id", "dtUpdate").distinct().count() == got.count()
+    # a third landing of the same rows, picked up by the same stream: nothing new
+    write_landing(snapshot_elements(spark, SF_SMALL, nested=True), os.path.join(land, "copy=9"))
+    st.dedup_into_table(st.stream_readings(st.stream_elements(spark, land), weather), sink, ck)
+    assert spark.read.parquet(sink).count() == keys.count()
+
+
 def test_stream_scoring_equals_batch(spark, workdir):
     from dockcast.operators import model as mo
     from dockcast.operators import features as fe
