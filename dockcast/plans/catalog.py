@@ -393,23 +393,27 @@ SEARCH_ITERS = 10
 _MODELS: dict[tuple, str] = {}        # (sf_dir, hidden, iters, scratch root) -> saved model folder
 
 
+def split_rows(spark: SparkSession, sf_dir: str):
+    """Usable readings split 60/40 by hash (train, test); both lazy."""
+    return sp.split_parts(fe.usable(stored_readings(spark, sf_dir)))
+
+
 def training_rows(spark: SparkSession, sf_dir: str):
-    """Usable readings split 60/40 by hash; the training part is written to the shared folder."""
+    """The split, with the training part written to the shared folder (what the fit iterates on)."""
     from dockcast.operators import model as mo
-    rows = fe.usable(stored_readings(spark, sf_dir))
-    train, test = sp.split_parts(rows)
+    train, test = split_rows(spark, sf_dir)
     return mo.materialize(spark, train, "train"), test
 
 
 def trained_model(spark: SparkSession, sf_dir: str, hidden: str = TRAIN_HIDDEN, iters: int = TRAIN_ITERS):
     """Fit once per (data, topology, iterations) and keep the saved model's folder; later calls load
-    it. Returns (PipelineModel, TrainResult or None, test rows)."""
+    it (and write nothing). Returns (PipelineModel, TrainResult or None, test rows)."""
     from dockcast.operators import model as mo
     key = (sf_dir, hidden, iters, scratch_root(spark))
-    train, test = training_rows(spark, sf_dir)
     path = _MODELS.get(key)
     if path and path_exists(spark, path):
-        return mo.load(path), None, test
+        return mo.load(path), None, split_rows(spark, sf_dir)[1]
+    train, test = training_rows(spark, sf_dir)
     res = mo.train(train, mo.topology(hidden), iters)
     _MODELS[key] = mo.save(res.model, mo.model_path(spark, res.layers))
     return res.model, res, test
