@@ -37,7 +37,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (2, repr(round(v, 9)))
+        return (2, repr(v))            # exact: the SQL forms reproduce Spark's arithmetic order
     return (3, str(v))
 
 

@@ -107,3 +107,13 @@ def test_input_vector(spark):
     row = spark.createDataFrame([(7, 1, 2, 25, 1.0)], "id bigint, day int, hour int, minute int, soleil double") \
         .select(fe.input_vector().alias("v")).first()
     assert row.v.toArray().tolist() == [7.0, 1.0, 2.0, 25.0, 1.0]
+
+
+def test_zero_feature_vector_stays_zero(spark):
+    """L2 normalisation of an all-zero vector leaves it zero (no NaN): the station with the most
+    readings (index 0) at midnight on a Sunday in cold weather."""
+    rows = spark.createDataFrame([(1, 0, 0, 0, 0.0, 0, 1.0), (1, 1, 3, 5, 1.0, 1, 2.0), (2, 2, 4, 10, 0.0, 2, 3.0)],
+                                 "id bigint, dtUpdate bigint, hour int, minute int, soleil double, day int, label double")
+    out = {r.dtUpdate: r for r in fe.features_l2(rows).collect()}
+    assert [out[0][f"f{i}"] for i in range(5)] == [0.0] * 5
+    assert abs(sum(out[1][f"f{i}"] ** 2 for i in range(5)) - 1.0) < 1e-12
