@@ -22,9 +22,10 @@ FIELDS_TYPE = T.StructType([
 ])
 ELEMENT_SCHEMA = T.StructType([T.StructField("fields", FIELDS_TYPE)])
 
-# a snapshot file name has '.json' after at least one character; landed files start 'velib'.
+# a snapshot file name has '.json' after at least one character; landed files start with a
+# prefix (a parameter; the poller that lands them chooses it).
 SNAPSHOT_GLOB = "?*.json*"
-LANDING_PREFIX = "velib"
+LANDING_PREFIX = "poll"
 
 
 def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -26,13 +26,13 @@ def _landing(d):
             _el(10021, "10021 - closed", "2017-02-26T18:31:00+00:00", 3, 3, status="CLOSED"),
             _el(10022, "10022 - zulu", "2017-02-26T19:04:00Z", 9, "junk"),
             {"other": 1}]
-    _write(d, "velib_1.json", json.dumps(good))
-    _write(d, "velib_2.json", json.dumps(good[:2]))                      # same rows again
-    _write(d, "velib_3.json", json.dumps(good)[:-20])                    # truncated
-    _write(d, "velib_4.json", "this is not json")
-    _write(d, "velib_5.json", "")
+    _write(d, "poll_1.json", json.dumps(good))
+    _write(d, "poll_2.json", json.dumps(good[:2]))                      # same rows again
+    _write(d, "poll_3.json", json.dumps(good)[:-20])                    # truncated
+    _write(d, "poll_4.json", "this is not json")
+    _write(d, "poll_5.json", "")
     ten = [_el(20000 + i, f"{20000 + i} - Ten", "2017-02-27T08:0%d:00+00:00" % i, i, i) for i in range(10)]
-    _write(d, "velib_6.json", json.dumps(ten))
+    _write(d, "poll_6.json", json.dumps(ten))
     _write(d, ".json", json.dumps(good))                                 # '.json' at position 0: not a snapshot
     _write(d, "notes.txt", "ignored")
     return d
@@ -61,19 +61,19 @@ def test_curate_dedups_and_loses_nothing(spark, workdir):
 def test_rejected_files_are_reported(spark, workdir):
     d = _landing(workdir)
     bad = {r.file_name for r in sn.rejected_files(spark, d).collect()}
-    assert bad == {"velib_3.json", "velib_4.json"}
+    assert bad == {"poll_3.json", "poll_4.json"}
 
 
 def test_landed_file_inventory(spark, workdir):
     d = _landing(workdir)
     names = sorted(r.file_name for r in sn.landed_files(spark, d).collect())
-    assert names == [f"velib_{i}.json" for i in range(1, 7)]
+    assert names == [f"poll_{i}.json" for i in range(1, 7)]
 
 
 def test_name_filter_case_insensitive_and_none(spark, workdir):
     d = _landing(workdir)
     typed = cur.parse_fields(cur.open_elements(sn.scan_snapshots(spark, d)))
-    assert cur.filter_name(typed, "paradis").count() == 2      # velib_1 and its copy velib_2
+    assert cur.filter_name(typed, "paradis").count() == 2      # poll_1 and its copy poll_2
     assert cur.filter_name(typed, None).count() == typed.count()
 
 
@@ -109,5 +109,5 @@ def test_weather_join_missing_day_is_null(spark):
 
 def test_inferred_json_scan(spark, workdir):
     d = _landing(workdir)
-    df = sn.scan_json_inferred(spark, os.path.join(d, "velib_1.json"))
+    df = sn.scan_json_inferred(spark, os.path.join(d, "poll_1.json"))
     assert "fields" in df.columns or "_corrupt_record" in df.columns
