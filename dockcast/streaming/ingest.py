@@ -57,8 +57,9 @@ def dedup_into_table(readings: DataFrame, sink: str, checkpoint: str, key: list[
       group of copies holding a third of a batch never reaches one task whole (the watermark form
       shuffles every copy to the key's task).
     * The sink is the dedup state: no state store, no watermark, late copies are still caught.
-      The anti-join reads only the batch's days (the day is a join key and the sink's partition
-      column, so dynamic partition pruning applies).
+      The anti-join reads only the batch's days: the batch's distinct days (a handful: one row per
+      calendar day) become a partition filter on the sink (dynamic partition pruning does not
+      apply to anti-joins).
     * A batch that is run again after a failure adds nothing, since its keys are then in the sink.
     * Survivor within a batch: the greatest row (deterministic); across batches the first batch wins.
     """
@@ -70,8 +71,9 @@ def dedup_into_table(readings: DataFrame, sink: str, checkpoint: str, key: list[
         spark = batch.sparkSession
         best = (batch.groupBy(*key, day_col).agg(F.max(F.struct(*rest)).alias("r"))
                 .select(*key, day_col, *[F.col(f"r.{c}").alias(c) for c in rest]))
+        days = [r[0] for r in best.select(day_col).distinct().collect()]
         try:
-            existing = spark.read.parquet(sink).select(*key, day_col)
+            existing = spark.read.parquet(sink).where(F.col(day_col).isin(days)).select(*key, day_col)
             best = best.join(existing, [*key, day_col], "left_anti")
         except Exception as ex:  # first batch: the sink does not exist yet
             if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
