@@ -74,3 +74,25 @@ def test_scans_are_pruned(spark):
     # time features never need the value or props columns (event_id only keys the small-input spread)
     assert events <= {"event_id", "user_id", "ts", "event_type"}, events
     assert any(s <= {"n_nationkey", "n_name"} and "n_nationkey" in s for s in schemas)
+
+
+def test_hot_station_results(spark):
+    """One station holds a third of all rows: per-key picks stay exact."""
+    n = 30000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000 + 100).cast("bigint").alias("id"),
+        (F.col("id") * 1000).alias("dtUpdate"), (F.col("id") % 20).cast("int").alias("bikes"),
+        (F.col("id") % 13).cast("int").alias("places"), F.lit("s").alias("name"))
+    from dockcast.operators import lookup as lk
+    latest = {r.id: r.dtUpdate for r in lk.latest_per_station(rows).collect()}
+    assert latest[7] == (n - 3) * 1000          # the hot station's last row: id 29997
+    assert len(latest) == 1 + 1000
+
+
+def test_spread_only_for_few_splits(spark):
+    from dockcast.sources.tables import read_table, spread
+    one = read_table(spark, SF_SMALL, "events")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many, "id") is many
