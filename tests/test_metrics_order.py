@@ -102,3 +102,11 @@ def test_preview_cuts_like_show(spark):
     df = spark.createDataFrame([(1, 1, 1, 1, long)], "id bigint, dtUpdate bigint, bikes int, places int, name string")
     got = lk.preview(df).first().name
     assert got == "x" * 97 + "..." and len(got) == 100
+
+
+def test_second_part_of_a_one_to_two_split(spark):
+    """R2: weights 0.3/0.6 normalise to 1/3 and 2/3; the service evaluated the second part."""
+    df = spark.range(6000).select(F.col("id"), (F.col("id") * 3).alias("dtUpdate"))
+    first, second = sp.split_parts(df, train_share=0.3 / 0.9)
+    assert first.count() + second.count() == 6000
+    assert 0.62 < second.count() / 6000 < 0.72
