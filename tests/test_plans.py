@@ -96,3 +96,14 @@ def test_spread_only_for_few_splits(spark):
     assert spread(one, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread(many, "id") is many
+
+
+def test_text_match_flips_broadcast_for_many_requests(spark, monkeypatch):
+    from dockcast.operators import scenario as scn
+    monkeypatch.setattr(scn, "DIMENSION_MAX_ROWS", 1)
+    stations = spark.createDataFrame([(1, "1 - NATION_1"), (10, "10 - NATION_10")], "id bigint, name string")
+    req = spark.createDataFrame([(7, "NATION_1"), (8, "NATION_10")], "req_id bigint, station string")
+    joined = scn.resolve_requests(req, stations)
+    assert sorted((r.req_id, r.id) for r in joined.collect()) == [(7, 1), (7, 10), (8, 10)]
+    plan = _plan(joined)
+    assert "BroadcastNestedLoopJoin" in plan and "CartesianProduct" not in plan
