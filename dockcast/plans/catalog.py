@@ -464,6 +464,16 @@ def q_forecast(spark, sf_dir):
                       B.label_text("prediction").alias("prediction_text"))
 
 
+@register("forecast_explicit")
+def q_forecast_explicit(spark, sf_dir):
+    """M8b (explicit form): every request's stations at the requested day/hour/minute, scored."""
+    from dockcast.operators import model as mo
+    model, _, _ = trained_model(spark, sf_dir)
+    out = mo.predict(model, sc.scenario_explicit(_resolved(spark, sf_dir)))
+    return out.select("req_id", "id", "name", "day", "hour", "minute", "soleil", "prediction",
+                      B.label_text("prediction").alias("prediction_text"))
+
+
 @register("search_topology")
 def q_search_topology(spark, sf_dir):
     """M7: 3-fold CV (hash folds) over topologies, F1; one row per topology."""
