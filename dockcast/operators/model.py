@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from dockcast.functions.bins import N_CLASSES
 from dockcast.functions.text import topology_list
 from dockcast.operators.features import N_FEATURES, feature_stages
+from dockcast.operators.sinks import persist_training
 from dockcast.session import scratch_path, write_table
 
 # Fixed values of the service.
@@ -79,6 +80,17 @@ def mlp_stage(model: PipelineModel) -> MultilayerPerceptronClassificationModel:
     return model.stages[-1]
 
 
+def _fit_mlp(mlp: MultilayerPerceptronClassifier, data: DataFrame) -> MultilayerPerceptronClassificationModel:
+    """Fit on the featurized rows persisted once (MEMORY_AND_DISK): every L-BFGS iteration is a
+    gradient pass over cached blocks instead of re-reading the table and re-running the feature
+    stages. Lost blocks are recomputed from the written training table."""
+    cached = persist_training(data.select("label", "features"))
+    try:
+        return mlp.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT_SEED,
           warm: PipelineModel | None = None, normalize: bool = True) -> TrainResult:
     """M6 (+ M6b): fit features and MLP on the training rows. With ``warm`` the feature stages are
@@ -88,10 +100,12 @@ def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT
         w = mlp_stage(warm).weights
         if len(w) != n_weights(layers):
             raise ValueError("warm start needs the same topology")
-        mlp_model = perceptron(layers, max_iter, seed, w.toArray()).fit(feats.transform(rows))
-        model = PipelineModel(stages=[*feats.stages, mlp_model])
+        mlp = perceptron(layers, max_iter, seed, w.toArray())
     else:
-        model = Pipeline(stages=[*feature_stages(normalize), perceptron(layers, max_iter, seed)]).fit(rows)
+        feats = Pipeline(stages=feature_stages(normalize)).fit(rows)   # one aggregation job (indexer)
+        mlp = perceptron(layers, max_iter, seed)
+    mlp_model = _fit_mlp(mlp, feats.transform(rows))
+    model = PipelineModel(stages=[*feats.stages, mlp_model])
     m = mlp_stage(model)
     hist = list(m.summary().objectiveHistory) if m.hasSummary else []
     return TrainResult(model, list(layers), max(len(hist) - 1, 0), hist)
