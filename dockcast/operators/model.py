@@ -140,7 +140,8 @@ def search(rows: DataFrame, hidden: list[str], max_iter: int, folds: int = 3, se
     [(hidden, layers, avg_f1)]).
     """
     feats = Pipeline(stages=feature_stages()).fit(rows)
-    data = feats.transform(rows)
+    keep = ["label", "features"] + ([fold_col] if fold_col else [])
+    data = persist_training(feats.transform(rows).select(*keep))   # folds and the final refit reuse it
     mlp = perceptron(topology(hidden[0]), max_iter, seed)
     grid = ParamGridBuilder().addGrid(mlp.layers, [topology(h) for h in hidden]).build()
     cv = CrossValidator(estimator=mlp, estimatorParamMaps=grid,
@@ -148,7 +149,10 @@ def search(rows: DataFrame, hidden: list[str], max_iter: int, folds: int = 3, se
                         numFolds=folds, seed=seed, parallelism=parallelism)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    cvm = cv.fit(data)
+    try:
+        cvm = cv.fit(data)
+    finally:
+        data.unpersist()
     best = PipelineModel(stages=[*feats.stages, cvm.bestModel])
     scores = [(h, topology(h), float(m)) for h, m in zip(hidden, cvm.avgMetrics)]
     return best, scores
