@@ -25,7 +25,10 @@ def build_session(master: str | None = None, app: str = "dockcast", shuffle_part
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.driver.memory", "16g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Python call-site capture for error messages: a debugging aid that doubles the cost of
+         # building a DataFrame from many column expressions
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
