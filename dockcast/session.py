@@ -40,7 +40,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, models and written tables.
 
     Uses the checkpoint directory the cluster names (``spark.checkpoint.dir`` or one already set on
-    the context). Only when none is set (local tests) a fresh folder under /tmp is created.
+    the context). Only in local mode, when none is set (tests), a fresh folder under /tmp is
+    created; on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -55,7 +56,10 @@ def scratch_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="run-dockcast-", dir="/tmp")
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive executor loss: the cluster must name one
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
+        d = tempfile.mkdtemp(prefix="run-dockcast-", dir="/tmp")   # local mode (tests) only
     sc.setCheckpointDir(d)
     return (sc.getCheckpointDir() or d).rstrip("/")
 
