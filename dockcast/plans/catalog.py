@@ -507,12 +507,13 @@ def _landing(spark, sf_dir, copies: int = 1) -> str:
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    """Landing folder -> curated readings -> parquet table by day (availableNow)."""
+    """Landing folder -> curated readings -> day-partitioned table, rebalanced per micro-batch,
+    one folder per batch (availableNow)."""
     from dockcast.streaming import ingest as st
     land = _landing(spark, sf_dir)
     s = st.stream_readings(st.stream_elements(spark, land), weather_days(spark, sf_dir))
     sink = scratch_path(spark, "tables/readings_stream")
-    st.run_available_now(s.drop("event_time"), sink, scratch_path(spark, "streams/ingest"), ["obs_day"])
+    st.ingest_into_table(s, sink, scratch_path(spark, "streams/ingest"))
     return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
 
 

@@ -41,6 +41,25 @@ def stream_readings(elements: DataFrame, weather_daily: DataFrame | None,
                     F.timestamp_millis("dtUpdate").alias("event_time"))
 
 
+def ingest_into_table(readings: DataFrame, sink: str, checkpoint: str, day_col: str = "obs_day",
+                      max_files: int | None = None) -> StreamingQuery:
+    """T1 with sized files: each micro-batch is rebalanced on the day (AQE splits a large day and
+    merges small ones, so a batch writes a few files per day instead of one per input file) and
+    written into its own ``batch=<id>`` folder with overwrite. A batch that is run again after a
+    failure replaces its own folder, so every row lands exactly once. Readers see the columns
+    ``batch`` and the day; the day still prunes folders."""
+    cols = [c for c in readings.columns if c != "event_time"]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        (batch.select(*cols).hint("rebalance", day_col).write.mode("overwrite")
+         .partitionBy(day_col).parquet(f"{sink.rstrip('/')}/batch={batch_id}"))
+
+    q = (readings.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def dedup_stream(readings: DataFrame, delay: str = DEFAULT_DELAY, key: list[str] | None = None) -> DataFrame:
     """One row per (id, dtUpdate) across overlapping snapshots. State is kept for ``delay`` of
     event time; a copy arriving later than that is not recognised (a short delay loses nothing but

@@ -34,6 +34,24 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, workdir):
     assert spark.read.parquet(sink).count() == n
 
 
+def test_ingest_into_table_sized_and_exactly_once(spark, workdir):
+    import glob
+    land = _land(spark, os.path.join(workdir, "landing"))
+    weather = cat.weather_days(spark, SF_SMALL)
+    sink, ck = os.path.join(workdir, "sink"), os.path.join(workdir, "ck")
+    st.ingest_into_table(st.stream_readings(st.stream_elements(spark, land), weather), sink, ck)
+    got = spark.read.parquet(sink)
+    batch = cur.readings_from_elements(scan_snapshots(spark, land, multi_line=False), weather) \
+        .select(*cur.READING_COLUMNS)
+    assert got.count() == batch.count() > 0
+    assert got.select(*cur.READING_COLUMNS).exceptAll(batch).count() == 0
+    days = glob.glob(os.path.join(sink, "batch=*", "obs_day=*"))
+    assert days and all(len(glob.glob(os.path.join(d, "*.parquet"))) <= 2 for d in days)
+    # rerun: nothing new to read, nothing new written
+    st.ingest_into_table(st.stream_readings(st.stream_elements(spark, land), weather), sink, ck)
+    assert spark.read.parquet(sink).count() == got.count()
+
+
 def test_stream_dedup_removes_overlap(spark, workdir):
     land = _land(spark, os.path.join(workdir, "landing"), copies=2)
     weather = cat.weather_days(spark, SF_SMALL)
