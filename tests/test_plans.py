@@ -107,3 +107,11 @@ def test_text_match_flips_broadcast_for_many_requests(spark, monkeypatch):
     assert sorted((r.req_id, r.id) for r in joined.collect()) == [(7, 1), (7, 10), (8, 10)]
     plan = _plan(joined)
     assert "BroadcastNestedLoopJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_scratch_uses_the_session_checkpoint_dir(spark):
+    from dockcast.session import scratch_path, scratch_root
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = scratch_root(spark)
+    assert configured and root.replace("file:", "").startswith(configured.rstrip("/"))
+    assert scratch_path(spark, "tables/x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
