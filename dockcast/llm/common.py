@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockcast.session import scratch_path
@@ -34,3 +38,23 @@ def col(name: str) -> Column:
 def packed(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
     """All columns of ``df`` as one struct, so that no name of theirs can clash with ours."""
     return F.struct(*[col(c).alias(c) for c in df.columns if c not in without])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (once for each application), as ``--py-files`` would: their
+    Python workers import the functions that run there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-ship-"), "dockcast_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

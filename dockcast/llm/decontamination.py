@@ -22,7 +22,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_side
+from .common import cut, packed, small_side
 
 # What separates words: ASCII characters other than digits and letters.
 BREAK = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -103,7 +103,7 @@ def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Colum
     by_text = (found.join(small_side(items), "item")
                .groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "iw", "n", "w", "shift")).alias("found")))
 
-    held = docs.select(F.struct(*docs.columns).alias("row"), text.alias("text"), *text_key(text))
+    held = docs.select(packed(docs).alias("row"), text.alias("text"), *text_key(text))
     held = (held.join(by_text, ["k1", "k2"], "left")
             .select("row", "found", raw_words(F.col("text")).alias("words")))
 

@@ -3,10 +3,12 @@ whole table and returns the full result."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, mixing, sharding
+import public_tokenizers
+
+from . import chat, decontamination, extraction, mixing, ngram_join, quality, sharding, suffix_dedup, tokens, toxicity
 
 SHARDS = 24
 
@@ -57,5 +59,48 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination, "op5_mixing": op5_mixing,
-           "op9_chat": op9_chat}
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return (pages.select("page_id", "url", extraction.extract(pages, F.col("html")).alias("text"))
+            .withColumn("n_chars", F.char_length("text").cast("long")))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, "text", labels, ~held_out(F.col("doc_id")))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"), "text", "lang", "source", payload=["doc_id"])
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (ngram_join.jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text")
+            .select("doc_id", "class_id", "n_links", "n_text_links"))
+
+
+def op10_tokens(spark: SparkSession, sf_dir: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
+        spec = f.read()
+    out = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                      tokens.count_tokens(docs, F.col("text"), spec).alias("n_tokens"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination, "op3_extraction": op3_extraction,
+           "op4_suffix_dedup": op4_suffix_dedup, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
+           "op7_quality": op7_quality, "op8_ngram_join": op8_ngram_join, "op9_chat": op9_chat, "op10_tokens": op10_tokens}
