@@ -104,7 +104,7 @@ def learn_lexicons(docs: DataFrame, text: str, rows: DataFrame) -> tuple[dict[st
                 words = set(WORD.findall((t or "").lower()))
                 for kind, terms in (("word", words), ("start", {w[:PREFIX] for w in words if len(w) > PREFIX})):
                     seen.setdefault((kind, "toxic" if toxic else "clean"), Counter()).update(terms)
-        for (kind, side), terms in seen.items():
+        for (kind, side), terms in ((k, t) for k, t in seen.items() if t):
             yield pd.DataFrame({"kind": kind, "term": list(terms), "toxic": [n if side == "toxic" else 0 for n in terms.values()],
                                 "clean": [n if side == "clean" else 0 for n in terms.values()]})
 
