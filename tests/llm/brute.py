@@ -1,0 +1,121 @@
+"""Plain Python versions of the operators, for small tables held in memory."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import html
+import itertools
+import re
+import zlib
+
+import numpy as np
+
+BREAK = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+FOLD = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return [w for w in BREAK.split((text or "").translate(FOLD)) if w]
+
+
+def crc(text):
+    return zlib.crc32((text or "").encode())
+
+
+def decontaminate(docs, items, width=10):
+    """docs [(doc_id, text)], items [(item_id, text)] -> [(doc_id, n_words, n_hit, n_items, sha, contaminated)]"""
+    windows = []
+    for item, text in items:
+        w = words(text)
+        n = min(len(w), width)
+        windows += [(item, tuple(w[s:s + n])) for s in range(len(w) - n + 1)] if n else []
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for item, window in windows:
+            n = len(window)
+            for s in range(len(w) - n + 1):
+                if tuple(w[s:s + n]) == window:
+                    hit.update(range(s, s + n))
+                    found.add(item)
+        ids = sorted(str(i) for i in found if i is not None)
+        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def remove_repeats(docs, span=50):
+    """[(doc_id, text)] -> [(doc_id, kept bytes, n_removed, n_spans)]"""
+    first = {}
+    for doc, text in docs:
+        b = (text or "").encode()
+        if doc is not None:
+            for k in range(len(b) - span + 1):
+                s = b[k:k + span]
+                first[s] = min(first.get(s, doc), doc)
+    out = []
+    for doc, text in docs:
+        b = (text or "").encode()
+        gone = np.zeros(len(b), bool)
+        if doc is not None:
+            for k in range(len(b) - span + 1):
+                if first[b[k:k + span]] < doc:
+                    gone[k:k + span] = True
+        spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        out.append((doc, bytes(np.frombuffer(b, np.uint8)[~gone]), int(gone.sum()), spans))
+    return out
+
+
+def shingles(text, n=5):
+    w = words(text)
+    return frozenset(tuple(w[k:k + n]) for k in range(max(len(w) - n + 1, 1))) if w else frozenset()
+
+
+def jaccard_join(docs, threshold=0.8):
+    """[(doc_id, text)] -> [(doc_id, class_id, n_links)]; wordless texts link to equal texts alone"""
+    sets = [shingles(t) or (t or "") for _, t in docs]
+    near = lambda a, b: a == b if isinstance(a, str) or isinstance(b, str) else len(a & b) >= threshold * len(a | b) - 1e-9
+    root = list(range(len(docs)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    links = collections.Counter()
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        if near(sets[a], sets[b]):
+            links[a] += 1
+            links[b] += 1
+            root[find(a)] = find(b)
+    groups = collections.defaultdict(list)
+    for k in range(len(docs)):
+        groups[find(k)].append(k)
+    least = {r: min((docs[k][0] is None, docs[k][0] or 0) for k in ks) for r, ks in groups.items()}
+    return [(d, None if least[find(k)][0] else least[find(k)][1], links[k]) for k, (d, _) in enumerate(docs)]
+
+
+def statistics(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n = len(w)
+    count = collections.Counter(tuple(w[k:k + 8]) for k in range(n - 7))
+    covered = set()
+    for k in range(n - 7):
+        if count[tuple(w[k:k + 8])] > 1:
+            covered.update(range(k, k + 8))
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            lines += line in seen
+            seen.add(line)
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), lines, len(covered)
+
+
+def article(page):
+    """The text of the one article element of a generated page."""
+    m = re.search(r"<article>(.*?)(?:</article>|$)", page or "", re.S)
+    parts = re.split(r"</?(?:p|h1|div|article|li|ul)\b[^>]*>", m[1].replace("<br>", " ") if m else "")
+    lines = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts)
+    return "\n".join(x for x in lines if x)

@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from test_support import edge_documents  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    return edge_documents(spark)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark, edge_docs):
+    return spark.createDataFrame([], edge_docs.schema)
