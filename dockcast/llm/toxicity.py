@@ -87,9 +87,10 @@ def _share(ids: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("part"), ids), F.lit(10))
 
 
-def training_labels(labels: DataFrame, allowed: Column, max_rows: int = MAX_LABELLED) -> DataFrame:
+def training_labels(docs: DataFrame, labels: DataFrame, allowed: Column, max_rows: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, toxic, tenth) of at most ``max_rows`` labelled documents for which ``allowed`` holds."""
     rows = (labels.where(allowed & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+            .join(docs.select(col("doc_id").alias("doc_id")), "doc_id", "left_semi")
             .groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     return cut(rows.select("doc_id", "toxic", _share(F.col("doc_id")).alias("tenth")), "toxic-labels")
@@ -130,7 +131,7 @@ def score_toxicity(docs: DataFrame, text: str, labels: DataFrame, allowed: Colum
     ``doc_id``; ``allowed`` says which rows of ``labels`` may be learnt from."""
     spark = docs.sparkSession
     ship(spark)
-    rows = training_labels(labels, allowed, max_labelled)
+    rows = training_labels(docs, labels, allowed, max_labelled)
     part = lambda low, high: rows.where((F.col("tenth") >= low) & (F.col("tenth") <= high)).drop("tenth")
     counts = {(r.k, r.toxic): r.n for r in rows.groupBy(
         F.when(F.col("tenth") <= 3, 0).when(F.col("tenth") <= 7, 1).otherwise(2).alias("k"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
