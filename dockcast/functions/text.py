@@ -21,9 +21,12 @@ def lenient_count(s) -> Column:
     return F.coalesce(lenient_number(s, "int"), F.lit(0))
 
 
-def position_part(position, i: int) -> Column:
-    """Element i (0-based) of the position array; NULL when absent."""
-    return F.get(_c(position), i).cast("double")
+def position_part(position, i: int, as_text: bool = False) -> Column:
+    """Element i (0-based) of the position; NULL when absent or no number. ``as_text``: the position
+    is JSON text of an array of numbers or numeric texts, as snapshot scans give it
+    (``get_json_object`` gives NULL for text that is no JSON)."""
+    part = F.get_json_object(_c(position), f"$[{i}]") if as_text else F.get(_c(position), i)
+    return lenient_number(part, "double")
 
 
 def name_contains(name, part: str, ignore_case: bool = True) -> Column:

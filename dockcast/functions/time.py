@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must match the source service.
-UPDATE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"   # snapshot `last_update`, offset ignored
+UPDATE_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"   # snapshot `last_update`, offset ignored
 DAY_FORMAT = "yyyyMMdd"                        # weather file date
 SHORT_FORMAT = "dd/MM HH:mm"                   # listing text
 BUCKET_MINUTES = 5                             # poll period and minute bucket
@@ -21,14 +21,10 @@ def _c(c) -> Column:
 
 
 def parse_update_time(s) -> Column:
-    """Text -> TIMESTAMP_NTZ of the first 19 characters; NULL when unparsable.
-
-    ``to_timestamp_ntz`` raises on bad input under ANSI mode, so it only runs once
-    ``try_to_timestamp`` has accepted the same text.
-    """
+    """Text -> TIMESTAMP_NTZ of the first 19 characters; NULL when unparsable. The shape is checked
+    first (a cast takes more shapes than the service's format), then the text is parsed once."""
     head = F.substring(_c(s), 1, 19)
-    fmt = F.lit(UPDATE_TIME_FORMAT)
-    return F.when(F.try_to_timestamp(head, fmt).isNotNull(), F.to_timestamp_ntz(head, fmt))
+    return F.when(F.rlike(head, F.lit(UPDATE_TIME_SHAPE)), head.try_cast("timestamp_ntz"))
 
 
 def epoch_millis(ts) -> Column:

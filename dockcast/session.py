@@ -71,12 +71,30 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (local, HDFS, object stores alike)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # no JVM handle (remote session): treat as absent, the table is rebuilt
-        return os.path.exists(path)
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder (of partition folders: one for each day), sorted."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def input_mark(spark: SparkSession, *paths: str) -> tuple:
+    """What a table's files look like now: (path, bytes, files, last change) of each path. A stored
+    table derived from them is good as long as the mark is the same; its size doesn't grow."""
+    marks = []
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        total = fs.getContentSummary(p)
+        marks.append((path, total.getLength(), total.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(marks)
 
 
 def write_table(df: DataFrame, spark: SparkSession, kind: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -89,4 +107,4 @@ def write_table(df: DataFrame, spark: SparkSession, kind: str, partition_by: lis
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

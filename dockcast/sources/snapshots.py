@@ -10,17 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Element schema: numeric leaves are read as text and parsed leniently later.
+from dockcast.session import child_names
+
+# Element schema: every leaf is read as text and parsed leniently later (C12, C13). A text leaf takes
+# any JSON value, so a field of an unexpected kind costs that field alone, never its neighbours.
 FIELDS_TYPE = T.StructType([
     T.StructField("number", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("last_update", T.StringType()),
     T.StructField("available_bike_stands", T.StringType()),
     T.StructField("available_bikes", T.StringType()),
-    T.StructField("position", T.ArrayType(T.DoubleType())),
+    T.StructField("position", T.StringType()),
     T.StructField("status", T.StringType()),
 ])
 ELEMENT_SCHEMA = T.StructType([T.StructField("fields", FIELDS_TYPE)])
+CORRUPT = "_corrupt_record"
 
 # a snapshot file name has '.json' after at least one character; landed files start with a
 # prefix (a parameter; the poller that lands them chooses it).
@@ -28,8 +32,8 @@ SNAPSHOT_GLOB = "?*.json*"
 LANDING_PREFIX = "poll"
 
 
-def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """S1 + F5: elements of every snapshot file; a file that is not valid JSON is dropped whole.
+def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True, glob: str = SNAPSHOT_GLOB) -> DataFrame:
+    """S1 + F5: elements of every snapshot file; a file (or line) that is not valid JSON gives none.
 
     ``multi_line=True`` reads each file as one document (array root -> one row per element); such
     files are not split, so parallelism is per file. ``multi_line=False`` reads line-delimited
@@ -37,9 +41,9 @@ def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> D
     """
     return (spark.read.schema(ELEMENT_SCHEMA)
             .option("multiLine", multi_line)
-            .option("mode", "DROPMALFORMED")
-            .option("pathGlobFilter", SNAPSHOT_GLOB)
-            .json(path))
+            .option("mode", "PERMISSIVE")
+            .option("pathGlobFilter", glob)
+            .json(path).where(F.col("fields").isNotNull()))
 
 
 def scan_json_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
@@ -48,27 +52,25 @@ def scan_json_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1
     return spark.read.option("samplingRatio", sampling_ratio).json(path)
 
 
-def rejected_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """F5 accounting: files (or lines) that fail to parse, with their count of bad records."""
-    schema = T.StructType(ELEMENT_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+def rejected_files(spark: SparkSession, path: str, multi_line: bool = True, glob: str = SNAPSHOT_GLOB) -> DataFrame:
+    """F5 accounting: (file_path, file_name, bad_records) of the files with records that do not parse
+    (in a multi-line scan a file is one record, so a bad file counts 1)."""
+    schema = T.StructType(ELEMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record")
-           .option("pathGlobFilter", SNAPSHOT_GLOB).json(path)
-           .select(F.col("_metadata.file_name").alias("file_name"), "_corrupt_record", "fields"))
-    # Spark refuses a query that reads only the corrupt-record column: keep a data column in it
-    return (raw.where(F.col("_corrupt_record").isNotNull() & F.col("fields").isNull())
-            .groupBy("file_name").agg(F.count(F.lit(1)).alias("bad_records")))
+           .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", glob).json(path)
+           .select("_metadata.file_path", "_metadata.file_name", CORRUPT, "fields"))
+    # Spark refuses a query that reads only the corrupt-record column: let the count touch a data column
+    touched = F.coalesce(F.length("fields.number"), F.lit(0))
+    return (raw.groupBy("file_path", "file_name")
+            .agg(F.count(F.when(F.col(CORRUPT).isNotNull(), touched)).alias("bad_records")).where("bad_records > 0"))
 
 
 def landed_files(spark: SparkSession, path: str, prefix: str = LANDING_PREFIX) -> DataFrame:
-    """Names of landed snapshot files (empty ones included, as the service listed them).
-
-    The names come from the file source's own listing (the driver lists, in parallel for large
-    folders, as for every file scan); no file content is read. Scanning with ``binaryFile`` would
-    skip zero-length files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*").load(path).inputFiles()
-    names = sorted({f.rstrip("/").rsplit("/", 1)[-1] for f in files})
-    return spark.createDataFrame([(n,) for n in names], "file_name STRING")
+    """(file_path, file_name, length) of landed snapshot files, from the metadata of a binary scan:
+    the listing stays with the tasks and no content is read. A file of no bytes holds no snapshot and
+    is not listed (file scans pass over it)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*").option("recursiveFileLookup", True).load(path)
+            .select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"))
 
 
 def write_landing(elements: DataFrame, path: str, poll_col: str | None = None) -> str:
@@ -79,3 +81,19 @@ def write_landing(elements: DataFrame, path: str, poll_col: str | None = None) -
         w = w.partitionBy(poll_col)
     w.json(path)
     return path
+
+
+def write_poll_files(files: DataFrame, path: str, by: list[str]) -> str:
+    """Write whole snapshot files (column ``value``), one for each row: each has a folder of its own,
+    ``by`` its columns. Files are text, so scans need the glob ``TEXT_GLOB``."""
+    files.repartition(*by).write.mode("errorifexists").partitionBy(*by).text(path)
+    return path
+
+
+TEXT_GLOB = "*.txt"
+
+
+def newest_poll(spark: SparkSession, path: str, column: str = "poll") -> str | None:
+    """The greatest poll among a landing folder's partition folders: a listing, no file is opened."""
+    polls = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith(f"{column}=")]
+    return max(polls, default=None)

@@ -3,48 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_SCANS: dict[tuple, DataFrame] = {}     # (application, path) -> scan DataFrame
-_SPLITS: dict[tuple, int] = {}          # (application, path) -> number of scan partitions
-
-
-def _app(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return str(id(spark))
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it. The scan DataFrame is kept
-    per application and path (as a catalog table is until refreshed), so later queries skip the
-    file listing and footer read."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_app(spark), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on a unique key when a scan yields fewer partitions than the cluster has
-    task slots (a table stored as one large row group is read by one task). A large table already
-    has many splits: then nothing changes and no shuffle is added. Hashing a unique key keeps
-    partitions even however skewed the other columns are."""
-    try:
-        spark = df.sparkSession
-        slots = spark.sparkContext.defaultParallelism
-        split_key = (_app(spark), tuple(df.inputFiles()), tuple(df.columns))
-        if split_key not in _SPLITS:
-            _SPLITS[split_key] = df.rdd.getNumPartitions()
-        if _SPLITS[split_key] >= slots:
-            return df
-    except Exception:  # remote session: no partition count available, leave the scan as it is
-        return df
-    return df.repartition(slots, F.col(key))
+    """Parquet scan; Catalyst prunes columns and pushes filters into it. Split sizes follow
+    ``spark.sql.files.maxPartitionBytes`` at every scale; nothing is kept between calls, so a table
+    that has changed is read as it is now."""
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -44,7 +44,7 @@ def daily_weather(obs: DataFrame, station: str = WEATHER_STATION,
                   kelvin_offset: float = KELVIN_OFFSET) -> DataFrame:
     """One row per day: the day's first observation with a temperature (ties: lower t).
 
-    Output ``obs_day`` ('yyyyMMdd'), ``temperature`` (C), ``soleil`` (C10). One row per calendar day,
+    Output ``obs_day`` (DATE), ``temperature`` (C), ``soleil`` (C10). One row per calendar day,
     so the result is bounded by the number of days covered, whatever the input size. The
     aggregation is partial (map-side), so a station with most of the rows does not skew it.
     """
@@ -54,4 +54,6 @@ def daily_weather(obs: DataFrame, station: str = WEATHER_STATION,
               .where(F.col("t").isNotNull() & (F.length("obs_day") == 8)))
     first = picked.groupBy("obs_day").agg(F.min(F.struct("obs_time", "t")).alias("first"))
     celsius = kelvin_to_celsius(F.col("first.t"), kelvin_offset)
-    return first.select("obs_day", celsius.alias("temperature"), warm_flag(celsius).alias("soleil"))
+    day = F.concat_ws("-", F.substring("obs_day", 1, 4), F.substring("obs_day", 5, 2), F.substring("obs_day", 7, 2)).try_cast("date")
+    return (first.select(day.alias("obs_day"), celsius.alias("temperature"), warm_flag(celsius).alias("soleil"))
+            .where(F.col("obs_day").isNotNull()))
