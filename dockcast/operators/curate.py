@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.bins import class_label, count_bin
 from dockcast.functions.text import lenient_count, lenient_number, name_contains, position_part
-from dockcast.functions.time import day_text, epoch_millis, parse_update_time, time_features
+from dockcast.functions.time import epoch_millis, from_epoch_millis, parse_update_time, time_features
 from dockcast.operators.joins import DIMENSION_MAX_ROWS, bounded_broadcast
 
-# Reading columns, by name (the source pinned them by position; alphabetical bean order).
+# Reading columns, by name (the source pinned them by position; alphabetical bean order).
 READING_COLUMNS = ["bikes", "day", "dtUpdate", "hour", "id", "label", "lg", "lt", "minute",
                    "nBike", "nPlace", "name", "places", "soleil", "x", "minute_of_week"]
-# A2: fields of the source's equality (equals/hashCode).
+# A2, fixed values: fields of the source's equality (equals/hashCode).
 IDENTITY_COLUMNS = ["nBike", "id", "soleil", "minute", "day", "hour", "nPlace"]
 # Survivor order among readings of one station: latest time first, then the raw values. Within a
 # station, (dtUpdate, bikes, places, name) determine every other column, so this is a total order.
@@ -25,6 +25,22 @@ LATEST_ORDER = ["dtUpdate", "bikes", "places", "name"]
 OPEN_STATUS = "OPEN"
 
 
+def typed_fields(fields: DataFrame, *others: str) -> DataFrame:
+    """Typed station columns (and ``others`` as they are); ``id`` or ``ts`` is NULL where it
+    does not parse, counts that do not parse become 0."""
+    as_text = dict(fields.dtypes)["position"] == "string"
+    return fields.select(
+        *others,
+        lenient_number("number", "bigint").alias("id"),
+        F.col("name"),
+        parse_update_time("last_update").alias("ts"),
+        lenient_count("available_bike_stands").alias("places"),
+        lenient_count("available_bikes").alias("bikes"),
+        position_part("position", 0, as_text).alias("lt"),
+        position_part("position", 1, as_text).alias("lg"),
+    )
+
+
 def open_elements(elements: DataFrame) -> DataFrame:
     """P1 + F1: ``fields.*`` of elements whose status is exactly OPEN (no fields / no status drop).
     Elements already flattened (no ``fields`` column) are taken as they are."""
@@ -38,18 +54,23 @@ def filter_name(df: DataFrame, part: str | None) -> DataFrame:
 
 
 def parse_fields(fields: DataFrame) -> DataFrame:
-    """Typed station columns. Rows whose id or update time does not parse are rejected
-    (the source aborted the whole load on them); counts that do not parse become 0."""
-    typed = fields.select(
-        lenient_number("number", "bigint").alias("id"),
-        F.col("name"),
-        parse_update_time("last_update").alias("ts"),
-        lenient_count("available_bike_stands").alias("places"),
-        lenient_count("available_bikes").alias("bikes"),
-        position_part("position", 0).alias("lt"),
-        position_part("position", 1).alias("lg"),
-    )
-    return typed.where(F.col("id").isNotNull() & F.col("ts").isNotNull())
+    """Typed open elements; those whose id or update time does not parse are rejected (the source
+    aborted the whole load on them). ``dropped_counts`` counts them."""
+    return typed_fields(fields).where(F.col("id").isNotNull() & F.col("ts").isNotNull())
+
+
+def dropped_counts(elements: DataFrame, weather_daily: DataFrame) -> DataFrame:
+    """What a load leaves out, and why (Q13): (rule, n) for elements that are not open, open ones
+    without a valid id, with an id but no valid time, those kept without weather (left out of the
+    features), and those kept with it. One pass, combined map-side."""
+    flat = elements.select("fields.*") if "fields" in elements.columns else elements
+    status = flat.select("*", F.coalesce(F.col("status") == OPEN_STATUS, F.lit(False)).alias("is_open"))
+    typed = typed_fields(status, "is_open")
+    days = weather_daily.select(F.col("obs_day").alias("weather_day"), "soleil")
+    judged = typed.join(days, F.to_date("ts") == F.col("weather_day"), "left")
+    rule = (F.when(~F.col("is_open"), "not_open").when(F.col("id").isNull(), "bad_id").when(F.col("ts").isNull(), "bad_time")
+            .when(F.col("soleil").isNull(), "no_weather").otherwise("complete"))
+    return judged.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def derive(typed: DataFrame) -> DataFrame:
@@ -60,7 +81,7 @@ def derive(typed: DataFrame) -> DataFrame:
         epoch_millis("ts").alias("dtUpdate"),
         *time_features("ts"),
         n_place.alias("nPlace"), n_bike.alias("nBike"), class_label(n_bike, n_place).alias("label"),
-        day_text("ts").alias("obs_day"),
+        F.to_date("ts").alias("obs_day"),
     )
 
 
@@ -131,6 +152,23 @@ def drop_columns(readings: DataFrame, cols: list[str]) -> DataFrame:
     return readings.drop(*cols)
 
 
-def append_readings(base: DataFrame, more: DataFrame) -> DataFrame:
-    """S5 + U1: union by name, nothing lost (Q5), then A1 as every load does (Q10)."""
-    return base.unionByName(more.select(*base.columns)).distinct()
+def append_readings(base: DataFrame, more: DataFrame, days: list | None = None, day_col: str = "obs_day") -> DataFrame:
+    """S5 + U1: union by name, nothing lost (Q5), then A1 as every load does (Q10).
+
+    ``base`` is distinct already. With ``days``, the days that ``more`` may hold (a poll's folder names
+    say so), only those days of ``base`` meet it in the distinct; on a day-partitioned table the others
+    pass through without a shuffle, and each side scans its own folders."""
+    more = more.select(*base.columns)
+    if days is None:
+        return base.unionByName(more).distinct()
+    touched = F.col(day_col).isin([F.lit(d).cast("date") for d in days])
+    return base.where(~touched).unionByName(base.where(touched).unionByName(more.where(touched)).distinct())
+
+
+def backfill_weather(readings: DataFrame, weather_daily: DataFrame, weather_rows: int | None = None) -> DataFrame:
+    """Readings taken before their day's weather landed get it now; those that have it keep it. Run it
+    over the days whose weather is new (a partition filter), then write those days anew."""
+    days = bounded_broadcast(weather_daily.select(F.col("obs_day").alias("weather_day"), F.col("soleil").alias("landed")),
+                             DIMENSION_MAX_ROWS, weather_rows)
+    filled = readings.join(days, F.to_date(from_epoch_millis("dtUpdate")) == F.col("weather_day"), "left")
+    return filled.withColumn("soleil", F.coalesce("soleil", "landed")).select(*readings.columns)

@@ -1,18 +1,19 @@
-"""Feature pipeline (M1-M5) with Spark ML stages, fitted once and reused for scoring.
+"""Feature pipeline (M1-M5), fitted once and reused for scoring.
 
-M1 ``StringIndexer`` on ``id`` (by frequency; ties by the id's text), M2 ``VectorAssembler``, M3
-``Normalizer`` (L2). M4 is the unused alternative (other column order, L1). The indexer's labels
-are the fitted model: one entry per station, held by the driver and shipped to tasks.
+M1 index of ``id`` (by frequency; ties by the id's text) as a table joined to the rows, so that the
+number of stations is not bounded by the driver's memory; M2 ``VectorAssembler``, M3 ``Normalizer``
+(L2). M4 is the unused alternative (other column order, L1).
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Normalizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockcast.operators.rank import global_rank
+
 # Fixed column orders of the two feature vectors.
 FEATURE_COLUMNS = ["hour", "minute", "id_index", "soleil", "day"]   # M2 (used)
 L1_COLUMNS = ["id", "day", "hour", "soleil", "minute"]               # M4 (alternative)
@@ -33,34 +34,30 @@ def usable(readings: DataFrame) -> DataFrame:
     return readings.where(F.col("soleil").isNotNull())
 
 
-def id_indexer() -> StringIndexer:
-    """M1, fitted once (the source refitted it on every call, Q14); unseen ids get the extra index."""
-    return StringIndexer(inputCol="id", outputCol="id_index", stringOrderType="frequencyDesc",
-                         handleInvalid="keep")
+def id_index_table(rows: DataFrame) -> DataFrame:
+    """(id, n, id_index), ids ranked by frequency, ties by the id's text. Counting combines
+    map-side; the rank is a range-partitioned sort with offsets (``global_rank``)."""
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    ranked = global_rank(counts, [F.desc("n"), F.asc(F.col("id").cast("string"))], "id_index")
+    return ranked.select("id", "n", F.col("id_index").cast("double").alias("id_index"))
+
+
+def with_index(rows: DataFrame, index: DataFrame, unseen: float) -> DataFrame:
+    """Rows with the ``id_index`` of a fitted index (fitted once, Q14); an unseen id gets the extra
+    index. AQE broadcasts the index if its measured size allows, else both sides are shuffled."""
+    return (rows.join(index.select("id", "id_index"), "id", "left")
+            .withColumn("id_index", F.coalesce("id_index", F.lit(float(unseen)))))
 
 
 def feature_stages(normalize: bool = True, p: float = 2.0) -> list:
-    """M1 + M2 (+ M3): stages producing ``features``."""
+    """M2 (+ M3): stages producing ``features`` from rows with an index; nothing in them is fitted."""
     out = "tempFeatures" if normalize else "features"
-    stages = [id_indexer(), VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol=out, handleInvalid="skip")]
+    stages = [VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol=out, handleInvalid="skip")]
     if normalize:
         stages.append(Normalizer(inputCol="tempFeatures", outputCol="features", p=p))
     return stages
 
 
-def fit_features(rows: DataFrame, normalize: bool = True) -> PipelineModel:
-    """M5: fit M1-M3 on the given rows (one aggregation job for the indexer)."""
-    return Pipeline(stages=feature_stages(normalize)).fit(rows)
-
-
-def id_index_table(rows: DataFrame) -> DataFrame:
-    """(id, n, id_index): the indexer's order as a table. Counting is a partial aggregate; the
-    fitted indexer maps the distinct ids."""
-    model = id_indexer().fit(rows)
-    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return model.transform(counts).select("id", "n", "id_index")
-
-
 def features_as_columns(df: DataFrame, vec: str = "features", prefix: str = "f") -> DataFrame:
     """Vector -> one double column per element (vectors cannot go to CSV or SQL)."""
     arr = vector_to_array(F.col(vec))
@@ -69,10 +66,11 @@ def features_as_columns(df: DataFrame, vec: str = "features", prefix: str = "f")
 
 
 def features_l2(rows: DataFrame) -> DataFrame:
-    """M1-M3 applied to ``rows`` (fitted on them)."""
-    model = fit_features(rows)
-    out = model.transform(rows).select("id", "dtUpdate", "label", "id_index", "features")
-    return features_as_columns(out)
+    """M1-M3 (M5) applied to ``rows`` (the index is theirs)."""
+    out = with_index(rows, id_index_table(rows), 0.0)
+    for stage in feature_stages():
+        out = stage.transform(out)
+    return features_as_columns(out.select("id", "dtUpdate", "label", "id_index", "features"))
 
 
 def features_l1(rows: DataFrame) -> DataFrame:

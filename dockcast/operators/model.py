@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.linalg import Vectors
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.bins import N_CLASSES
 from dockcast.functions.text import topology_list
-from dockcast.operators.features import N_FEATURES, feature_stages
+from dockcast.operators.features import N_FEATURES, feature_stages, id_index_table, with_index
 from dockcast.operators.sinks import persist_training
 from dockcast.session import scratch_path, write_table
 
@@ -34,7 +34,7 @@ DEFAULT_SEED = 1234
 DEFAULT_MAX_ITER = 100          # /setmodele
 STEP_CHUNKS_ABOVE = 10_000      # iterations above this are run in 5 chunks
 STEP_CHUNKS = 5
-# Hidden layers of the topology search (input 5 and output 9 are added around them).
+# Hidden layers of the topology search (input 5 and output 9 are added around them).
 SEARCH_HIDDEN = ["20-20", "50-50", "100-100", "300-300", "50-50-50", "10-10-10-10", "20-20-20-20",
                  "60", "500", "5000"]
 
@@ -68,78 +68,125 @@ def materialize(spark: SparkSession, rows: DataFrame, kind: str = "train") -> Da
     return write_table(rows, spark, f"tables/{kind}")
 
 
+@dataclass
+class StationModel:
+    """A fitted model: the id index as a table beside the pipeline (assembler, normaliser, MLP)."""
+    index: DataFrame
+    unseen: float
+    pipeline: PipelineModel
+
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.pipeline.transform(with_index(rows, self.index, self.unseen))
+
+
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: StationModel
     layers: list[int]
     iterations: int
     objective: list[float]
 
 
-def mlp_stage(model: PipelineModel) -> MultilayerPerceptronClassificationModel:
+def mlp_stage(model: StationModel) -> MultilayerPerceptronClassificationModel:
     return model.stages[-1]
 
 
-def _fit_mlp(mlp: MultilayerPerceptronClassifier, data: DataFrame) -> MultilayerPerceptronClassificationModel:
-    """Fit on the featurized rows persisted once (MEMORY_AND_DISK): every L-BFGS iteration is a
-    gradient pass over cached blocks instead of re-reading the table and re-running the feature
-    stages. Lost blocks are recomputed from the written training table."""
-    cached = persist_training(data.select("label", "features"))
-    try:
-        return mlp.fit(cached)
-    finally:
-        cached.unpersist()
+@dataclass
+class Featurizer:
+    """M1-M3 ready to apply: the index and the stages without anything to fit."""
+    index: DataFrame
+    unseen: float
+    stages: list
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        out = with_index(rows, self.index, self.unseen)
+        for stage in self.stages:
+            out = stage.transform(out)
+        return out
 
-def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT_SEED,
-          warm: PipelineModel | None = None, normalize: bool = True) -> TrainResult:
-    """M6 (+ M6b): fit features and MLP on the training rows. With ``warm`` the feature stages are
-    reused and the MLP starts from its weights (same topology required)."""
+    def model(self, mlp: MultilayerPerceptronClassificationModel) -> StationModel:
+        return StationModel(self.index, self.unseen, PipelineModel(stages=[*self.stages, mlp]))
+
+
+def featurizer(rows: DataFrame, normalize: bool = True, warm: StationModel | None = None) -> Featurizer:
+    """The index of ``rows`` (or of a warm model, whose index its weights belong to), stored once."""
     if warm is not None:
-        feats = PipelineModel(stages=warm.stages[:-1])
-        w = mlp_stage(warm).weights
-        if len(w) != n_weights(layers):
-            raise ValueError("warm start needs the same topology")
-        mlp = perceptron(layers, max_iter, seed, w.toArray())
-    else:
-        feats = Pipeline(stages=feature_stages(normalize)).fit(rows)   # one aggregation job (indexer)
-        mlp = perceptron(layers, max_iter, seed)
-    mlp_model = _fit_mlp(mlp, feats.transform(rows))
-    model = PipelineModel(stages=[*feats.stages, mlp_model])
-    m = mlp_stage(model)
+        return Featurizer(warm.index, warm.unseen, warm.stages[:-1])
+    index = materialize(rows.sparkSession, id_index_table(rows).select("id", "id_index"), "id_index")
+    return Featurizer(index, float(index.count()), feature_stages(normalize))
+
+
+def _fit(mlp: MultilayerPerceptronClassifier, cached: DataFrame, feats: Featurizer, layers: list[int]) -> TrainResult:
+    m = mlp.fit(cached)
     hist = list(m.summary().objectiveHistory) if m.hasSummary else []
-    return TrainResult(model, list(layers), max(len(hist) - 1, 0), hist)
+    return TrainResult(feats.model(m), list(layers), max(len(hist) - 1, 0), hist)
 
 
-def chunk_sizes(iters: int) -> list[int]:
-    """Iterations per chunk; exactly ``iters`` in total (Q17), 5 chunks above 10,000."""
+def _warm_weights(warm: StationModel | None, layers: list[int]):
+    if warm is None:
+        return None
+    w = mlp_stage(warm).weights
+    if len(w) != n_weights(layers):
+        raise ValueError("warm start needs the same topology")
+    return w.toArray()
+
+
+def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT_SEED,
+          warm: StationModel | None = None, normalize: bool = True) -> TrainResult:
+    """M6 (+ M6b): fit index and MLP on the training rows. With ``warm`` its index is reused and the
+    MLP starts from its weights (same topology required).
+
+    The featurized rows are persisted once (MEMORY_AND_DISK): every L-BFGS iteration is a gradient
+    pass over cached blocks. Lost blocks are recomputed from the written training table."""
+    return train_in_chunks(rows, layers, [max_iter], seed, warm, normalize)[-1]
+
+
+def train_in_chunks(rows: DataFrame, layers: list[int], chunks: list[int], seed: int = DEFAULT_SEED,
+                    warm: StationModel | None = None, normalize: bool = True) -> list[TrainResult]:
+    """One fit for each chunk of iterations, each starting from the weights before it, over rows
+    featurized and persisted once."""
+    start = _warm_weights(warm, layers)
+    feats = featurizer(rows, normalize, warm)
+    cached = persist_training(feats.transform(rows).select("label", "features"))
+    results: list[TrainResult] = []
+    try:
+        for iterations in chunks:
+            results.append(_fit(perceptron(layers, iterations, seed, start), cached, feats, layers))
+            start = _warm_weights(results[-1].model, layers)
+    finally:
+        cached.unpersist()
+    return results
+
+
+def chunk_sizes(iters: int, above: int = STEP_CHUNKS_ABOVE) -> list[int]:
+    """Iterations per chunk; exactly ``iters`` in total (Q17), 5 chunks above ``above``."""
     if iters <= 0:
         return []
-    n = STEP_CHUNKS if iters > STEP_CHUNKS_ABOVE else 1
+    n = STEP_CHUNKS if iters > above else 1
     base, extra = divmod(iters, n)
     return [base + (1 if i < extra else 0) for i in range(n)]
 
 
 def train_stepwise(rows: DataFrame, layers: list[int], iters: int, seed: int = DEFAULT_SEED,
-                   warm: PipelineModel | None = None) -> TrainResult:
+                   warm: StationModel | None = None, above: int = STEP_CHUNKS_ABOVE) -> TrainResult:
     """Chunks of iterations, each warm-started from the previous chunk's weights."""
-    res = None
-    for it in chunk_sizes(iters):
-        res = train(rows, layers, it, seed, warm=warm)
-        warm = res.model
-    if res is None:
+    if iters <= 0:
         raise ValueError("iters must be positive")
-    return res
+    return train_in_chunks(rows, layers, chunk_sizes(iters, above), seed, warm)[-1]
 
 
 def search(rows: DataFrame, hidden: list[str], max_iter: int, folds: int = 3, seed: int = DEFAULT_SEED,
            fold_col: str | None = None, parallelism: int = 2):
     """M7: grid over topologies, k-fold CV, F1 (the evaluator's default), best model refit on all rows.
 
-    Features are fitted once on the training rows; CV runs the MLP only. Returns (best pipeline,
-    [(hidden, layers, avg_f1)]).
+    Features are fitted once on the training rows; CV runs the MLP only. Returns (best model,
+    [(hidden, layers, avg_f1)]); the best is the first with the greatest F1.
     """
-    feats = Pipeline(stages=feature_stages()).fit(rows)
+    feats = featurizer(rows)
     keep = ["label", "features"] + ([fold_col] if fold_col else [])
     data = persist_training(feats.transform(rows).select(*keep))   # folds and the final refit reuse it
     mlp = perceptron(topology(hidden[0]), max_iter, seed)
@@ -153,31 +200,44 @@ def search(rows: DataFrame, hidden: list[str], max_iter: int, folds: int = 3, se
         cvm = cv.fit(data)
     finally:
         data.unpersist()
-    best = PipelineModel(stages=[*feats.stages, cvm.bestModel])
     scores = [(h, topology(h), float(m)) for h, m in zip(hidden, cvm.avgMetrics)]
-    return best, scores
+    return feats.model(cvm.bestModel), scores
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: StationModel, rows: DataFrame) -> DataFrame:
     """M8: score rows with the fitted pipeline (no refit)."""
     return model.transform(rows)
 
 
-def weights_frame(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def weights_frame(spark: SparkSession, model: StationModel) -> DataFrame:
     """(idx, weight) of the MLP; its size is fixed by the topology, not by the data."""
     w = mlp_stage(model).weights.toArray().tolist()
     return spark.createDataFrame(list(enumerate(w)), "idx INT, weight DOUBLE")
 
 
-def save(model: PipelineModel, path: str) -> str:
-    """K4: Spark ML's own format (weights and layers included)."""
-    model.write().overwrite().save(path)
+def save(model: StationModel, path: str) -> str:
+    """K4: Spark ML's own format (weights and layers included), the index as a table beside it."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    model.index.withColumn("unseen", F.lit(model.unseen)).write.mode("overwrite").parquet(f"{path}/index")
+    return path
+
+
+def load(spark: SparkSession, path: str) -> StationModel:
+    """S8."""
+    index = spark.read.parquet(f"{path}/index")
+    row = index.select("unseen").first()
+    return StationModel(index.select("id", "id_index"), row.unseen if row else 0.0, PipelineModel.load(f"{path}/pipeline"))
+
+
+def save_classifier(mlp: MultilayerPerceptronClassifier, path: str) -> str:
+    """S9's counterpart: an untrained classifier with its settings."""
+    mlp.write().overwrite().save(path)
     return path
 
 
-def load(path: str) -> PipelineModel:
-    """S8/S9."""
-    return PipelineModel.load(path)
+def load_classifier(path: str) -> MultilayerPerceptronClassifier:
+    """An untrained classifier, ready to fit."""
+    return MultilayerPerceptronClassifier.load(path)
 
 
 def model_path(spark: SparkSession, layers: list[int]) -> str:
@@ -203,7 +263,7 @@ def weights_file_name(layers: list[int]) -> str:
     return "mlp-" + "".join(f"{n}-" for n in layers) + ".weights"
 
 
-def write_weights_text(spark: SparkSession, model: PipelineModel, folder: str) -> str:
+def write_weights_text(spark: SparkSession, model: StationModel, folder: str) -> str:
     """K4 (text form): one line of ``w;`` items, as the service wrote them. The vector's size is
     fixed by the topology; it is written as a one-row text table."""
     m = mlp_stage(model)
@@ -221,7 +281,7 @@ def read_weights_text(spark: SparkSession, path: str) -> list[float]:
 
 
 def retrain(spark: SparkSession, readings: DataFrame, hidden: str, iters: int, seed: int = DEFAULT_SEED,
-            warm: PipelineModel | None = None) -> tuple[TrainResult, DataFrame]:
+            warm: StationModel | None = None) -> tuple[TrainResult, DataFrame]:
     """Retrain on the current readings table (e.g. the streaming sink), warm-started from the
     previous model when given. Returns the fit and the held-out rows for evaluation."""
     from dockcast.operators.features import usable

@@ -10,12 +10,13 @@ runs it like a batch job and a rerun adds nothing.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockcast.operators import curate as cur
+from dockcast.operators.model import StationModel
+from dockcast.session import path_exists, write_table
 from dockcast.sources.snapshots import ELEMENT_SCHEMA, SNAPSHOT_GLOB
 
 DEFAULT_DELAY = "2 days"   # late-data bound for the dedup state; long on purpose (SURVEY 2.12)
@@ -24,25 +25,25 @@ DEDUP_KEY = ["id", "dtUpdate"]
 
 def stream_elements(spark: SparkSession, landing: str, multi_line: bool = False,
                     max_files: int | None = None) -> DataFrame:
-    """Snapshot files as a stream, declared schema, malformed files dropped."""
+    """Snapshot files as a stream, declared schema, unparsable files or lines give no element.
+    ``max_files`` bounds a micro-batch: a backlog is worked off in several."""
     r = (spark.readStream.schema(ELEMENT_SCHEMA).option("multiLine", multi_line)
-         .option("mode", "DROPMALFORMED").option("pathGlobFilter", SNAPSHOT_GLOB))
+         .option("mode", "PERMISSIVE").option("pathGlobFilter", SNAPSHOT_GLOB))
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
-    return r.json(landing)
+    return r.json(landing).where(F.col("fields").isNotNull())
 
 
 def stream_readings(elements: DataFrame, weather_daily: DataFrame | None,
-                    name_filter: str | None = None) -> DataFrame:
+                    name_filter: str | None = None, weather_rows: int | None = None) -> DataFrame:
     """Curated readings of a stream (no distinct: that is T2's job), with the day column and an
     event time (an instant, needed by watermarks)."""
-    r = cur.readings_from_elements(elements, weather_daily, name_filter)
+    r = cur.readings_from_elements(elements, weather_daily, name_filter, weather_rows)
     return r.select(*cur.READING_COLUMNS, "obs_day",
                     F.timestamp_millis("dtUpdate").alias("event_time"))
 
 
-def ingest_into_table(readings: DataFrame, sink: str, checkpoint: str, day_col: str = "obs_day",
-                      max_files: int | None = None) -> StreamingQuery:
+def ingest_into_table(readings: DataFrame, sink: str, checkpoint: str, day_col: str = "obs_day") -> StreamingQuery:
     """T1 with sized files: each micro-batch is rebalanced on the day (AQE splits a large day and
     merges small ones, so a batch writes a few files per day instead of one per input file) and
     written into its own ``batch=<id>`` folder with overwrite. A batch that is run again after a
@@ -90,14 +91,13 @@ def dedup_into_table(readings: DataFrame, sink: str, checkpoint: str, key: list[
         spark = batch.sparkSession
         best = (batch.groupBy(*key, day_col).agg(F.max(F.struct(*rest)).alias("r"))
                 .select(*key, day_col, *[F.col(f"r.{c}").alias(c) for c in rest]))
-        days = [r[0] for r in best.select(day_col).distinct().collect()]
-        try:
-            existing = spark.read.parquet(sink).where(F.col(day_col).isin(days)).select(*key, day_col)
+        # the reduced batch is stored: its days and its rows are read from there, the input once
+        best = write_table(best.select(*cols), spark, "tables/dedup_batch")
+        if path_exists(spark, sink):
+            days = [r[0] for r in best.select(day_col).distinct().collect()]    # one for each calendar day
+            existing = spark.read.schema(best.schema).parquet(sink).where(F.col(day_col).isin(days)).select(*key, day_col)
             best = best.join(existing, [*key, day_col], "left_anti")
-        except Exception as ex:  # first batch: the sink does not exist yet
-            if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-                raise
-        best.select(*cols).write.mode("append").partitionBy(day_col).parquet(sink)
+        best.hint("rebalance", day_col).write.mode("append").partitionBy(day_col).parquet(sink)
 
     q = (readings.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -105,11 +105,11 @@ def dedup_into_table(readings: DataFrame, sink: str, checkpoint: str, key: list[
     return q
 
 
-def score_stream(readings: DataFrame, model: PipelineModel) -> DataFrame:
-    """T4: the fitted pipeline applies to a streaming DataFrame as to a batch one (rows without
-    weather are skipped by the assembler)."""
+def score_stream(readings: DataFrame, model: StationModel) -> DataFrame:
+    """T4: the fitted model applies to a streaming DataFrame as to a batch one (its index is the
+    static side of a stream-static join; rows without weather are left out)."""
     return model.transform(readings.where(F.col("soleil").isNotNull())) \
-        .drop("tempFeatures", "features", "rawPrediction", "probability")
+        .drop("id_index", "tempFeatures", "features", "rawPrediction", "probability")
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, partition_by: list[str] | None = None,
