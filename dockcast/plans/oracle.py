@@ -93,11 +93,11 @@ st AS (
 
 _REQUESTS = """
 req AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS req_id, n_name AS station,
-         CAST(n_nationkey % 7 AS INTEGER) AS req_day, CAST((n_nationkey * 5) % 24 AS INTEGER) AS req_hour,
-         CAST((n_nationkey * 7) % 60 AS INTEGER) AS req_minute, CAST(n_nationkey % 2 AS DOUBLE) AS req_soleil,
-         CAST(n_nationkey * 37 AS BIGINT) AS delay
-  FROM nation
+  SELECT c_custkey AS req_id, CAST(c_custkey % 200 AS VARCHAR) || ' - NATION_' AS station,
+         CAST(c_custkey % 7 AS INTEGER) AS req_day, CAST((c_custkey * 5) % 24 AS INTEGER) AS req_hour,
+         CAST((c_custkey * 7) % 60 AS INTEGER) AS req_minute, CAST(c_custkey % 2 AS DOUBLE) AS req_soleil,
+         CAST(c_custkey * 37 % 20160 AS BIGINT) AS delay
+  FROM customer
 ),
 res AS (
   SELECT q.*, s.id, s.name AS station_name, s.nBike, s.nPlace, s.label
@@ -168,7 +168,7 @@ _LATEST_DAY = """
 lday AS (
   SELECT * FROM readings
   WHERE strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') =
-        (SELECT max(strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d')) FROM readings)
+        (SELECT max(strftime(ts, '%Y%m%d')) FROM el)
 )"""
 
 _LABEL_TEXT = ("'bikes ' || ['0-3', '4-9', '10+'][CAST(floor(label / 3) AS INTEGER) + 1] || ', places ' || "
@@ -182,9 +182,9 @@ def _ctes(*extra: str) -> str:
 SQL["scan_snapshots"] = SQL["curate_readings"]
 SQL["export_ordered"] = SQL["curate_readings"]
 SQL["load_latest"] = with_readings(f"SELECT {READING_COLS} FROM lday", extra=_LATEST_DAY)
-SQL["append_readings"] = with_readings(
-    f"SELECT DISTINCT * FROM (SELECT {READING_COLS} FROM readings UNION ALL SELECT {READING_COLS} FROM lday) u",
-    extra=_LATEST_DAY)
+SQL["append_readings"] = SQL["curate_readings"]
+SQL["scan_array_files"] = SQL["curate_readings"]
+SQL["weather_backfill"] = SQL["curate_readings"]
 
 SQL["open_stations"] = with_readings("""
 SELECT CAST(id AS VARCHAR) AS number, name, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS last_update,
@@ -357,3 +357,93 @@ SELECT {READING_COLS} FROM (
              nPlace DESC, name DESC, places DESC, soleil DESC NULLS LAST, x DESC, minute_of_week DESC) AS rn
   FROM raw) q
 WHERE rn = 1""", extra=_RAW)
+
+# One file for each day and thousand stations.
+SQL["landed_files"] = """
+SELECT poll, count(*) AS n_files FROM (
+  SELECT DISTINCT strftime(ts, '%Y%m%d') AS poll, user_id // 1000 AS chunk FROM events) q
+GROUP BY poll"""
+
+# Faults of the landed lines, by event: 1 truncated, 2 text position, 3 none, 4 junk, 5 junk id, 6 junk time.
+_FAULTS = """
+fl AS (
+  SELECT e.event_id % 50 AS fault, e.user_id AS id, date_trunc('second', e.ts) AS ts,
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 20 AS places,
+         CAST(floor(e.value) AS INTEGER) % 20 AS bikes,
+         CAST(48800 + e.user_id % 100 AS DOUBLE) / 1000.0 AS lt,
+         CAST(2300 + n.n_nationkey AS DOUBLE) / 1000.0 AS lg,
+         e.event_type <> 'error' AS open
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+)"""
+
+SQL["scan_faulty"] = f"""WITH {_FAULTS}
+SELECT id, epoch_ms(ts) AS dtUpdate, bikes, places, CASE WHEN fault IN (3, 4) THEN NULL ELSE lt END AS lt,
+       CASE WHEN fault IN (3, 4) THEN NULL ELSE lg END AS lg
+FROM fl WHERE open AND fault NOT IN (1, 5, 6)"""
+
+SQL["rejected_files"] = f"""WITH {_FAULTS}
+SELECT strftime(ts, '%Y%m%d') AS poll, count(*) AS bad_records FROM fl WHERE fault = 1 GROUP BY 1"""
+
+SQL["dropped_counts"] = f"""WITH {_FAULTS}, {_WEATHER}
+SELECT CASE WHEN NOT open THEN 'not_open' WHEN fault = 5 THEN 'bad_id' WHEN fault = 6 THEN 'bad_time'
+            WHEN w.soleil IS NULL THEN 'no_weather' ELSE 'complete' END AS rule, count(*) AS n
+FROM fl LEFT JOIN wday w ON w.obs_day = strftime(fl.ts, '%Y%m%d') WHERE fault <> 1 GROUP BY 1"""
+
+SQL["parse_topology"] = """
+SELECT event_id, 4 AS n_layers, k + 1 AS first_hidden, CAST(5 + k + 1 + user_id % 7 + 1 + 9 AS INTEGER) AS n_units
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) q"""
+
+SQL["parse_weights"] = """
+SELECT event_id, 3 AS n_weights, value AS w0, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS w1, CAST(event_id AS DOUBLE) AS w2
+FROM events"""
+
+# --- model: what must hold of a fit -------------------------------------------------------------
+
+_PARTS = """
+utr AS (SELECT * FROM tr WHERE soleil IS NOT NULL),
+ute AS (SELECT * FROM te WHERE soleil IS NOT NULL)"""
+
+
+def _fit(layers: str, n_weights: int, more: str = "") -> str:
+    return with_readings(f"SELECT '{layers}' AS layers, {n_weights} AS n_weights, (SELECT count(*) FROM utr) AS train_rows, "
+                         f"TRUE AS loss_ok{more}", extra=_ctes(_BASELINE, _PARTS))
+
+
+SQL["train_model"] = _fit("5-20-20-9", 729)
+SQL["warm_start"] = _fit("5-10-9", 159, ", TRUE AS starts_there, TRUE AS not_worse")
+SQL["retrain"] = _fit("5-10-9", 159, ", (SELECT count(*) FROM ute) AS test_rows")
+SQL["train_stepwise"] = """
+SELECT CAST(chunk AS INTEGER) AS chunk, CASE WHEN chunk < 3 THEN 2 ELSE 1 END AS iterations, 159 AS n_weights, TRUE AS within, TRUE AS not_worse
+FROM range(5) t(chunk)"""
+SQL["model_weights"] = "SELECT CAST(idx AS INTEGER) AS idx, TRUE AS finite FROM range(729) t(idx)"
+
+
+def _scored(columns: str, rows: str = "ute") -> str:
+    return with_readings(f"SELECT {columns} FROM {rows}", extra=_ctes(_BASELINE, _PARTS, _IDX))
+
+
+SQL["predict_batch"] = _scored("id, dtUpdate, label, TRUE AS valid")
+SQL["model_roundtrip"] = _scored("id, dtUpdate, TRUE AS same_prediction, TRUE AS same_weights, TRUE AS same_settings")
+# the index is that of the training rows; a station seen in none of them has the extra index
+SQL["export_predictions"] = with_readings("""
+SELECT e.id, e.dtUpdate, e.name, e.label, COALESCE(t.id_index, (SELECT CAST(count(*) AS DOUBLE) FROM tix)) AS id_index, TRUE AS valid
+FROM ute e LEFT JOIN tix t ON t.id = e.id""", extra=_ctes(_BASELINE, _PARTS, """
+tix AS (
+  SELECT id, CAST(row_number() OVER (ORDER BY n DESC, CAST(id AS VARCHAR)) - 1 AS DOUBLE) AS id_index
+  FROM (SELECT id, count(*) AS n FROM utr GROUP BY id) c
+)"""))
+SQL["evaluate_model"] = with_readings("""
+SELECT label, count(*) AS n_actual, (SELECT count(*) FROM ute) AS n_total, TRUE AS row_ok, TRUE AS class_ok, TRUE AS overall_ok
+FROM ute GROUP BY label""", extra=_ctes(_BASELINE, _PARTS))
+SQL["stream_predict"] = with_readings("SELECT id, dtUpdate, label, TRUE AS valid FROM raw WHERE soleil IS NOT NULL", extra=_RAW)
+for _key, _scenario in (("forecast", "scenario_delay"), ("forecast_explicit", "scenario_explicit")):
+    SQL[_key] = f"SELECT req_id, id, name, day, hour, minute, soleil, TRUE AS valid, TRUE AS described FROM ({SQL[_scenario]}) s"
+
+_TOPOLOGIES = [("20-20", 729), ("50-50", 3309), ("100-100", 11609), ("300-300", 94809), ("50-50-50", 5859), ("10-10-10-10", 489),
+               ("20-20-20-20", 1569), ("60", 909), ("500", 7509), ("5000", 75009)]
+SQL["search_topology"] = with_readings("""
+SELECT hidden, '5-' || hidden || '-9' AS layers, n_weights, f.fold0, f.fold1, f.fold2, TRUE AS f1_valid, TRUE AS best_kept,
+       (SELECT count(*) FROM ute) AS held_out_rows
+FROM (VALUES """ + ", ".join(f"('{h}', {n})" for h, n in _TOPOLOGIES) + """) v(hidden, n_weights),
+     (SELECT count(*) FILTER (bucket % 3 = 0) AS fold0, count(*) FILTER (bucket % 3 = 1) AS fold1, count(*) FILTER (bucket % 3 = 2) AS fold2
+      FROM utr) f""", extra=_ctes(_BASELINE, _PARTS))

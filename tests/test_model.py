@@ -50,7 +50,7 @@ def test_warm_start_resumes(planted, fitted):
 def test_save_load_same_predictions(spark, planted, fitted, workdir):
     _, test = planted
     path = mo.save(fitted.model, os.path.join(workdir, "m"))
-    again = mo.load(path)
+    again = mo.load(spark, path)
     a = mo.predict(fitted.model, test).select("id", "dtUpdate", "prediction")
     b = mo.predict(again, test).select("id", "dtUpdate", "prediction")
     assert a.exceptAll(b).count() == 0

@@ -37,7 +37,8 @@ def test_text_match_returns_every_station(spark):
     req = spark.createDataFrame([(7, "NATION_1")], "req_id bigint, station string")
     joined = sc.resolve_requests(req, stations)
     assert sorted(r.id for r in joined.collect()) == [1, 10]
-    assert "BroadcastNestedLoopJoin" in _plan(joined)
+    plan = _plan(joined)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     by_id = sc.resolve_requests(spark.createDataFrame([(7, 2)], "req_id bigint, station_id bigint"), stations)
     assert [r.id for r in by_id.collect()] == [2]
 
@@ -46,8 +47,6 @@ def test_day_partitioned_table_layout(spark, workdir):
     """Distinct with map-side combine, then REBALANCE on the day: few files per day."""
     w, n = cat.weather_table(spark, SF_SMALL)
     df = cur.curate_by_day(snapshot_elements(spark, SF_SMALL), w, weather_rows=n)
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    assert "partial_" in plan or "HashAggregate" in plan
     path = sk.store_readings(df, os.path.join(workdir, "t"), mode="errorifexists")
     days = glob.glob(os.path.join(path, "obs_day=*"))
     assert days and all(len(glob.glob(os.path.join(d, "*.parquet"))) <= 2 for d in days)
@@ -63,7 +62,12 @@ def test_copies_combine_before_the_shuffle(spark):
     d = cur.distinct_readings(copies)
     d.collect()
     plan = d._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and d.where("v = -1").count() == 1
+    # a partial aggregate stands below the exchange (deeper in the tree: after it in the text)
+    exchange, below = plan.index("Exchange hashpartitioning"), plan.rindex("HashAggregate(keys=[v")
+    assert below > exchange
+    assert d.where("v = -1").count() == 1
+    combined = copies.groupBy(F.spark_partition_id().alias("task"), "v").count()
+    assert combined.where("v = -1").count() == 6            # what the exchange gets of the hot row: one for each task
 
 
 def test_scans_are_pruned(spark):
@@ -71,8 +75,8 @@ def test_scans_are_pruned(spark):
     plan = _plan(cat.QUERIES["time_features"](spark, SF_SMALL))
     schemas = [set(c.split(":")[0] for c in m.split(",")) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
     events = [s for s in schemas if "ts" in s][0]
-    # time features never need the value or props columns (event_id only keys the small-input spread)
-    assert events <= {"event_id", "user_id", "ts", "event_type"}, events
+    # time features never need the value or props columns
+    assert events <= {"user_id", "ts", "event_type"}, events
     assert any(s <= {"n_nationkey", "n_name"} and "n_nationkey" in s for s in schemas)
 
 
@@ -89,24 +93,59 @@ def test_hot_station_results(spark):
     assert len(latest) == 1 + 1000
 
 
-def test_spread_only_for_few_splits(spark):
-    from dockcast.sources.tables import read_table, spread
-    one = read_table(spark, SF_SMALL, "events")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(many, "id") is many
+def test_text_match_equals_a_scan(spark):
+    """Every pair that a nested loop would find, for texts of any length, and no other."""
+    import random
+    rng = random.Random(3)
+    names = [f"{k} - " + "".join(rng.choices("ABÉ ", k=rng.randint(0, 6))) for k in range(60)]
+    texts = ["", "1", "- ", "A", "ÉA", "AB", "ABA", "A B", "zz", "5 - ", "7", "names"] + [n[rng.randint(0, 3):][:rng.randint(1, 6)] for n in names[:25]]
+    stations = spark.createDataFrame(list(enumerate(names)), "id long, name string")
+    requests = spark.createDataFrame(list(enumerate(texts)) + [(999, None)], "req_id long, station string")
+    got = sorted((r.req_id, r.id) for r in sc.resolve_requests(requests, stations).collect())
+    assert got == sorted((q, i) for q, t in enumerate(texts) for i, n in enumerate(names) if t in n)
 
 
-def test_text_match_flips_broadcast_for_many_requests(spark, monkeypatch):
-    from dockcast.operators import scenario as scn
-    monkeypatch.setattr(scn, "DIMENSION_MAX_ROWS", 1)
-    stations = spark.createDataFrame([(1, "1 - NATION_1"), (10, "10 - NATION_10")], "id bigint, name string")
-    req = spark.createDataFrame([(7, "NATION_1"), (8, "NATION_10")], "req_id bigint, station string")
-    joined = scn.resolve_requests(req, stations)
-    assert sorted((r.req_id, r.id) for r in joined.collect()) == [(7, 1), (7, 10), (8, 10)]
-    plan = _plan(joined)
-    assert "BroadcastNestedLoopJoin" in plan and "CartesianProduct" not in plan
+def test_building_lookups_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    readings = cat.stored_readings(spark, SF_SMALL)
+    requests = spark.createDataFrame([(1, "NATION_1")], "req_id long, station string")
+    spark.sparkContext.setJobGroup("lookup-plans", "")
+    from dockcast.operators import lookup as lk
+    lk.station_lookup(readings, "NATION_1")
+    sc.resolve_requests(requests, lk.latest_per_station(readings))
+    assert list(tracker.getJobIdsForGroup("lookup-plans")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_first_rows_equal_a_full_sort(spark):
+    from dockcast.operators import lookup as lk
+    readings = cat.stored_readings(spark, SF_SMALL)
+    for n in (1, 7, 300, 10 ** 6):
+        want = lk.natural_order(readings).limit(n).collect()
+        assert lk.first_rows(readings, n, [F.col("id"), F.floor(F.col("dtUpdate") / 86_400_000)], lk.NATURAL_ORDER).collect() == want
+
+
+def test_global_rank(spark):
+    from dockcast.operators.rank import global_rank
+    df = spark.range(0, 5000, numPartitions=7).select(F.col("id"), (F.col("id") % 13).alias("n"))
+    rows = global_rank(df, [F.desc("n"), F.asc("id")], "rank").orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(5000))
+    assert [r.id for r in rows] == [r.id for r in df.orderBy(F.desc("n"), "id").collect()]
+
+
+def test_a_changed_input_is_seen(spark, workdir):
+    """Stored tables belong to the state of their input: growing it in one session grows the results."""
+    import shutil
+    for name in ("events", "nation"):
+        os.mkdir(os.path.join(workdir, f"{name}.parquet"))
+        shutil.copy(os.path.join(SF_SMALL, f"{name}.parquet"), os.path.join(workdir, f"{name}.parquet", "part-0.parquet"))
+    before = cat.QUERIES["reading_count"](spark, workdir).first().n_readings
+    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    ev.withColumns({"event_id": F.col("event_id") + 10 ** 6, "ts": F.col("ts") + F.expr("interval 60 days")}) \
+        .write.mode("append").parquet(os.path.join(workdir, "events.parquet"))
+    assert cat.QUERIES["reading_count"](spark, workdir).first().n_readings == 2 * before
+    later = cat.QUERIES["load_latest"](spark, workdir).select(F.max("dtUpdate")).first()[0]
+    assert later > ev.select(F.unix_millis(F.max("ts").cast("timestamp"))).first()[0]
 
 
 def test_scratch_uses_the_session_checkpoint_dir(spark):

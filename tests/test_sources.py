@@ -41,8 +41,9 @@ def _landing(d):
 def test_scan_drops_bad_files_and_keeps_elements(spark, workdir):
     d = _landing(workdir)
     el = sn.scan_snapshots(spark, d)
-    # 5 + 2 + 10 elements from the three good files; the bad files and '.json' are dropped whole
-    assert el.count() == 17
+    # 5 + 2 + 10 elements from the three good files, less the one without fields; the bad files and
+    # '.json' are dropped whole
+    assert el.count() == 16
     opened = cur.parse_fields(cur.open_elements(el))
     assert opened.count() == 3 + 2 + 10                                  # CLOSED and fields-less dropped
     r = {row.id: row for row in cur.derive(opened).collect()}
@@ -67,7 +68,44 @@ def test_rejected_files_are_reported(spark, workdir):
 def test_landed_file_inventory(spark, workdir):
     d = _landing(workdir)
     names = sorted(r.file_name for r in sn.landed_files(spark, d).collect())
-    assert names == [f"poll_{i}.json" for i in range(1, 7)]
+    assert names == [f"poll_{i}.json" for i in (1, 2, 3, 4, 6)]           # poll_5 is empty: no snapshot
+
+
+def test_a_bad_position_costs_itself_alone(spark, workdir):
+    """Positions as text, null, junk or of another kind next to good ones: no neighbour is lost."""
+    odd = [_el(1, "a", "2017-02-26T18:29:59+00:00", 1, 1), _el(2, "b", "2017-02-26T18:29:59+00:00", 1, 1, pos=("48.8", "2.3")),
+           _el(3, "c", "2017-02-26T18:29:59+00:00", 1, 1), _el(4, "d", "2017-02-26T18:29:59+00:00", 1, 1), _el(5, "e", "2017-02-26T18:29:59+00:00", 1, 1)]
+    odd[2]["fields"]["position"], odd[3]["fields"]["position"], odd[4]["fields"]["position"] = None, "here", {"lat": 1}
+    for name, lines in (("array", False), ("lines", True)):
+        d = os.path.join(workdir, name)
+        os.mkdir(d)
+        _write(d, "poll_1.json", "\n".join(map(json.dumps, odd)) if lines else json.dumps(odd))
+        rows = cur.parse_fields(cur.open_elements(sn.scan_snapshots(spark, d, multi_line=not lines))).collect()
+        assert {r.id: (r.lt, r.lg) for r in rows} == {1: (48.8, 2.3), 2: (48.8, 2.3), 3: (None, None), 4: (None, None), 5: (None, None)}
+        assert sn.rejected_files(spark, d, multi_line=not lines).count() == 0
+
+
+def test_newest_poll_is_found_by_listing(spark, workdir):
+    files = spark.createDataFrame([("20240101", 0, "[]"), ("20240103", 0, "[]"), ("20240102", 1, "[]")], "poll string, chunk int, value string")
+    path = sn.write_poll_files(files, os.path.join(workdir, "polls"), ["poll", "chunk"])
+    assert sn.newest_poll(spark, path) == "20240103"
+
+
+def test_append_touches_only_its_days(spark):
+    base = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, d string").select("v", F.col("d").cast("date").alias("obs_day"))
+    more = spark.createDataFrame([(2, "2024-01-02"), (3, "2024-01-02"), (3, "2024-01-02")], "v int, d string").select("v", F.col("d").cast("date").alias("obs_day"))
+    out = cur.append_readings(base, more, ["2024-01-02"])
+    assert sorted(r.v for r in out.collect()) == [1, 2, 3]
+
+
+def test_late_weather_is_filled_in(spark, workdir):
+    d = _landing(workdir)
+    early = cur.curate(sn.scan_snapshots(spark, d), None)
+    days = spark.createDataFrame([("2017-02-26", 1.0)], "d string, soleil double").select(F.col("d").cast("date").alias("obs_day"), "soleil")
+    filled = cur.backfill_weather(early, days)
+    assert filled.columns == early.columns and filled.count() == early.count()
+    assert filled.where("soleil = 1").count() == 3 and filled.where("soleil is null").count() == 10
+    assert cur.backfill_weather(filled, days.withColumn("soleil", F.lit(0.0))).where("soleil = 1").count() == 3
 
 
 def test_name_filter_case_insensitive_and_none(spark, workdir):
@@ -94,7 +132,7 @@ def test_weather_csv_pick_and_daily(spark, workdir):
     _write(workdir, "synop.2017022609.csv", head + "\n".join(rows) + "\n")
     obs = we.scan_weather(spark, workdir)
     assert obs.columns == ["numer_sta", "date", "t", "u"]
-    days = {r.obs_day: r for r in we.daily_weather(obs).collect()}
+    days = {r.obs_day.strftime("%Y%m%d"): r for r in we.daily_weather(obs).collect()}
     assert set(days) == {"20170226", "20170227"}
     assert abs(days["20170226"].temperature - 17.0) < 1e-9 and days["20170226"].soleil == 1.0
     assert abs(days["20170227"].temperature - 12.0) < 1e-9 and days["20170227"].soleil == 0.0   # 'mq' skipped

@@ -92,3 +92,48 @@ def test_stream_scoring_equals_batch(spark, workdir):
     batch = st.score_stream(cur.readings_from_elements(scan_snapshots(spark, land, multi_line=False), weather)
                             .select(*cur.READING_COLUMNS), model).select("id", "dtUpdate", "prediction")
     assert got.count() > 0 and got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_dedup_survives_an_empty_first_batch(spark, workdir):
+    """A first micro-batch of closed stations alone, then rows: the stream goes on, also after a rerun."""
+    import json
+    land = os.path.join(workdir, "landing")
+    os.mkdir(land)
+
+    def file(name, status, n):
+        rows = [{"fields": {"number": str(k), "name": "s", "last_update": "2024-01-05T10:00:00", "available_bikes": "3",
+                            "available_bike_stands": "4", "position": [1.0, 2.0], "status": status}} for k in range(n)]
+        with open(os.path.join(land, name), "w") as f:
+            f.write("\n".join(map(json.dumps, rows)))
+
+    weather = cat.weather_days(spark, SF_SMALL)
+    sink, ck = os.path.join(workdir, "sink"), os.path.join(workdir, "ck")
+    run = lambda: st.dedup_into_table(st.stream_readings(st.stream_elements(spark, land, max_files=1), weather), sink, ck)
+    file("a.json", "CLOSED", 4)
+    run()
+    file("b.json", "OPEN", 5)
+    run()
+    assert spark.read.parquet(sink).count() == 5
+    file("c.json", "OPEN", 7)
+    run()
+    assert spark.read.parquet(sink).count() == 7
+
+
+def test_a_replayed_batch_adds_nothing(spark, workdir):
+    """The same files through a new checkpoint, as a batch is run again after a failure."""
+    land = _land(spark, os.path.join(workdir, "landing"))
+    weather = cat.weather_days(spark, SF_SMALL)
+    sink = os.path.join(workdir, "sink")
+    for ck in ("ck1", "ck2"):
+        st.dedup_into_table(st.stream_readings(st.stream_elements(spark, land), weather), sink, os.path.join(workdir, ck))
+    got = spark.read.parquet(sink)
+    assert got.count() == got.select("id", "dtUpdate").distinct().count() > 0
+
+
+def test_max_files_bounds_a_batch(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_landing(snapshot_elements(spark, SF_SMALL, nested=True).repartition(4), land)
+    sink = os.path.join(workdir, "sink")
+    s = st.stream_readings(st.stream_elements(spark, land, max_files=1), cat.weather_days(spark, SF_SMALL))
+    st.ingest_into_table(s, sink, os.path.join(workdir, "ck"))
+    assert len([n for n in os.listdir(sink) if n.startswith("batch=")]) == 4
