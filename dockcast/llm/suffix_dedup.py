@@ -2,11 +2,12 @@
 
 Every byte goes that a 50-byte string covers which also starts in a document of a smaller id.
 
-1. Documents are dealt by a hash into parts and stored as a bucketed table; each later pass reads a
-   part whole, without a shuffle.
-2. Anchors: a 50-byte window is represented by its least 10-byte hash (a minimizer). Equal windows
+1. Documents are dealt into parts and stored as a table bucketed by part; each later pass reads a part
+   whole, without a shuffle.
+2. Anchors: a 50-byte window is represented by its least 20-byte hash (a minimizer). Equal windows
    have equal anchors, so only anchors that occur in two documents matter. Each part asks for its
-   distinct anchors, once each, in the bucket of their hash, and learns which are shared.
+   distinct anchors, once each, in the bucket of their hash, and learns which are shared. (It asks with
+   32 bits beside the bucket: a chance meeting adds work, never a result.)
 3. Shards: each part sends the context of its shared anchors, all windows that the anchor represents,
    to the bucket of the hash; equal contexts of a part are sent once, with their least document id.
    A hot passage is therefore at most one context for each part.
@@ -37,9 +38,9 @@ from .common import col, cut, ship
 from .shingles import powers, mixed
 
 SPAN = 50                     # bytes of a repeated string
-GRAM = 10                     # bytes that an anchor's hash covers
-PART_BYTES = 16 << 20         # text of a part
-SHARD_CONTEXTS = 60_000       # contexts of a suffix array
+GRAM = 20                     # bytes that an anchor's hash covers
+PART_BYTES = 4 << 20          # text of a part, about
+SHARD_CONTEXTS = 20_000       # contexts of a suffix array
 SLICE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -80,10 +81,10 @@ class Part:
         ids, texts = table.column("doc_id").to_pylist(), table.column("body").to_pylist()
         order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k]))
         self.rows, self.ids = order, [ids[k] for k in order]
-        texts = [texts[k] for k in order]
-        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.sizes = np.array([len(texts[k]) for k in order], np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.text = b"".join([texts[k] for k in order])
+        self.data = np.frombuffer(self.text, np.uint8)
 
     def anchored(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(hash, first window in ``data``, number of windows, document id) by runs of documents."""
@@ -105,95 +106,104 @@ def _packed_rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-ASKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary()), ("twice", pa.binary())])
-ASKED_SQL = "bucket long, part long, hashes binary, twice binary"
+ASKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary())])
+ASKED_SQL = "bucket long, part long, hashes binary"
+TOLD_SQL = "part long, bucket long, shared binary"
+_EVEN = _U(0xFFFFFFFE)
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h >> _U(33)) % _U(buckets)
 
 
 def _ask(buckets: int):
     def ask(table: pa.Table) -> pa.Table:
-        """A part's distinct anchors by bucket, and which it holds in two documents itself."""
+        """A part's distinct anchors by bucket, 31 bits each; the 32nd says that it holds the anchor in
+        two documents itself."""
         part = table.column("part")[0].as_py()
         found = [(h, d) for h, _, _, d in Part(table).anchored()]
         h, d = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.empty(0, bool)
-        starts = np.flatnonzero(new)
-        ends = np.concatenate((starts[1:], [len(h)])).astype(np.int64) - 1
-        distinct, twice = h[starts], (d[starts] != d[ends[:len(starts)]]).astype(np.uint8) if len(starts) else np.empty(0, np.uint8)
-        where = (distinct >> _U(33)) % _U(buckets)
-        rows = []
-        for b in np.unique(where):
-            pick = where == b
-            rows.append((int(b), part, distinct[pick].tobytes(), twice[pick].tobytes()))
-        return _packed_rows(rows, ASKED)
+        if not len(h):
+            return _packed_rows([], ASKED)
+        key = (_bucket(h, buckets) << _U(32)) | (h & _EVEN)
+        order = np.argsort(key)
+        key, d = key[order], d[order]
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        twice = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
+        key = key[starts] | twice.astype(np.uint64)
+        cuts = np.flatnonzero(np.diff(key >> _U(32))) + 1
+        return _packed_rows([(int(k[0] >> _U(32)), part, k.astype(np.uint32).tobytes()) for k in np.split(key, cuts)], ASKED)
 
     return ask
 
 
 def _tell_shared(table: pa.Table) -> pa.Table:
     """For each part of a bucket the anchors that occur in two documents anywhere."""
-    parts = table.column("part").to_pylist()
-    hashes = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-    twice = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("twice").to_pylist()])
+    bucket = table.column("bucket")[0].as_py()
+    hashes = [np.frombuffer(x, np.uint32) for x in table.column("hashes").to_pylist()]
     flat = np.concatenate(hashes)
-    distinct, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
+    distinct, inverse, count = np.unique(flat & np.uint32(_EVEN), return_inverse=True, return_counts=True)
     shared = count > 1
-    shared[inverse[twice > 0]] = True
-    keep = shared[inverse]
-    rows, low = [], 0
-    for part, h in zip(parts, hashes):
-        rows.append((part, h[keep[low:low + len(h)]].tobytes()))
+    shared[inverse[(flat & np.uint32(1)) > 0]] = True
+    keep, rows, low = shared[inverse], [], 0
+    for part, h in zip(table.column("part").to_pylist(), hashes):
+        rows.append((part, bucket, (h[keep[low:low + len(h)]] & np.uint32(_EVEN)).tobytes()))
         low += len(h)
-    return _packed_rows(rows, pa.schema([("part", pa.int64()), ("shared", pa.binary())]))
+    return _packed_rows(rows, pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary())]))
 
 
-SENT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("context", pa.binary()), ("size", pa.binary()),
-                  ("least", pa.binary()), ("text", pa.binary()), ("at", pa.binary())])
-SENT_SQL = "bucket long, part long, context binary, size binary, least binary, text binary, at binary"
+class Contexts:
+    """The distinct contexts of a part's shared anchors, numbered by the bucket of their anchor, and
+    where they occur. The same part gives the same numbers in every pass."""
 
-
-def _send(buckets: int):
-    def send(table: pa.Table, told: pa.Table) -> pa.Table:
-        """Rows with a bucket: distinct contexts (number, size, least and greatest id, bytes). One row
-        without: the occurrences of all contexts (number, first window), kept for the last pass."""
-        if not table.num_rows:
-            return _packed_rows([], SENT)
-        part = table.column("part")[0].as_py()
-        shared = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in told.column("shared").to_pylist()] or [np.empty(0, np.uint64)]))
-        held = Part(table)
-        text = held.data.tobytes()
+    def __init__(self, held: Part, told: pa.Table, asked_buckets: int, buckets: int):
+        keys = [(_U(b) << _U(32)) | np.frombuffer(x, np.uint32).astype(np.uint64)
+                for b, x in zip(told.column("bucket").to_pylist(), told.column("shared").to_pylist()) if x is not None]
+        shared = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
         number: dict[bytes, int] = {}
-        hashes, low, high, places, numbers = [], [], [], [], []
+        hashes, least, several, places, numbers = [], [], [], [], []
         for h, at, n, d in held.anchored() if len(shared) else ():
-            k = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-            ok = np.flatnonzero(shared[k] == h)
+            key = (_bucket(h, asked_buckets) << _U(32)) | (h & _EVEN)
+            ok = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
             for hk, a, m, i in zip(h[ok].tolist(), at[ok].tolist(), n[ok].tolist(), d[ok].tolist()):
-                context = text[a:a + m + SPAN - 1]
-                c = number.setdefault(context, len(number))
+                c = number.setdefault(held.text[a:a + m + SPAN - 1], len(number))
                 if c == len(hashes):
                     hashes.append(hk)
-                    low.append(i)
-                    high.append(i)
-                elif i < low[c]:
-                    low[c] = i
-                elif i > high[c]:
-                    high[c] = i
+                    least.append(i)
+                    several.append(0)
+                elif i != least[c]:
+                    several[c] = 1
+                    least[c] = min(least[c], i)
                 places.append(a)
                 numbers.append(c)
-        rows = []
-        if numbers:
-            contexts = list(number)
-            where = ((np.array(hashes, np.uint64) >> _U(33)) % _U(buckets)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            cuts = np.flatnonzero(np.diff(where[order])) + 1
-            low, high = np.array(low, np.int64), np.array(high, np.int64)
-            for pick in np.split(order, cuts):
-                own = [contexts[k] for k in pick.tolist()]
-                rows.append((int(where[pick[0]]), part, pick.astype(np.int32).tobytes(),
-                             np.array([len(x) for x in own], np.int32).tobytes(),
-                             np.stack((low[pick], high[pick])).tobytes(), b"".join(own), None))
-            rows.append((-1, part, np.array(numbers, np.int32).tobytes(), None, None, None, np.array(places, np.int64).tobytes()))
+        self.bucket = _bucket(np.array(hashes, np.uint64), buckets).astype(np.int64)
+        self.order = np.argsort(self.bucket, kind="stable")
+        renumbered = np.empty(len(hashes), np.int64)
+        renumbered[self.order] = np.arange(len(hashes))
+        self.texts, self.least, self.several = list(number), np.array(least, np.int64), np.array(several, np.uint8)
+        self.places = np.array(places, np.int64)
+        self.numbers = renumbered[np.array(numbers, np.int64)] if numbers else np.empty(0, np.int64)
+
+
+SENT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("first_number", pa.int64()), ("size", pa.binary()),
+                  ("least", pa.binary()), ("several", pa.binary()), ("text", pa.binary())])
+SENT_SQL = "bucket long, part long, first_number long, size binary, least binary, several binary, text binary"
+
+
+def _send(asked_buckets: int, buckets: int):
+    def send(table: pa.Table, told: pa.Table) -> pa.Table:
+        """A part's contexts by bucket: sizes, least ids, whether several documents of the part hold them,
+        and their bytes; numbered on from ``first_number``."""
+        if not table.num_rows:
+            return _packed_rows([], SENT)
+        part = table.column("part")[0].as_py()
+        c = Contexts(Part(table), told, asked_buckets, buckets)
+        rows, number = [], 0
+        for pick in np.split(c.order, np.flatnonzero(np.diff(c.bucket[c.order])) + 1) if len(c.order) else ():
+            own = [c.texts[k] for k in pick.tolist()]
+            rows.append((int(c.bucket[pick[0]]), part, number, (np.array([len(x) for x in own]) - SPAN).astype(np.uint8).tobytes(),
+                         c.least[pick].tobytes(), c.several[pick].tobytes(), b"".join(own)))
+            number += len(pick)
         return _packed_rows(rows, SENT)
 
     return send
@@ -209,7 +219,7 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     room = np.repeat(ends, np.diff(np.concatenate(([0], ends)))) - np.arange(n)      # bytes to the context's end
     eight = packed_bytes(data)
     places = np.flatnonzero(room >= 8)
-    order = np.argsort(eight[places], kind="stable")
+    order = np.argsort(eight[places])
     key = eight[places[order]]
     rank = np.zeros(n, np.int64)
     rank[places[order]] = _group_starts(key[1:] != key[:-1])
@@ -223,7 +233,7 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         loose = places[equal]
         if len(loose):
             a, b = rank[loose], rank[loose + step]
-            order = np.argsort((a << 32) | b, kind="stable")
+            order = np.argsort((a << 32) | b)
             a, b, loose = a[order], b[order], loose[order]
             split = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             inside = _group_starts(split)
@@ -255,7 +265,7 @@ def common_prefixes(data: np.ndarray, places: np.ndarray, rank: np.ndarray, ends
     (equal windows say nothing about the order of what follows: then it starts anew). All contexts
     are walked side by side, eight bytes at a time while they agree."""
     eight = packed_bytes(data)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     sorted_places = places[order]
     before = np.full(len(data) + 1, -1, np.int64)
     before[sorted_places[1:]] = sorted_places[:-1]
@@ -292,7 +302,7 @@ def common_prefixes(data: np.ndarray, places: np.ndarray, rank: np.ndarray, ends
 def window_minima(data: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, group of each, least id of each group) of one shard's windows, groups in byte order."""
     places, rank = suffix_ranks(data, ends)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     equal = common_prefixes(data, places, rank, ends) >= SPAN
     group_sorted = np.cumsum(~equal) - 1 if len(equal) else np.empty(0, np.int64)
     group = np.empty(len(places), np.int64)
@@ -308,24 +318,24 @@ ANSWER_SQL = "part long, context binary, first binary, n binary, least binary"
 
 def _resolve(table: pa.Table) -> pa.Table:
     """For each part that sent contexts to this bucket: runs of windows with their least id, where
-    that is smaller than the greatest id the part has for the context."""
-    column = {c: table.column(c).to_pylist() for c in ("part", "context", "size", "least", "text")}
+    that is smaller than an id the part has for the context."""
+    column = {c: table.column(c).to_pylist() for c in ("part", "first_number", "size", "least", "several", "text")}
     number: dict[bytes, int] = {}
     least_of: list[int] = []
     asked = []
-    for part, context, size, least, text in zip(*column.values()):
-        sizes = np.frombuffer(size, np.int32)
-        low, high = np.frombuffer(least, np.int64).reshape(2, -1)
-        cuts = np.concatenate(([0], np.cumsum(sizes))).tolist()
+    for part, first, size, least, several, text in zip(*column.values()):
+        own = np.frombuffer(least, np.int64)
+        cuts = np.concatenate(([0], np.cumsum(np.frombuffer(size, np.uint8).astype(np.int64) + SPAN))).tolist()
         mine = []
-        for k, i in enumerate(low.tolist()):
+        for k, i in enumerate(own.tolist()):
             c = number.setdefault(text[cuts[k]:cuts[k + 1]], len(number))
             if c == len(least_of):
                 least_of.append(i)
             elif i < least_of[c]:
                 least_of[c] = i
             mine.append(c)
-        asked.append((part, np.frombuffer(context, np.int32), np.array(mine, np.int64), high))
+        greatest = np.where(np.frombuffer(several, np.uint8) > 0, np.iinfo(np.int64).max, own)
+        asked.append((part, first + np.arange(len(mine)), np.array(mine, np.int64), greatest))
     contexts, ids = list(number), np.array(least_of, np.int64)
 
     shards = []
@@ -363,61 +373,57 @@ def _resolve(table: pa.Table) -> pa.Table:
     low = np.searchsorted(run_context, np.arange(len(contexts)))
     count = np.searchsorted(run_context, np.arange(len(contexts)), side="right") - low
     rows = []
-    for part, context, mine, high in asked:
+    for part, context, mine, greatest in asked:
         each = np.repeat(np.arange(len(mine)), count[mine])
         offset = np.arange(len(each)) - np.repeat(np.cumsum(count[mine]) - count[mine], count[mine])
         run = low[mine][each] + offset
-        useful = run_least[run] < high[each]
+        useful = run_least[run] < greatest[each]
         run, each = run[useful], each[useful]
-        rows.append((part, context[each].astype(np.int32).tobytes(), run_first[run].astype(np.int32).tobytes(),
-                     run_n[run].astype(np.int32).tobytes(), run_least[run].astype(np.int64).tobytes()))
+        rows.append((part, context[each].astype(np.int32).tobytes(), run_first[run].astype(np.uint8).tobytes(),
+                     run_n[run].astype(np.uint8).tobytes(), run_least[run].astype(np.int64).tobytes()))
     return _packed_rows(rows, ANSWER)
 
 
-def _cut_part(table: pa.Table, told: pa.Table) -> pa.Table:
-    """The documents of a part with the marked bytes cut."""
-    schema = pa.schema([("doc_id", table.schema.field("doc_id").type), ("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
-    if not table.num_rows:
-        return _packed_rows([], schema)
-    held = Part(table)
-    whole = np.concatenate((held.ends - held.sizes, [len(held.data)]))
-    edge = np.zeros(len(held.data) + 1, np.int32)
-    places = numbers = None
-    runs = []
-    for context, at, first, n, least in zip(*(told.column(c).to_pylist() for c in ("context", "at", "first", "n", "least"))):
-        if at is not None:
-            numbers, places = np.frombuffer(context, np.int32).astype(np.int64), np.frombuffer(at, np.int64)
-        else:
-            runs.append(np.stack((np.frombuffer(context, np.int32).astype(np.int64), np.frombuffer(first, np.int32).astype(np.int64),
-                                  np.frombuffer(n, np.int32).astype(np.int64), np.frombuffer(least, np.int64))))
-    if places is not None and runs:
-        run = np.concatenate(runs, axis=1)
-        run = run[:, np.argsort(run[0], kind="stable")]
-        low, high = np.searchsorted(run[0], numbers), np.searchsorted(run[0], numbers, side="right")
-        count = high - low
-        each = np.repeat(np.arange(len(numbers)), count)
-        pick = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count) + low[each]
-        ids = np.array([i or 0 for i in held.ids], np.int64)
-        doc = ids[np.searchsorted(held.ends, places[each], side="right")]
-        marked = run[3][pick] < doc
-        start = places[each[marked]] + run[1][pick[marked]]
-        stop = start + run[2][pick[marked]] + SPAN - 1
-        edge += np.bincount(start, minlength=len(edge)).astype(np.int32)
-        edge -= np.bincount(stop, minlength=len(edge)).astype(np.int32)
-    gone = np.cumsum(edge[:-1]) > 0
-    removed = np.concatenate(([0], np.cumsum(gone)))
-    rows = []
-    for k, i in enumerate(held.ids):
-        a, b = int(whole[k]), int(held.ends[k])
-        own = held.data[a:b]
-        m = int(removed[b] - removed[a])
-        spans = 0
-        if m:
-            mask = gone[a:b]
-            spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())
-            own = own[~mask]
-        rows.append((i, own.tobytes(), m, spans))
-    return _packed_rows(rows, schema)
+def _cut_part(asked_buckets: int, buckets: int):
+    def cut_part(table: pa.Table, told: pa.Table) -> pa.Table:
+        """The documents of a part with the marked bytes cut."""
+        schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
+        if not table.num_rows:
+            return _packed_rows([], schema)
+        held = Part(table)
+        c = Contexts(held, told, asked_buckets, buckets)
+        edge = np.zeros(len(held.data) + 1, np.int32)
+        runs = [np.stack((np.frombuffer(context, np.int32).astype(np.int64), np.frombuffer(first, np.uint8).astype(np.int64),
+                          np.frombuffer(n, np.uint8).astype(np.int64), np.frombuffer(least, np.int64)))
+                for context, first, n, least in zip(*(told.column(x).to_pylist() for x in ("context", "first", "n", "least")))
+                if context is not None]
+        if len(c.places) and runs:
+            run = np.concatenate(runs, axis=1)
+            run = run[:, np.argsort(run[0])]
+            low, high = np.searchsorted(run[0], c.numbers), np.searchsorted(run[0], c.numbers, side="right")
+            count = high - low
+            each = np.repeat(np.arange(len(c.numbers)), count)
+            pick = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count) + low[each]
+            ids = np.array([i or 0 for i in held.ids], np.int64)
+            doc = ids[np.searchsorted(held.ends, c.places[each], side="right")]
+            marked = run[3][pick] < doc
+            start = c.places[each[marked]] + run[1][pick[marked]]
+            stop = start + run[2][pick[marked]] + SPAN - 1
+            edge += np.bincount(start, minlength=len(edge)).astype(np.int32)
+            edge -= np.bincount(stop, minlength=len(edge)).astype(np.int32)
+        gone = np.cumsum(edge[:-1]) > 0
+        removed = np.concatenate(([0], np.cumsum(gone)))
+        rows = []
+        for i, a, b in zip(held.ids, (held.ends - held.sizes).tolist(), held.ends.tolist()):
+            m, spans, kept = int(removed[b] - removed[a]), 0, held.text[a:b]
+            if m:
+                mask = gone[a:b]
+                spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())
+                kept = held.data[a:b][~mask].tobytes()
+            rows.append((i, kept, m, spans))
+        return _packed_rows(rows, schema)
+
+    return cut_part
 
 
 def remove_repeats(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -426,24 +432,26 @@ def remove_repeats(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     body = F.coalesce(col(text), F.lit("")).cast("binary")
-    total = docs.select(F.sum(F.octet_length(col(text)))).first()[0] or 0
+    size = docs.select(F.sum(F.octet_length(col(text))), F.count(F.lit(1))).first()
+    total, n_rows = size[0] or 0, size[1]
     parts = max(1, -(-total // PART_BYTES))
-    files = max(1, -(-parts // 2))
-    rows = docs.select(F.pmod(F.xxhash64(col(doc_id), col(text)), F.lit(parts)).alias("part"),
-                       col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
+    rows_of_part = max(1, n_rows // parts)
+    row = F.monotonically_increasing_id()            # the upper bits number the scan's tasks
+    part = F.shiftright(row, 33) * (1 << 22) + F.floor(row.bitwiseAND((1 << 33) - 1) / rows_of_part)
+    rows = docs.select(part.cast("long").alias("part"), col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
     # a bucketed table: each pass finds a part's rows together without another shuffle
     name = f"repeats_{uuid.uuid4().hex}"
-    (rows.repartition(files, "part").write.option("path", scratch_path(spark, "repeat-parts"))
-     .bucketBy(files, "part").saveAsTable(name))
+    (rows.write.option("path", scratch_path(spark, "repeat-parts")).option("compression", "zstd")
+     .bucketBy(max(1, -(-parts // 4)), "part").saveAsTable(name))
     dealt = spark.table(name)
     by_part = lambda df: df.groupBy("part")
 
-    asked = cut(by_part(dealt).applyInArrow(_ask(parts), ASKED_SQL), "repeat-asked")
-    shared = cut(asked.groupBy("bucket").applyInArrow(_tell_shared, "part long, shared binary"), "repeat-shared")
-    n_shared = shared.select(F.sum(F.octet_length("shared"))).first()[0] or 0
-    buckets = max(1, -(-(n_shared // 8) // SHARD_CONTEXTS))
-    sent = cut(by_part(dealt).cogroup(by_part(shared)).applyInArrow(_send(buckets), SENT_SQL), "repeat-sent")
-    answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_resolve, ANSWER_SQL)
-    told = answers.withColumn("at", F.lit(None).cast("binary")).unionByName(
-        sent.where("bucket < 0").select("part", "context", "at"), allowMissingColumns=True)
-    return by_part(dealt).cogroup(by_part(told)).applyInArrow(_cut_part, "doc_id long, kept binary, n_removed long, n_spans long")
+    asked = by_part(dealt).applyInArrow(_ask(parts), ASKED_SQL)
+    shared = cut(asked.groupBy("bucket").applyInArrow(_tell_shared, TOLD_SQL), "repeat-shared")
+    n_shared = (shared.select(F.sum(F.octet_length("shared"))).first()[0] or 0) // 4
+    buckets = max(1, -(-n_shared // SHARD_CONTEXTS))
+    sent = by_part(dealt).cogroup(by_part(shared)).applyInArrow(_send(parts, buckets), SENT_SQL)
+    answers = sent.groupBy("bucket").applyInArrow(_resolve, ANSWER_SQL)
+    told = shared.unionByName(answers, allowMissingColumns=True)
+    return by_part(dealt).cogroup(by_part(told)).applyInArrow(
+        _cut_part(parts, buckets), "doc_id long, kept binary, n_removed long, n_spans long")
