@@ -100,11 +100,12 @@ def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Colum
     items = benchmark_items(bench, item_id, item_text, width)
     anchors = rare_anchors(docs, text, items)
     found = alignments(anchor_postings(docs, text, anchors), anchors, slop)
-    by_text = (found.join(small_side(items), "item")
-               .groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "iw", "n", "w", "shift")).alias("found")))
+    # stored, so that the join below shuffles both sides itself and AQE can split the copies of one text
+    by_text = cut(found.join(small_side(items), "item")
+                  .groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "iw", "n", "w", "shift")).alias("found")), "decon-found")
 
     held = docs.select(packed(docs).alias("row"), text.alias("text"), *text_key(text))
-    held = (held.join(by_text, ["k1", "k2"], "left")
+    held = (held.join(by_text.hint("merge"), ["k1", "k2"], "left")     # one plan at every size
             .select("row", "found", raw_words(F.col("text")).alias("words")))
 
     def windows(words: Column, x: Column) -> Column:
