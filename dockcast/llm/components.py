@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star steps on a table of edges.
 
-Each step is a minimum for each node (combined before the shuffle) joined back to the edges, where
-AQE splits a hot node. Lineage is cut by a stored table after every round; only an edge count and a
+Each step is a minimum for each node (combined before the shuffle) joined back to the edges. The
+minima are stored first, so that the join shuffles both sides itself and AQE can split a hot node's
+edges over tasks. Lineage is cut by a stored table after every round; only an edge count and a
 checksum reach the driver.
 """
 
@@ -30,10 +31,11 @@ def components(edges: DataFrame) -> DataFrame:
             break
         # large star: every greater neighbour of u goes to the least node around u
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: u and its lesser neighbours go to the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut(large, "edges")
+        least = cut(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = cut(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
