@@ -210,7 +210,8 @@ def jaccard_join(docs: DataFrame, doc_id: str, text: str, threshold: float = THR
     heads = places.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = places.join(heads, "band").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     groups = cut(components(stars), "join-groups")
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    # stored, as the heads of components below: their joins then shuffle both sides, and AQE can split a large group
+    sizes = cut(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "join-sizes")
     n_members = groups.count()
     bins = max(1, -(-n_members // BIN))
     members = (groups.join(sizes, "component").join(nodes.select("node", "rank", "copies"), "node")
@@ -231,7 +232,8 @@ def jaccard_join(docs: DataFrame, doc_id: str, text: str, threshold: float = THR
 
     classes = (nodes.join(links, "node", "left").join(linked, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))
-    firsts = classes.groupBy("component").agg(F.min("rank").alias("head"))
+    classes = cut(classes, "join-classes")
+    firsts = cut(classes.groupBy("component").agg(F.min("rank").alias("head")), "join-heads")
     classes = (classes.join(firsts, "component")
                .select("s1", "s2", F.col("head").alias("head"), F.coalesce("links", F.lit(0)).alias("n_text_links"),
                        (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
