@@ -40,7 +40,7 @@ def main(argv):
     qs, sqls = E.queries(), E.oracle_sql()
     print(f"# Physical plans of the registered queries\n\nFinal adaptive plans after running each key on `{sf_dir}` "
           "(local[8], AQE on). Counts are plan nodes of the whole query, subqueries included; "
-          "`shuffles` counts exchanges (the small-input `spread` repartition and the stored tables' own "
+          "`shuffles` counts exchanges (the stored tables' own "
           "one-time writes are not part of a downstream query's plan). Generated by `tests/plan_report.py`.\n")
     cols = list(PATTERNS)
     print("| key | check | " + " | ".join(cols) + " |")
