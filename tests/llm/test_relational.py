@@ -6,7 +6,7 @@ import re
 import brute
 import pytest
 from pyspark.sql import functions as F
-from test_support import CLASH, pairs, same
+from test_support import CLASH, edge_docs, no_docs, pairs, same  # noqa: F401  (fixtures)
 
 from dockcast.llm import chat, decontamination, mixing, sharding
 

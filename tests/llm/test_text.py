@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_support import pairs, prose, same
+from test_support import edge_docs, no_docs, pairs, prose, same  # noqa: F401  (fixtures)
 
 from dockcast.llm import extraction, ngram_join, quality, suffix_dedup, tokens, toxicity
 from dockcast.llm.components import components
