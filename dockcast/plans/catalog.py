@@ -465,7 +465,6 @@ def q_export_ordered(spark, sf_dir):
 
 TRAIN_HIDDEN = "20-20"     # first topology of the service's search list
 TRAIN_ITERS = 100          # the service's default
-SEARCH_ITERS = 3           # a parameter of the service's route, without a default there
 _MODELS: dict[tuple, str] = {}        # (input mark, hidden, iters, scratch root) -> saved model folder
 
 
@@ -611,11 +610,11 @@ def _forecast(scored: DataFrame) -> DataFrame:
 
 @register("search_topology")
 def q_search_topology(spark, sf_dir):
-    """M7: 3-fold CV (hash folds) over all topologies, F1; the best model is saved and evaluated on the
+    """M7: 3-fold CV (hash folds) over all topologies with the default iterations, F1; the best model is saved and evaluated on the
     held-out part. One row per topology."""
     train, test = training_rows(spark, sf_dir)
     folded = sp.fold_column(train)
-    best, scores = mo.search(folded, mo.SEARCH_HIDDEN, SEARCH_ITERS, fold_col="fold")
+    best, scores = mo.search(folded, mo.SEARCH_HIDDEN, TRAIN_ITERS, fold_col="fold")
     again = mo.load(spark, mo.save(best, mo.model_path(spark, list(mo.mlp_stage(best).getLayers()))))
     held = me.accuracy(me.confusion_counts(mo.predict(again, test))).first()
     top = max(f1 for _, _, f1 in scores)

@@ -117,3 +117,19 @@ def test_zero_feature_vector_stays_zero(spark):
     out = {r.dtUpdate: r for r in fe.features_l2(rows).collect()}
     assert [out[0][f"f{i}"] for i in range(5)] == [0.0] * 5
     assert abs(sum(out[1][f"f{i}"] ** 2 for i in range(5)) - 1.0) < 1e-12
+
+
+def test_search_query_fits_all_topologies_with_the_default_iterations(spark, monkeypatch):
+    asked = []
+
+    class Stopped(Exception):
+        pass
+
+    def search(rows, hidden, max_iter, **_):
+        asked.append((list(hidden), max_iter))
+        raise Stopped
+
+    monkeypatch.setattr(mo, "search", search)
+    with pytest.raises(Stopped):
+        cat.q_search_topology(spark, SF_CHECK)
+    assert asked == [(mo.SEARCH_HIDDEN, 100)] and len(mo.SEARCH_HIDDEN) == 10
