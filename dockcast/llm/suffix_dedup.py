@@ -10,7 +10,11 @@ Every byte goes that a 50-byte string covers which also starts in a document of
    32 bits beside the bucket: a chance meeting adds work, never a result.)
 3. Shards: each part sends the context of its shared anchors, all windows that the anchor represents,
    to the bucket of the hash; equal contexts of a part are sent once, with their least document id.
-   A hot passage is therefore at most one context for each part.
+   A hot passage is therefore at most one context for each part. A hot anchor (a short phrase with
+   different text around it) has a context for each occurrence: parts tell how many distinct ones
+   they have, and beyond ``HOT_CONTEXTS`` the anchor is split. Its windows are dealt singly, each by
+   the hash of all its 50 bytes, once a further round of requests has dropped those that occur in one
+   document alone. Equal windows have one anchor, so they are all split or none is, and still meet.
 4. Each shard of contexts gets a suffix array: suffixes are sorted by 8 bytes and refined by doubling
    (Larsson and Sadakane: only groups still equal are sorted again, by the rank of what follows) to
    50 bytes. Kasai's walk gives the common prefixes of neighbours; runs of at least 50 bytes are equal
@@ -41,17 +45,20 @@ SPAN = 50                     # bytes of a repeated string
 GRAM = 20                     # bytes that an anchor's hash covers
 PART_BYTES = 4 << 20          # text of a part, about
 SHARD_CONTEXTS = 20_000       # contexts of a suffix array
+HOT_CONTEXTS = 5_000          # contexts of an anchor, beyond which its windows are dealt singly
+MANY = 8                      # distinct contexts of an anchor in a part, from which on they are counted
 SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _PLACE = _U((1 << 31) - 1)    # low bits of a window's key: the place; the others: the hash
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, number of windows) of every anchor; a run of windows with one minimizer.
+def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, number of windows, hash of the context) of every anchor; a run of windows
+    with one minimizer.
     ``bounds`` has the documents' ends in ``data``; windows do not cross them."""
     n = len(data)
-    none = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    none = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     if n < SPAN:
         return none
     power, inverse = powers(n + 1)
@@ -71,7 +78,23 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return none
     place = (least[windows] & _PLACE).astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (windows[1:] != windows[:-1] + 1))))
-    return gram[place[new]], windows[new], np.diff(np.concatenate((new, [len(windows)])))
+    first, many = windows[new], np.diff(np.concatenate((new, [len(windows)])))
+    context = mixed((total[first + many + SPAN - 1] - total[first]) * inverse[first])
+    return gram[place[new]], first, many, context
+
+
+def window_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The hash of the whole window at each place."""
+    power, out = powers(SPAN)[0][:SPAN], [np.empty(0, np.uint64)]
+    for k in range(0, len(places), 1 << 15):
+        view = np.lib.stride_tricks.sliding_window_view(data, SPAN)[places[k:k + (1 << 15)]]
+        out.append(mixed(((view.astype(np.uint64) + _U(1)) * power).sum(axis=1, dtype=np.uint64)))
+    return np.concatenate(out)
+
+
+def each_window(at: np.ndarray, n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, document id) of the single windows of runs."""
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), np.repeat(ids, n)
 
 
 class Part:
@@ -86,19 +109,20 @@ class Part:
         self.text = b"".join([texts[k] for k in order])
         self.data = np.frombuffer(self.text, np.uint8)
 
-    def anchored(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(hash, first window in ``data``, number of windows, document id) by runs of documents."""
+    def anchored(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(hash, first window in ``data``, number of windows, document id, hash of the context) by runs
+        of documents."""
         first = 0
         while first < len(self.ids):
             base = int(self.ends[first - 1]) if first else 0
             last = max(first + 1, int(np.searchsorted(self.ends, base + SLICE_BYTES, side="right")))
             ends = self.ends[first:last] - base
-            h, at, n = anchors(self.data[base:base + int(ends[-1])], ends)
+            h, at, n, context = anchors(self.data[base:base + int(ends[-1])], ends)
             doc = np.searchsorted(ends, at, side="right")
             known = np.array([i is not None for i in self.ids[first:last]])
             ids = np.array([i or 0 for i in self.ids[first:last]], np.int64)
             ok = known[doc] if len(doc) else np.empty(0, bool)
-            yield h[ok], at[ok] + base, n[ok], ids[doc[ok]] if len(doc) else np.empty(0, np.int64)
+            yield h[ok], at[ok] + base, n[ok], ids[doc[ok]] if len(doc) else np.empty(0, np.int64), context[ok]
             first = last
 
 
@@ -106,9 +130,11 @@ def _packed_rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-ASKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary())])
-ASKED_SQL = "bucket long, part long, hashes binary"
-TOLD_SQL = "part long, bucket long, shared binary"
+ASKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary()), ("many", pa.binary())])
+ASKED_SQL = "bucket long, part long, hashes binary, many binary"
+TOLD = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary()), ("whole", pa.bool_()),
+                  ("contexts", pa.int64()), ("hot", pa.int64())])
+TOLD_SQL = "part long, bucket long, shared binary, whole boolean, contexts long, hot long"
 _EVEN = _U(0xFFFFFFFE)
 
 
@@ -116,40 +142,112 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return (h >> _U(33)) % _U(buckets)
 
 
+def _key(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (_bucket(h, buckets) << _U(32)) | (h & _EVEN)
+
+
+def _asked(part: int, key: np.ndarray, d: np.ndarray, context: np.ndarray | None = None) -> pa.Table:
+    """A part's distinct keys by bucket, 31 bits each; the 32nd says that two documents of the part hold
+    the key. ``many``: keys with at least ``MANY`` distinct contexts in the part, and how many."""
+    if not len(key):
+        return _packed_rows([], ASKED)
+    order = np.argsort(key)
+    key, d = key[order], d[order]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.concatenate((starts, [len(key)])))
+    many, number = np.empty(0, np.uint64), np.empty(0, np.int64)
+    if context is not None:
+        often = np.repeat(size >= MANY, size)
+        k, c = key[often], context[order][often]
+        by_context = np.lexsort((c, k))
+        k, c = k[by_context], c[by_context]
+        new = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))[:len(k)]
+        many, number = np.unique(k[new], return_counts=True)
+        many, number = many[number >= MANY], number[number >= MANY]
+    twice = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
+    key = key[starts] | twice.astype(np.uint64)
+    rows = []
+    for k in np.split(key, np.flatnonzero(np.diff(key >> _U(32))) + 1):
+        bucket = k[0] >> _U(32)
+        low, high = np.searchsorted(many, [bucket << _U(32), (bucket + _U(1)) << _U(32)])
+        counted = np.stack((many[low:high].astype(np.uint32), number[low:high].astype(np.uint32)), axis=1)
+        rows.append((int(bucket), part, k.astype(np.uint32).tobytes(), counted.tobytes()))
+    return _packed_rows(rows, ASKED)
+
+
 def _ask(buckets: int):
     def ask(table: pa.Table) -> pa.Table:
-        """A part's distinct anchors by bucket, 31 bits each; the 32nd says that it holds the anchor in
-        two documents itself."""
-        part = table.column("part")[0].as_py()
-        found = [(h, d) for h, _, _, d in Part(table).anchored()]
-        h, d = (np.concatenate(x) for x in zip(*found))
-        if not len(h):
+        """A part's anchors."""
+        found = [(h, d, c) for h, _, _, d, c in Part(table).anchored()]
+        h, d, c = (np.concatenate(x) for x in zip(*found))
+        return _asked(table.column("part")[0].as_py(), _key(h, buckets), d, c)
+
+    return ask
+
+
+def _ask_windows(buckets: int):
+    def ask(table: pa.Table, told: pa.Table) -> pa.Table:
+        """A part's windows of hot anchors."""
+        if not table.num_rows or not told.num_rows:
             return _packed_rows([], ASKED)
-        key = (_bucket(h, buckets) << _U(32)) | (h & _EVEN)
-        order = np.argsort(key)
-        key, d = key[order], d[order]
-        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        twice = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
-        key = key[starts] | twice.astype(np.uint64)
-        cuts = np.flatnonzero(np.diff(key >> _U(32))) + 1
-        return _packed_rows([(int(k[0] >> _U(32)), part, k.astype(np.uint32).tobytes()) for k in np.split(key, cuts)], ASKED)
+        held, anchor = Part(table), Told(told, False)
+        found = []
+        for h, at, n, d, _ in held.anchored():
+            hot = anchor.find(_key(h, buckets))[1]
+            places, ids = each_window(at[hot], n[hot], d[hot])
+            found.append((_key(window_hashes(held.data, places), buckets), ids))
+        return _asked(table.column("part")[0].as_py(), *(np.concatenate(x) for x in zip(*found)))
 
     return ask
 
 
-def _tell_shared(table: pa.Table) -> pa.Table:
-    """For each part of a bucket the anchors that occur in two documents anywhere."""
-    bucket = table.column("bucket")[0].as_py()
-    hashes = [np.frombuffer(x, np.uint32) for x in table.column("hashes").to_pylist()]
-    flat = np.concatenate(hashes)
-    distinct, inverse, count = np.unique(flat & np.uint32(_EVEN), return_inverse=True, return_counts=True)
-    shared = count > 1
-    shared[inverse[(flat & np.uint32(1)) > 0]] = True
-    keep, rows, low = shared[inverse], [], 0
-    for part, h in zip(table.column("part").to_pylist(), hashes):
-        rows.append((part, bucket, (h[keep[low:low + len(h)]] & np.uint32(_EVEN)).tobytes()))
-        low += len(h)
-    return _packed_rows(rows, pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary())]))
+def _tell_shared(hot: int | None):
+    """``hot``: the contexts beyond which an anchor is hot; None: the keys are those of whole windows."""
+    def tell(table: pa.Table) -> pa.Table:
+        """For each part of a bucket the keys that occur in two documents anywhere, 31 bits each; the
+        32nd says that the anchor is hot. With the contexts that the others will send, and the hot ones."""
+        bucket = table.column("bucket")[0].as_py()
+        hashes = [np.frombuffer(x, np.uint32) for x in table.column("hashes").to_pylist()]
+        many = [np.frombuffer(x, np.uint32).reshape(-1, 2) for x in table.column("many").to_pylist()]
+        flat = np.concatenate(hashes)
+        distinct, inverse, count = np.unique(flat & np.uint32(_EVEN), return_inverse=True, return_counts=True)
+        shared = count > 1
+        shared[inverse[(flat & np.uint32(1)) > 0]] = True
+        total = count.astype(np.int64)
+        for m in many:
+            total[np.searchsorted(distinct, m[:, 0])] += m[:, 1].astype(np.int64) - 1
+        split = shared & (total > hot) if hot is not None else np.zeros(len(distinct), bool)
+        rows, low = [], 0
+        for part, h, m in zip(table.column("part").to_pylist(), hashes, many):
+            own = inverse[low:low + len(h)]
+            own = own[shared[own]]
+            counted = np.searchsorted(distinct, m[:, 0])
+            more = int((m[:, 1].astype(np.int64) - 1)[shared[counted] & ~split[counted]].sum())
+            rows.append((part, bucket, (distinct[own] | split[own].astype(np.uint32)).tobytes(), hot is None,
+                         int((~split[own]).sum()) + more, int(split[own].sum())))
+            low += len(h)
+        return _packed_rows(rows, TOLD)
+
+    return tell
+
+
+class Told:
+    """The shared keys of a part: of its anchors, or of its hot anchors' whole windows."""
+
+    def __init__(self, told: pa.Table, whole: bool):
+        keys = [(_U(b) << _U(32)) | np.frombuffer(x, np.uint32).astype(np.uint64) for b, x, w in
+                zip(*(told.column(c).to_pylist() for c in ("bucket", "shared", "whole"))) if x is not None and w == whole]
+        self.keys = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+        self.hot = (self.keys & _U(1)) > 0
+        self.keys &= ~_U(1)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are shared, and which are those of hot anchors."""
+        if not len(self.keys):
+            return np.zeros(len(key), bool), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        ok = self.keys[at] == key
+        return ok, ok & self.hot[at]
 
 
 class Contexts:
@@ -157,14 +255,19 @@ class Contexts:
     where they occur. The same part gives the same numbers in every pass."""
 
     def __init__(self, held: Part, told: pa.Table, asked_buckets: int, buckets: int):
-        keys = [(_U(b) << _U(32)) | np.frombuffer(x, np.uint32).astype(np.uint64)
-                for b, x in zip(told.column("bucket").to_pylist(), told.column("shared").to_pylist()) if x is not None]
-        shared = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+        anchor, window = Told(told, False), Told(told, True)
         number: dict[bytes, int] = {}
         hashes, least, several, places, numbers = [], [], [], [], []
-        for h, at, n, d in held.anchored() if len(shared) else ():
-            key = (_bucket(h, asked_buckets) << _U(32)) | (h & _EVEN)
-            ok = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
+        for h, at, n, d, _ in held.anchored() if len(anchor.keys) else ():
+            ok, hot = anchor.find(_key(h, asked_buckets))
+            if hot.any():               # their windows singly, by their own hash
+                single, ids = each_window(at[hot], n[hot], d[hot])
+                by = window_hashes(held.data, single)
+                here = window.find(_key(by, asked_buckets))[0]
+                ok &= ~hot
+                h, at, n, d = (np.concatenate((x[ok], y[here])) for x, y in
+                               ((h, by), (at, single), (n, np.ones(len(by), np.int64)), (d, ids)))
+                ok = np.ones(len(h), bool)
             for hk, a, m, i in zip(h[ok].tolist(), at[ok].tolist(), n[ok].tolist(), d[ok].tolist()):
                 c = number.setdefault(held.text[a:a + m + SPAN - 1], len(number))
                 if c == len(hashes):
@@ -447,9 +550,12 @@ def remove_repeats(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     by_part = lambda df: df.groupBy("part")
 
     asked = by_part(dealt).applyInArrow(_ask(parts), ASKED_SQL)
-    shared = cut(asked.groupBy("bucket").applyInArrow(_tell_shared, TOLD_SQL), "repeat-shared")
-    n_shared = (shared.select(F.sum(F.octet_length("shared"))).first()[0] or 0) // 4
-    buckets = max(1, -(-n_shared // SHARD_CONTEXTS))
+    shared = cut(asked.groupBy("bucket").applyInArrow(_tell_shared(HOT_CONTEXTS), TOLD_SQL), "repeat-shared")
+    if shared.where("hot > 0").limit(1).count():
+        asked = by_part(dealt).cogroup(by_part(shared.where("hot > 0"))).applyInArrow(_ask_windows(parts), ASKED_SQL)
+        shared = shared.unionByName(cut(asked.groupBy("bucket").applyInArrow(_tell_shared(None), TOLD_SQL), "repeat-windows"))
+    n_contexts = shared.select(F.sum("contexts")).first()[0] or 0
+    buckets = max(1, -(-n_contexts // SHARD_CONTEXTS))
     sent = by_part(dealt).cogroup(by_part(shared)).applyInArrow(_send(parts, buckets), SENT_SQL)
     answers = sent.groupBy("bucket").applyInArrow(_resolve, ANSWER_SQL)
     told = shared.unionByName(answers, allowMissingColumns=True)

@@ -55,6 +55,48 @@ def test_shards_of_a_bucket_are_merged(monkeypatch):
     assert isinstance(sent(), pa.Table)
 
 
+def hot_phrase_rows(n):
+    """A frequent phrase of 49 bytes with different text around it, some of it alike."""
+    rng = random.Random(11)
+    phrase = "The terms of use apply to every page of this site"
+    pool = ["".join(rng.choices("abcdefgh ", k=200)) for _ in range(10)]
+    around = lambda: rng.choice(pool) if rng.random() < 0.2 else "".join(rng.choices("abcdefgh ", k=200))
+    return [(k, around() + phrase + around()) for k in range(n)]
+
+
+@pytest.mark.parametrize("hot", [20, 10 ** 9])
+def test_repeats_around_a_hot_phrase(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+    rows = hot_phrase_rows(300)
+    wanted = brute.remove_repeats(rows)
+    assert sum(w[2] > 0 for w in wanted) > 50
+    same(removed(spark.createDataFrame(rows, "doc_id long, text string")), wanted)
+
+
+def test_contexts_of_a_hot_phrase_go_to_many_buckets():
+    import pyarrow as pa
+
+    rows, buckets = hot_phrase_rows(600), 64
+    parts = [pa.table({"part": [p] * 100, "doc_id": [i for i, _ in rows[100 * p:100 * p + 100]],
+                       "body": [t.encode() for _, t in rows[100 * p:100 * p + 100]]}) for p in range(6)]
+
+    def by(column, tables):
+        whole = pa.concat_tables(tables)
+        return {v: whole.filter(pa.compute.equal(whole.column(column), v)) for v in set(whole.column(column).to_pylist())}
+
+    def largest(hot):
+        asked = by("bucket", [suffix_dedup._ask(6)(p) for p in parts])
+        told = by("part", [suffix_dedup._tell_shared(hot)(t) for t in asked.values()])
+        asked = by("bucket", [suffix_dedup._ask_windows(6)(p, told[k]) for k, p in enumerate(parts)])
+        more = [suffix_dedup._tell_shared(None)(t) for t in asked.values()]
+        told = by("part", [*told.values(), *more])
+        sent = by("bucket", [suffix_dedup._send(6, buckets)(p, told[k]) for k, p in enumerate(parts)])
+        return max(sum(map(len, t.column("size").to_pylist())) for t in sent.values())
+
+    assert 2 * largest(100) < largest(10 ** 9)
+
+
 def test_suffix_ranks_and_common_prefixes():
     rng = np.random.default_rng(4)
     data = rng.integers(97, 99, 700, dtype=np.uint8)
