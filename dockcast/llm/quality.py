@@ -36,10 +36,10 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 MIN_GROUP = 100
 SHARE = 0.75                  # of a group's rows that the estimate rests on
 STEPS = 4                     # concentration steps
-FLOOR = 0.3                   # least standard deviation of a coordinate (they are logarithms)
-CUTOFF = 35.9                 # chi-square with 5 degrees of freedom, one in a million
-MEDIAN = 4.351                # its median
 VECTOR = ("length", "word_length", "symbols", "lines", "repeats")
+FLOOR = np.array([0.3, 0.2, 0.2, 0.15, 0.2])     # least standard deviation of each coordinate (they are logarithms)
+CUTOFF = 20.515               # chi-square with 5 degrees of freedom, its quantile 0.999
+MEDIAN = 4.351                # its median
 BINS = 64                     # bins for each unit of a coordinate, and of the logarithm of a distance
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -118,7 +118,7 @@ def _starts(hist: pd.DataFrame) -> pd.DataFrame:
         off = np.abs(x - mid)
         order = np.argsort(off, kind="stable")
         center.append(mid)
-        spread.append(max(1.4826 * float(off[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]), FLOOR))
+        spread.append(max(1.4826 * float(off[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]), float(FLOOR[k])))
     inverse = np.diag(1 / np.square(spread))
     return pd.DataFrame({"grp": [hist["grp"].iloc[0]], "center": [center], "inverse": [inverse.ravel().tolist()], "scale": [1.0]})
 

@@ -220,6 +220,31 @@ def test_outliers_by_brute_force(spark):
     assert np.corrcoef(mine, d2 / scale)[0, 1] > 0.99
 
 
+def test_mild_outliers_in_each_coordinate(spark):
+    rng = random.Random(16)
+    rows = [(k, prose(rng, rng.randint(60, 400))) for k in range(400)]
+
+    def repeated(n, again):
+        w = prose(rng, n).split()
+        return " ".join(w[:again] + w[:again] + w[again:n - again])
+
+    def sprinkled(percent):
+        w = prose(rng, 200).split()
+        for _ in range(int(sum(map(len, w)) * percent / 100)):
+            w[rng.randrange(len(w))] += "#"
+        return " ".join(w)
+
+    planted = {"length": prose(rng, 6_000), "word_length": " ".join(prose(rng, 3).replace(" ", "") for _ in range(150)),
+               "symbols": sprinkled(4), "lines": "\n".join("the same line\n" + prose(rng, 9) for _ in range(20)),
+               "repeats": repeated(200, 25)}
+    rows += [(1000 + k, t) for k, t in enumerate(planted.values())]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judge(docs, "text", "lang", "source", ["doc_id"]).select("row.doc_id", "base_failed", "distance", "kept").collect()}
+    for k, name in enumerate(planted):
+        assert not got[1000 + k].base_failed and not got[1000 + k].kept, (name, got[1000 + k])
+    assert all(got[k].kept for k in range(400))
+
+
 def test_quality_of_no_rows(no_docs):
     assert quality.judge(no_docs, "text", "lang", "source").count() == 0
 
