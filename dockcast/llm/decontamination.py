@@ -10,6 +10,10 @@
 5. Exact check: the alignments found are joined to their documents and every window on them is
    compared word for word.
 
+Proximity matches need at least a share of a window's distinct terms, so as many terms may be absent as
+the share leaves out. One of the rarest terms, one more than may be absent, must then occur: each of
+them alone proposes every span that it can stand in, and the check counts the terms of each span.
+
 Benchmark-sized sides are broadcast only after a row count. Defined results: null text has no words;
 an empty or wordless item gives no window; an item of fewer words than the width is one window;
 repeated items are separate texts under one id; repeated documents each get their row.
@@ -50,17 +54,22 @@ def benchmark_items(bench: DataFrame, item_id: Column, text: Column, width: int)
                             F.least(F.size("iw"), F.lit(width)).alias("w")), "decon-items")
 
 
-def rare_anchors(docs: DataFrame, text: Column, items: DataFrame) -> DataFrame:
-    """(item, pos1, term1, pos2, term2): the two rarest terms of each window, by how often the
-    training words hold them (ties by position); distinct over windows."""
+def window_terms(docs: DataFrame, text: Column, items: DataFrame) -> DataFrame:
+    """(item, n, w, pos, term, freq, start): the places of every window, with how often the training
+    words hold their terms."""
     places = items.select("item", "n", "w", F.posexplode("iw").alias("pos", "term"))
     vocabulary = cut(places.select("term").distinct(), "decon-vocabulary")
     tokens = docs.select(F.explode(raw_words(text)).alias("word")).select(fold(F.col("word")).alias("term"))
     freq = cut(tokens.join(small_side(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")),
                "decon-frequencies")
-    covering = (places.join(small_side(freq), "term", "left").fillna(0, ["freq"])
-                .select("*", F.explode(F.expr(
-                    "sequence(greatest(pos - w + 1, 0), least(pos, n - w))")).alias("start")))
+    return (places.join(small_side(freq), "term", "left").fillna(0, ["freq"])
+            .select("*", F.explode(F.expr("sequence(greatest(pos - w + 1, 0), least(pos, n - w))")).alias("start")))
+
+
+def rare_anchors(docs: DataFrame, text: Column, items: DataFrame) -> DataFrame:
+    """(item, pos1, term1, pos2, term2): the two rarest terms of each window, by how often the
+    training words hold them (ties by position); distinct over windows."""
+    covering = window_terms(docs, text, items)
     by_window = Window.partitionBy("item", "start")
     ranked = (covering.withColumn("least", F.min("freq").over(by_window)).where("least > 0")
               .withColumn("r", F.row_number().over(by_window.orderBy("freq", "pos"))).where("r <= 2"))
@@ -70,36 +79,64 @@ def rare_anchors(docs: DataFrame, text: Column, items: DataFrame) -> DataFrame:
                             second["pos"].alias("pos2"), second["term"].alias("term2")).distinct(), "decon-anchors")
 
 
-def anchor_postings(docs: DataFrame, text: Column, anchors: DataFrame) -> DataFrame:
+def needed_terms(terms: Column, share: float) -> Column:
+    """How many of a window's distinct terms a proximity match has at least."""
+    return F.greatest(F.ceil(F.lit(share) * terms - F.lit(1e-9)), F.lit(1))
+
+
+def near_anchors(docs: DataFrame, text: Column, items: DataFrame, share: float) -> DataFrame:
+    """(item, w, start, term): of each window the rarest distinct terms, one more than a match may
+    lack; those that never occur propose nothing."""
+    terms = window_terms(docs, text, items).groupBy("item", "w", "start", "term").agg(F.max("freq").alias("freq"))
+    by_window = Window.partitionBy("item", "start")
+    ranked = (terms.withColumn("number", F.count(F.lit(1)).over(by_window))
+              .withColumn("r", F.row_number().over(by_window.orderBy("freq", "term"))))
+    kept = ranked.where((F.col("r") <= F.col("number") - needed_terms(F.col("number"), share) + 1) & (F.col("freq") > 0))
+    return cut(kept.select("item", "w", "start", "term"), "decon-near-anchors")
+
+
+def anchor_postings(docs: DataFrame, text: Column, terms: DataFrame) -> DataFrame:
     """The index: distinct (k1, k2, pos, term) for the anchor terms."""
-    terms = cut(anchors.select(F.col("term1").alias("term"))
-                .union(anchors.select(F.col("term2").alias("term"))).distinct(), "decon-terms")
+    terms = cut(terms.distinct(), "decon-terms")
     places = docs.select(*text_key(text), F.posexplode(raw_words(text)).alias("pos", "word"))
     return cut(places.select("k1", "k2", "pos", fold(F.col("word")).alias("term")).join(small_side(terms), "term"),
                "decon-postings")
 
 
-def alignments(postings: DataFrame, anchors: DataFrame, slop: int = 0) -> DataFrame:
-    """Distinct (k1, k2, item, shift): the item's word 0 would stand at document position ``shift``.
-    ``slop`` lets the second anchor stand that many words off its place."""
+def alignments(postings: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Distinct (k1, k2, item, shift): the item's word 0 would stand at document position ``shift``."""
     lists = postings.distinct()
     asked = (lists.join(small_side(anchors), F.col("term") == F.col("term1"))
              .select("k1", "k2", "item", (F.col("pos") - F.col("pos1")).alias("shift"),
                      (F.col("pos") - F.col("pos1") + F.col("pos2")).alias("pos"), F.col("term2").alias("term")))
-    if slop:
-        asked = asked.withColumn("pos", F.explode(F.sequence(F.col("pos") - slop, F.col("pos") + slop)))
     return asked.join(lists, ["k1", "k2", "pos", "term"]).select("k1", "k2", "item", "shift").distinct()
 
 
+def near_alignments(postings: DataFrame, anchors: DataFrame, slop: int) -> DataFrame:
+    """As ``alignments``: every shift at which an anchor term stands within ``slop`` words of its window's span."""
+    first, last = F.greatest(F.col("pos") - F.col("w") - slop + 1, F.lit(0)), F.col("pos") + slop
+    found = postings.distinct().join(small_side(anchors), "term").select("k1", "k2", "item", "start", F.explode(F.sequence(first, last)).alias("at"))
+    return found.select("k1", "k2", "item", (F.col("at") - F.col("start")).alias("shift")).distinct()
+
+
 def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Column, item_text: Column,
                  width: int = 10, slop: int = 0, share: float = 1.0) -> DataFrame:
     """``docs`` columns as struct ``row``, ``n_words`` and ``hits``: array of (item_id, start, width,
-    exact), one for each occurrence of a benchmark window in the document's words. With ``slop``,
-    also proximity matches (exact = false): at least ``share`` of the window's distinct terms stand
-    within ``slop`` words of their span."""
+    exact), one for each occurrence of a benchmark window in the document's words. With ``slop`` or a
+    ``share`` below 1, also proximity matches (exact = false): every span of the window's width inside
+    the document (or from its start, if it is shorter) with at least ``share`` of the window's distinct
+    terms, in any order, within ``slop`` words of it."""
+    if slop < 0 or not 0 < share <= 1:
+        raise ValueError("slop must not be negative, share must be above 0 and at most 1")
+    loose = slop > 0 or share < 1
     items = benchmark_items(bench, item_id, item_text, width)
-    anchors = rare_anchors(docs, text, items)
-    found = alignments(anchor_postings(docs, text, anchors), anchors, slop)
+    if loose:
+        anchors = near_anchors(docs, text, items, share)
+        found = near_alignments(anchor_postings(docs, text, anchors.select("term")), anchors, slop)
+    else:
+        anchors = rare_anchors(docs, text, items)
+        terms = anchors.select(F.col("term1").alias("term")).union(anchors.select(F.col("term2").alias("term")))
+        found = alignments(anchor_postings(docs, text, terms), anchors)
     # stored, so that the join below shuffles both sides itself and AQE can split the copies of one text
     by_text = cut(found.join(small_side(items), "item")
                   .groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "iw", "n", "w", "shift")).alias("found")), "decon-found")
@@ -121,10 +158,11 @@ def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Colum
             wanted = F.array_distinct(F.slice(x["iw"], v["start"] - x["shift"] + 1, x["w"]))
             low = F.greatest(v["start"] - slop, F.lit(0))
             span = F.slice(words, low + 1, F.greatest(v["start"] + x["w"] + slop - low, F.lit(0)))
-            return F.size(F.array_intersect(wanted, span)) >= F.lit(share) * F.size(wanted)
+            inside = (v["start"] >= 0) & (v["start"] <= F.greatest(F.size(words) - x["w"], F.lit(0)))
+            return inside & (F.size(F.array_intersect(wanted, span)) >= needed_terms(F.size(wanted), share))
 
         every = F.transform(starts, judged)
-        return F.filter(every, lambda v: v["exact"] | near(v)) if slop else F.filter(every, lambda v: v["exact"])
+        return F.filter(every, lambda v: v["exact"] | near(v)) if loose else F.filter(every, lambda v: v["exact"])
 
     # transform over a one-element array binds the folded words once for all windows
     hits = F.when(F.col("found").isNotNull(), F.flatten(F.transform(

@@ -1,6 +1,7 @@
 """Sharding, decontamination, mixing and chat formatting on the fixture tables."""
 
 import hashlib
+import random
 import re
 
 import brute
@@ -85,6 +86,37 @@ def test_proximity_matches(spark):
     assert not hits[4] and not hits[5]
 
 
+@pytest.mark.parametrize("slop, share", [(2, 0.8), (0, 0.8), (3, 1.0), (1, 0.5)])
+def test_proximity_matches_equal_brute_force(spark, slop, share):
+    rng = random.Random(7)
+    w = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    bench = [(1, " ".join(w)), (2, "one two one three"), (3, "nowhere else beta")]
+    texts = [" ".join(w), " ".join(w[:4] + ["unseen"] + w[5:]), " ".join(w[:1] + [w[6]] + w[2:6] + [w[1]] + w[7:]), "alpha kappa", "beta", "two one three",
+             " ".join(w[:5] + ["far"] * 9 + w[5:])]
+    for _ in range(40):
+        own = [x if rng.random() < 0.85 else rng.choice(["other", "far", rng.choice(w)]) for x in w]
+        k = rng.randrange(len(own) - 1)
+        own[k], own[k + 1] = own[k + 1], own[k]
+        texts.append(" ".join(["pad"] * rng.randint(0, 5) + own[rng.randint(0, 3):] + ["pad"] * rng.randint(0, 5)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontamination.find_matches(docs, F.col("text"), spark.createDataFrame(bench, "item_id long, text string"),
+                                         F.col("item_id"), F.col("text"), slop=slop, share=share)
+    got = [(r.doc_id, h.item_id, h.start, h.width, h.exact) for r in found.select("row.doc_id", "hits").collect() for h in r.hits or []]
+    wanted = []
+    for doc, text in enumerate(texts):
+        t = brute.words(text)
+        for item, body in bench:
+            b = brute.words(body)
+            n = min(len(b), 10)
+            for window in (b[s:s + n] for s in range(len(b) - n + 1)):
+                for at in range(max(len(t) - n, 0) + 1):
+                    terms = set(window)
+                    if len(terms & set(t[max(at - slop, 0):at + n + slop])) >= share * len(terms) - 1e-9:
+                        wanted.append((doc, item, at, n, t[at:at + n] == window))
+    assert any(not x[4] for x in wanted)
+    same(got, wanted)
+
+
 def test_targets_stop_at_the_cap(spark):
     """Excess goes to the others by weight until none is above its cap."""
     sizes = {"a": 10, "b": 1000, "c": 5, "d": 400, None: 100}
