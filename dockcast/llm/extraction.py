@@ -47,16 +47,33 @@ TOWARDS = frozenset("article main".split())
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = frozenset("ul ol dl table article section div main body nav aside footer header form blockquote".split())
 
+#: A class or id is one of these words, or a listed compound: ``AWAY_PART`` before or after a hyphen or underscore.
 AWAY_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|respond|replies|cookies?|consent|gdpr|footer|header|masthead|"
+    r"(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|respond|replies|cookies?|consent|gdpr|footer|header|masthead|"
     r"menu|nav|navbar|navigation|newsletter|notice|alert|pagination|pager|popup|modal|promo\w*|related|share|sharing|sidebar|"
-    r"social|sponsor\w*|subscribe|tags?|toolbar|widget|signup|login|search|skip|legal|copyright|disqus)(?:$|[\s_-])", re.I)
+    r"social|sponsor\w*|subscribe|tags?|toolbar|widget|signup|login|search|skip|legal|copyright|disqus|"
+    r"(?:site|page|main|global|top|bottom|left|right|primary|secondary)[_-](?:ad|ads|banner|footer|header|menu|nav|navbar|navigation|sidebar)|"
+    r"(?:post|entry|article)[_-](?:nav|navigation|tags?|share|comments?)|"
+    r"(?:ad|ads|banner|breadcrumbs?|comments?|cookies?|footer|menu|nav|navbar|newsletter|pagination|popup|modal|promo|related|share|sidebar|social|"
+    r"sponsor|subscribe|widget|search|login|signup)[_-](?:area|author|bar|body|box|block|buttons?|consent|container|content|form|inner|items?|"
+    r"left|links?|list|menu|meta|nav|notice|overlay|banner|panel|posts?|primary|right|secondary|section|slot|unit|widget|wrap|wrapper|\d+))", re.I)
 TOWARDS_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|entry|post|story|main|body-?text|post-?body|entry-?content)(?:$|[\s_-])", re.I)
 TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
+def names_of(attributes: str) -> str:
+    return " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
+
+
+def names_away(named: str) -> bool:
+    """Whether the classes and ids are those of boilerplate: one is, and none is that of content."""
+    tokens = named.split()
+    own = [t for t in tokens if AWAY_NAME.fullmatch(t)]
+    return bool(own) and not any(TOWARDS_NAME.search(t) for t in tokens if t not in own)
+
+
 class Block:
     __slots__ = ("text", "linked", "parent", "lean", "heading")
 
@@ -67,8 +84,8 @@ class Block:
 def read_blocks(page: str) -> list[Block]:
     """The page's blocks in order. ``lean``: what the elements around a block say (greater: content)."""
     blocks: list[Block] = []
-    # (name, number, lean, hidden)
-    stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
+    # (name, number, lean, hidden, whether a negative lean came from a class or id alone)
+    stack: list[tuple[str, int, float, bool, bool]] = [("", 0, 0.0, False, False)]
     number, links = 0, 0
     texts: list[tuple[str, bool]] = []
 
@@ -132,23 +149,26 @@ def read_blocks(page: str) -> list[Block]:
                 break
             at = end.start()
         number += 1
-        lean, hidden = stack[-1][2], stack[-1][3] or name in UNSEEN
+        lean, hidden, by_name = stack[-1][2], stack[-1][3] or name in UNSEEN, stack[-1][4]
         if name in AWAY:
+            by_name = False
             lean = min(lean, 0.0) - STRUCTURE * (2 if lean > 0 else 1)
         elif name == "header":
+            by_name = False
             lean = lean - STRUCTURE / 2 if lean > 0 else lean - STRUCTURE
-        elif name in TOWARDS and lean >= 0:
-            lean = STRUCTURE
+        elif name in TOWARDS and (lean >= 0 or by_name and not names_away(names_of(attributes))):
+            lean, by_name = STRUCTURE, False
         if attributes:
-            named = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
+            named = names_of(attributes)
             if named and name not in ("html", "body"):
-                if AWAY_NAME.search(named):
+                if name not in TOWARDS and names_away(named):
+                    by_name = by_name or stack[-1][2] >= 0 and name not in AWAY and name != "header"
                     lean = min(lean, 0.0) - STRUCTURE * (2 if stack[-1][2] > 0 else 1)
                 elif lean >= 0 and TOWARDS_NAME.search(named):
                     lean = max(lean, STRUCTURE)
             hidden = hidden or bool(HIDDEN.search(attributes))
         links += name == "a"
-        stack.append((name, number, lean, hidden))
+        stack.append((name, number, lean, hidden, by_name))
     close()
     return blocks
 

@@ -336,6 +336,26 @@ def test_pages(spark):
     assert empty.select(extraction.extract(empty, F.col("html"))).count() == 0
 
 
+BODY = "<p>A long enough sentence stands in this block of text, and it ends well.</p>"
+SAYS = "A long enough sentence stands in this block of text, and it ends well."
+
+
+@pytest.mark.parametrize("page, wanted", [
+    (f"<article class='post-12 post type-post tag-python hentry'>{BODY}</article>", SAYS),
+    (f"<div class='content has-sidebar'>{BODY}</div>", SAYS),
+    (f"<div class='main-content layout-right-sidebar'>{BODY}</div>", SAYS),
+    (f"<article><div class='entry-header'><h1>Title</h1></div>{BODY}</article>", "Title\n" + SAYS),
+    (f"<main class='search'>{BODY}</main>", SAYS),
+    (f"<div class='widget'><p>Join us now</p><article>{BODY}</article></div>", SAYS),
+    (f"<nav class=menu><article>{BODY}</article></nav>", ""),
+    (f"<div id=comments><article class='comment-body'>{BODY}</article></div>", ""),
+    (f"<article>{BODY}<div class='share-buttons'><p>Send this on to all friends.</p></div><div id=comments>{BODY}</div></article>", SAYS),
+    (f"<article>{BODY}<div class='ad'>{BODY}</div><div class='cookie-notice'>{BODY}</div></article>", SAYS),
+])
+def test_names_with_a_word_of_boilerplate(page, wanted):
+    assert extraction.main_text(page, extraction.PRIOR) == wanted
+
+
 def test_generated_pages_equal_their_articles(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in pages.select("html", extraction.extract(pages, F.col("html")).alias("text")).collect():
