@@ -283,15 +283,20 @@ def main_text(page: str | None, weights: list[float]) -> str:
 
 def train_weights(pages: DataFrame, html: Column, max_pages: int = TRAIN_PAGES) -> list[float]:
     """Logistic regression of "inside an article or main element" against "inside an element that is
-    never content", over the text features of the blocks of at most ``max_pages`` pages. Distinct
-    feature vectors with counts reach the driver, a bounded number for bounded pages."""
+    never content", over the text features of the blocks of at most ``max_pages`` distinct pages: those
+    of the least hashes, so neither the order nor the layout of the table matters. The feature vectors
+    of their blocks reach the driver, a bounded number for bounded pages."""
     def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(text_features(b), 1.0 if b.lean > 0 else 0.0)
                     for page in batch["html"] for b in read_blocks(page or "") if b.lean]
             yield pd.DataFrame({"x": [x for x, _ in rows], "y": [y for _, y in rows]})
 
-    rows = pages.select(html.alias("html")).limit(max_pages).mapInPandas(labelled, "x array<double>, y double").toPandas()
+    hashed = pages.select(html.alias("html")).where(F.col("html").isNotNull()).withColumn("h", F.xxhash64("html"))
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(max_pages).collect()]
+    chosen = hashed.where(F.col("h") <= F.lit(max(least, default=0))).groupBy("h").agg(F.min("html").alias("html"))
+    rows = chosen.select("html").mapInPandas(labelled, "x array<double>, y double").toPandas()
+    rows = rows.iloc[sorted(range(len(rows)), key=lambda k: (rows["y"].iloc[k], list(rows["x"].iloc[k])))]
     w = np.array(PRIOR)
     if rows.empty or rows["y"].nunique() < 2:
         return PRIOR

@@ -362,6 +362,14 @@ def test_generated_pages_equal_their_articles(spark):
         assert r.text == brute.article(r.html)
 
 
+def test_weights_do_not_depend_on_the_order_of_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html")
+    rows = pages.collect()
+    weights = [extraction.train_weights(spark.createDataFrame(r, "html string").repartition(n), F.col("html"), 20)
+               for r, n in ((rows, 1), (rows[::-1], 1), (rows + rows[:1] * 50, 5))]
+    assert weights[0] != extraction.PRIOR and weights[0] == weights[1] == weights[2]
+
+
 def test_minimum_cut_is_least():
     rng = random.Random(4)
     for _ in range(150):
