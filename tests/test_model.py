@@ -133,3 +133,19 @@ def test_search_query_fits_all_topologies_with_the_default_iterations(spark, mon
     with pytest.raises(Stopped):
         cat.q_search_topology(spark, SF_CHECK)
     assert asked == [(mo.SEARCH_HIDDEN, 100)] and len(mo.SEARCH_HIDDEN) == 10
+
+
+def test_round_trip_query_fits_as_the_training_query_does(spark, monkeypatch):
+    asked = []
+
+    class Stopped(Exception):
+        pass
+
+    def train(rows, layers, max_iter, **_):
+        asked.append((layers, max_iter))
+        raise Stopped
+
+    monkeypatch.setattr(mo, "train", train)
+    with pytest.raises(Stopped):
+        cat.q_model_roundtrip(spark, SF_CHECK)
+    assert asked == [([5, 20, 20, 9], 100)]
