@@ -56,4 +56,22 @@ g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) ||
       FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns::BIGINT AS n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
        formatted_chars::BIGINT AS formatted_chars FROM g""",
+    "op11_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS often FROM b GROUP BY i, item_id, term),
+s AS (SELECT count(*)::BIGINT AS nd, sum(len(ws))::BIGINT AS nw FROM d WHERE len(ws) > 0),
+p AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term), s),
+c AS (SELECT i, item_id, r, sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(ws) * nd) // nw)))) AS score
+      FROM p JOIN d USING (r) JOIN w USING (term) JOIN q USING (term), s GROUP BY i, item_id, r),
+k AS (SELECT i, item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM c JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score::BIGINT AS score FROM k WHERE rank <= 20""",
 }

@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, extraction, mixing, ngram_join, quality, sharding, suffix_dedup, tokens, toxicity
+from . import (alignment, byte_pairs, chat, decontamination, extraction, lexical_search, mixing, ngram_join, quality, sharding,
+               suffix_dedup, tokens, toxicity)
 
 SHARDS = 24
+TOP = 20                      # documents kept for each item of a search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +103,33 @@ def op10_tokens(spark: SparkSession, sf_dir: str, tokenizer: str = "byte_bpe_50k
     return out.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return lexical_search.rank_documents(docs, F.col("doc_id"), F.col("text"), bench, F.col("item_id"), F.col("text"), TOP)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str, side_a: str = "byte_bpe_50k.json", side_b: str = "piece_bpe_32k.model") -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(side_a), encoding="utf-8") as a, open(public_tokenizers.path(side_b), "rb") as b:
+        spec, model = a.read(), b.read()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = alignment.align(docs, F.col("text"), spec, model, public_tokenizers.PATTERN, payload=["doc_id"])
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(ranks), "rb") as f:
+        codec = byte_pairs.Codec(spark, f.read(), public_tokenizers.PATTERN)
+    out = byte_pairs.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", codec)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination, "op3_extraction": op3_extraction,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
-           "op7_quality": op7_quality, "op8_ngram_join": op8_ngram_join, "op9_chat": op9_chat, "op10_tokens": op10_tokens}
+           "op7_quality": op7_quality, "op8_ngram_join": op8_ngram_join, "op9_chat": op9_chat, "op10_tokens": op10_tokens,
+           "op11_lexical_search": op11_lexical_search, "op12_alignment": op12_alignment, "op13_byte_pairs": op13_byte_pairs}

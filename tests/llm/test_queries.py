@@ -31,7 +31,7 @@ def test_query_equals_its_sql(spark, key):
 
 def test_all_operators_are_registered():
     names = [m[1] for n in entry.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(map(int, names)) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(map(int, names)) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.fixture(scope="module")

@@ -1,0 +1,218 @@
+"""Byte-level BPE against the library, and alignment of two tokenizers against plain loops."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_support import edge_docs, no_docs, pairs, same  # noqa: F401  (fixtures)
+
+from dockcast.llm import alignment, byte_pairs
+from dockcast.llm.queries import QUERIES
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+SF = "/root/testdata/sf0.001"
+
+
+def content(name, mode="rb", **kw):
+    with open(public_tokenizers.path(name), mode, **kw) as f:
+        return f.read()
+
+
+def hostile(seed, n):
+    rng = random.Random(seed)
+    letters = "ab e\n\t  's'll1 2.;–é日本  \x1c\x85🙂ñthing▁<s>"
+    some = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(n)]
+    some += ["".join(chr(rng.choice([rng.randint(1, 0x2FF), rng.randint(0x300, 0xD7FF), rng.randint(0x1F000, 0x1FAFF)]))
+                     for _ in range(rng.randint(0, 30))) for _ in range(n)]
+    return some + ["a" * 5000, "ab" * 3000, "the" * 1000, " " * 500, "\n " * 400, " " * 31 + "x", "=-" * 300, "<|endoftext|> x <s> y",
+                   "", " ", "  a", " a ", "x▁y", "a  b"]
+
+
+@pytest.fixture(scope="module", params=["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])
+def coder(request):
+    import tiktoken
+
+    tables = byte_pairs.BytePairs(byte_pairs.read_ranks(content(request.param)))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tables.ranks, special_tokens={})
+    return byte_pairs.Encoder(tables, public_tokenizers.PATTERN), library
+
+
+def test_ids_equal_the_library(coder):
+    encoder, library = coder
+    for text in hostile(5, 1500):
+        ids = np.frombuffer(encoder.encode(text), np.int32)
+        assert ids.tolist() == library.encode_ordinary(text), text[:80]
+        assert encoder.decode(ids).tobytes() == text.encode()
+
+
+def test_a_long_match_takes_linear_time(coder):
+    import time
+
+    encoder, library = coder
+    rng = random.Random(1)
+    took = []
+    for n in (50_000, 400_000):
+        text = "".join(rng.choice("abcdefghij") for _ in range(n))
+        began = time.process_time()
+        ids = np.frombuffer(encoder.encode(text), np.int32)
+        took.append(time.process_time() - began)
+        assert ids.tolist() == library.encode_ordinary(text)
+    assert took[1] < 24 * max(took[0], 0.05)
+
+
+def test_tokens_that_merges_never_reach():
+    """``abc`` has no merge that makes it: only a match that is just that becomes it, as in the library."""
+    import tiktoken
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"cd": 257, b"ab": 258, b"abcd": 259, b"aab": 260}
+    encoder = byte_pairs.Encoder(byte_pairs.BytePairs(ranks), r"\S+|\s+")
+    library = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encoder.encode(text), np.int32).tolist() == library.encode_ordinary(text), text
+
+
+def test_vocabularies_that_cannot_be_used():
+    single = {bytes([b]): b for b in range(256)}
+    with pytest.raises(ValueError):
+        byte_pairs.BytePairs({b"a": 0, b"b": 1})
+    with pytest.raises(ValueError):
+        byte_pairs.BytePairs(single | {b"abc": 256, b"ab": 900, b"cd": 901, b"abcd": 300})
+
+
+def test_caches_are_bounded(monkeypatch):
+    for name in ("CACHE_UNITS", "CACHE_MATCHES", "CACHE_PAIRS"):
+        monkeypatch.setattr(byte_pairs, name, 40)
+    tables = byte_pairs.BytePairs(byte_pairs.read_ranks(content("byte_bpe_multi_50k.tiktoken")))
+    encoder = byte_pairs.Encoder(tables, public_tokenizers.PATTERN)
+    for text in hostile(7, 200):
+        assert encoder.decode(np.frombuffer(encoder.encode(text), np.int32)).tobytes() == text.encode()
+    assert max(len(encoder.units), len(encoder.pieces), len(encoder.verdicts)) <= 40
+
+
+def test_codec_on_edge_rows(spark, edge_docs, no_docs):
+    codec = byte_pairs.Codec(spark, content("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    import tiktoken
+
+    ranks = byte_pairs.read_ranks(content("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    clashing = edge_docs.withColumns({"ids": F.lit(1), "decoded": F.lit("x"), "row": F.lit(2)})
+    got = byte_pairs.encode_documents(clashing, "text", codec).collect()
+    assert all(r.row.ids == 1 and r.row.decoded == "x" and r.row.row == 2 for r in got)
+    same([(r.row.doc_id, r.ids, bytes(r.decoded)) for r in got],
+         [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in pairs(edge_docs)])
+    assert byte_pairs.encode_documents(no_docs, "text", codec).count() == 0
+
+
+def test_byte_pair_query(spark):
+    import tiktoken
+
+    ranks = byte_pairs.read_ranks(content("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted = []
+    for i, t in pairs(spark.read.parquet(f"{SF}/documents.parquet")):
+        ids = library.encode_ordinary(t or "")
+        wanted.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    same([tuple(r) for r in QUERIES["op13_byte_pairs"](spark, SF).collect()], wanted)
+
+
+# --- alignment ---------------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def sides():
+    return alignment.Sides(content("byte_bpe_50k.json", "r", encoding="utf-8"), content("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_str(content("byte_bpe_50k.json", "r", encoding="utf-8"))
+    t.encode_special_tokens = True
+    return t
+
+
+def aligned(text, sides, library):
+    """(n_a, n_b, n_groups, n_links, groups, {(a, b): links}) by plain loops, side A by the library."""
+    raw = (" " + (text or "")).encode()
+    a = library.encode(" " + text, add_special_tokens=False).ids if text else []
+    b = sides.b.encode(text) if text else []
+    if not text or any(b"".join(held[k] for k in ids) != raw for held, ids in ((sides.bytes_a, a), (sides.bytes_b, b))):
+        return 0, 0, 0, 0, "", {}
+    ends = [np.cumsum([len(held[k]) for k in ids]).tolist() for held, ids in ((sides.bytes_a, a), (sides.bytes_b, b))]
+    groups, links, i, j = [], Counter(), 0, 0
+    for cut in sorted(set(ends[0]) & set(ends[1])):
+        x = [k for k, e in zip(a[i:], ends[0][i:]) if e <= cut]
+        y = [k for k, e in zip(b[j:], ends[1][j:]) if e <= cut]
+        i, j = i + len(x), j + len(y)
+        groups.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
+        links.update((p, q) for p in x for q in y)
+    return len(a), len(b), len(groups), links.total(), ";".join(groups), dict(links)
+
+
+def test_alignment_of_hostile_texts(sides, library, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK", 700)              # products in many blocks
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 400)
+    aligner, texts = alignment.Aligner(sides), [*hostile(3, 250), None]
+    got = []
+    for k in range(0, len(texts), 90):
+        got += aligner.align(texts[k:k + 90], True)
+    for text, (*head, pairs_, links) in zip(texts, got):
+        *wanted, held = aligned(text, sides, library)
+        assert head == wanted, text
+        assert {(p // aligner.width, p % aligner.width): n for p, n in zip(pairs_.tolist(), links.tolist())} == held, text
+
+
+def test_products_of_sparse_rows(monkeypatch):
+    rng = np.random.default_rng(3)
+    for block in (1, 7, 1 << 20):
+        monkeypatch.setattr(alignment, "BLOCK", block)
+        a, b = rng.integers(0, 3, (6, 9)) * (rng.random((6, 9)) < 0.4), rng.integers(0, 3, (9, 5)) * (rng.random((9, 5)) < 0.4)
+        rows = [alignment.Rows.of_entries(*np.nonzero(m), m[np.nonzero(m)], m.shape) for m in (a, b)]
+        made = np.zeros((6, 5), int)
+        r, c, v = rows[0].times(rows[1])
+        made[r, c] = v
+        assert (made == a @ b).all() and len(set(zip(r.tolist(), c.tolist()))) == len(r)
+        turned = rows[0].transposed()
+        back = np.zeros((9, 6), int)
+        back[np.repeat(np.arange(9), np.diff(turned.start)), turned.index] = turned.value
+        assert (back == a.T).all()
+
+
+def test_overlap_links_count_shared_bytes():
+    a, b, n = alignment.overlap_links(np.array([3, 4, 9]), np.array([1, 4, 6, 9]))
+    assert list(zip(a.tolist(), b.tolist(), n.tolist())) == [(0, 0, 1), (0, 1, 2), (1, 1, 1), (2, 2, 2), (2, 3, 3)]
+    group_a, group_b = alignment.token_groups(a, b)
+    assert group_a.tolist() == [0, 0, 1] and group_b.tolist() == [0, 0, 1, 1]
+
+
+def summed(docs, sides, library):
+    each = [(i, *aligned(t, sides, library)) for i, t in docs]
+    held = Counter(p for *_, links in each for p in links)
+    most = Counter()
+    for (a, _), n in held.items():
+        most[a] = max(most[a], n)
+    return [(i, na, nb, ng, nl, sum(n for p, n in links.items() if held[p] == most[p[0]]), sum(n * held[p] for p, n in links.items()), groups)
+            for i, na, nb, ng, nl, groups, links in each]
+
+
+@pytest.mark.parametrize("hot_pairs", [0, 40, 300_000])
+def test_counts_of_linked_pairs(spark, edge_docs, no_docs, sides, library, hot_pairs):
+    """All pairs in the shuffled tier, some in each, all in the broadcast one: the same sums."""
+    args = (F.col("text"), content("byte_bpe_50k.json", "r", encoding="utf-8"), content("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    clashing = edge_docs.withColumns({"n_a": F.lit(1), "pairs": F.lit("x"), "row_id": F.lit(2)})
+    got = alignment.align(clashing, *args, keep_text=True, hot_pairs=hot_pairs).collect()
+    assert all(r.row.n_a == 1 and r.row.pairs == "x" and r.row.row_id == 2 for r in got)
+    same([(r.row.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) for r in got],
+         summed(pairs(edge_docs), sides, library))
+    assert alignment.align(no_docs, *args).count() == 0
+
+
+def test_alignment_query(spark, sides, library):
+    rows = pairs(spark.read.parquet(f"{SF}/documents.parquet"))
+    wanted = [(*x[:-1], hashlib.sha256(x[-1].encode()).hexdigest() if x[-1] else "") for x in summed(rows, sides, library)]
+    same([tuple(r) for r in QUERIES["op12_alignment"](spark, SF).collect()], wanted)
