@@ -28,13 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import col, packed, ship
 
-CACHE_UNITS = 500_000         # remembered stretches between spaces, of a worker
-CACHE_MATCHES = 500_000       # remembered matches of the pattern
-CACHE_PAIRS = 1_000_000       # remembered verdicts on adjacent tokens
+CACHE_UNITS = 300_000         # remembered stretches between spaces, of a worker
+CACHE_MATCHES = 300_000       # remembered matches of the pattern
+CACHE_PAIRS = 400_000         # remembered verdicts on adjacent tokens
 LONGEST = 64                  # characters of what is remembered
+SLICE = 1_000                 # rows handled at a time
 
 _WORKER: dict = {}            # one encoder for each worker process and vocabulary
 
@@ -247,7 +249,7 @@ class Codec:
                 cuts = batch.offsets.to_numpy()
                 yield pa.array([encoder.decode(flat[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
 
-        self._encode, self._decode = encode, decode
+        self._encode, self._decode, self._shared, self._key = encode, decode, shared, key
 
     def encode(self, text: Column) -> Column:
         """The token ids of ``text``; no ids for null."""
@@ -258,7 +260,19 @@ class Codec:
         return self._decode(F.coalesce(ids, F.array().cast("array<int>")))
 
 
-def encode_documents(docs: DataFrame, text: str, codec: Codec) -> DataFrame:
-    """``docs`` columns as struct ``row``, with ``ids`` and ``decoded``."""
-    out = docs.select(packed(docs).alias("row"), codec.encode(col(text)).alias("ids"))
-    return out.withColumn("decoded", codec.decode(F.col("ids")))
+    def round_trip(self, docs: DataFrame, text: str) -> DataFrame:
+        """``docs`` columns as struct ``row``, with ``ids`` and what these ids decode to, ``decoded``, by one worker for both."""
+        shared, key = self._shared, self._key
+
+        def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            encoder = _encoder(key, shared.value)
+            for whole in batches:
+                for low in range(0, whole.num_rows, SLICE):
+                    batch = whole.slice(low, SLICE)
+                    ids = [encoder.encode(t.as_py()) if t.is_valid else b"" for t in batch.column("text")]
+                    decoded = [encoder.decode(np.frombuffer(i, np.int32)).tobytes() for i in ids]
+                    yield pa.RecordBatch.from_arrays([batch.column("row"), lists(ids, np.int32, pa.int32()), pa.array(decoded, pa.binary())],
+                                                     names=["row", "ids", "decoded"])
+
+        rows = docs.select(packed(docs).alias("row"), col(text).cast("string").alias("text"))
+        return rows.mapInArrow(both, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.BinaryType()))

@@ -123,7 +123,7 @@ def op13_byte_pairs(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_mul
 
     with open(public_tokenizers.path(ranks), "rb") as f:
         codec = byte_pairs.Codec(spark, f.read(), public_tokenizers.PATTERN)
-    out = byte_pairs.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", codec)
+    out = codec.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
     return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
