@@ -19,6 +19,7 @@ from dockcast.functions import text as TX
 from dockcast.functions import time as TM
 from dockcast.operators import curate as cur
 from dockcast.operators import features as fe
+from dockcast.operators import load as ld
 from dockcast.operators import lookup as lk
 from dockcast.operators import metrics as me
 from dockcast.operators import model as mo
@@ -218,6 +219,64 @@ def q_append_readings(spark, sf_dir):
     return cur.append_readings(base, load_polls(spark, sf_dir, landing, polls), days).select(*cur.READING_COLUMNS)
 
 
+def _load_table(spark, sf_dir) -> ld.LoadTable:
+    schema = stored_readings(spark, sf_dir, keep_day=True).schema
+    return ld.LoadTable(scratch_path(spark, "loads"), schema)
+
+
+def _loader(spark, sf_dir, weather: bool = True):
+    """How a load reads poll folders and curates their elements (before any weather landed, without it)."""
+    w, n = weather_table(spark, sf_dir) if weather else (None, None)
+
+    def read(folders: list[str]) -> DataFrame:
+        return sn.scan_snapshots(spark, folders, glob=sn.TEXT_GLOB, base=folders[0].rsplit("/", 1)[0]).select("fields", "_metadata.file_path")
+
+    return read, lambda elements: cur.curate(elements, w, keep_day=True, weather_rows=n)
+
+
+AGAIN = 3                    # polls that are landed a second time
+
+
+def _loads(spark, sf_dir) -> ld.LoadTable:
+    """A table after overlapping loads: all but the two newest polls, the newest one (S6), what is left (S5), the newest
+    polls landed once more in other files, and a load that finds nothing."""
+    landing, (read, curate) = poll_landing(spark, sf_dir), _loader(spark, sf_dir)
+    table = _load_table(spark, sf_dir)
+    polls = sorted(n.split("=")[1] for n in child_names(spark, landing) if n.startswith("poll="))     # one for each day
+    ld.load_landed(spark, table, landing, read, curate, polls=polls[:-2])
+    ld.load_newest(spark, table, landing, read, curate)
+    ld.load_landed(spark, table, landing, read, curate)
+    again = poll_files(spark, sf_dir).where(F.col("poll").isin(polls[-AGAIN:])).withColumn("chunk", F.col("chunk") + 1_000_000)
+    sn.write_poll_files(again, landing, ["poll", "chunk"], mode="append")
+    for _ in range(2):
+        ld.load_landed(spark, table, landing, read, curate)
+    return table
+
+
+@register("load_append")
+def q_load_append(spark, sf_dir):
+    """S5 + S6: the table after overlapping loads, read back: every reading once (distinct by touched day, ledger of files)."""
+    return ld.table_readings(spark, _loads(spark, sf_dir)).select(*cur.READING_COLUMNS)
+
+
+@register("load_ledger")
+def q_load_ledger(spark, sf_dir):
+    """The ledger after those loads: how many files of each poll were taken, and by how many loads."""
+    poll = F.regexp_extract("file_path", "poll=([0-9]+)", 1)
+    return ld.loaded_files(spark, _loads(spark, sf_dir)).groupBy(poll.alias("poll")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.countDistinct("load").alias("n_loads"))
+
+
+@register("load_backfill")
+def q_load_backfill(spark, sf_dir):
+    """S5 + J1 late: a load before any weather landed; then the days that have weather now are replaced in the table."""
+    landing, (read, curate) = poll_landing(spark, sf_dir), _loader(spark, sf_dir, weather=False)
+    table = _load_table(spark, sf_dir)
+    ld.load_landed(spark, table, landing, read, curate)
+    ld.backfill_days(spark, table, *weather_table(spark, sf_dir))
+    return ld.table_readings(spark, table).select(*cur.READING_COLUMNS)
+
+
 @register("weather_backfill")
 def q_weather_backfill(spark, sf_dir):
     """J1 late: readings stored before any weather landed get it from the weather table."""
@@ -686,6 +745,43 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
 
 
+COMPACT_TARGET = 64 << 10   # bytes; small, so that the days of small tables need several files too
+COMPACT_FILES = 4          # landed files, each a micro-batch, between two compactions
+
+
+def _compacted(spark, sf_dir) -> tuple[str, StructType]:
+    """The stream's table after landings of every second station each, with a compaction after each and a batch after the last."""
+    from dockcast.streaming import compaction as cp
+    from dockcast.streaming import ingest as st
+    w, n = weather_table(spark, sf_dir)
+    landing, sink, log = scratch_path(spark, "landing"), scratch_path(spark, "tables/readings_compacted"), scratch_path(spark, "streams/compact")
+    elements = snapshot_elements(spark, sf_dir, nested=True).withColumn("_third", F.pmod(F.col("fields.number").cast("long"), F.lit(3)))
+    for third in range(3):
+        part = elements.where(F.col("_third") == third).drop("_third")
+        write_landing(part.repartition(COMPACT_FILES if third < 2 else 1, "fields.number", "fields.last_update"), f"{landing}/part={third}")
+        stream = st.stream_readings(st.stream_elements(spark, landing, max_files=1), w, weather_rows=n)
+        st.ingest_into_table(stream, sink, log)
+        schema = StructType([f for f in stream.schema if f.name != "event_time"])
+        if third < 2:
+            cp.compact(spark, sink, schema, COMPACT_TARGET)
+    return sink, schema
+
+
+@register("stream_compact")
+def q_stream_compact(spark, sf_dir):
+    """The table by its newest manifest and the batches after it: the rows of the stream, each once."""
+    from dockcast.streaming import compaction as cp
+    return cp.read_current(spark, *_compacted(spark, sf_dir)).select(*cur.READING_COLUMNS)
+
+
+@register("stream_compact_files")
+def q_stream_compact_files(spark, sf_dir):
+    """The compacted days have at most as many files as their bytes need."""
+    from dockcast.streaming import compaction as cp
+    report = cp.file_report(spark, _compacted(spark, sf_dir)[0], COMPACT_TARGET)
+    return report.select("day", (F.col("n_files") <= F.col("most")).alias("within"))
+
+
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """Every snapshot landed twice, the copies in different micro-batches; the stream keeps one row

@@ -364,6 +364,18 @@ SELECT poll, count(*) AS n_files FROM (
   SELECT DISTINCT strftime(ts, '%Y%m%d') AS poll, user_id // 1000 AS chunk FROM events) q
 GROUP BY poll"""
 
+# Overlapping loads leave every reading once; the three newest polls were landed twice, each time whole.
+SQL["load_append"] = SQL["curate_readings"]
+SQL["load_backfill"] = SQL["curate_readings"]
+SQL["load_ledger"] = f"""
+SELECT poll, n_files * n_loads AS n_files, n_loads FROM (
+  SELECT *, CAST(CASE WHEN row_number() OVER (ORDER BY poll DESC) <= 3 THEN 2 ELSE 1 END AS BIGINT) AS n_loads
+  FROM ({SQL["landed_files"]}) f) q"""
+SQL["stream_compact"] = SQL["stream_ingest"]
+# days of the stations whose landings were compacted
+SQL["stream_compact_files"] = with_readings("""
+SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day, TRUE AS within FROM el WHERE status = 'OPEN' AND id % 3 < 2""")
+
 # Faults of the landed lines, by event: 1 truncated, 2 text position, 3 none, 4 junk, 5 junk id, 6 junk time.
 _FAULTS = """
 fl AS (

@@ -32,14 +32,17 @@ SNAPSHOT_GLOB = "?*.json*"
 LANDING_PREFIX = "poll"
 
 
-def scan_snapshots(spark: SparkSession, path: str, multi_line: bool = True, glob: str = SNAPSHOT_GLOB) -> DataFrame:
+def scan_snapshots(spark: SparkSession, path: str | list[str], multi_line: bool = True, glob: str = SNAPSHOT_GLOB,
+                   base: str | None = None) -> DataFrame:
     """S1 + F5: elements of every snapshot file; a file (or line) that is not valid JSON gives none.
 
     ``multi_line=True`` reads each file as one document (array root -> one row per element); such
     files are not split, so parallelism is per file. ``multi_line=False`` reads line-delimited
-    files (one element, or one array, per line) and splits large files.
+    files (one element, or one array, per line) and splits large files. ``base`` is the landing folder
+    that several poll folders stand in.
     """
-    return (spark.read.schema(ELEMENT_SCHEMA)
+    reader = spark.read if base is None else spark.read.option("basePath", base)
+    return (reader.schema(ELEMENT_SCHEMA)
             .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
             .option("pathGlobFilter", glob)
@@ -83,10 +86,10 @@ def write_landing(elements: DataFrame, path: str, poll_col: str | None = None) -
     return path
 
 
-def write_poll_files(files: DataFrame, path: str, by: list[str]) -> str:
+def write_poll_files(files: DataFrame, path: str, by: list[str], mode: str = "errorifexists") -> str:
     """Write whole snapshot files (column ``value``), one for each row: each has a folder of its own,
     ``by`` its columns. Files are text, so scans need the glob ``TEXT_GLOB``."""
-    files.repartition(*by).write.mode("errorifexists").partitionBy(*by).text(path)
+    files.repartition(*by).write.mode(mode).partitionBy(*by).text(path)
     return path
 
 
