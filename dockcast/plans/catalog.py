@@ -792,6 +792,81 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
 
 
+# Landings out of order, by day of the month: the middle of the month comes when its end has been seen, and the last days twice.
+OUT_OF_ORDER = [(1, 10), (21, 31), (11, 20), (28, 31)]
+READING_DELAY = "2 days"
+
+
+def _state_dedup(spark, sf_dir) -> tuple[str, str, StructType]:
+    """(sink, late table, schema) after landings out of order, each a micro-batch of the first step."""
+    from dockcast.streaming import ingest as st
+    w, n = weather_table(spark, sf_dir)
+    root = scratch_path(spark, "tables/state_dedup")
+    landing, sink, late = (f"{root}/{name}" for name in ("landing", "sink", "late"))
+    elements = snapshot_elements(spark, sf_dir, nested=True)
+    day = F.substring("fields.last_update", 9, 2).cast("int")
+    for k, (first, last) in enumerate(OUT_OF_ORDER):
+        write_landing(elements.where(day.between(first, last)), f"{landing}/part={k}")
+        stream = st.stream_readings(st.stream_elements(spark, landing), w, weather_rows=n)
+        st.split_late(stream, f"{root}/on_time", late, f"{root}/marks", f"{root}/log_split", READING_DELAY)
+        st.dedup_with_state(spark, f"{root}/on_time", stream.schema, sink, f"{root}/log_state", READING_DELAY)
+    return sink, late, stream.schema
+
+
+@register("stream_dedup_state")
+def q_stream_dedup_state(spark, sf_dir):
+    """T2 with a state store: files landed out of order; one row per (id, dtUpdate) of those within the watermark."""
+    sink, _, _ = _state_dedup(spark, sf_dir)
+    return spark.read.parquet(sink).select(*cur.READING_COLUMNS)
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Rows older than the watermark when they came, counted by the day and the micro-batch they came in."""
+    _, late, schema = _state_dedup(spark, sf_dir)
+    rows = spark.read.schema(StructType([*schema.fields, *StructType.fromDDL("batch INT").fields])).parquet(late)
+    return rows.groupBy("batch", TM.day_text(F.col("obs_day")).alias("day")).agg(F.count(F.lit(1)).alias("n_late"))
+
+
+# Faults of whole array files, by the last digit of the poll's day.
+CUT_SHORT, OTHER_JSON = 3, 6
+
+
+def _quarantined(spark, sf_dir) -> tuple[str, str]:
+    """(readings, dead letters) of a stream over array files of which some are cut short and some hold something else."""
+    from dockcast.streaming import ingest as st
+    w, n = weather_table(spark, sf_dir)
+    root = scratch_path(spark, "tables/quarantine")
+    digit = F.substring("poll", 8, 1).cast("int")
+    value = (F.when(digit == CUT_SHORT, F.expr("substring(value, 1, length(value) - 9)"))
+             .when(digit == OTHER_JSON, F.lit('[{"note": "closed"}]')).otherwise(F.col("value")))
+    landing = sn.write_poll_files(poll_files(spark, sf_dir).withColumn("value", value), f"{root}/landing", ["poll", "chunk"])
+
+    def curate(elements: DataFrame) -> DataFrame:
+        return cur.readings_from_elements(elements, w, weather_rows=n).select(*cur.READING_COLUMNS, "obs_day")
+
+    files = st.stream_files(spark, landing, sn.TEXT_GLOB, QUARANTINE_FILES)
+    st.quarantine_into_tables(files, curate, f"{root}/sink", f"{root}/dead", f"{root}/log")
+    return f"{root}/sink", f"{root}/dead"
+
+
+QUARANTINE_FILES = 12        # files of a micro-batch
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """F5 on S4's array form: the readings of the good files."""
+    return spark.read.parquet(_quarantined(spark, sf_dir)[0]).select(*cur.READING_COLUMNS)
+
+
+@register("stream_dead_letters")
+def q_stream_dead_letters(spark, sf_dir):
+    """F5 on S4's array form: the bad files, each once, by poll and reason."""
+    dead = spark.read.schema("file_path STRING, length BIGINT, reason STRING").parquet(_quarantined(spark, sf_dir)[1])
+    poll = F.regexp_extract("file_path", "poll=([0-9]+)", 1)
+    return dead.groupBy(poll.alias("poll"), "reason").agg(F.count(F.lit(1)).alias("n_files"), F.countDistinct("file_path").alias("n_names"))
+
+
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """T4: the saved model scores the landing stream, written as T1 writes (sized files per batch)."""

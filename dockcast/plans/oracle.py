@@ -358,6 +358,35 @@ SELECT {READING_COLS} FROM (
   FROM raw) q
 WHERE rn = 1""", extra=_RAW)
 
+# T2 with a state store: landings by day of the month, one batch each; late is what is older than the newest event of the
+# batches before, less two days; the first batch with a key wins, in it the greatest row.
+_BATCHES = """
+dm AS (SELECT *, day(make_timestamp(dtUpdate * 1000)) AS dom FROM raw),
+bt AS (SELECT 0 AS batch, * FROM dm WHERE dom <= 10 UNION ALL SELECT 1, * FROM dm WHERE dom > 20
+       UNION ALL SELECT 2, * FROM dm WHERE dom BETWEEN 11 AND 20 UNION ALL SELECT 3, * FROM dm WHERE dom >= 28),
+mx AS (SELECT batch, max(dtUpdate) AS newest FROM bt GROUP BY batch),
+wm AS (SELECT b.batch, max(a.newest) - 2 * 86400000 AS w FROM mx b LEFT JOIN mx a ON a.batch < b.batch GROUP BY b.batch),
+jd AS (SELECT bt.*, coalesce(dtUpdate < w, FALSE) AS late FROM bt JOIN wm USING (batch))"""
+SQL["stream_dedup_state"] = with_readings(f"""
+SELECT {READING_COLS} FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY id, dtUpdate
+    ORDER BY batch, bikes DESC, day DESC, hour DESC, label DESC, lg DESC, lt DESC, minute DESC, nBike DESC,
+             nPlace DESC, name DESC, places DESC, soleil DESC NULLS LAST, x DESC, minute_of_week DESC) AS rn
+  FROM jd WHERE NOT late) q
+WHERE rn = 1""", extra=_ctes(_RAW, _BATCHES))
+SQL["stream_late_rows"] = with_readings("""
+SELECT batch, strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') AS day, count(*) AS n_late FROM jd WHERE late GROUP BY ALL""",
+                                        extra=_ctes(_RAW, _BATCHES))
+
+# F5 in the stream: files of days ending in 3 are cut short, of days ending in 6 they hold something else.
+SQL["stream_quarantine"] = with_readings(f"""
+SELECT {READING_COLS} FROM raw WHERE day(make_timestamp(dtUpdate * 1000)) % 10 NOT IN (3, 6)""", extra=_RAW)
+SQL["stream_dead_letters"] = """
+SELECT poll, CASE WHEN poll LIKE '%3' THEN 'not JSON' ELSE 'no elements' END AS reason, count(*) AS n_files, count(*) AS n_names FROM (
+  SELECT DISTINCT strftime(ts, '%Y%m%d') AS poll, user_id // 1000 AS chunk FROM events) q
+WHERE poll LIKE '%3' OR poll LIKE '%6' GROUP BY poll"""
+
 # One file for each day and thousand stations.
 SQL["landed_files"] = """
 SELECT poll, count(*) AS n_files FROM (

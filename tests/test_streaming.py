@@ -8,6 +8,7 @@ from dockcast.plans import catalog as cat
 from dockcast.sources.adapter import snapshot_elements
 from dockcast.sources.snapshots import scan_snapshots, write_landing
 from dockcast.streaming import ingest as st
+from pyspark.sql import functions as F
 
 
 def _land(spark, root, copies=1):
@@ -137,3 +138,82 @@ def test_max_files_bounds_a_batch(spark, workdir):
     s = st.stream_readings(st.stream_elements(spark, land, max_files=1), cat.weather_days(spark, SF_SMALL))
     st.ingest_into_table(s, sink, os.path.join(workdir, "ck"))
     assert len([n for n in os.listdir(sink) if n.startswith("batch=")]) == 4
+
+
+def _split(spark, workdir, landing):
+    """One run of both steps of the state-store dedup; the paths, and what the second step dropped by its own watermark."""
+    paths = {n: os.path.join(workdir, n) for n in ("on_time", "late", "marks", "log_split", "sink", "log_state")}
+    stream = st.stream_readings(st.stream_elements(spark, landing), cat.weather_days(spark, SF_SMALL))
+    st.split_late(stream, paths["on_time"], paths["late"], paths["marks"], paths["log_split"])
+    q = st.dedup_with_state(spark, paths["on_time"], stream.schema, paths["sink"], paths["log_state"])
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    return paths, dropped, [m for p in q.recentProgress for op in p["stateOperators"] for m in op["customMetrics"]]
+
+
+def test_state_store_dedup_sends_late_rows_aside(spark, workdir):
+    """Days land out of order: rows behind the watermark are all in the side table, all others once in the sink; the state store's
+    own watermark drops none of them."""
+    el = snapshot_elements(spark, SF_SMALL, nested=True)
+    day = F.substring("fields.last_update", 9, 2).cast("int")
+    landing = os.path.join(workdir, "landing")
+    seen, late_wanted, newest, stores = set(), 0, None, []
+    for k, (first, last) in enumerate([(1, 9), (12, 20), (10, 11), (17, 20), (19, 25)]):
+        write_landing(el.where(day.between(first, last)), os.path.join(landing, f"part={k}"))
+        rows = [(r.id, r.dtUpdate) for r in cur.readings_from_elements(el.where(day.between(first, last)), None).select("id", "dtUpdate").collect()]
+        late = [r for r in rows if newest is not None and r[1] < newest - 2 * 86_400_000]
+        late_wanted += len(late)
+        seen |= set(rows) - set(late)
+        newest = max([newest or 0, *(t for _, t in rows)])
+        paths, dropped, metrics = _split(spark, workdir, landing)
+        assert dropped == 0
+        stores += metrics
+    assert any(m.startswith("rocksdb") for m in stores)
+    got = [(r.id, r.dtUpdate) for r in spark.read.parquet(paths["sink"]).select("id", "dtUpdate").collect()]
+    assert len(got) == len(set(got)) and set(got) == seen
+    assert spark.read.parquet(paths["late"]).count() == late_wanted > 0
+
+
+def test_split_batch_run_again_changes_nothing(spark, workdir):
+    """A batch lost before its commit runs again: the same rows go the same ways."""
+    el = snapshot_elements(spark, SF_SMALL, nested=True)
+    day = F.substring("fields.last_update", 9, 2).cast("int")
+    landing = os.path.join(workdir, "landing")
+    for k, (first, last) in enumerate([(10, 20), (1, 30)]):
+        write_landing(el.where(day.between(first, last)), os.path.join(landing, f"part={k}"))
+        paths, _, _ = _split(spark, workdir, landing)
+    tables = lambda: [sorted(map(str, spark.read.parquet(paths[n]).collect())) for n in ("on_time", "late", "marks")]
+    before = tables()
+    assert before[1]
+    for name in ("1", ".1.crc"):
+        os.remove(os.path.join(paths["log_split"], "commits", name))
+    stream = st.stream_readings(st.stream_elements(spark, landing), cat.weather_days(spark, SF_SMALL))
+    st.split_late(stream, paths["on_time"], paths["late"], paths["marks"], paths["log_split"])
+    assert tables() == before
+
+
+def test_quarantine_names_each_bad_file_once(spark, workdir):
+    landing, rows = os.path.join(workdir, "landing"), cat.weather_days(spark, SF_SMALL)
+    good = '[{"fields":{"number":"%d","name":"s","last_update":"2024-01-0%dT10:00:00+00:00","available_bike_stands":"4","available_bikes":"3","position":[1.5,2.5],"status":"OPEN"}}]'
+    texts = {"poll_a.json": good % (1, 2), "poll_b.json": (good % (2, 3))[:-9], "poll_c.json": '{"note": 1}', "poll_d.json": "[]",
+             "poll_e.json": "no json", "poll_f.json": good % (3, 4), "poll_g.json": ""}
+
+    def land(names):
+        os.makedirs(landing, exist_ok=True)
+        for n in names:
+            with open(os.path.join(landing, n), "w") as f:
+                f.write(texts[n])
+
+    def run():
+        files = st.stream_files(spark, landing, max_files=2)
+        curate = lambda e: cur.readings_from_elements(e, rows).select(*cur.READING_COLUMNS, "obs_day")
+        st.quarantine_into_tables(files, curate, os.path.join(workdir, "sink"), os.path.join(workdir, "dead"), os.path.join(workdir, "log"))
+        return (sorted(r.id for r in spark.read.parquet(os.path.join(workdir, "sink")).collect()),
+                sorted((os.path.basename(r.file_path), r.length, r.reason) for r in spark.read.parquet(os.path.join(workdir, "dead")).collect()))
+
+    land(list(texts)[:4])
+    run()
+    land(texts)
+    wanted = sorted([("poll_b.json", len(texts["poll_b.json"]), st.UNREADABLE), ("poll_c.json", 11, st.NO_ELEMENTS), ("poll_e.json", 7, st.UNREADABLE)])
+    ids, dead = run()
+    assert [i for i in ids if i] == [1, 3] and [d for d in dead if d[0] != "poll_d.json"] == wanted
+    assert run() == (ids, dead)
