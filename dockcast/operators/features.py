@@ -42,6 +42,15 @@ def id_index_table(rows: DataFrame) -> DataFrame:
     return ranked.select("id", "n", F.col("id_index").cast("double").alias("id_index"))
 
 
+def grow_index(index: DataFrame, rows: DataFrame) -> DataFrame:
+    """M1 over time: (id, id_index), the rows of ``index`` as they are and the ids of ``rows`` that it lacks ranked after them, by
+    frequency and text as ever. Ids are counted before they meet the index, so the join is as small as the stations."""
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(index.select("id"), "id", "left_anti")
+    ranked = global_rank(counts, [F.desc("n"), F.asc(F.col("id").cast("string"))], "_rank")
+    first = index.agg(F.coalesce(F.max("id_index") + 1, F.lit(0.0)).alias("n")).first().n
+    return index.select("id", "id_index").unionByName(ranked.select("id", (F.col("_rank") + F.lit(first)).cast("double").alias("id_index")))
+
+
 def with_index(rows: DataFrame, index: DataFrame, unseen: float) -> DataFrame:
     """Rows with the ``id_index`` of a fitted index (fitted once, Q14); an unseen id gets the extra
     index. AQE broadcasts the index if its measured size allows, else both sides are shuffled."""

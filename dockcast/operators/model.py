@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.bins import N_CLASSES
 from dockcast.functions.text import topology_list
-from dockcast.operators.features import N_FEATURES, feature_stages, id_index_table, with_index
+from dockcast.operators.features import N_FEATURES, feature_stages, grow_index, id_index_table, with_index
 from dockcast.operators.sinks import persist_training
 from dockcast.session import scratch_path, write_table
 
@@ -112,15 +112,19 @@ class Featurizer:
         return StationModel(self.index, self.unseen, PipelineModel(stages=[*self.stages, mlp]))
 
 
-def featurizer(rows: DataFrame, normalize: bool = True, warm: StationModel | None = None) -> Featurizer:
-    """The index of ``rows`` (or of a warm model, whose index its weights belong to), stored once."""
-    if warm is not None:
+def featurizer(rows: DataFrame, normalize: bool = True, warm: StationModel | None = None, grow: bool = False) -> Featurizer:
+    """The index of ``rows`` (or of a warm model, whose index its weights belong to), stored once. With ``grow``, ids of
+    ``rows`` that the warm index lacks are ranked after its own, which stay as they are."""
+    if warm is not None and not grow:
         return Featurizer(warm.index, warm.unseen, warm.stages[:-1])
+    if warm is not None:
+        index = materialize(rows.sparkSession, grow_index(warm.index, rows), "id_index")
+        return Featurizer(index, float(index.count()), warm.stages[:-1])
     index = materialize(rows.sparkSession, id_index_table(rows).select("id", "id_index"), "id_index")
     return Featurizer(index, float(index.count()), feature_stages(normalize))
 
 
-def _fit(mlp: MultilayerPerceptronClassifier, cached: DataFrame, feats: Featurizer, layers: list[int]) -> TrainResult:
+def fit_featurized(mlp: MultilayerPerceptronClassifier, cached: DataFrame, feats: Featurizer, layers: list[int]) -> TrainResult:
     m = mlp.fit(cached)
     hist = list(m.summary().objectiveHistory) if m.hasSummary else []
     return TrainResult(feats.model(m), list(layers), max(len(hist) - 1, 0), hist)
@@ -146,16 +150,16 @@ def train(rows: DataFrame, layers: list[int], max_iter: int, seed: int = DEFAULT
 
 
 def train_in_chunks(rows: DataFrame, layers: list[int], chunks: list[int], seed: int = DEFAULT_SEED,
-                    warm: StationModel | None = None, normalize: bool = True) -> list[TrainResult]:
+                    warm: StationModel | None = None, normalize: bool = True, grow: bool = False) -> list[TrainResult]:
     """One fit for each chunk of iterations, each starting from the weights before it, over rows
-    featurized and persisted once."""
+    featurized and persisted once. ``grow`` appends ids that the warm model's index lacks."""
     start = _warm_weights(warm, layers)
-    feats = featurizer(rows, normalize, warm)
+    feats = featurizer(rows, normalize, warm, grow)
     cached = persist_training(feats.transform(rows).select("label", "features"))
     results: list[TrainResult] = []
     try:
         for iterations in chunks:
-            results.append(_fit(perceptron(layers, iterations, seed, start), cached, feats, layers))
+            results.append(fit_featurized(perceptron(layers, iterations, seed, start), cached, feats, layers))
             start = _warm_weights(results[-1].model, layers)
     finally:
         cached.unpersist()
@@ -172,11 +176,11 @@ def chunk_sizes(iters: int, above: int = STEP_CHUNKS_ABOVE) -> list[int]:
 
 
 def train_stepwise(rows: DataFrame, layers: list[int], iters: int, seed: int = DEFAULT_SEED,
-                   warm: StationModel | None = None, above: int = STEP_CHUNKS_ABOVE) -> TrainResult:
+                   warm: StationModel | None = None, above: int = STEP_CHUNKS_ABOVE, grow: bool = False) -> TrainResult:
     """Chunks of iterations, each warm-started from the previous chunk's weights."""
     if iters <= 0:
         raise ValueError("iters must be positive")
-    return train_in_chunks(rows, layers, chunk_sizes(iters, above), seed, warm)[-1]
+    return train_in_chunks(rows, layers, chunk_sizes(iters, above), seed, warm, grow=grow)[-1]
 
 
 def search(rows: DataFrame, hidden: list[str], max_iter: int, folds: int = 3, seed: int = DEFAULT_SEED,
@@ -283,9 +287,10 @@ def read_weights_text(spark: SparkSession, path: str) -> list[float]:
 def retrain(spark: SparkSession, readings: DataFrame, hidden: str, iters: int, seed: int = DEFAULT_SEED,
             warm: StationModel | None = None) -> tuple[TrainResult, DataFrame]:
     """Retrain on the current readings table (e.g. the streaming sink), warm-started from the
-    previous model when given. Returns the fit and the held-out rows for evaluation."""
+    previous model when given: its index grows by the stations that have come since, so each has an index of its own and
+    the old ones keep theirs. Returns the fit and the held-out rows for evaluation."""
     from dockcast.operators.features import usable
     from dockcast.operators.split import split_parts
     train_rows, test_rows = split_parts(usable(readings))
-    res = train_stepwise(materialize(spark, train_rows, "retrain"), topology(hidden), iters, seed, warm=warm)
+    res = train_stepwise(materialize(spark, train_rows, "retrain"), topology(hidden), iters, seed, warm=warm, grow=True)
     return res, test_rows

@@ -26,6 +26,7 @@ from dockcast.operators import model as mo
 from dockcast.operators import scenario as sc
 from dockcast.operators import sinks as sk
 from dockcast.operators import split as sp
+from dockcast.operators import training as tr
 from dockcast.operators.joins import DIMENSION_MAX_ROWS, bounded_broadcast
 from dockcast.session import child_names, input_mark, path_exists, scratch_path, scratch_root, write_table
 from dockcast.sources import snapshots as sn
@@ -667,24 +668,86 @@ def _forecast(scored: DataFrame) -> DataFrame:
     return scored.select("req_id", "id", "name", "day", "hour", "minute", "soleil", valid_class().alias("valid"), described.alias("described"))
 
 
-@register("search_topology")
-def q_search_topology(spark, sf_dir):
-    """M7: 3-fold CV (hash folds) over all topologies with the default iterations, F1; the best model is saved and evaluated on the
-    held-out part. One row per topology."""
+_TRIALS: dict[tuple, str] = {}        # (input mark, scratch root) -> folder of the search's trials
+FOLDS = 3
+
+
+def _searched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(trials of the search over all topologies, training rows with folds, test rows); the trials are fitted once for each
+    state of the data: a later call finds their rows."""
     train, test = training_rows(spark, sf_dir)
     folded = sp.fold_column(train)
-    best, scores = mo.search(folded, mo.SEARCH_HIDDEN, TRAIN_ITERS, fold_col="fold")
-    again = mo.load(spark, mo.save(best, mo.model_path(spark, list(mo.mlp_stage(best).getLayers()))))
+    key = (source_mark(spark, sf_dir), scratch_root(spark))
+    folder = _TRIALS.setdefault(key, scratch_path(spark, "trials"))
+    tr.run_trials(spark, folded, mo.SEARCH_HIDDEN, TRAIN_ITERS, folder, "fold", FOLDS)
+    return tr.trials(spark, folder, mo.SEARCH_HIDDEN, FOLDS), folded, test
+
+
+@register("search_trials")
+def q_search_trials(spark, sf_dir):
+    """M7: the table of trials, a row for each topology and fold: its rows inside and outside the fold."""
+    done, _, _ = _searched(spark, sf_dir)
+    return done.select("hidden", "fold", "iterations", "train_rows", "held_rows", F.col("f1").between(0, 1).alias("f1_valid"))
+
+
+@register("search_topology")
+def q_search_topology(spark, sf_dir):
+    """M7: mean F1 over the folds for each topology with the default iterations; the best one is refitted on all training rows, saved
+    and evaluated on the held-out part. One row per topology."""
+    done, folded, test = _searched(spark, sf_dir)
+    report = tr.search_report(done, mo.SEARCH_HIDDEN).collect()          # one row for each topology
+    layers = {h: mo.topology(h) for h in mo.SEARCH_HIDDEN}
+    best = next(r.hidden for r in report if r.best)
+    res = mo.train(folded, layers[best], TRAIN_ITERS)
+    again = mo.load(spark, mo.save(res.model, mo.model_path(spark, res.layers)))
     held = me.accuracy(me.confusion_counts(mo.predict(again, test))).first()
-    top = max(f1 for _, _, f1 in scores)
-    kept = [h for h, layers, f1 in scores if f1 == top and layers == list(mo.mlp_stage(again).getLayers())]
+    kept = sum(r.best for r in report) == 1 and list(mo.mlp_stage(again).getLayers()) == layers[best]
     sizes = {r.fold: r.n for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}   # three rows
-    rows = [(h, "-".join(map(str, layers)), mo.n_weights(layers), *[sizes.get(k, 0) for k in range(3)], 0.0 <= f1 <= 1.0,
-             len(kept) == 1, held.n_rows) for h, layers, f1 in scores]
+    rows = [(r.hidden, "-".join(map(str, layers[r.hidden])), mo.n_weights(layers[r.hidden]), *[sizes.get(k, 0) for k in range(FOLDS)],
+             0.0 <= r.avg_f1 <= 1.0, kept, held.n_rows) for r in report]
     return spark.createDataFrame(rows, "hidden STRING, layers STRING, n_weights INT, fold0 BIGINT, fold1 BIGINT, fold2 BIGINT, "
                                        "f1_valid BOOLEAN, best_kept BOOLEAN, held_out_rows BIGINT")
 
 
+RESUME_CHUNKS = 5
+
+
+@register("train_resumable")
+def q_train_resumable(spark, sf_dir):
+    """100 iterations of the 20-20 net in five chunks, stopped after two and started again; beside it an unbroken run. A row for
+    each chunk of the log: that both runs have it, and end it with the same loss."""
+    train, test = training_rows(spark, sf_dir)
+    layers, chunks = mo.topology(TRAIN_HIDDEN), mo.chunk_sizes(TRAIN_ITERS, above=TRAIN_ITERS - 1)
+    broken, whole = scratch_path(spark, "training"), scratch_path(spark, "training")
+    tr.train_resumable(spark, train, test, layers, chunks, broken, stop_after=2)
+    tr.train_resumable(spark, train, test, layers, chunks, broken)
+    tr.train_resumable(spark, train, test, layers, chunks, whole)
+    a, b = (tr.training_log(spark, f, len(chunks)) for f in (broken, whole))
+    other = b.select("chunk", F.col("last_loss").alias("other"))
+    alike = F.abs(F.col("last_loss") - F.col("other")) <= 1e-3 * F.abs(F.col("other"))
+    return a.join(other, "chunk", "left").select(
+        "chunk", "iterations", "test_rows", (F.col("steps") <= F.col("iterations")).alias("within"),
+        (F.col("last_loss") <= F.col("first_loss") + 1e-9).alias("not_worse"), F.coalesce(alike, F.lit(False)).alias("as_unbroken"),
+        F.col("correct").between(0, F.col("test_rows")).alias("evaluated"))
+
+
+EARLY_DAYS = 3               # days of readings before the later stations land
+
+
+@register("retrain_grown")
+def q_retrain_grown(spark, sf_dir):
+    """M1 + T3: a model of the first days' stations is retrained when all have landed: the index of the warm model, with the old
+    stations where they were and the new ones after them."""
+    everything = stored_readings(spark, sf_dir, keep_day=True)
+    days = sorted(r[0] for r in everything.select("obs_day").distinct().collect())[:EARLY_DAYS]          # one for each calendar day
+    early, _ = sp.split_parts(fe.usable(everything.where(F.col("obs_day").isin(days)).drop("obs_day")))
+    first = mo.train(mo.materialize(spark, early, "train"), mo.topology(TRAIN_HIDDEN), TRAIN_ITERS)
+    res, _ = mo.retrain(spark, everything.drop("obs_day"), TRAIN_HIDDEN, TRAIN_ITERS, warm=first.model)
+    known = first.model.index.select("id", F.col("id_index").alias("was"))
+    return res.model.index.join(known, "id", "left").select("id", "id_index", F.col("was").isNotNull().alias("known"),
+                                                            (F.col("was").isNull() | (F.col("was") == F.col("id_index"))).alias("kept"))
+
+
 @register("export_predictions")
 def q_export_predictions(spark, sf_dir):
     """K3: held-out predictions exported as ordered CSV, read back."""

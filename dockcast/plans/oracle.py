@@ -488,3 +488,18 @@ SELECT hidden, '5-' || hidden || '-9' AS layers, n_weights, f.fold0, f.fold1, f.
 FROM (VALUES """ + ", ".join(f"('{h}', {n})" for h, n in _TOPOLOGIES) + """) v(hidden, n_weights),
      (SELECT count(*) FILTER (bucket % 3 = 0) AS fold0, count(*) FILTER (bucket % 3 = 1) AS fold1, count(*) FILTER (bucket % 3 = 2) AS fold2
       FROM utr) f""", extra=_ctes(_BASELINE, _PARTS))
+SQL["search_trials"] = with_readings("""
+SELECT hidden, CAST(f.fold AS INTEGER) AS fold, 100 AS iterations, (SELECT count(*) FROM utr) - f.n AS train_rows, f.n AS held_rows, TRUE AS f1_valid
+FROM (VALUES """ + ", ".join(f"('{h}')" for h, _ in _TOPOLOGIES) + """) v(hidden),
+     (SELECT bucket % 3 AS fold, count(*) AS n FROM utr GROUP BY 1) f""", extra=_ctes(_BASELINE, _PARTS))
+SQL["train_resumable"] = with_readings("""
+SELECT CAST(chunk AS INTEGER) AS chunk, 20 AS iterations, (SELECT count(*) FROM ute) AS test_rows, TRUE AS within, TRUE AS not_worse,
+       TRUE AS as_unbroken, TRUE AS evaluated
+FROM range(5) t(chunk)""", extra=_ctes(_BASELINE, _PARTS))
+# the first three days' stations by frequency, then those that came later by theirs
+SQL["retrain_grown"] = with_readings("""
+SELECT id, CAST(row_number() OVER (ORDER BY NOT known, n DESC, CAST(id AS VARCHAR)) - 1 AS DOUBLE) AS id_index, known, TRUE AS kept
+FROM (SELECT id, e.n IS NOT NULL AS known, coalesce(e.n, a.n) AS n
+      FROM (SELECT id, count(*) AS n FROM utr GROUP BY id) a
+      LEFT JOIN (SELECT id, count(*) AS n FROM utr WHERE strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') IN (
+                   SELECT DISTINCT obs_day FROM rd ORDER BY obs_day LIMIT 3) GROUP BY id) e USING (id)) q""", extra=_ctes(_BASELINE, _PARTS))
