@@ -7,9 +7,9 @@ number of stations is not bounded by the driver's memory; M2 ``VectorAssembler``
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Normalizer, VectorAssembler
+from pyspark.ml.feature import Normalizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockcast.operators.rank import global_rank
@@ -58,6 +58,38 @@ def with_index(rows: DataFrame, index: DataFrame, unseen: float) -> DataFrame:
             .withColumn("id_index", F.coalesce("id_index", F.lit(float(unseen)))))
 
 
+STATION_COLUMNS = ["hour", "minute", "station", "soleil", "day"]     # M2 with the station as a vector of its own
+
+
+def station_stages(n_stations: int, normalize: bool = True) -> list:
+    """M2 (+ M3) with the station one-hot (sparse) in the place of its index: a net can then learn each station apart, while a
+    rank by frequency puts unrelated stations side by side. The encoder's size comes from the index, with a slot more for
+    unseen stations, so nothing is fitted on the rows. The first layer of a net has ``station_width`` inputs."""
+    spark = SparkSession.getActiveSession()
+    sizes = spark.createDataFrame([(float(n_stations),)], "id_index DOUBLE")          # one row: the greatest index
+    encoder = OneHotEncoder(inputCols=["id_index"], outputCols=["station"], dropLast=False).fit(sizes)
+    out = "tempFeatures" if normalize else "features"
+    stages = [encoder, VectorAssembler(inputCols=STATION_COLUMNS, outputCol=out, handleInvalid="skip")]
+    return stages + ([Normalizer(inputCol="tempFeatures", outputCol="features", p=2.0)] if normalize else [])
+
+
+def station_width(n_stations: int) -> int:
+    """Length of the assembled vector: four scalars, a slot for each station and one for unseen ones."""
+    return len(STATION_COLUMNS) - 1 + n_stations + 1
+
+
+def features_station(rows: DataFrame, index: DataFrame, unseen: float) -> DataFrame:
+    """(id, dtUpdate, label, size, positions): the positions of the assembled vector that are not zero, as text."""
+    out = with_index(rows, index, unseen)
+    for stage in station_stages(int(unseen), normalize=False):
+        out = stage.transform(out)
+    v = F.unwrap_udt("features")
+    held = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))     # a dense vector names no positions
+    there = F.filter(F.arrays_zip(held.alias("at"), v["values"].alias("x")), lambda p: p["x"] != 0)
+    return out.select("id", "dtUpdate", "label", F.coalesce(v["size"], F.size(v["values"])).alias("size"),
+                      F.array_join(F.transform(there, lambda p: p["at"].cast("string")), ",").alias("positions"))
+
+
 def feature_stages(normalize: bool = True, p: float = 2.0) -> list:
     """M2 (+ M3): stages producing ``features`` from rows with an index; nothing in them is fitted."""
     out = "tempFeatures" if normalize else "features"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.bins import N_CLASSES
 from dockcast.functions.text import topology_list
-from dockcast.operators.features import N_FEATURES, feature_stages, grow_index, id_index_table, with_index
+from dockcast.operators.features import N_FEATURES, feature_stages, grow_index, id_index_table, station_stages, station_width, with_index
 from dockcast.operators.sinks import persist_training
 from dockcast.session import scratch_path, write_table
 
@@ -112,16 +112,32 @@ class Featurizer:
         return StationModel(self.index, self.unseen, PipelineModel(stages=[*self.stages, mlp]))
 
 
-def featurizer(rows: DataFrame, normalize: bool = True, warm: StationModel | None = None, grow: bool = False) -> Featurizer:
+def featurizer(rows: DataFrame, normalize: bool = True, warm: StationModel | None = None, grow: bool = False,
+               station: str = "index") -> Featurizer:
     """The index of ``rows`` (or of a warm model, whose index its weights belong to), stored once. With ``grow``, ids of
-    ``rows`` that the warm index lacks are ranked after its own, which stay as they are."""
+    ``rows`` that the warm index lacks are ranked after its own, which stay as they are. ``station`` is "index" (the scaled
+    rank, as the service has it) or "onehot" (a slot for each station; such a model cannot grow)."""
+    if station not in ("index", "onehot") or (grow and station == "onehot"):
+        raise ValueError("station must be 'index', or 'onehot' without growth")
     if warm is not None and not grow:
         return Featurizer(warm.index, warm.unseen, warm.stages[:-1])
     if warm is not None:
         index = materialize(rows.sparkSession, grow_index(warm.index, rows), "id_index")
         return Featurizer(index, float(index.count()), warm.stages[:-1])
     index = materialize(rows.sparkSession, id_index_table(rows).select("id", "id_index"), "id_index")
-    return Featurizer(index, float(index.count()), feature_stages(normalize))
+    n = index.count()
+    return Featurizer(index, float(n), feature_stages(normalize) if station == "index" else station_stages(n, normalize))
+
+
+def train_station(rows: DataFrame, hidden: str, max_iter: int, seed: int = DEFAULT_SEED) -> TrainResult:
+    """M6 with the station one-hot: the first layer is as wide as the assembled vector."""
+    feats = featurizer(rows, station="onehot")
+    layers = [station_width(int(feats.unseen)), *topology(hidden)[1:]]
+    cached = persist_training(feats.transform(rows).select("label", "features"))
+    try:
+        return fit_featurized(perceptron(layers, max_iter, seed), cached, feats, layers)
+    finally:
+        cached.unpersist()
 
 
 def fit_featurized(mlp: MultilayerPerceptronClassifier, cached: DataFrame, feats: Featurizer, layers: list[int]) -> TrainResult:
@@ -259,7 +275,7 @@ def summary_frame(spark: SparkSession, res: TrainResult, n_rows: int | None = No
 
 def prediction_columns(scored: DataFrame) -> DataFrame:
     """Scored rows without vector columns (CSV and SQL cannot hold vectors)."""
-    return scored.drop("features", "tempFeatures", "rawPrediction", "probability")
+    return scored.drop("features", "tempFeatures", "rawPrediction", "probability", "station")
 
 
 def weights_file_name(layers: list[int]) -> str:

@@ -29,8 +29,9 @@ from dockcast.operators import split as sp
 from dockcast.operators import training as tr
 from dockcast.operators.joins import DIMENSION_MAX_ROWS, bounded_broadcast
 from dockcast.session import child_names, input_mark, path_exists, scratch_path, scratch_root, write_table
+from dockcast.sources import drift as dr
 from dockcast.sources import snapshots as sn
-from dockcast.sources.adapter import faulty_lines, forecast_requests, poll_files, snapshot_elements, weather_observations
+from dockcast.sources.adapter import drifting_files, faulty_lines, forecast_requests, poll_files, snapshot_elements, weather_observations
 from dockcast.sources.snapshots import scan_snapshots, write_landing
 from dockcast.sources.tables import read_table, table_path
 from dockcast.sources.weather import daily_weather, scan_weather, write_synop
@@ -202,6 +203,23 @@ def q_dropped_counts(spark, sf_dir):
     return cur.dropped_counts(el, weather_days(spark, sf_dir))
 
 
+def _drifted(spark, sf_dir) -> DataFrame:
+    landing = sn.write_poll_files(drifting_files(spark, sf_dir), scratch_path(spark, "landing/drift"), ["poll", "chunk"])
+    return write_table(dr.field_types(dr.scan_variants(spark, landing, glob=sn.TEXT_GLOB)), spark, "tables/field_types")
+
+
+@register("schema_by_poll")
+def q_schema_by_poll(spark, sf_dir):
+    """The inferred type of each field of each poll, and how many elements hold it."""
+    return _drifted(spark, sf_dir).select("poll", "field", "n", F.regexp_extract("type", "^[A-Z]+", 0).alias("kind"))
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """Fields that come, go or change their type from one poll to the next."""
+    return dr.schema_drift(_drifted(spark, sf_dir))
+
+
 @register("load_latest")
 def q_load_latest(spark, sf_dir):
     """The newest poll of the landing folder (by listing) with its day's weather."""
@@ -511,6 +529,14 @@ def q_features_l1(spark, sf_dir):
     return fe.features_l1(fe.usable(stored_readings(spark, sf_dir)))
 
 
+@register("features_station")
+def q_features_station(spark, sf_dir):
+    """M2 with a vector of its own for the station: which positions of the assembled features are not zero."""
+    rows = fe.usable(stored_readings(spark, sf_dir))
+    index = write_table(fe.id_index_table(rows).select("id", "id_index"), spark, "tables/id_index")
+    return fe.features_station(rows, index, float(index.count()))
+
+
 # --- sinks --------------------------------------------------------------------------------------
 
 @register("export_ordered")

@@ -503,3 +503,29 @@ FROM (SELECT id, e.n IS NOT NULL AS known, coalesce(e.n, a.n) AS n
       FROM (SELECT id, count(*) AS n FROM utr GROUP BY id) a
       LEFT JOIN (SELECT id, count(*) AS n FROM utr WHERE strftime(make_timestamp(dtUpdate * 1000), '%Y%m%d') IN (
                    SELECT DISTINCT obs_day FROM rd ORDER BY obs_day LIMIT 3) GROUP BY id) e USING (id)) q""", extra=_ctes(_BASELINE, _PARTS))
+
+# What the drifting files hold, by the day of the month.
+_DRIFT = """
+dp AS (SELECT strftime(ts, '%Y%m%d') AS poll, day(ts) AS dom, count(*) AS n FROM events GROUP BY ALL),
+dt AS (
+  SELECT poll, dom, n, field, kind FROM dp, (VALUES ('number', 'STRING'), ('name', 'STRING'), ('available_bikes', 'BIGINT'),
+         ('available_bikes', 'STRING'), ('position', 'ARRAY'), ('banking', 'BOOLEAN')) f(field, kind)
+  WHERE CASE WHEN field = 'name' THEN dom <= 24 WHEN field = 'banking' THEN dom >= 11
+             WHEN field = 'available_bikes' THEN (kind = 'STRING') = (dom BETWEEN 16 AND 20) ELSE TRUE END
+),
+dg AS (
+  SELECT p.poll, f.field, t.kind, lag(t.kind) OVER w AS was, row_number() OVER w AS no
+  FROM dp p CROSS JOIN (SELECT DISTINCT field FROM dt) f LEFT JOIN dt t ON t.poll = p.poll AND t.field = f.field
+  WINDOW w AS (PARTITION BY f.field ORDER BY p.poll)
+)"""
+SQL["schema_by_poll"] = f"WITH {_DRIFT} SELECT poll, field, n, kind FROM dt"
+SQL["schema_drift"] = f"""WITH {_DRIFT}
+SELECT poll, field, CASE WHEN was IS NULL THEN 'appears' WHEN kind IS NULL THEN 'vanishes' ELSE 'changes type' END AS change,
+       was AS before, kind AS after
+FROM dg WHERE no > 1 AND was IS DISTINCT FROM kind"""
+# positions of hour, minute, the station's slot, soleil and day in the assembled vector
+SQL["features_station"] = with_readings("""
+SELECT r.id, r.dtUpdate, r.label, CAST(c.n + 5 AS INTEGER) AS size,
+       concat_ws(',', CASE WHEN hour <> 0 THEN '0' END, CASE WHEN minute <> 0 THEN '1' END, CAST(CAST(2 + ix.id_index AS BIGINT) AS VARCHAR),
+                 CASE WHEN soleil <> 0 THEN CAST(c.n + 3 AS VARCHAR) END, CASE WHEN day <> 0 THEN CAST(c.n + 4 AS VARCHAR) END) AS positions
+FROM readings r JOIN ix ON ix.id = r.id, (SELECT count(*) AS n FROM ix) c WHERE r.soleil IS NOT NULL""", extra=_IDX)

@@ -97,6 +97,24 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events_with_nation(spark, sf_dir).select(day_text("ts").alias("poll"), value.alias("value"))
 
 
+# Drift of the stand-in, by day of the month: a field that comes, one whose values become text for a while, one that goes.
+NEW_FIELD_FROM, TEXT_BIKES, NAME_UNTIL = 11, (16, 20), 24
+
+
+def drifting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events + nation -> (poll, chunk, value): array files as ``poll_files``, whose fields change from day to day."""
+    number, name, last_update, stands, bikes, position, status = _element_columns()
+    day = F.dayofmonth("ts")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    element = F.concat(
+        F.lit('{"fields":{"number":'), quoted(number), F.when(day <= NAME_UNTIL, F.concat(F.lit(',"name":'), quoted(name))).otherwise(""),
+        F.lit(',"available_bikes":'), F.when(day.between(*TEXT_BIKES), quoted(bikes)).otherwise(bikes),
+        F.lit(',"position":'), F.to_json(position), F.when(day >= NEW_FIELD_FROM, F.lit(',"banking":true')).otherwise(""), F.lit("}}"))
+    rows = _events_with_nation(spark, sf_dir).select(day_text("ts").alias("poll"), F.floor(F.col("user_id") / POLL_STATIONS).alias("chunk"), element.alias("element"))
+    files = rows.groupBy("poll", "chunk").agg(F.array_join(F.collect_list("element"), ",").alias("elements"))
+    return files.select("poll", "chunk", F.concat(F.lit("["), F.col("elements"), F.lit("]")).alias("value"))
+
+
 def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (numer_sta, date 'yyyyMMddHHmmss', t kelvin), like rows of a synop file."""
     ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "value")
