@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,10 +18,10 @@ CSV_SEP = ";"
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
-    """Vector columns become ``a;b;c`` text (CSV cannot hold vectors)."""
+    """Vector columns become ``a,b,c`` text (CSV cannot hold vectors)."""
     out = []
     for f in df.schema.fields:
-        if f.dataType.typeName() == "vector":
+        if isinstance(f.dataType, VectorUDT):
             out.append(F.array_join(vector_to_array(F.col(f.name)).cast("array<string>"), ",").alias(f.name))
         else:
             out.append(F.col(f.name))

@@ -637,21 +637,22 @@ def q_model_roundtrip(spark, sf_dir):
 
 @register("warm_start")
 def q_warm_start(spark, sf_dir):
-    """A fit that starts from another's weights begins at its loss and does not end above it."""
+    """The saved model's weights start a fit of the same net: it begins at the loss they have and does not end above it."""
     train, _ = training_rows(spark, sf_dir)
-    first = mo.train(train, mo.topology("10"), 5)
-    second = mo.train(train, mo.topology("10"), 5, warm=first.model)
-    starts = abs(second.objective[0] - first.objective[-1]) <= 1e-6 * max(1.0, abs(first.objective[-1]))
-    ends = second.objective[-1] <= first.objective[-1] + 1e-9
+    first, _ = trained_model(spark, sf_dir)
+    second = mo.train(train, mo.topology(TRAIN_HIDDEN), TRAIN_ITERS, warm=first)
+    third = mo.train(train, mo.topology(TRAIN_HIDDEN), 1, warm=second.model)
+    starts = abs(third.objective[0] - second.objective[-1]) <= 1e-6 * max(1.0, abs(second.objective[-1]))
+    ends = third.objective[-1] <= second.objective[-1] + 1e-9
     return fit_summary(spark, second, train.count()).withColumns({"starts_there": F.lit(starts), "not_worse": F.lit(ends)})
 
 
 @register("train_stepwise")
 def q_train_stepwise(spark, sf_dir):
-    """Iterations in chunks (here above 5, not above 10,000), each from the weights before it."""
+    """The default iterations in five chunks, each from the weights before it."""
     train, _ = training_rows(spark, sf_dir)
-    chunks = mo.chunk_sizes(8, above=5)
-    results = mo.train_in_chunks(train, mo.topology("10"), chunks)
+    chunks = mo.chunk_sizes(TRAIN_ITERS, above=TRAIN_ITERS - 1)
+    results = mo.train_in_chunks(train, mo.topology(TRAIN_HIDDEN), chunks)
     rows = [(k, n, mo.n_weights(r.layers), r.iterations <= n, k == 0 or r.objective[-1] <= results[k - 1].objective[-1] + 1e-9)
             for k, (n, r) in enumerate(zip(chunks, results))]
     return spark.createDataFrame(rows, "chunk INT, iterations INT, n_weights INT, within BOOLEAN, not_worse BOOLEAN")
@@ -659,13 +660,25 @@ def q_train_stepwise(spark, sf_dir):
 
 @register("retrain")
 def q_retrain(spark, sf_dir):
-    """Retrain on the current table from an earlier model."""
+    """Retrain on the current table from the saved model."""
     train, _ = training_rows(spark, sf_dir)
-    first = mo.train(train, mo.topology("10"), 3)
-    res, test = mo.retrain(spark, stored_readings(spark, sf_dir), "10", 3, warm=first.model)
+    res, test = mo.retrain(spark, stored_readings(spark, sf_dir), TRAIN_HIDDEN, TRAIN_ITERS, warm=trained_model(spark, sf_dir)[0])
     return fit_summary(spark, res, train.count()).withColumn("test_rows", F.lit(test.count()).cast("bigint"))
 
 
+@register("persist_training")
+def q_persist_training(spark, sf_dir):
+    """K6: the training set as a stored table, persisted in memory with spill to disk while it is used."""
+    train, _ = training_rows(spark, sf_dir)
+    kept = sk.persist_training(train)
+    try:
+        level = kept.storageLevel
+        spills = level.useMemory and level.useDisk
+        return write_table(kept.select("id", "dtUpdate", "label", F.lit(spills).alias("spills")), spark, "tables/persisted")
+    finally:
+        kept.unpersist()
+
+
 @register("evaluate_model")
 def q_evaluate_model(spark, sf_dir):
     """M9: the whole report on the saved model's held-out predictions (Q2), reduced to what must hold:
@@ -776,12 +789,17 @@ def q_retrain_grown(spark, sf_dir):
 
 @register("export_predictions")
 def q_export_predictions(spark, sf_dir):
-    """K3: held-out predictions exported as ordered CSV, read back."""
+    """K3: held-out rows as scored, vectors included, exported as ordered CSV and read back: the prediction is the class of the
+    greatest probability, and the vectors are whole."""
     model, test = trained_model(spark, sf_dir)
-    scored = mo.prediction_columns(mo.predict(model, test))
+    scored = sk.csv_ready(mo.predict(model, test))
     path = sk.export_ordered(scored, scratch_path(spark, "exports/predictions"))
     back = sk.read_export(spark, path, scored.schema)
-    return back.select("id", "dtUpdate", "name", "label", "id_index", valid_class().alias("valid"))
+    numbers = lambda c: F.transform(F.split(c, ","), lambda x: x.cast("double"))
+    p = numbers("probability")
+    likeliest = F.get(p, F.col("prediction").cast("int")) == F.array_max(p)
+    return back.select("id", "dtUpdate", "name", "label", "id_index", valid_class().alias("valid"), likeliest.alias("likeliest"),
+                       F.size(p).alias("n_probabilities"), F.size(numbers("rawPrediction")).alias("n_raw"), F.size(numbers("features")).alias("n_features"))
 
 
 @register("parse_topology")

