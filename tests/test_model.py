@@ -10,6 +10,7 @@ from dockcast.operators import features as fe
 from dockcast.operators import metrics as me
 from dockcast.operators import model as mo
 from dockcast.operators import split as sp
+from dockcast.operators import training as tr
 from dockcast.plans import catalog as cat
 
 
@@ -125,14 +126,15 @@ def test_search_query_fits_all_topologies_with_the_default_iterations(spark, mon
     class Stopped(Exception):
         pass
 
-    def search(rows, hidden, max_iter, **_):
-        asked.append((list(hidden), max_iter))
+    def run_trials(spark, rows, hidden, max_iter, folder, fold_col, folds, **_):
+        asked.append((list(hidden), max_iter, folds))
         raise Stopped
 
-    monkeypatch.setattr(mo, "search", search)
+    monkeypatch.setattr(cat, "_TRIALS", {})
+    monkeypatch.setattr(tr, "run_trials", run_trials)
     with pytest.raises(Stopped):
         cat.q_search_topology(spark, SF_CHECK)
-    assert asked == [(mo.SEARCH_HIDDEN, 100)] and len(mo.SEARCH_HIDDEN) == 10
+    assert asked == [(mo.SEARCH_HIDDEN, 100, 3)] and len(mo.SEARCH_HIDDEN) == 10
 
 
 def test_round_trip_query_fits_as_the_training_query_does(spark, monkeypatch):
