@@ -17,12 +17,13 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.functions.bins import N_CLASSES
+from dockcast.functions.bins import N_CLASSES, label_text
 from dockcast.functions.text import topology_list
 from dockcast.operators.features import N_FEATURES, feature_stages, grow_index, id_index_table, station_stages, station_width, with_index
 from dockcast.operators.sinks import persist_training
@@ -278,6 +279,14 @@ def prediction_columns(scored: DataFrame) -> DataFrame:
     return scored.drop("features", "tempFeatures", "rawPrediction", "probability", "station")
 
 
+def forecast_rows(scored: DataFrame) -> DataFrame:
+    """M8b's answer: each request's stations at the asked time with the predicted class, its description (C14), its probability, and
+    those of all classes."""
+    p = vector_to_array("probability")
+    return scored.select("req_id", "id", "name", "day", "hour", "minute", "soleil", "prediction", label_text("prediction").alias("description"),
+                         F.array_max(p).alias("confidence"), p.alias("probabilities"))
+
+
 def weights_file_name(layers: list[int]) -> str:
     """The service's weight file name, ``mlp-<l1>-<l2>-...-.weights``."""
     return "mlp-" + "".join(f"{n}-" for n in layers) + ".weights"

@@ -704,8 +704,10 @@ def q_forecast_explicit(spark, sf_dir):
 
 
 def _forecast(scored: DataFrame) -> DataFrame:
-    described = B.label_text("prediction").isNotNull()
-    return scored.select("req_id", "id", "name", "day", "hour", "minute", "soleil", valid_class().alias("valid"), described.alias("described"))
+    """What SQL can state of a forecast: its rows, and that each has a class with its description."""
+    rows = mo.forecast_rows(scored)
+    return rows.select("req_id", "id", "name", "day", "hour", "minute", "soleil", valid_class().alias("valid"),
+                       F.col("description").isNotNull().alias("described"))
 
 
 _TRIALS: dict[tuple, str] = {}        # (input mark, scratch root) -> folder of the search's trials
