@@ -308,16 +308,15 @@ def _aligner(key: int, shared: tuple) -> Aligner:
     return _WORKER[key]
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _runs(texts: list[str | None]) -> list[tuple[int, int]]:
     """Runs of texts of about ``SLICE_CHARS``."""
-    first = size = 0
+    out, first, size = [], 0, 0
     for k, t in enumerate(texts):
         if size and size + len(t or "") > SLICE_CHARS:
-            yield first, k
+            out.append((first, k))
             first, size = k, 0
         size += len(t or "")
-    if first < len(texts):
-        yield first, len(texts)
+    return out + [(first, len(texts))] if first < len(texts) else out
 
 
 def link_documents(docs: DataFrame, text: Column, spec_a: str, model_b: bytes, pattern: str, keep_text: bool = False,
@@ -335,21 +334,19 @@ def link_documents(docs: DataFrame, text: Column, spec_a: str, model_b: bytes, p
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(key, shared.value)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found: list[tuple] = []
-            for low, high in _runs(texts):
-                found += aligner.align(texts[low:high], keep_text)
-            flat = np.concatenate([f[5] for f in found] or [np.empty(0, np.int64)])
-            links = np.concatenate([f[6] for f in found] or [np.empty(0, np.int64)])
-            cuts = np.concatenate(([0], np.cumsum([len(f[5]) for f in found]))).astype(np.int32)
-            values = pa.StructArray.from_arrays([pa.array((flat // aligner.width).astype(np.int32)),
-                                                 pa.array((flat % aligner.width).astype(np.int32)), pa.array(links)], fields=list(pair))
-            columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row_id"), batch.column("row"), *columns, pa.array([f[4] for f in found], pa.string()),
-                 pa.ListArray.from_arrays(pa.array(cuts), values)],
-                names=["row_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"])
+        for whole in batches:
+            for low, high in _runs(whole.column("text").to_pylist()):       # a batch out for each run, so that pairs don't pile up
+                batch = whole.slice(low, high - low)
+                found = aligner.align(batch.column("text").to_pylist(), keep_text)
+                flat, links = np.concatenate([f[5] for f in found]), np.concatenate([f[6] for f in found])
+                cuts = np.concatenate(([0], np.cumsum([len(f[5]) for f in found]))).astype(np.int32)
+                values = pa.StructArray.from_arrays([pa.array((flat // aligner.width).astype(np.int32)),
+                                                     pa.array((flat % aligner.width).astype(np.int32)), pa.array(links)], fields=list(pair))
+                columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(4)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row_id"), batch.column("row"), *columns, pa.array([f[4] for f in found], pa.string()),
+                     pa.ListArray.from_arrays(pa.array(cuts), values)],
+                    names=["row_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"])
 
     schema = rows.select("row_id", "row").schema
     for field in docs.sparkSession.createDataFrame([], kinds).schema:
