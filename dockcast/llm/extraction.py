@@ -11,7 +11,10 @@ trained here, on the blocks of at most ``TRAIN_PAGES`` pages that stand inside s
 so carry their own label; every page is then labelled over its whole html.
 
 Defined results: null and empty pages have an empty text; broken markup is read as far as it makes
-sense (open elements end with their parent); repeated rows are each extracted.
+sense (open elements end with their parent, quotes without an end at the next white space); hidden
+elements count like others; very long pages take time in proportion to their length; ties between
+labellings of one cost go to boilerplate; repeated rows are each extracted; other columns stay out of
+it, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,141 +41,296 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary "
                   "table tbody tfoot thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript head title textarea select button svg math iframe object canvas audio video "
+UNSEEN = frozenset("script style template noscript head title textarea select button svg iframe object canvas audio video "
                    "datalist applet frameset noframes".split())
 RAW = frozenset("script style textarea title noscript iframe noframes".split())
-AWAY = frozenset("nav footer aside form menu dialog".split())
+AWAY = frozenset("nav footer aside menu dialog".split())      # and most forms, see lean_of_forms
 TOWARDS = frozenset("article main".split())
 #: What an opening tag ends.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = frozenset("ul ol dl table article section div main body nav aside footer header form blockquote".split())
 
-#: A class or id is one of these words, or a listed compound: ``AWAY_PART`` before or after a hyphen or underscore.
-AWAY_NAME = re.compile(
-    r"(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|respond|replies|cookies?|consent|gdpr|footer|header|masthead|"
-    r"menu|nav|navbar|navigation|newsletter|notice|alert|pagination|pager|popup|modal|promo\w*|related|share|sharing|sidebar|"
-    r"social|sponsor\w*|subscribe|tags?|toolbar|widget|signup|login|search|skip|legal|copyright|disqus|"
-    r"(?:site|page|main|global|top|bottom|left|right|primary|secondary)[_-](?:ad|ads|banner|footer|header|menu|nav|navbar|navigation|sidebar)|"
-    r"(?:post|entry|article)[_-](?:nav|navigation|tags?|share|comments?)|"
-    r"(?:ad|ads|banner|breadcrumbs?|comments?|cookies?|footer|menu|nav|navbar|newsletter|pagination|popup|modal|promo|related|share|sidebar|social|"
-    r"sponsor|subscribe|widget|search|login|signup)[_-](?:area|author|bar|body|box|block|buttons?|consent|container|content|form|inner|items?|"
-    r"left|links?|list|menu|meta|nav|notice|overlay|banner|panel|posts?|primary|right|secondary|section|slot|unit|widget|wrap|wrapper|\d+))", re.I)
-TOWARDS_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|entry|post|story|main|body-?text|post-?body|entry-?content)(?:$|[\s_-])", re.I)
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: Parts of class names and ids. A name with a part of ``AWAY_PARTS`` is boilerplate's wherever the part
+#: stands; one of ``AWAY_ENDS`` must be the last part, or the first one before a part of ``HOLDERS``.
+AWAY_PARTS = frozenset(
+    "ad ads adsbygoogle adsense advert adverts advertisement advertising advertorial banner banners breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies discussion disqus footer gdpr masthead menu menus nav navbar navbox navigation newsletter notice "
+    "notices pager pagination popup promo promos promotion related replies respond sharing sidebar sidebars signup social sponsor sponsored "
+    "sponsors subscribe subscription toolbar usercomments widget widgets".split())
+AWAY_ENDS = frozenset("alert alerts copyright legal login meta modal search share skip tag tags tagcloud".split())
+AWAY_TAIL = re.compile(r"(?:comments|sidebar|footer|menu|navbar|navigation|newsletter|banner|widget)$")
+HOLDERS = frozenset("area bar block body box button buttons cloud container content form icon icons inner item items left link links list panel "
+                    "right section slot unit wrap wrapper".split())
+#: Names of comments and of links elsewhere: an article element in there is no page's article.
+REPEATED = frozenset("comment comments commentlist discussion disqus usercomments replies related promo promos".split())
+PAGE_PARTS = frozenset("site page global top bottom main primary secondary".split())
+TOWARDS_PARTS = frozenset("article articlebody bodytext content entry hentry main post postbody story".split())
+#: Names that tell a state or a layout, a kind of post or a page builder's box, not what is inside.
+STATE_FIRST = frozenset("category elementor et fl format has hide is layout no non not show status type vc with without".split())
+STATE_ANY = frozenset("active below closed disabled enabled free layout open opened template with without".split())
+NAME_SPLIT = re.compile(r"[-_:/.]+|(?<=[a-z])(?=[A-Z])")
+OPENING = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+ATTRIBUTE = re.compile(r"[\s/]*([^\s=>/]*)(\s*=\s*)?")
+UNQUOTED = re.compile(r"[^\s>]*")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+RAW_ENDS = {name: re.compile(f"</{name}", re.I) for name in RAW}
+LONG_WORDS = 20               # words of a block that counts as running text
+
+
+def name_kind(name: str) -> str:
+    """What one class, id or role says: "away", "soft" (a header), "towards" or "" (nothing)."""
+    parts = [p.lower() for p in NAME_SPLIT.split(name) if p]
+    if not parts or parts[0] in STATE_FIRST or any(p in STATE_ANY for p in parts):
+        return ""
+    if parts[0] == "tag" and len(parts) > 1 and parts[1] not in HOLDERS:
+        return ""                         # a post's own tag, as tag-python
+    if any(p in AWAY_PARTS or AWAY_TAIL.search(p) for p in parts):
+        return "away"
+    if parts[-1] in AWAY_ENDS or parts[0] in AWAY_ENDS and parts[1] in HOLDERS:
+        return "away"
+    if "header" in parts:
+        return "away" if parts[0] in PAGE_PARTS else "soft"
+    return "towards" if any(p in TOWARDS_PARTS for p in parts) or "".join(parts) in TOWARDS_PARTS else ""
+
+
+def names_kind(names: list[str]) -> str:
+    """What the classes, ids and roles of an element say together. A name that is nothing but a word of
+    boilerplate, or two of them, decides; beside a name of content a single compound is a layout's
+    (``content sidebar-right``)."""
+    kinds = [(name_kind(n), n) for n in names]
+    away = [n for kind, n in kinds if kind == "away"]
+    towards = any(kind == "towards" for kind, _ in kinds)
+    if away and (not towards or len(away) > 1 or not NAME_SPLIT.search(away[0])):
+        return "away"
+    if any(kind == "soft" for kind, _ in kinds):
+        return "soft"
+    return "towards" if towards else ""
 
 
-def names_of(attributes: str) -> str:
-    return " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
+class Block:
+    __slots__ = ("text", "linked", "parent", "lean", "heading", "form")
 
+    def __init__(self, parent: int, lean: float, heading: bool, form: int):
+        self.text, self.linked, self.parent, self.lean, self.heading, self.form = "", 0, parent, lean, heading, form
 
-def names_away(named: str) -> bool:
-    """Whether the classes and ids are those of boilerplate: one is, and none is that of content."""
-    tokens = named.split()
-    own = [t for t in tokens if AWAY_NAME.fullmatch(t)]
-    return bool(own) and not any(TOWARDS_NAME.search(t) for t in tokens if t not in own)
 
+class Tags:
+    """The markup of a page from left to right, in time linear in its length: every search either
+    moves past what it has read, or finds once that nothing more of its kind follows."""
 
-class Block:
-    __slots__ = ("text", "linked", "parent", "lean", "heading")
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.unclosed: set[str] = set()
 
-    def __init__(self, parent: int, lean: float, heading: bool):
-        self.text, self.linked, self.parent, self.lean, self.heading = "", 0, parent, lean, heading
+    def find(self, what: str, at: int) -> int:
+        if what in self.unclosed:
+            return -1
+        k = self.page.find(what, at)
+        if k < 0:
+            self.unclosed.add(what)
+        return k
+
+    def next(self, at: int) -> tuple[int, int, str, bool, dict[str, str], bool] | None:
+        """(start, end, name, ending, attributes, self-closing) of the next tag from ``at`` on; the
+        name is empty for comments and declarations. None: the rest is text."""
+        page = self.page
+        while True:
+            start = self.find("<", at)
+            if start < 0:
+                return None
+            if page.startswith("<!--", start):
+                end = self.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", False, {}, False
+            if start > self.last:
+                return None
+            follows = page[start + 1:start + 2]
+            if follows in ("!", "?"):
+                return start, page.find(">", start) + 1, "", False, {}, False
+            m = OPENING.match(page, start)
+            if m:
+                return self.read(start, m)
+            if follows == "/":
+                return start, page.find(">", start) + 1, "", False, {}, False
+            at = start + 1
+
+    def read(self, start: int, m: re.Match) -> tuple[int, int, str, bool, dict[str, str], bool]:
+        page, at, found = self.page, m.end(), {}
+        ending = page[start + 1] == "/"
+        if page[at:at + 1] == ">":
+            return start, at + 1, m[1].lower(), ending, found, False
+        closing = False
+        while at <= self.last:
+            if page[at] == ">":
+                closing = page[at - 1] == "/"
+                return start, at + 1, m[1].lower(), ending, found, closing
+            a = ATTRIBUTE.match(page, at)
+            at = a.end()
+            if not a[2]:
+                if a[1]:
+                    found.setdefault(a[1].lower(), "")
+                elif a.end() == a.start():
+                    at += 1               # a sign that starts no attribute
+                continue
+            quote = page[at:at + 1]
+            end = self.find(quote, at + 1) if quote in ("'", '"') else -1
+            if end >= 0:
+                value, at = page[at + 1:end], end + 1
+            else:
+                v = UNQUOTED.match(page, at)
+                value, at = v[0].strip("'\""), v.end()
+            found.setdefault(a[1].lower(), value)
+        # quotes that run past the last end of a tag: the tag ends at its first one
+        return start, page.find(">", start) + 1, m[1].lower(), ending, found, False
+
+
+class Elements:
+    """The open elements. For each name, and for the kinds that end or hold others, the places of the
+    open ones are kept, so no tag walks the whole stack."""
+
+    def __init__(self) -> None:
+        # (name, number, lean, unseen, whether a negative lean came from a name alone, form)
+        self.stack: list[tuple[str, int, float, bool, bool, int]] = [("", 0, 0.0, False, False, 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.holds: list[int] = [0]
+
+    def place(self, name: str) -> int:
+        at = self.places.get(name)
+        return at[-1] if at else 0
+
+    def push(self, element: tuple[str, int, float, bool, bool, int]) -> None:
+        name, k = element[0], len(self.stack)
+        self.stack.append(element)
+        self.places.setdefault(name, []).append(k)
+        if name in BLOCK:
+            self.blocks.append(k)
+        if name in HOLDS:
+            self.holds.append(k)
+
+    def pop_to(self, k: int) -> None:
+        while len(self.stack) > k:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            if name in HOLDS:
+                self.holds.pop()
 
 
 def read_blocks(page: str) -> list[Block]:
     """The page's blocks in order. ``lean``: what the elements around a block say (greater: content)."""
     blocks: list[Block] = []
-    # (name, number, lean, hidden, whether a negative lean came from a class or id alone)
-    stack: list[tuple[str, int, float, bool, bool]] = [("", 0, 0.0, False, False)]
-    number, links = 0, 0
+    # for each form the one around it, and whether it holds an article or main element
+    around: list[int] = [0]
+    holds_article: list[bool] = [False]
+    tags, open_ = Tags(page), Elements()
+    stack = open_.stack
+    number = 0
     texts: list[tuple[str, bool]] = []
 
     def close() -> None:
         if texts:
             joined = " ".join(entities.unescape("".join(t for t, _ in texts)).split())
             if joined:
-                holder = next((s for s in reversed(stack) if s[0] in HOLDS or not s[0]), stack[0])
-                b = Block(holder[1], stack[-1][2], any(re.fullmatch("h[1-6]", s[0]) for s in stack[-3:]))
+                b = Block(stack[open_.holds[-1]][1], stack[-1][2], any(s[0] in HEADINGS for s in stack[-3:]), stack[-1][5])
                 b.text = joined
                 b.linked = sum(len(t.strip()) for t, linked in texts if linked)
                 blocks.append(b)
             texts.clear()
 
-    def pop_to(k: int) -> None:
-        nonlocal links
-        for s in stack[k:]:
-            links -= s[0] == "a"
-        del stack[k:]
-
     at = 0
     while True:
-        m = TAG.search(page, at)
-        piece = page[at:m.start()] if m else page[at:]
+        tag = tags.next(at)
+        piece = page[at:tag[0]] if tag else page[at:]
         if piece and not stack[-1][3]:
-            texts.append((piece, links > 0))
-        if not m:
+            texts.append((piece, bool(open_.place("a"))))
+        if not tag:
             break
-        at = m.end()
-        ending, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        _, at, name, ending, attributes, closing = tag
         if not name:
             continue
-        name = name.lower()
         if ending:
-            k = len(stack) - 1
-            while k and stack[k][0] != name:
-                k -= 1
-            if name in BLOCK or k and any(s[0] in BLOCK for s in stack[k:]):
+            k = open_.place(name)
+            if name in BLOCK or k and open_.blocks and open_.blocks[-1] >= k:
                 close()
             if k:
-                pop_to(k)
+                open_.pop_to(k)
             continue
         if name == "br" or name in ("td", "th"):
             texts.append((" ", False))
         if name in BLOCK:
             close()
-            k = max((k for k, s in enumerate(stack) if s[0] == "p"), default=0)
-            if k and not any(s[0] in HOLDS for s in stack[k:]):
-                pop_to(k)                 # a block-level element ends an open paragraph
+            k = open_.place("p")
+            if k > open_.holds[-1]:
+                open_.pop_to(k)           # a block-level element ends an open paragraph
         for other in ENDS.get(name, ()):
-            k = len(stack) - 1
-            while k and stack[k][0] != other and stack[k][0] not in HOLDS:
-                k -= 1
-            if k and stack[k][0] == other:
-                pop_to(k)
-        if name in VOID or attributes.endswith("/") and name not in BLOCK:
+            k = open_.place(other)
+            if k > open_.holds[-1]:
+                open_.pop_to(k)
+        if name in VOID or closing and name not in BLOCK:
             continue
         if name in RAW:
-            end = re.compile(f"</{name}", re.I).search(page, at)
+            end = RAW_ENDS[name].search(page, at)
             if end is None:
                 break
             at = end.start()
         number += 1
-        lean, hidden, by_name = stack[-1][2], stack[-1][3] or name in UNSEEN, stack[-1][4]
-        if name in AWAY:
+        _, _, above, unseen, by_name, form = stack[-1]
+        lean = above
+        names = [n for key in ("class", "id", "role") for n in attributes.get(key, "").split()] if attributes and name not in ("html", "body") else []
+        kind = names_kind(names) if names else ""
+        if name in TOWARDS:
+            if kind != "away" and (lean >= 0 or by_name):
+                lean, by_name = STRUCTURE, False
+            holds_article[form] = True
+        elif name == "form":
+            around.append(form)
+            holds_article.append(False)
+            form = len(around) - 1
+        elif name in AWAY:
             by_name = False
             lean = min(lean, 0.0) - STRUCTURE * (2 if lean > 0 else 1)
         elif name == "header":
             by_name = False
             lean = lean - STRUCTURE / 2 if lean > 0 else lean - STRUCTURE
-        elif name in TOWARDS and (lean >= 0 or by_name and not names_away(names_of(attributes))):
-            lean, by_name = STRUCTURE, False
-        if attributes:
-            named = names_of(attributes)
-            if named and name not in ("html", "body"):
-                if name not in TOWARDS and names_away(named):
-                    by_name = by_name or stack[-1][2] >= 0 and name not in AWAY and name != "header"
-                    lean = min(lean, 0.0) - STRUCTURE * (2 if stack[-1][2] > 0 else 1)
-                elif lean >= 0 and TOWARDS_NAME.search(named):
-                    lean = max(lean, STRUCTURE)
-            hidden = hidden or bool(HIDDEN.search(attributes))
-        links += name == "a"
-        stack.append((name, number, lean, hidden, by_name))
+        if kind == "away" and name not in TOWARDS:
+            # only a box named by its layout may still hold the page's article
+            named_only = (by_name or above >= 0) and name not in AWAY and name != "header"
+            by_name = named_only and not any(p.lower() in REPEATED or AWAY_TAIL.search(p.lower()) and "comments" in p.lower()
+                                             for n in names for p in NAME_SPLIT.split(n))
+            lean = min(lean, 0.0) - STRUCTURE * (2 if above > 0 else 1)
+        elif kind == "soft" and name not in TOWARDS and name != "header":
+            by_name = by_name or above >= 0
+            lean = lean - STRUCTURE / 2 if lean > 0 else lean - STRUCTURE
+        elif kind == "towards" and lean >= 0:
+            lean = max(lean, STRUCTURE)
+        open_.push((name, number, lean, unseen or name in UNSEEN, by_name, form))
     close()
+    lean_of_forms(blocks, around, holds_article)
     return blocks
 
 
+def lean_of_forms(blocks: list[Block], around: list[int], holds_article: list[bool]) -> None:
+    """A form leans away, unless it holds an article or main element or most of the page's running
+    text: then it is a frame around the page, as some servers write it."""
+    running = [0] * len(around)
+    total = 0
+    for b in blocks:
+        if b.lean >= 0 and b.text.count(" ") + 1 >= LONG_WORDS:
+            running[b.form] += len(b.text)
+            total += len(b.text)
+    held = list(holds_article)
+    for f in range(len(around) - 1, 0, -1):       # a form's number is above that of the one around it
+        running[around[f]] += running[f]
+        held[around[f]] = held[around[f]] or held[f]
+    away = [False] * len(around)
+    for f in range(1, len(around)):
+        away[f] = away[around[f]] or not held[f] and not 2 * running[f] > total
+    for b in blocks:
+        if away[b.form]:
+            b.lean = min(b.lean, 0.0) - STRUCTURE * (2 if b.lean > 0 else 1)
+
+
 def text_features(b: Block) -> list[float]:
     n = len(b.text)
     words = b.text.count(" ") + 1

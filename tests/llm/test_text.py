@@ -1,6 +1,7 @@
 """Suffix dedup, n-gram join, quality, tokens, toxicity and extraction on the fixture tables."""
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -356,6 +357,55 @@ def test_names_with_a_word_of_boilerplate(page, wanted):
     assert extraction.main_text(page, extraction.PRIOR) == wanted
 
 
+OTHER = "<p>Readers wrote this long sentence below the text, and it ends here too.</p>"
+
+
+@pytest.mark.parametrize("name", [
+    "reader-comments", "user-comments", "usercomments", "comment-thread", "post-comments-list", "post-sidebar", "content-sidebar",
+    "sidebar sidebar-main", "post-footer", "article-footer", "entry-meta", "related-articles", "story-related", "newsletter-signup",
+    "site-notice", "notice-bar", "cookie-law", "banner-ad", "content-ad", "adsbygoogle", "main-nav-wrapper", "nav-main", "menu-main",
+    "widget_text", "readerComments", "comments", "site-header"])
+def test_boilerplate_by_its_name(name):
+    for page in (f"<article>{BODY}<div class='{name}'>{OTHER}</div></article>", f"<article>{BODY}</article><div class='{name}'>{OTHER}</div>",
+                 f"<div class=content>{BODY}<div id={name.split()[-1]}>{OTHER}</div></div>"):
+        if name != "site-header" or "<article>" not in page:
+            assert extraction.main_text(page, extraction.PRIOR) == SAYS, page
+    if "omment" in name:
+        assert extraction.main_text(f"<article>{BODY}</article><div class='{name}'><article>{OTHER}</article></div>", extraction.PRIOR) == SAYS
+
+
+RUNNING = "<p>" + "Many words of running text stand in this block of the page, one after another, so that it counts as text. " * 2 + "</p>"
+
+
+@pytest.mark.parametrize("page, wanted", [
+    (f"<article title='The hidden cost of it'>{BODY}</article>", SAYS),
+    (f"<article class='a hidden b'>{BODY}</article>", SAYS),
+    ("<article><p>See <a title='A hidden gem'>this link</a> now.</article>", "See this link now."),
+    ("<article><p>So <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds.</article>", "So x+1 holds."),
+    (f"<form id=aspnet><nav><a>One</a></nav><article>{BODY}</article></form>", SAYS),
+    (f"<form id=aspnet><div id=content>{RUNNING}<form>{OTHER}</form></div></form>", " ".join(RUNNING[3:-4].split())),
+    (f"<article>{BODY}<form>{OTHER}</form></article>", SAYS),
+    (f"<form><p>Your name</p><p>Your mail</p></form><article>{BODY}</article>", SAYS),
+    (f"<article class='post hentry category-social comments-open'>{BODY}</article>", SAYS),
+    (f"<div class='content sidebar-right'>{BODY}</div>", SAYS),
+    (f"<article data-x='a > b' title=\"it's\">{BODY}</article>", SAYS),
+    (f"<article><p title='no end>{SAYS}</p></article>", SAYS),
+])
+def test_articles_that_stay(page, wanted):
+    assert extraction.main_text(page, extraction.PRIOR) == wanted
+
+
+@pytest.mark.parametrize("unit", [
+    "<a ", "<div>", "<div>x", "<li>a", "word ", "<a b=\"", "<a b='x>", "<form>x", "<!--", "<!", "</x", "x=y ", "<p>word</p>", "&amp", "<script>"])
+def test_long_odd_pages_take_linear_time(unit):
+    def seconds(size):
+        page = "<article>" + unit * (size // len(unit)) + "</article>"
+        began = time.process_time()
+        extraction.main_text(page, extraction.PRIOR)
+        return time.process_time() - began
+    assert seconds(1_000_000) < max(20 * seconds(100_000), 2)
+
+
 def test_generated_pages_equal_their_articles(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in pages.select("html", extraction.extract(pages, F.col("html")).alias("text")).collect():
