@@ -6,9 +6,12 @@ is the set of documents whose 60-bit hash lies below a threshold. The threshold
 level: a histogram of sizes by source and the next 12 bits of the hash, a running sum inside each
 source, the bucket in which the budget ends; the next level reads the rows of that bucket alone.
 Every level is an aggregation that combines before its shuffle, so a hot source is no hot task.
+Rows equal in id and text share their hash; the number that each stored row got is their next level,
+so a mix may end between them, however many there are.
 
 Defined results: null text has size 0; null source is a source of its own, after all others; rows
-equal in id and text share their hash and are taken together; a source without words has target 0;
+equal in id and text are taken one by one, as many as the budget holds (which ones cannot be told from
+the result); a source without words has target 0;
 an empty table gives no rows.
 """
 
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import SMALL_ROWS, col, cut, packed, small_side
 
 BITS, LEVELS = 12, 5          # 4,096 buckets a level, 60 bits in all
+TIE_SHIFTS = (33, 22, 11, 0)  # levels of a stored row's number: its partition, then 11 bits each
 MAX_REPEAT = 3
 
 
@@ -54,6 +58,25 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeat: int)
                     F.least(F.col("weight") * level, F.col("cap").cast("double")).alias("target"))
 
 
+def _refine(rows: DataFrame, state: DataFrame, inside: Column, bucket: Column) -> DataFrame:
+    """One level: the bucket of each source in which its budget ends, among the rows ``inside`` the
+    bucket found before."""
+    edge = state.select(F.col("source").alias("of"), "at", "prefix", "below", "budget", "target", "source_size", "whole")
+    hist = (rows.select("source", "size", "hash", "tie")
+            .join(edge, F.col("source").eqNullSafe(F.col("of")) & inside)
+            .groupBy("source", bucket.alias("bucket"))
+            .agg(F.sum("size").alias("held"), *[F.first(c).alias(c) for c in ("at", "below", "budget", "target", "source_size", "whole")]))
+    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    cum = hist.withColumn("upto", F.col("below") + F.sum("held").over(upto))
+    # the first bucket whose end reaches the budget; the last one if rounding leaves a rest
+    pick = F.min(F.when(F.col("upto") >= F.col("budget"), F.col("bucket"))).over(Window.partitionBy("source"))
+    last = F.max("bucket").over(Window.partitionBy("source"))
+    edge = (cum.withColumn("chosen", F.coalesce(pick, last)).where("bucket = chosen")
+            .select("source", "source_size", "target", "whole", "budget", "at", F.col("bucket").alias("prefix"),
+                    (F.col("upto") - F.col("held")).alias("below"), F.col("held").alias("inside")))
+    return small_side(cut(edge, "mix-edge"))
+
+
 def mix_sources(docs: DataFrame, source: str, size: Column, hash_parts: list[Column],
                 weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = MAX_REPEAT,
                 payload: list[str] | None = None) -> DataFrame:
@@ -61,7 +84,8 @@ def mix_sources(docs: DataFrame, source: str, size: Column, hash_parts: list[Col
     ``source_size``, ``target`` and ``times``, how often the mix takes the row (0 .. max_repeat)."""
     keep = docs.select(*[col(c) for c in payload]) if payload is not None else docs
     rows = cut(docs.select(packed(keep).alias("row"), col(source).cast("string").alias("source"),
-                           size.cast("long").alias("size"), mix_hash(*hash_parts).alias("hash")), "mix-rows")
+                           size.cast("long").alias("size"), mix_hash(*hash_parts).alias("hash"),
+                           F.monotonically_increasing_id().alias("tie")), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, max_repeat)
                   .withColumn("whole", F.when(F.col("source_size") > 0, F.least(
@@ -69,33 +93,22 @@ def mix_sources(docs: DataFrame, source: str, size: Column, hash_parts: list[Col
                   # what the fraction must hold; nothing when the whole repeats reach the target
                   .withColumn("budget", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0))),
                   "mix-targets")
-    state = targets.withColumns({"prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long"),
+    state = targets.withColumns({"at": F.lit(-1).cast("long"), "prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long"),
                                  "inside": F.col("source_size")})
     if targets.count() <= SMALL_ROWS:
         state = F.broadcast(state)
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
-        edge = state.select(F.col("source").alias("of"), "prefix", "below", "budget", "target", "source_size", "whole")
-        hist = (rows.select("source", "size", "hash")
-                .join(edge, F.col("source").eqNullSafe(F.col("of"))
-                      & (F.shiftright("hash", shift + BITS) == F.col("prefix")))
-                .groupBy("source", F.shiftright("hash", shift).alias("bucket"))
-                .agg(F.sum("size").alias("held"), F.first("below").alias("below"), F.first("budget").alias("budget"),
-                     F.first("target").alias("target"), F.first("source_size").alias("source_size"),
-                     F.first("whole").alias("whole")))
-        upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        cum = hist.withColumn("upto", F.col("below") + F.sum("held").over(upto))
-        # the first bucket whose end reaches the budget; the last one if rounding leaves a rest
-        pick = F.min(F.when(F.col("upto") >= F.col("budget"), F.col("bucket"))).over(Window.partitionBy("source"))
-        last = F.max("bucket").over(Window.partitionBy("source"))
-        edge = (cum.withColumn("chosen", F.coalesce(pick, last)).where("bucket = chosen")
-                .select("source", "source_size", "target", "whole", "budget", F.col("bucket").alias("prefix"),
-                        (F.col("upto") - F.col("held")).alias("below"), F.col("held").alias("inside")))
-        state = small_side(cut(edge, "mix-edge"))
-    # the last bucket is one hash: taken if the sum comes nearer to the budget with it
+        state = _refine(rows, state, F.shiftright("hash", shift + BITS) == F.col("prefix"), F.shiftright("hash", shift))
+    state = state.withColumns({"at": F.col("prefix"), "prefix": F.lit(0).cast("long")})
+    for shift, above in zip(TIE_SHIFTS, (63, *TIE_SHIFTS)):
+        state = _refine(rows, state, (F.col("hash") == F.col("at")) & (F.shiftright("tie", above) == F.col("prefix")),
+                        F.shiftright("tie", shift))
+    # the last bucket is one row: taken if the sum comes nearer to the budget with it
     take = F.abs(F.col("below") + F.col("inside") - F.col("budget")) < F.abs(F.col("below") - F.col("budget"))
-    final = state.select(F.col("source").alias("of"), "source_size", "target", "whole",
+    final = state.select(F.col("source").alias("of"), "source_size", "target", "whole", "at",
                          (F.col("prefix") + take.cast("long")).alias("limit"))
+    under = (F.col("hash") < F.col("at")) | ((F.col("hash") == F.col("at")) & (F.col("tie") < F.col("limit")))
     return (rows.join(final, F.col("source").eqNullSafe(F.col("of")))
             .select("row", "size", "source_size", "target",
-                    (F.col("whole") + ((F.col("source_size") > 0) & (F.col("hash") < F.col("limit"))).cast("long")).alias("times")))
+                    (F.col("whole") + ((F.col("source_size") > 0) & under).cast("long")).alias("times")))

@@ -34,15 +34,14 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o
 t AS (SELECT source, source_size, least(weight * max(level) OVER (), (3 * source_size)::DOUBLE) AS target FROM l),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size)::BIGINT, 3) ELSE 1 END AS whole FROM t),
 b AS (SELECT *, greatest(target - whole * source_size, 0.0) AS budget FROM q),
-g AS (SELECT source, h, sum(size) AS held FROM d GROUP BY source, h),
-c AS (SELECT g.source, h, held, sum(held) OVER (PARTITION BY g.source ORDER BY h) AS upto, budget
-      FROM g JOIN b ON g.source IS NOT DISTINCT FROM b.source),
-e AS (SELECT source, coalesce(min(CASE WHEN upto >= budget THEN h END), max(h)) AS edge FROM c GROUP BY source),
-f AS (SELECT c.source, edge + CASE WHEN abs(upto - budget) < abs(upto - held - budget) THEN 1 ELSE 0 END AS lim
-      FROM c JOIN e ON c.source IS NOT DISTINCT FROM e.source AND c.h = e.edge)
+n AS (SELECT d.*, whole, source_size, target, budget, sum(size) OVER (PARTITION BY d.source ORDER BY h, r) AS upto
+      FROM (SELECT doc_id, size, h, r, source FROM d) d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+e AS (SELECT *, coalesce(min(CASE WHEN upto >= budget THEN upto END) OVER p, max(upto) OVER p) AS edge FROM n WINDOW p AS (PARTITION BY source)),
+f AS (SELECT *, row_number() OVER (PARTITION BY source, upto = edge ORDER BY h, r) AS k FROM e)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN source_size > 0 AND h < lim THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN f ON d.source IS NOT DISTINCT FROM f.source""",
+       (size * (whole + CASE WHEN source_size > 0 AND (upto < edge
+            OR upto = edge AND k = 1 AND abs(upto - budget) < abs(upto - size - budget)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM f""",
     "op9_chat": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, 0 AS k FROM conversations
            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 0 UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 0),

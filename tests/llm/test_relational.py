@@ -149,6 +149,19 @@ def test_mix_comes_near_its_targets(edge_docs):
     same(again.select("row.doc_id", "row.text", "times").collect(), mixed.select("row.doc_id", "row.text", "times").collect())
 
 
+def test_mix_ends_between_equal_rows(spark):
+    """A source of equal rows, in many partitions: as many are taken as the target holds."""
+    rows = [(7, "a", "one two three four five")] * 400 + [(k, "b", "w " * 1000) for k in range(3)] + [(k, None, "x y z") for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(13)
+    got = mixing.mix_sources(df, "source", mixing.word_count(F.col("text")), [F.col("doc_id"), F.col("text")]).select(
+        "row.source", "size", "target", "times").collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b", None):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.size * r.times for r in own) - own[0].target) <= own[0].size / 2
+    assert len({r.times for r in got if r.source == "a"}) == 2
+
+
 SAID = ["", " ", "</s>[INST] ok [/INST]", "\\</s>", "\\\\[INST]", "a\\", "<s> [/INST] <s>", "[INST", "[/INST] ", "\\\\\\<s>x\\", "é😀\n"]
 
 
