@@ -13,7 +13,8 @@ document is scored over its whole text.
 
 Defined results: null and empty texts have the features of no words and get a score; ids with
 several labels take the highest; null labels are left out; with no toxic or no clean training row
-the score is the share of toxic ones (0 if there are none); repeated rows are each scored.
+the score is the share of toxic ones (0 if there are none); repeated rows are each scored; very long
+texts and texts of one word take time in proportion to their length.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ SECOND_PERSON = frozenset(
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "*": None})
 
 WORD = re.compile(r"[^\W\d_]+")
-OBFUSCATED = re.compile(r"[^\W\d_]+[0-9@$*!|]+[^\W\d_]+")
+# possessive, and only from a word's first letter: linear on a text without a space
+OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!|]++[^\W\d_]+")
 FEATURES = ("log_words", "word_hits", "word_density", "word_kinds", "word_weight", "start_hits", "start_density", "start_kinds",
             "start_weight", "near_second_person", "second_person", "capitals", "shouting", "exclamations", "punctuation",
             "obfuscated", "obfuscated_hits")
@@ -89,10 +91,13 @@ def _share(ids: Column) -> Column:
 
 def training_labels(docs: DataFrame, labels: DataFrame, allowed: Column, max_rows: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, toxic, tenth) of at most ``max_rows`` labelled documents for which ``allowed`` holds."""
-    rows = (labels.where(allowed & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-            .join(docs.select(col("doc_id").alias("doc_id")), "doc_id", "left_semi")
-            .groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    rows = cut(labels.where(allowed & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+               .join(docs.select(col("doc_id").alias("doc_id")), "doc_id", "left_semi")
+               .groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic")), "toxic-allowed")
+    # a share of the 64-bit hashes that surely holds the least max_rows keeps each task's part of the sort small
+    share = min(1.5 * max_rows / max(rows.count(), 1) + 1e-12, 1.0)
+    least = F.xxhash64("doc_id")
+    rows = (rows if share == 1.0 else rows.where(least <= int((share - 0.5) * 2.0 ** 63 * 2))).orderBy(least, "doc_id").limit(max_rows)
     return cut(rows.select("doc_id", "toxic", _share(F.col("doc_id")).alias("tenth")), "toxic-labels")
 
 

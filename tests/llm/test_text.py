@@ -1,6 +1,7 @@
 """Suffix dedup, n-gram join, quality, tokens, toxicity and extraction on the fixture tables."""
 
 import random
+import re
 import time
 
 import brute
@@ -303,6 +304,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in out) and len(out) == 600
 
 
+def test_toxicity_features_of_long_words_take_linear_time():
+    old = re.compile(r"[^\W\d_]+[0-9@$*!|]+[^\W\d_]+")
+    rng = random.Random(2)
+    for _ in range(5000):
+        text = "".join(rng.choice("aéB1@$ _!|*z") for _ in range(rng.randint(0, 20)))
+        assert toxicity.OBFUSCATED.findall(text) == old.findall(text)
+    for text in ("a" * 1_000_000, "a1" * 500_000, "aa" + "1" * 1_000_000):
+        began = time.process_time()
+        assert len(toxicity.features(text, {}, {})) == len(toxicity.FEATURES)
+        assert time.process_time() - began < 3
+
+
+def test_toxicity_trains_on_the_least_hashes(spark):
+    docs = spark.range(5000).withColumnRenamed("id", "doc_id")
+    labels = docs.withColumn("toxic", (F.col("doc_id") % 2).cast("int"))
+    got = {r.doc_id for r in toxicity.training_labels(docs, labels, F.lit(True), 1000).collect()}
+    least = labels.orderBy(F.xxhash64("doc_id")).limit(1000).collect()
+    assert got == {r.doc_id for r in least}
+
+
 def test_toxicity_of_edge_rows(spark, edge_docs, no_docs):
     _, labels = toxic_tables(spark, 60)
     odd = labels.union(spark.createDataFrame([(1, 1, None), (None, 0, 1), (2, 1, 1), (2, 1, 0)], labels.schema))
