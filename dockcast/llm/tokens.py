@@ -3,7 +3,7 @@
 A space that follows a character and precedes another that is not white space always begins a new
 pre-token of the byte-level tokenizer, so a text falls apart at its spaces into pieces whose token
 counts add up. Tier one is a compact table of frequent pieces and their counts, built once from a
-bounded number of documents and broadcast; it decides speed alone, never a result. Tier two is a
+sample of bounded size and broadcast; it decides speed alone, never a result. Tier two is a
 cache in each Python worker: pieces missed so far are encoded by the library, a batch at a time, and
 remembered up to a bound. No piece is ever shuffled.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-TABLE_ROWS = 2_000            # documents read for the table of frequent pieces
+TABLE_ROWS = 2_000            # documents sampled for the table of frequent pieces
 TABLE_PIECES = 50_000         # its size
 CACHE_PIECES = 500_000        # remembered pieces of a worker
 LONGEST = 64                  # characters of a piece that is remembered
@@ -104,19 +104,24 @@ def _counter(spec: str, table: dict[str, int]) -> TokenCounter:
 
 
 def frequent_pieces(docs: DataFrame, text: Column, spec: str) -> dict[str, int]:
-    """The most frequent pieces of the first ``TABLE_ROWS`` documents with their token counts; at
-    most ``TABLE_PIECES`` rows reach the driver."""
+    """The most frequent pieces of a sample of about ``TABLE_ROWS`` documents with their token counts.
+    Pieces are counted where the texts are, at most ``TABLE_PIECES`` for each task; only those counts
+    are shuffled, and at most ``TABLE_PIECES`` pieces reach the driver."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for batch in batches:
             for t in batch["text"]:
                 seen.update(p for p in (t or "").split(" ")[1:] if p and not p[0].isspace() and len(p) <= LONGEST)
-        top = [p for p, _ in seen.most_common(TABLE_PIECES)]
-        counter = TokenCounter(spec)
-        yield pd.DataFrame({"piece": top, "n": [counter.whole(" " + p) for p in top]})
-
-    rows = docs.select(text.alias("text")).limit(TABLE_ROWS).mapInPandas(count, "piece string, n int").limit(TABLE_PIECES)
-    return {r.piece: r.n for r in rows.collect()}
+        top = seen.most_common(TABLE_PIECES)
+        yield pd.DataFrame({"piece": pd.Series([p for p, _ in top], dtype=object), "n": pd.Series([n for _, n in top], dtype="int64")})
+
+    share = min(1.0, TABLE_ROWS / max(docs.count(), 1))
+    counts = docs.select(text.alias("text")).sample(False, share, 7).mapInPandas(count, "piece string, n long")
+    top = counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(TABLE_PIECES)
+    pieces = [r.piece for r in top.collect()]
+    counter = TokenCounter(spec)
+    encoded = counter.library.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
+    return {p: len(e.ids) for p, e in zip(pieces, encoded)}
 
 
 def count_tokens(docs: DataFrame, text: Column, spec: str) -> Column:
