@@ -33,6 +33,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ from .shingles import powers, mixed
 SPAN = 50                     # bytes of a repeated string
 GRAM = 20                     # bytes that an anchor's hash covers
 PART_BYTES = 4 << 20          # text of a part, about
+ASK_PARTS = 16                # parts whose distinct anchors fill a bucket of requests
 SHARD_CONTEXTS = 20_000       # contexts of a suffix array
 HOT_CONTEXTS = 5_000          # contexts of an anchor, beyond which its windows are dealt singly
 MANY = 8                      # distinct contexts of an anchor in a part, from which on they are counted
@@ -529,35 +532,52 @@ def _cut_part(asked_buckets: int, buckets: int):
     return cut_part
 
 
+DEALT_SQL = "part long, doc_id long, body binary"
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as they are, with the number of their part: a scan's task opens a new part where the next
+    text would take the open one above ``PART_BYTES``. Only a longer text is a larger part, by itself."""
+    part, held = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        numbers = []
+        for n in pc.binary_length(batch.column("body")).to_pylist():
+            if held and held + n > PART_BYTES:
+                part, held = part + 1, 0
+            held += n
+            numbers.append(part)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), batch.column("doc_id"), batch.column("body")],
+                                         names=["part", "doc_id", "body"])
+
+
 def remove_repeats(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row for each row of ``docs``: doc_id, ``kept`` (binary, the remaining bytes), ``n_removed``,
     ``n_spans`` (maximal removed runs)."""
     spark = docs.sparkSession
     ship(spark)
     body = F.coalesce(col(text), F.lit("")).cast("binary")
-    size = docs.select(F.sum(F.octet_length(col(text))), F.count(F.lit(1))).first()
-    total, n_rows = size[0] or 0, size[1]
+    total = docs.select(F.sum(F.octet_length(col(text)))).first()[0] or 0
+    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), body.alias("body")).mapInArrow(_deal, DEALT_SQL)
     parts = max(1, -(-total // PART_BYTES))
-    rows_of_part = max(1, n_rows // parts)
-    row = F.monotonically_increasing_id()            # the upper bits number the scan's tasks
-    part = F.shiftright(row, 33) * (1 << 22) + F.floor(row.bitwiseAND((1 << 33) - 1) / rows_of_part)
-    rows = docs.select(part.cast("long").alias("part"), col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
+    limit = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     # a bucketed table: each pass finds a part's rows together without another shuffle
     name = f"repeats_{uuid.uuid4().hex}"
     (rows.write.option("path", scratch_path(spark, "repeat-parts")).option("compression", "zstd")
-     .bucketBy(max(1, -(-parts // 4)), "part").saveAsTable(name))
+     .bucketBy(min(max(1, -(-parts // 4)), limit), "part").saveAsTable(name))
     dealt = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")                  # of the catalog's entry alone: the files stay in the scratch folder
+    ask = max(1, -(-parts // ASK_PARTS))
     by_part = lambda df: df.groupBy("part")
 
-    asked = by_part(dealt).applyInArrow(_ask(parts), ASKED_SQL)
+    asked = by_part(dealt).applyInArrow(_ask(ask), ASKED_SQL)
     shared = cut(asked.groupBy("bucket").applyInArrow(_tell_shared(HOT_CONTEXTS), TOLD_SQL), "repeat-shared")
     if shared.where("hot > 0").limit(1).count():
-        asked = by_part(dealt).cogroup(by_part(shared.where("hot > 0"))).applyInArrow(_ask_windows(parts), ASKED_SQL)
+        asked = by_part(dealt).cogroup(by_part(shared.where("hot > 0"))).applyInArrow(_ask_windows(ask), ASKED_SQL)
         shared = shared.unionByName(cut(asked.groupBy("bucket").applyInArrow(_tell_shared(None), TOLD_SQL), "repeat-windows"))
     n_contexts = shared.select(F.sum("contexts")).first()[0] or 0
     buckets = max(1, -(-n_contexts // SHARD_CONTEXTS))
-    sent = by_part(dealt).cogroup(by_part(shared)).applyInArrow(_send(parts, buckets), SENT_SQL)
+    sent = by_part(dealt).cogroup(by_part(shared)).applyInArrow(_send(ask, buckets), SENT_SQL)
     answers = sent.groupBy("bucket").applyInArrow(_resolve, ANSWER_SQL)
     told = shared.unionByName(answers, allowMissingColumns=True)
     return by_part(dealt).cogroup(by_part(told)).applyInArrow(
-        _cut_part(parts, buckets), "doc_id long, kept binary, n_removed long, n_spans long")
+        _cut_part(ask, buckets), "doc_id long, kept binary, n_removed long, n_spans long")

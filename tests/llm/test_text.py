@@ -3,9 +3,11 @@
 import random
 import re
 import time
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_support import edge_docs, no_docs, pairs, prose, same  # noqa: F401  (fixtures)
@@ -25,6 +27,39 @@ def test_repeats_equal_brute_force(edge_docs):
     same(removed(edge_docs), wanted)
 
 
+def test_parts_are_cut_by_bytes(spark, monkeypatch):
+    """Short and long rows: no part above its size but a longer text; equal to brute force also where few buckets are allowed."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 20_000)
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh \n") for _ in range(n))
+    rows = [(k, text(40)) for k in range(300)] + [(300 + k, text(9_000)) for k in range(30)] + [(400, text(50_000))]
+    rows += [(500 + k, rows[305 + k][1][100:400]) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    table = pa.table({"doc_id": [i for i, _ in rows], "body": [t.encode() for _, t in rows]})
+    monkeypatch.setattr(suffix_dedup.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 3})())
+    sizes = Counter()
+    for batch in suffix_dedup._deal(iter(table.to_batches(max_chunksize=50))):
+        for part, body in zip(batch.column("part").to_pylist(), batch.column("body").to_pylist()):
+            sizes[part] += len(body)
+    monkeypatch.undo()
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 20_000)
+    assert sorted(sizes.values())[-1] == 50_000 and sorted(sizes.values())[-2] <= 20_000 and len(sizes) > 10
+    tables = {t.name for t in spark.catalog.listTables()}
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        got = removed(df)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    wanted = brute.remove_repeats(rows)
+    assert sum(w[2] > 0 for w in wanted) >= 5
+    same(got, wanted)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_repeats_of_an_empty_table(no_docs):
+    assert removed(no_docs) == []
+
+
 def test_repeats_across_many_parts_and_shards(spark, monkeypatch):
     """Small parts and shards: the merge by binary search has work to do."""
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", 20_000)
