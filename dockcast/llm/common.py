@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from dockcast.session import scratch_path
 
-# Rows under which a side derived from a bounded input (benchmark, sources) is shipped to every task.
+# Rows, and bytes of those of unequal size, under which a side derived from a bounded input (benchmark, sources) is shipped to every task.
 SMALL_ROWS = 500_000
+SMALL_BYTES = 64 << 20
 
 
 def cut(df: DataFrame, kind: str) -> DataFrame:
@@ -24,10 +25,13 @@ def cut(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(stored: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint for a stored table of at most ``max_rows`` rows (a parquet-metadata count);
-    beyond that the planner shuffles both sides and AQE splits skewed keys."""
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+def small_side(stored: DataFrame, max_rows: int = SMALL_ROWS, size: Column | None = None) -> DataFrame:
+    """Broadcast hint for a stored table of at most ``max_rows`` rows (a parquet-metadata count), and of
+    at most ``SMALL_BYTES`` by the sum of ``size`` where its rows hold texts or arrays; beyond that the
+    planner shuffles both sides and AQE splits skewed keys."""
+    if stored.count() > max_rows or size is not None and (stored.agg(F.sum(size)).first()[0] or 0) > SMALL_BYTES:
+        return stored
+    return F.broadcast(stored)
 
 
 def col(name: str) -> Column:

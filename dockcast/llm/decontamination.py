@@ -8,13 +8,14 @@
 4. Lists are intersected from the rarest term on: a posting of the first anchor asks for the second
    at the position its offset gives, an equi-join on (text key, position, term).
 5. Exact check: the alignments found are joined to their documents and every window on them is
-   compared word for word.
+   compared word for word. A bitmap over the hashes of the texts found, of a fixed size, tells the
+   other documents beforehand: their texts are not shuffled.
 
 Proximity matches need at least a share of a window's distinct terms, so as many terms may be absent as
 the share leaves out. One of the rarest terms, one more than may be absent, must then occur: each of
 them alone proposes every span that it can stand in, and the check counts the terms of each span.
 
-Benchmark-sized sides are broadcast only after a row count. Defined results: null text has no words;
+Benchmark-sized sides are broadcast only after a count of their rows, and of the bytes of their words. Defined results: null text has no words;
 an empty or wordless item gives no window; an item of fewer words than the width is one window;
 repeated items are separate texts under one id; repeated documents each get their row.
 """
@@ -31,6 +32,8 @@ from .common import cut, packed, small_side
 # What separates words: ASCII characters other than digits and letters.
 BREAK = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
+FILTER_BITS = 24              # places of the bitmap over text hashes, as a power of two: 2^18 rows of 64
+
 
 def raw_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAK), "")
@@ -51,7 +54,8 @@ def benchmark_items(bench: DataFrame, item_id: Column, text: Column, width: int)
     words = F.transform(raw_words(text), fold)
     items = bench.select(item_id.alias("item_id"), words.alias("iw")).where(F.size("iw") > 0)
     return cut(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "iw", F.size("iw").alias("n"),
-                            F.least(F.size("iw"), F.lit(width)).alias("w")), "decon-items")
+                            F.least(F.size("iw"), F.lit(width)).alias("w"),
+                            F.aggregate("iw", F.lit(0).cast("long"), lambda n, w: n + F.octet_length(w) + 16).alias("bytes")), "decon-items")
 
 
 def window_terms(docs: DataFrame, text: Column, items: DataFrame) -> DataFrame:
@@ -119,6 +123,13 @@ def near_alignments(postings: DataFrame, anchors: DataFrame, slop: int) -> DataF
     return found.select("k1", "k2", "item", (F.col("at") - F.col("start")).alias("shift")).distinct()
 
 
+def text_filter(keys: DataFrame) -> DataFrame:
+    """(word, bits): a bitmap with the place of every ``k1``; at most 2^18 rows, however many keys there are."""
+    place = F.pmod("k1", F.lit(1 << FILTER_BITS))
+    return cut(keys.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit"))
+               .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")), "decon-filter")
+
+
 def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Column, item_text: Column,
                  width: int = 10, slop: int = 0, share: float = 1.0) -> DataFrame:
     """``docs`` columns as struct ``row``, ``n_words`` and ``hits``: array of (item_id, start, width,
@@ -138,12 +149,15 @@ def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Colum
         terms = anchors.select(F.col("term1").alias("term")).union(anchors.select(F.col("term2").alias("term")))
         found = alignments(anchor_postings(docs, text, terms), anchors)
     # stored, so that the join below shuffles both sides itself and AQE can split the copies of one text
-    by_text = cut(found.join(small_side(items), "item")
+    by_text = cut(found.join(small_side(items, size=F.col("bytes")), "item")
                   .groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "iw", "n", "w", "shift")).alias("found")), "decon-found")
 
-    held = docs.select(packed(docs).alias("row"), text.alias("text"), *text_key(text))
-    held = (held.join(by_text.hint("merge"), ["k1", "k2"], "left")     # one plan at every size
-            .select("row", "found", raw_words(F.col("text")).alias("words")))
+    place = F.pmod("k1", F.lit(1 << FILTER_BITS))
+    held = (docs.select(packed(docs).alias("row"), text.alias("text"), *text_key(text))
+            .join(F.broadcast(text_filter(by_text)), F.floor(place / 64) == F.col("word"), "left")
+            .withColumn("listed", F.coalesce(F.expr(f"(shiftright(bits, cast(pmod(k1, {1 << FILTER_BITS}) % 64 as int)) & 1L) = 1L"), F.lit(False))))
+    near_by = (held.where("listed").join(by_text.hint("merge"), ["k1", "k2"], "left")     # one plan at every size
+               .select("row", "found", raw_words(F.col("text")).alias("words")))
 
     def windows(words: Column, x: Column) -> Column:
         starts = F.sequence(F.lit(0), x["n"] - x["w"])
@@ -168,7 +182,10 @@ def find_matches(docs: DataFrame, text: Column, bench: DataFrame, item_id: Colum
     hits = F.when(F.col("found").isNotNull(), F.flatten(F.transform(
         F.array(F.transform("words", fold)),
         lambda words: F.flatten(F.transform("found", lambda x: windows(words, x))))))
-    return held.select("row", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
+    judged = near_by.select("row", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
+    others = held.where(~F.col("listed")).select("row", F.size(raw_words(F.col("text"))).cast("long").alias("n_words"),
+                                                 F.lit(None).cast(judged.schema["hits"].dataType).alias("hits"))
+    return others.union(judged)
 
 
 def hit_words(hits: Column) -> Column:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_support import CLASH, edge_docs, no_docs, pairs, same  # noqa: F401  (fixtures)
 
-from dockcast.llm import chat, decontamination, mixing, sharding
+from dockcast.llm import chat, common, decontamination, mixing, sharding
 
 
 def placed(docs, n, order=("doc_id",)):
@@ -66,6 +66,13 @@ def test_decontamination_equals_brute_force(spark, edge_docs):
     assert found.select("row.*").columns == edge_docs.columns
 
 
+def test_decontamination_where_the_bitmap_is_full(spark, edge_docs, monkeypatch):
+    """Texts that share a place of the bitmap with others, and items too long to be shipped."""
+    monkeypatch.setattr(decontamination, "FILTER_BITS", 2)
+    monkeypatch.setattr(common, "SMALL_BYTES", 0)
+    test_decontamination_equals_brute_force(spark, edge_docs)
+
+
 def test_decontamination_of_empty_tables(spark, edge_docs, no_docs):
     bench = items(spark, edge_docs)
     args = F.col("item_id"), F.col("text")
