@@ -6,10 +6,13 @@
 2. Texts of equal sets are one class; a class is joined as one node.
 3. Banding: nodes are shuffled on band hashes. Those of a bucket are tied to its least node (a star,
    not all pairs); connected stars form candidate groups.
-4. Verification: the texts of a candidate group meet once, and all its pairs are compared on their
-   full shingle sets by matrix products. Small groups share tasks; a group of more than ``BLOCK``
-   nodes is cut into blocks, and pairs of blocks are compared in tasks of their own. A task returns a
-   row for each node (its number of links, its part of the link graph), never a row for each pair.
+4. Verification on full shingle sets by matrix products. A candidate group of at most ``BLOCK`` nodes
+   meets once and all its pairs are compared; small groups share tasks. A larger group is compared
+   bucket by bucket, a pair in the first band that it shares and buckets of the same members once, or
+   as a whole where that copies fewer texts: a chain of texts costs in proportion to its nodes, not to
+   their square. What has more than ``BLOCK`` nodes is cut into blocks, and pairs of blocks are
+   compared in tasks of their own. A task returns a row for each node (its number of links, its part
+   of the link graph), never a row for each pair.
 5. The linked nodes' connected components are the near-duplicate groups.
 
 Defined results: null reads as empty text; texts without words equal only the same text; a text of
@@ -160,28 +163,42 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 VERIFIED = "node long, links long, linked_docs long, root long"
 
 
+def _met_before(left: np.ndarray, right: np.ndarray, slot: int) -> np.ndarray:
+    """Whether rows of band hashes share a band before ``slot``: their pair is compared there."""
+    met = np.zeros((len(left), len(right)), bool)
+    for b in range(slot):
+        met |= left[:, b][:, None] == right[:, b][None, :]
+    return met
+
+
 def _verified(threshold: float):
     def verify(table: pa.Table) -> pa.Table:
-        rows = table.select(["node", "grp", "side", "copies"]).to_pandas()
+        rows = table.select(["node", "slot", "unit", "side", "copies"]).to_pandas()
+        bands = table.column("bands")
         texts = table.column("text").to_pylist()
         sets: list[np.ndarray] = []
         for low, high in slices(texts):
             sets += shingle_sets(texts[low:high])
         out: list[tuple[np.ndarray, ...]] = []
-        for _, g in rows.groupby("grp", sort=False):
+        for (slot, _), g in rows.groupby(["slot", "unit"], sort=False):
             ids, copies, side, at = g["node"].to_numpy(), g["copies"].to_numpy(), g["side"].to_numpy(), g.index.to_numpy()
             own = [sets[k] for k in at]
             size = np.array([len(s) for s in own])
+            shares = np.array(bands.take(pa.array(at)).to_pylist(), np.int64) if slot >= 0 else None
             if (side == 0).all():
                 both = overlaps(own, own)
                 near = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
                 np.fill_diagonal(near, False)
-            else:       # two blocks of one group: pairs across them alone
+                if slot >= 0:
+                    near &= ~_met_before(shares, shares, slot)
+            else:       # two blocks: pairs across them alone
                 l, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
                 near = np.zeros((len(ids), len(ids)), bool)
                 if len(l) and len(r):
                     both = overlaps([own[k] for k in l], [own[k] for k in r])
                     hit = both >= threshold * (size[l][:, None] + size[r][None, :] - both) - 1e-9
+                    if slot >= 0:
+                        hit &= ~_met_before(shares[l], shares[r], slot)
                     near[np.ix_(l, r)], near[np.ix_(r, l)] = hit, hit.T
             links = near.sum(axis=1)
             some = links > 0
@@ -193,6 +210,49 @@ def _verified(threshold: float):
     return verify
 
 
+def units(places: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, slot, unit, n): the sets of ``n`` nodes whose pairs are compared. A candidate group is one
+    (slot -1), or, if it has more than ``BLOCK`` nodes and that copies fewer texts, each of its buckets
+    (slot and hash of the band). ``places`` are (node, slot, band), ``groups`` (node, component)."""
+    copied = lambda n: F.col(n) * F.ceil(F.col(n) / BLOCK)
+    # stored, as what follows is: the joins then shuffle both sides, and AQE can split a large group
+    sizes = cut(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "join-sizes")
+    spots = places.join(groups.join(sizes.where(F.col("n") > BLOCK), "component"), "node")
+    buckets = spots.groupBy("component", "slot", "band").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("f1"), F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("f2"))
+    buckets = (buckets.where("m > 1").groupBy("component", "m", "f1", "f2").agg(F.min(F.struct("slot", "band")).alias("b"))
+               .select("component", "m", "b.slot", "b.band"))
+    buckets = cut(buckets, "join-buckets")
+    cost = cut(buckets.groupBy("component").agg(F.sum(copied("m")).alias("cost")), "join-costs")
+    sizes = cut(sizes.join(cost, "component", "left").select(
+        "component", "n", F.coalesce(F.col("cost") < copied("n"), F.lit(False)).alias("by_bucket")), "join-plans")
+    whole = groups.join(sizes.where("not by_bucket"), "component").select("node", F.lit(-1).alias("slot"), F.col("component").alias("unit"), "n")
+    apart = places.join(groups.join(sizes.where("by_bucket"), "component"), "node").join(buckets, ["component", "slot", "band"])
+    return cut(whole.union(apart.select("node", "slot", F.col("band").alias("unit"), F.col("m").alias("n"))), "join-units")
+
+
+def unit_texts(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, slot, unit, copies, bands, text, side, task, low, high): a node's text for each pair of
+    blocks of each of its units; (task, low, high) is a task's key."""
+    body = F.coalesce(col(text), F.lit(""))
+    bins = max(1, -(-wanted.count() // BIN))
+    by_node = wanted.groupBy("node").agg(F.collect_list(F.struct("slot", "unit", "n")).alias("units"))     # one or at most one a band
+    members = (by_node.join(nodes.select("node", "rank", "copies", "bands"), "node")
+               .select("node", "units", "copies", F.when(F.col("units")[0]["slot"] >= 0, F.col("bands")).alias("bands"),
+                       F.col("rank.k1").alias("k1"), F.col("rank.k2").alias("k2")))
+    held = docs.select(*_row_key(col(doc_id), body), body.alias("text")).join(members, ["k1", "k2"])
+    held = held.withColumn("again", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("node"))).where("again = 1")
+    held = held.select("node", "copies", "bands", "text", F.explode("units").alias("u")).select(
+        "node", "copies", "bands", "text", "u.slot", "u.unit", F.ceil(F.col("u.n") / BLOCK).cast("int").alias("blocks"))
+    held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    alone = F.col("blocks") == 1
+    return held.select(
+        "node", "slot", "unit", "copies", "bands", "text", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),
+        F.when(alone, F.pmod(F.xxhash64("slot", "unit"), F.lit(bins))).otherwise(F.col("unit")).alias("task"),
+        F.when(alone, -1).otherwise(F.least("own", "other")).alias("low"), F.when(alone, -1).otherwise(F.greatest("own", "other")).alias("high"))
+
+
 def jaccard_join(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs``: doc_id, k1, k2 (the row's key), class_id (least id among the
     documents linked directly or through others), n_links (other documents at or above the
@@ -206,26 +266,11 @@ def jaccard_join(docs: DataFrame, doc_id: str, text: str, threshold: float = THR
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = cut(nodes, "join-nodes")
 
-    places = nodes.select("node", F.explode("bands").alias("band"))
+    places = nodes.select("node", F.posexplode("bands").alias("slot", "band"))
     heads = places.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = places.join(heads, "band").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     groups = cut(components(stars), "join-groups")
-    # stored, as the heads of components below: their joins then shuffle both sides, and AQE can split a large group
-    sizes = cut(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "join-sizes")
-    n_members = groups.count()
-    bins = max(1, -(-n_members // BIN))
-    members = (groups.join(sizes, "component").join(nodes.select("node", "rank", "copies"), "node")
-               .select("node", "component", "n", "copies", F.col("rank.k1").alias("k1"), F.col("rank.k2").alias("k2")))
-    held = docs.select(*_row_key(col(doc_id), body), body.alias("text")).join(members, ["k1", "k2"])
-    held = held.withColumn("again", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("node"))).where("again = 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    held = held.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select(
-        "node", F.col("component").alias("grp"), "copies", "text",
-        F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.col("component")).alias("task"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("low"), F.greatest("own", "other").alias("high"))
+    held = unit_texts(docs, doc_id, text, nodes, units(places, groups))
     verified = cut(held.groupBy("task", "low", "high").applyInArrow(_verified(threshold), VERIFIED), "join-verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     linked = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))

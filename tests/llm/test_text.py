@@ -179,6 +179,39 @@ def test_join_of_a_large_group(spark, monkeypatch):
     same(joined(docs), wanted)
 
 
+def chained(rng, n, step):
+    """Texts each a few words on from the one before: neighbours are near, the ends share nothing."""
+    stream = prose(rng, 200 + n * step).split()
+    return [(k, " ".join(stream[k * step:k * step + 200])) for k in range(n)]
+
+
+def test_join_of_a_chain(spark, monkeypatch):
+    """A long chain is compared by buckets: every link at its place, counted once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rng = random.Random(19)
+    rows = chained(rng, 120, 4) + [(200 + k, t) for k, t in chained(rng, 12, 4)]
+    rows += [(300 + k, rows[50][1]) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = brute.jaccard_join(rows)
+    assert sum(w[2] > 6 for w in wanted) > 100 and len({w[1] for w in wanted}) == 2
+    same(joined(docs), wanted)
+
+
+@pytest.mark.parametrize("n", [1_250, 2_500, 5_000])
+def test_texts_of_a_chain_grow_with_its_nodes(spark, monkeypatch, n):
+    """Rows that reach the comparing tasks: at most some for each node of one group, however long."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 50)
+    places = spark.range(n).selectExpr("id as node", "explode(sequence(0, 22)) as slot").selectExpr(
+        "node", "slot", "xxhash64(slot, (node + slot) div 10) as band")
+    groups = spark.range(n).selectExpr("id as node", "0L as component")
+    found = ngram_join.units(places, groups)
+    assert found.where("slot < 0").count() == 0 and found.where("n > 50").count() == 0
+    assert n * 9 < found.count() <= n * 23
+    # buckets of the same members once
+    again = places.selectExpr("node", "slot", "xxhash64(slot, node div 10) as band")
+    assert ngram_join.units(again, groups).count() == n
+
+
 def test_one_of_each_group_stays(edge_docs, no_docs):
     out = ngram_join.drop_near_duplicates(edge_docs, "doc_id", "text")
     assert out.columns == edge_docs.columns
