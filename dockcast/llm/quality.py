@@ -4,19 +4,24 @@ Base statistics are counted over each whole text. Their transformed vectors are
 group (language and source; a group of fewer than ``MIN_GROUP`` rows joins its language's small
 groups, and those the small groups of all languages) by the minimum-covariance-determinant method:
 
-* start from each coordinate's median and median absolute deviation;
-* concentration steps: squared Mahalanobis distances of all rows, the ``SHARE`` of the group's rows
-  that lies nearest, their mean and covariance;
-* the covariance is scaled so that the median distance is that of a normal sample, and rows beyond
-  the chi-square quantile are rejected.
-
-Every step is one aggregation over all rows into (group, distance bin) moments, combined before its
-shuffle; a group's small table of bins gives the next centre. So a hot group is never in one task,
+* four deterministic starts: median and median absolute deviation; middle and width of each coordinate's
+  shortest half; covariance of the squashed (tanh) and of the unit-length standardised vectors;
+* concentration steps from each start: squared Mahalanobis distances of all rows, the half (``SHARE``)
+  of the group's rows that lies nearest, their mean and covariance, until the covariance's determinant
+  stops falling by more than ``TOLERANCE``; the start that ends at the least determinant gives the
+  estimate, so outliers may make up nearly half of a group, clustered ones too;
+* mean and covariance again of the rows within the chi-square quantile 0.975; the distances are scaled
+  so that their median is at most that of a normal sample, and rows beyond the quantile 0.999 are rejected.
+
+Every step is one aggregation over all rows into (group, start, distance bin) moments, combined before
+its shuffle; a group's small table of bins gives the next centre. "Nearest" goes by whole bins. So a hot group is never in one task,
 and nothing is sampled. A coordinate that hardly varies gets a least variance (``FLOOR``), so that
 the usual value of a count that is mostly 0 doesn't make every other value an outlier.
 
 Defined results: null text has no words and fails; null language or source is a value of its own;
-repeated rows are each judged; an empty table gives no rows.
+repeated rows are each judged; an empty text is judged as null is; a text is read whole however long;
+input columns stay apart in ``row``, whatever their names; of starts with equal determinants the first
+counts; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,12 +39,15 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 MIN_GROUP = 100
-SHARE = 0.75                  # of a group's rows that the estimate rests on
-STEPS = 4                     # concentration steps
+SHARE = 0.5                   # of a group's rows that the estimate rests on
+TOLERANCE = 1e-3              # least fall of the logarithm of the determinant that is worth a further step
 VECTOR = ("length", "word_length", "symbols", "lines", "repeats")
 FLOOR = np.array([0.3, 0.2, 0.2, 0.15, 0.2])     # least standard deviation of each coordinate (they are logarithms)
 CUTOFF = 20.515               # chi-square with 5 degrees of freedom, its quantile 0.999
 MEDIAN = 4.351                # its median
+INNER = 12.833                # its quantile 0.975
+# How much less the nearest rows of a normal sample vary than all do: share / (chi-square with 7 degrees of freedom, at the share's quantile).
+HALF_SPREAD, INNER_SPREAD = 1.912, 1.0555
 BINS = 64                     # bins for each unit of a coordinate, and of the logarithm of a distance
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -105,55 +113,140 @@ def _group_keys(rows: DataFrame, lang: str, source: str) -> DataFrame:
             .join(small_side(named), (F.col("l") == F.col("gl")) & (F.col("s") == F.col("gs"))).drop("l", "s", "gl", "gs"))
 
 
-ESTIMATE = "grp string, center array<double>, inverse array<double>, scale double"
+D = len(VECTOR)
+PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
+ESTIMATE = "grp string, start int, center array<double>, inverse array<double>, logdet double"
 
 
-def _starts(hist: pd.DataFrame) -> pd.DataFrame:
-    """Median and median absolute deviation of each coordinate, from one group's bins."""
-    center, spread = [], []
-    for k in range(len(VECTOR)):
+def _square(upper: np.ndarray) -> np.ndarray:
+    full = np.zeros((D, D))
+    for (i, j), x in zip(PAIRS, upper):
+        full[i, j] = full[j, i] = x
+    return full
+
+
+def _estimate(grp: str, start: int, center: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
+    """A coordinate that hardly varies gets its least variance."""
+    cov = cov + np.diag(np.maximum(FLOOR ** 2 - np.diag(cov), 0) + 1e-9)
+    return pd.DataFrame({"grp": [grp], "start": [start], "center": [center.tolist()], "inverse": [np.linalg.inv(cov).ravel().tolist()],
+                         "logdet": [float(np.linalg.slogdet(cov)[1])]})
+
+
+def _middles(hist: pd.DataFrame) -> pd.DataFrame:
+    """Starts 0 and 1, from one group's bins of each coordinate: median and median absolute deviation;
+    middle and half width of the shortest half."""
+    center, spread = np.zeros((2, D)), np.zeros((2, D))
+    for k in range(D):
         h = hist[hist["coordinate"] == k].sort_values("bin")
         x, n = h["bin"].to_numpy() / BINS, h["n"].to_numpy()
-        mid = float(x[np.searchsorted(np.cumsum(n), n.sum() / 2)])
-        off = np.abs(x - mid)
+        upto = np.cumsum(n)
+        center[0, k] = x[np.searchsorted(upto, upto[-1] / 2)]
+        off = np.abs(x - center[0, k])
         order = np.argsort(off, kind="stable")
-        center.append(mid)
-        spread.append(max(1.4826 * float(off[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]), float(FLOOR[k])))
-    inverse = np.diag(1 / np.square(spread))
-    return pd.DataFrame({"grp": [hist["grp"].iloc[0]], "center": [center], "inverse": [inverse.ravel().tolist()], "scale": [1.0]})
+        spread[0, k] = 1.4826 * off[order][np.searchsorted(np.cumsum(n[order]), upto[-1] / 2)]
+        last = np.searchsorted(upto, upto - n + upto[-1] / 2)       # from each bin on, the bin that completes a half
+        fits = last < len(x)
+        width = x[last[fits]] - x[fits]
+        first = int(width.argmin())
+        center[1, k] = x[first] + width[first] / 2
+        spread[1, k] = 1.4826 * width[first] / 2
+    return pd.concat([_estimate(hist["grp"].iloc[0], s, center[s], np.diag(np.maximum(spread[s], FLOOR) ** 2)) for s in (0, 1)])
+
+
+def _shapes(sums: pd.DataFrame) -> pd.DataFrame:
+    """Starts 2 and 3, from one group's sums over squashed and unit-length vectors around its medians."""
+    r = sums.iloc[0]
+    center, scale = np.array(r["center"]), np.sqrt(1 / np.diag(np.array(r["inverse"]).reshape(D, D)))
+    mean = np.array(r["squashed"]) / r["n"]
+    squashed = _square(np.array(r["squashed2"])) / r["n"] - np.outer(mean, mean)
+    unit = D * _square(np.array(r["unit2"])) / r["n"]
+    around = np.outer(scale, scale)
+    return pd.concat([_estimate(r["grp"], 2, center, squashed * around), _estimate(r["grp"], 3, center, unit * around)])
+
+
+def _nearest(bins: pd.DataFrame, last: int, spread: float) -> pd.DataFrame:
+    """Mean and covariance of the rows in the bins up to ``last``."""
+    total = bins["n"].to_numpy()[:last + 1].sum()
+    first = np.stack(bins["first"].to_numpy())[:last + 1].sum(axis=0) / total
+    second = np.stack(bins["second"].to_numpy())[:last + 1].sum(axis=0) / total
+    return _estimate(bins["grp"].iloc[0], int(bins["start"].iloc[0]), first, spread * (_square(second) - np.outer(first, first)))
 
 
 def _concentrated(bins: pd.DataFrame) -> pd.DataFrame:
-    """Mean and covariance of the nearest rows, from one group's moments by distance bin."""
-    d = len(VECTOR)
+    """The next estimate from the nearest half, from one group's moments by distance bin."""
     bins = bins.sort_values("bin")
-    n = bins["n"].to_numpy()
-    upto = np.cumsum(n)
-    last = int(np.searchsorted(upto, SHARE * upto[-1]))
-    mid = int(np.searchsorted(upto, 0.5 * upto[-1]))
-    total = upto[last]
-    first = np.stack(bins["first"].to_numpy())[:last + 1].sum(axis=0) / total
-    second = np.stack(bins["second"].to_numpy())[:last + 1].sum(axis=0) / total
-    cov = np.zeros((d, d))
-    cov[np.triu_indices(d)] = second
-    cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(first, first)
-    # the nearest rows vary less than all do: make up for it before the least variance is applied
-    cov = cov / SHARE + np.diag(np.maximum(FLOOR ** 2 - np.diag(cov) / SHARE, 0) + 1e-9)
-    median = float(np.exp2((bins["bin"].iloc[mid] + 1) / BINS))
-    return pd.DataFrame({"grp": [bins["grp"].iloc[0]], "center": [first.tolist()],
-                         "inverse": [np.linalg.inv(cov).ravel().tolist()], "scale": [max(median / MEDIAN, 1.0)]})
+    upto = np.cumsum(bins["n"].to_numpy())
+    return _nearest(bins, int(np.searchsorted(upto, SHARE * upto[-1])), HALF_SPREAD)
+
+
+def _scale(bins: pd.DataFrame) -> float:
+    """How far the median distance lies above a normal sample's; 1 if it doesn't. ``bins`` in order."""
+    upto = np.cumsum(bins["n"].to_numpy())
+    return max(float(np.exp2((bins["bin"].iloc[int(np.searchsorted(upto, 0.5 * upto[-1]))] + 1) / BINS)) / MEDIAN, 1.0)
 
 
-def _by_group(table: DataFrame, step, kind: str) -> DataFrame:
-    """One small table for each group (at most a few thousand bins), judged where Spark puts it."""
-    return cut(table.groupBy("grp").applyInPandas(step, ESTIMATE), kind)
+def _reweighted(bins: pd.DataFrame) -> pd.DataFrame:
+    bins = bins.sort_values("bin")
+    inner = int(np.searchsorted(bins["bin"].to_numpy(), np.floor(np.log2(INNER * _scale(bins)) * BINS), side="right")) - 1
+    return _nearest(bins, inner, INNER_SPREAD)
+
+
+def _scaled(bins: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"grp": [bins["grp"].iloc[0]], "scale": [_scale(bins.sort_values("bin"))]})
+
+
+def _moments(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """(grp, start, bin): number, sum and sums of products of the vectors at each distance."""
+    far = rows.select("grp", "v").join(small_side(estimates), "grp").withColumn("d2", F.greatest(_distance(), F.lit(1e-6)))
+    return far.groupBy("grp", "start", F.floor(F.log2("d2") * BINS).cast("long").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("v")[i]) for i in range(D)]).alias("first"),
+        F.array(*[F.sum(F.col("v")[i] * F.col("v")[j]) for i, j in PAIRS]).alias("second"))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    places = rows.select("grp", F.posexplode("v").alias("coordinate", "x"))
+    hist = (places.groupBy("grp", "coordinate", F.floor(F.col("x") * BINS + 0.5).cast("long").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    middles = cut(hist.groupBy("grp").applyInPandas(_middles, ESTIMATE), "quality-middles")
+    medians = cut(middles.where("start = 0").drop("start", "logdet"), "quality-medians")
+    z = rows.select("grp", "v").join(small_side(medians), "grp").select(
+        "grp", "center", "inverse", *[((F.col("v")[i] - F.col("center")[i]) * F.sqrt(F.col("inverse")[i * D + i])).alias(f"z{i}") for i in range(D)])
+    length = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))
+    z = z.withColumn("length2", F.greatest(length, F.lit(1e-12)))
+    squashed = [F.tanh(f"z{i}") for i in range(D)]
+    sums = z.groupBy("grp").agg(
+        F.first("center").alias("center"), F.first("inverse").alias("inverse"), F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(x) for x in squashed]).alias("squashed"), F.array(*[F.sum(squashed[i] * squashed[j]) for i, j in PAIRS]).alias("squashed2"),
+        F.array(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}") / F.col("length2")) for i, j in PAIRS]).alias("unit2"))
+    return cut(middles.union(sums.groupBy("grp").applyInPandas(_shapes, ESTIMATE)), "quality-starts")
+
+
+def least_determinant(rows: DataFrame) -> DataFrame:
+    """(grp, center, inverse, scale) of each ``grp`` of vectors ``v``: the reweighted estimate."""
+    now = _starts(rows)
+    settled = now.where("false")
+    last = None
+    while now.count():          # determinants fall and have a least value, that of the least variances
+        step = cut(_moments(rows, now).groupBy("grp", "start").applyInPandas(_concentrated, ESTIMATE), "quality-step")
+        if last is not None:
+            was = last.select("grp", "start", F.col("logdet").alias("was"))
+            falls = F.col("logdet") < F.col("was") - TOLERANCE
+            both = step.join(was, ["grp", "start"])
+            done = both.where(~falls).select("grp", "start").join(last, ["grp", "start"]).select(*step.columns)
+            settled = cut(settled.union(done), "quality-settled")
+            step = cut(both.where(falls).select(*step.columns), "quality-falling")
+        now = last = step
+    best = settled.groupBy("grp").agg(F.min(F.struct("logdet", "start", "center", "inverse")).alias("b"))
+    best = cut(best.select("grp", "b.start", "b.center", "b.inverse", "b.logdet"), "quality-best")
+    final = cut(_moments(rows, best).groupBy("grp").applyInPandas(_reweighted, ESTIMATE), "quality-reweighted")
+    scale = cut(_moments(rows, final).select("grp", "bin", "n").groupBy("grp").applyInPandas(_scaled, "grp string, scale double"), "quality-scale")
+    return cut(final.join(scale, "grp").select("grp", "center", "inverse", "scale"), "quality-estimate")
 
 
 def _distance() -> Column:
     """Squared Mahalanobis distance of ``v`` from ``center``."""
-    d = len(VECTOR)
-    off = [F.col("v")[k] - F.col("center")[k] for k in range(d)]
-    terms = [off[i] * off[j] * F.col("inverse")[i * d + j] * (1 if i == j else 2) for i in range(d) for j in range(i, d)]
+    off = [F.col("v")[k] - F.col("center")[k] for k in range(D)]
+    terms = [off[i] * off[j] * F.col("inverse")[i * D + j] * (1 if i == j else 2) for i, j in PAIRS]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
@@ -169,18 +262,7 @@ def judge(docs: DataFrame, text: str, lang: str, source: str, payload: list[str]
                        statistics(col(text)).alias("stats"))
     rows = rows.withColumn("v", F.array(*transformed({c.split()[0]: F.col("stats")[c.split()[0]] for c in STATS.split(", ")})))
     rows = cut(_group_keys(cut(rows, "quality-statistics"), "lang", "source"), "quality-rows")
-    d = len(VECTOR)
-
-    places = rows.select("grp", F.posexplode("v").alias("coordinate", "x"))
-    hist = places.groupBy("grp", "coordinate", F.round(F.col("x") * BINS).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    estimate = _by_group(hist, _starts, "quality-start")
-    for _ in range(STEPS):
-        far = rows.select("grp", "v").join(small_side(estimate), "grp").withColumn("d2", F.greatest(_distance(), F.lit(1e-6)))
-        moments = far.groupBy("grp", F.floor(F.log2("d2") * BINS).cast("long").alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("v")[i]) for i in range(d)]).alias("first"),
-            F.array(*[F.sum(F.col("v")[i] * F.col("v")[j]) for i in range(d) for j in range(i, d)]).alias("second"))
-        estimate = _by_group(moments, _concentrated, "quality-step")
-    far = rows.join(small_side(estimate), "grp").withColumn("distance", _distance() / F.col("scale"))
+    far = rows.join(small_side(least_determinant(rows)), "grp").withColumn("distance", _distance() / F.col("scale"))
     n, r = F.col("stats.n_words"), F.col("stats.n_repeat_words")
     failed = (n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)
     return (far.withColumn("base_failed", failed)

@@ -264,30 +264,33 @@ def test_statistics_equal_brute_force(edge_docs):
     assert out.select("row.*").columns == edge_docs.columns
 
 
-def test_outliers_by_brute_force(spark):
-    """Concentration steps against plain numpy; planted outliers go, ordinary rows stay."""
-    rng = random.Random(6)
-    rows = [(k, prose(rng, rng.randint(60, 400)), "en", "s") for k in range(400)]
-    rows += [(1000 + k, prose(rng, 100).replace(" ", "### "), "en", "s") for k in range(12)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
-    got = {r.doc_id: (r.distance, r.kept) for r in quality.judge(docs, "text", "lang", "source", ["doc_id"]).select("row.doc_id", "distance", "kept").collect()}
-    assert not any(got[1000 + k][1] for k in range(12)) and all(got[k][1] for k in range(400))
+def vectors(texts):
     x = []
-    for _, t, _, _ in rows:
+    for t in texts:
         n, c, s, l, r = brute.statistics(t)
         x.append([np.log1p(n), np.log1p(c / n), np.log1p(100 * s / c), np.log1p(20 * l / n), np.log1p(10 * r / n)])
-    x = np.array(x)
-    mid = np.median(x, axis=0)
-    d2 = (((x - mid) / np.maximum(1.4826 * np.median(np.abs(x - mid), axis=0), quality.FLOOR)) ** 2).sum(axis=1)
-    for _ in range(quality.STEPS):
-        near = d2 <= np.sort(d2)[int(np.ceil(quality.SHARE * len(x))) - 1]
-        cov = np.cov(x[near].T, bias=True) / quality.SHARE
-        cov += np.diag(np.maximum(quality.FLOOR ** 2 - np.diag(cov), 0))
-        scale = max(np.median(d2) / quality.MEDIAN, 1)
-        off = x - x[near].mean(axis=0)
-        d2 = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
-    mine = np.array([got[i][0] for i, *_ in rows])
-    assert np.corrcoef(mine, d2 / scale)[0, 1] > 0.99
+    return np.array(x)
+
+
+def verdicts(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string").repartition(3)
+    out = quality.judge(docs, "text", "lang", "source", ["doc_id"]).select("row.doc_id", "distance", "base_failed", "kept").collect()
+    return {r.doc_id: r for r in out}
+
+
+@pytest.mark.parametrize("share", [0.03, 0.3, 0.4])
+def test_outliers_by_brute_force(spark, share):
+    """Verdicts row by row against plain numpy; clustered outliers go, be they few or a large part, and
+    ordinary rows stay."""
+    rng = random.Random(6)
+    n = round(400 * share)
+    rows = [(k, prose(rng, rng.randint(60, 400))) for k in range(400 - n)]
+    rows += [(1000 + k, prose(rng, 100).replace(" ", "### ")) for k in range(n)]
+    got = verdicts(spark, rows)
+    assert not any(got[1000 + k].kept for k in range(n)) and sum(got[k].kept for k in range(400 - n)) > 0.98 * (400 - n)
+    wanted = brute.robust_distances(vectors([t for _, t in rows]), quality.FLOOR)
+    for (i, _), d in zip(rows, wanted):
+        assert got[i].kept == (d <= quality.CUTOFF) and got[i].distance == pytest.approx(d, rel=1e-6)
 
 
 def test_mild_outliers_in_each_coordinate(spark):
@@ -308,8 +311,7 @@ def test_mild_outliers_in_each_coordinate(spark):
                "symbols": sprinkled(4), "lines": "\n".join("the same line\n" + prose(rng, 9) for _ in range(20)),
                "repeats": repeated(200, 25)}
     rows += [(1000 + k, t) for k, t in enumerate(planted.values())]
-    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r for r in quality.judge(docs, "text", "lang", "source", ["doc_id"]).select("row.doc_id", "base_failed", "distance", "kept").collect()}
+    got = verdicts(spark, rows)
     for k, name in enumerate(planted):
         assert not got[1000 + k].base_failed and not got[1000 + k].kept, (name, got[1000 + k])
     assert all(got[k].kept for k in range(400))
