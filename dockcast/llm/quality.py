@@ -223,19 +223,17 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def least_determinant(rows: DataFrame) -> DataFrame:
     """(grp, center, inverse, scale) of each ``grp`` of vectors ``v``: the reweighted estimate."""
-    now = _starts(rows)
-    settled = now.where("false")
-    last = None
-    while now.count():          # determinants fall and have a least value, that of the least variances
-        step = cut(_moments(rows, now).groupBy("grp", "start").applyInPandas(_concentrated, ESTIMATE), "quality-step")
-        if last is not None:
-            was = last.select("grp", "start", F.col("logdet").alias("was"))
-            falls = F.col("logdet") < F.col("was") - TOLERANCE
-            both = step.join(was, ["grp", "start"])
-            done = both.where(~falls).select("grp", "start").join(last, ["grp", "start"]).select(*step.columns)
-            settled = cut(settled.union(done), "quality-settled")
-            step = cut(both.where(falls).select(*step.columns), "quality-falling")
-        now = last = step
+    first = cut(_moments(rows, _starts(rows)).groupBy("grp", "start").applyInPandas(_concentrated, ESTIMATE), "quality-step")
+    names = first.columns
+    now = first.withColumn("falls", F.lit(True))
+    while not now.where("falls").isEmpty():          # determinants fall and have a least value, that of the least variances
+        step = _moments(rows, now.where("falls")).groupBy("grp", "start").applyInPandas(_concentrated, ESTIMATE).alias("step")
+        held = small_side(now.where("falls")).alias("held")
+        both = step.join(held, (F.col("step.grp") == F.col("held.grp")) & (F.col("step.start") == F.col("held.start")))
+        falls = F.col("step.logdet") < F.col("held.logdet") - TOLERANCE
+        after = both.select(*[F.when(falls, F.col(f"step.{c}")).otherwise(F.col(f"held.{c}")).alias(c) for c in names], falls.alias("falls"))
+        now = cut(now.where("not falls").union(after), "quality-step")
+    settled = now.drop("falls")
     best = settled.groupBy("grp").agg(F.min(F.struct("logdet", "start", "center", "inverse")).alias("b"))
     best = cut(best.select("grp", "b.start", "b.center", "b.inverse", "b.logdet"), "quality-best")
     final = cut(_moments(rows, best).groupBy("grp").applyInPandas(_reweighted, ESTIMATE), "quality-reweighted")
