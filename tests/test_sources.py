@@ -149,3 +149,23 @@ def test_inferred_json_scan(spark, workdir):
     d = _landing(workdir)
     df = sn.scan_json_inferred(spark, os.path.join(d, "poll_1.json"))
     assert "fields" in df.columns or "_corrupt_record" in df.columns
+
+
+def test_documents_are_read_once(spark, workdir):
+    """A position is text with another JSON value: it costs no second read of its file."""
+    elements = [_el(str(k), "s", "2024-01-01T10:00:00+00:00", 4, 3) for k in range(500)]
+    _write(workdir, "poll_a.json", json.dumps(elements, indent=1))
+    size = os.path.getsize(os.path.join(workdir, "poll_a.json"))
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+    before = read()
+    rows = sn.scan_snapshots(spark, workdir).select("fields.position", "fields.available_bikes").collect()
+    assert len(rows) == 500 and {json.loads(r.position) == [48.8, 2.3] for r in rows} == {True} and {r.available_bikes for r in rows} == {"3"}
+    assert read() - before < 3 * size
+
+
+def test_faulty_documents_are_told_apart(spark, workdir):
+    good = json.dumps([_el("1", "s", "x", 4, 3), _el("2", "s", "x", 4, 3)], indent=1)
+    for name, text in (("good", good), ("cut", good[:-9]), ("one", json.dumps(_el("3", "s", "x", 4, 3), indent=1)), ("junk", "no json"), ("blank", " \n ")):
+        _write(workdir, f"poll_{name}.json", text)
+    assert sorted(r.number for r in sn.scan_snapshots(spark, workdir).select("fields.number").collect()) == ["1", "2", "3"]
+    assert {r.file_name: r.bad_records for r in sn.rejected_files(spark, workdir).collect()} == {"poll_cut.json": 1, "poll_junk.json": 1}
