@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from dockcast.functions import bins as B
 from dockcast.functions import text as TX
@@ -239,8 +239,10 @@ def q_append_readings(spark, sf_dir):
 
 
 def _load_table(spark, sf_dir) -> ld.LoadTable:
-    schema = stored_readings(spark, sf_dir, keep_day=True).schema
-    return ld.LoadTable(scratch_path(spark, "loads"), schema)
+    w, n = weather_table(spark, sf_dir)
+    # the plan's schema, nullable as a stored table's: no table is built for it
+    schema = cur.curate(snapshot_elements(spark, sf_dir), w, keep_day=True, weather_rows=n).schema
+    return ld.LoadTable(scratch_path(spark, "loads"), StructType([StructField(f.name, f.dataType) for f in schema]))
 
 
 def _loader(spark, sf_dir, weather: bool = True):
@@ -955,12 +957,21 @@ def _quarantined(spark, sf_dir) -> tuple[str, str]:
     def curate(elements: DataFrame) -> DataFrame:
         return cur.readings_from_elements(elements, w, weather_rows=n).select(*cur.READING_COLUMNS, "obs_day")
 
-    files = st.stream_files(spark, landing, sn.TEXT_GLOB, QUARANTINE_FILES)
+    files = st.stream_files(spark, landing, sn.TEXT_GLOB, quarantine_files(*input_mark(spark, landing)[0][1:3]))
     st.quarantine_into_tables(files, curate, f"{root}/sink", f"{root}/dead", f"{root}/log")
     return f"{root}/sink", f"{root}/dead"
 
 
-QUARANTINE_FILES = 12        # files of a micro-batch
+QUARANTINE_FILES = 12        # files of a micro-batch, at least
+QUARANTINE_BATCHES = 5       # micro-batches of a landing, at least (of more than a batch's least files)
+QUARANTINE_BYTES = 128 << 20 # bytes of a micro-batch, about, where the least files have fewer
+
+
+def quarantine_files(total_bytes: int, n_files: int) -> int:
+    """Files of a micro-batch over a landing: as many as ``QUARANTINE_BYTES`` hold, so the number of batches, each of which costs its
+    own writes and commits, follows the bytes that landed and not the number of small files."""
+    by_bytes = n_files * QUARANTINE_BYTES // max(total_bytes, 1)
+    return max(QUARANTINE_FILES, min(by_bytes, n_files // QUARANTINE_BATCHES))
 
 
 @register("stream_quarantine")

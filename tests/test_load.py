@@ -213,3 +213,10 @@ def test_packing_is_by_bytes(spark):
     bins = {(r.day, r.file_path): r.bin for r in cp.packed_files(files, 25).collect()}
     assert [bins["a", f"f0{k}"] for k in range(4)] == [0, 0, 0, 1]
     assert len({v for (d, _), v in bins.items() if d == "b"}) <= math.ceil(80 / 25) and bins["c", "f00"] == 0
+
+
+def test_a_load_table_builds_no_other_table(spark):
+    cat._TABLES.clear()
+    schema = cat._load_table(spark, SF_SMALL).schema
+    assert [k[0] for k in cat._TABLES] == ["weather_daily"]
+    assert schema == cat.stored_readings(spark, SF_SMALL, keep_day=True).schema

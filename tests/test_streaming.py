@@ -217,3 +217,11 @@ def test_quarantine_names_each_bad_file_once(spark, workdir):
     ids, dead = run()
     assert [i for i in ids if i] == [1, 3] and [d for d in dead if d[0] != "poll_d.json"] == wanted
     assert run() == (ids, dead)
+
+
+def test_quarantine_batches_follow_the_bytes():
+    mib = 1 << 20
+    assert cat.quarantine_files(20 * mib, 61) == cat.QUARANTINE_FILES              # five batches of a small landing
+    few, many = cat.quarantine_files(1200 * mib, 2700), cat.quarantine_files(7200 * mib, 16200)
+    assert few == many == 288 and 16200 / many < 60                                # not 1,350 batches of 12
+    assert cat.quarantine_files(12 * 1024 * mib, 12) == cat.QUARANTINE_FILES and cat.quarantine_files(0, 0) == cat.QUARANTINE_FILES
