@@ -154,3 +154,33 @@ def test_scratch_uses_the_session_checkpoint_dir(spark):
     root = scratch_root(spark)
     assert configured and root.replace("file:", "").startswith(configured.rstrip("/"))
     assert scratch_path(spark, "tables/x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_hot_texts_are_spread_over_tasks(spark):
+    """A text that many requests share and many stations hold: its pairs are made by several tasks, each once."""
+    left = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 1), ("alone", 2), (None, 3)], "station STRING, id INT").repartition(1)
+    right = spark.createDataFrame([("hot", r) for r in range(200)] + [("cold", 1), ("cold", 1), ("none", 5), (None, 6)], "station STRING, req_id INT")
+    joined = sc.spread_join(left, right, "station", part_rows=5_000)
+    wanted = left.join(right, "station")
+    assert joined.count() == 300 * 200 + 2 and joined.exceptAll(wanted.select(*joined.columns)).count() == 0
+    by_task = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(by_task) > 3 and max(by_task) < 60_000 / 2
+
+
+def test_requests_of_one_text_are_resolved_by_several_tasks(spark, monkeypatch):
+    stations = spark.createDataFrame([(i, f"{i} - NATION_{i % 5}") for i in range(400)], "id BIGINT, name STRING")
+    requests = spark.createDataFrame([(r, " - NATION_") for r in range(100)], "req_id BIGINT, station STRING")
+    monkeypatch.setattr(sc.spread_join, "__defaults__", (2_000,))
+    found = sc.resolve_requests(requests, stations, spread=True)
+    assert found.columns == ["id", "station_name", "station", "req_id"] and found.distinct().count() == 40_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [station" not in plan.split("SortMergeJoin")[0] and "SortMergeJoin" in plan
+    assert found.select(F.spark_partition_id()).distinct().count() > 3
+
+
+def test_names_grams_are_never_shipped_whole(spark):
+    stations = spark.createDataFrame([(i, f"{i} - NATION_{i % 5}") for i in range(400)], "id BIGINT, station_name STRING")
+    found = sc.text_matches(spark.createDataFrame([("17 - N",), ("no such",), ("5",)], "text STRING"), stations, sized=True)
+    assert sorted(r.id for r in found.where("text = '17 - N'").collect()) == [17, 117, 217, 317] and found.where("text = 'no such'").count() == 0
+    join = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin [gram" in line)
+    assert "BuildLeft" in join
