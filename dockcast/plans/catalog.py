@@ -797,7 +797,8 @@ def q_export_predictions(spark, sf_dir):
     """K3: held-out rows as scored, vectors included, exported as ordered CSV and read back: the prediction is the class of the
     greatest probability, and the vectors are whole."""
     model, test = trained_model(spark, sf_dir)
-    scored = sk.csv_ready(mo.predict(model, test))
+    # stored: the range bounds of the export's order come from a pass of their own, which would score every row once more
+    scored = write_table(sk.csv_ready(mo.predict(model, test)), spark, "tables/scored")
     path = sk.export_ordered(scored, scratch_path(spark, "exports/predictions"))
     back = sk.read_export(spark, path, scored.schema)
     numbers = lambda c: F.transform(F.split(c, ","), lambda x: x.cast("double"))

@@ -6,11 +6,13 @@ import os
 from pyspark.mllib.evaluation import MulticlassMetrics
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from dockcast.operators import curate as cur
 from dockcast.operators import lookup as lk
 from dockcast.operators import metrics as me
 from dockcast.operators import sinks as sk
 from dockcast.operators import split as sp
+from dockcast.plans import catalog as cat
 
 PAIRS = [(0.0, 0.0)] * 5 + [(0.0, 1.0)] * 2 + [(1.0, 1.0)] * 4 + [(1.0, 2.0)] * 1 + [(2.0, 2.0)] * 3 \
     + [(2.0, 0.0)] * 2 + [(3.0, 3.0)] * 1 + [(3.0, 7.0)] * 2          # class 7 is only predicted
@@ -110,3 +112,15 @@ def test_second_part_of_a_one_to_two_split(spark):
     first, second = sp.split_parts(df, train_share=0.3 / 0.9)
     assert first.count() + second.count() == 6000
     assert 0.62 < second.count() / 6000 < 0.72
+
+
+def test_exported_predictions_are_scored_once(spark):
+    """The export's sort takes its bounds from a stored table: its plan holds no scoring."""
+    seen, export = [], sk.export_ordered
+    sk.export_ordered = lambda df, path: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), export(df, path))[1]
+    try:
+        out = cat.QUERIES["export_predictions"](spark, SF_SMALL)
+    finally:
+        sk.export_ordered = export
+    assert "UDF" not in seen[0] and "Join" not in seen[0]
+    assert out.where("valid AND likeliest AND n_probabilities = 9 AND n_raw = 9 AND n_features = 5").count() == out.count() > 0
