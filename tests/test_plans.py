@@ -184,3 +184,83 @@ def test_names_grams_are_never_shipped_whole(spark):
     assert sorted(r.id for r in found.where("text = '17 - N'").collect()) == [17, 117, 217, 317] and found.where("text = 'no such'").count() == 0
     join = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin [gram" in line)
     assert "BuildLeft" in join
+
+
+def test_a_grid_of_parts_copies_few_rows(spark):
+    """A hot text's rows are copied along one side of a grid, not to every part."""
+    left = spark.createDataFrame([("hot", i) for i in range(300)], "station STRING, id INT")
+    right = spark.createDataFrame([("hot", r) for r in range(300)], "station STRING, req_id INT")
+    joined = sc.spread_join(left, right, "station", part_rows=900)      # a hundred parts
+    assert joined.distinct().count() == joined.count() == 90_000
+    exchanged = {}
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            exchanged[node.toString()] = node.metrics().get("shuffleRecordsWritten").get().value()
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan"}.get(node.getClass().getSimpleName())
+        if inner:
+            walk(getattr(node, inner)())
+        it = node.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+
+    joined.collect()
+    walk(joined._jdf.queryExecution().executedPlan())
+    assert sorted(exchanged.values()) == [3_000, 3_000], exchanged       # a hundred parts of one side alone: 300 and 30,000
+
+
+def test_weights_of_right_rows_make_the_parts(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(40)], "station STRING, id INT")
+    right = spark.createDataFrame([("hot", r, 50) for r in range(8)] + [("none", 9, 0)], "station STRING, req_id INT, w INT")
+    joined = sc.spread_join(left, right, "station", part_rows=1_000, weight="w")
+    assert joined.count() == 320 and joined.select(F.spark_partition_id()).distinct().count() > 3
+
+
+def test_bundles_hold_every_request(spark, monkeypatch):
+    """Requests that are alike stand in bounded arrays: none is lost, with null or repeated ids, or null texts and times."""
+    rows = [(i, "a", 1) for i in range(50)] + [(None, "a", 1), (None, "a", 1), (7, "a", 1), (8, "b", None), (9, None, 2), (9, None, 2), (10, None, None)]
+    requests = spark.createDataFrame(rows, "req_id BIGINT, station STRING, t INT")
+    monkeypatch.setattr(sc, "BUNDLE_ROWS", 4)
+    for group in (1 << 20, 10):
+        monkeypatch.setattr(sc, "GROUP_ROWS", group)
+        bundles = sc.bundled(requests)
+        assert bundles.agg(F.max(F.size("req_id"))).first()[0] <= 4 and bundles.agg(F.sum(sc.BUNDLED)).first()[0] == len(rows)
+        back = sc.unbundled(bundles.drop(sc.BUNDLED)).select(*requests.columns)
+        assert back.exceptAll(requests).count() == 0 and requests.exceptAll(back).count() == 0
+
+
+def test_scenarios_by_bundle_equal_those_by_request(spark):
+    for delay, scenario in ((True, sc.scenario_delay), (False, sc.scenario_explicit)):
+        one_by_one = scenario(cat._resolved(spark, SF_SMALL, upper=delay))
+        bundles = cat._scenarios(spark, SF_SMALL, delay)
+        assert bundles.columns == one_by_one.columns and 0 < bundles.count() <= one_by_one.count()
+        rows = sc.unbundled(bundles)
+        assert rows.exceptAll(one_by_one).count() == 0 and one_by_one.exceptAll(rows).count() == 0
+
+
+def test_a_time_of_a_station_is_scored_once(spark, monkeypatch):
+    """Requests that ask for the same station and time share a row where the model scores: before, each had its own."""
+    from dockcast.operators import model as mo
+    from dockcast.sources import adapter
+    many = lambda s, d: adapter.forecast_requests(s, d).crossJoin(s.range(5)).drop("id")
+    monkeypatch.setattr(cat, "forecast_requests", many)
+    seen = []
+
+    def predict(model, rows, was=mo.predict):
+        seen.append(rows.count())
+        return was(model, rows)
+
+    monkeypatch.setattr(mo, "predict", predict)
+    answers = cat.QUERIES["forecast"](spark, SF_SMALL)
+    assert answers.count() >= 5 * seen[-1] > 0 and answers.columns[0] == "req_id"
+
+
+def test_stations_bring_their_index_to_the_forecast(spark):
+    """The index joins stations, of which there are few, and not each station of each request."""
+    model, _ = cat.trained_model(spark, SF_SMALL)
+    scenarios = cat._scenarios(spark, SF_SMALL, True, model)
+    assert "id_index" in scenarios.columns
+    scored = model.transform(scenarios)
+    assert _plan(scored).count("Join") == _plan(scenarios).count("Join")
+    again = model.transform(scenarios.drop("id_index"))
+    assert scored.select("id", "day", "hour", "prediction").exceptAll(again.select("id", "day", "hour", "prediction")).count() == 0
