@@ -195,11 +195,11 @@ def test_a_grid_of_parts_copies_few_rows(spark):
     exchanged = {}
 
     def walk(node):
-        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
             exchanged[node.toString()] = node.metrics().get("shuffleRecordsWritten").get().value()
-        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan"}.get(node.getClass().getSimpleName())
-        if inner:
-            walk(getattr(node, inner)())
+        if kind == "AdaptiveSparkPlanExec" or kind.endswith("QueryStageExec"):
+            walk(node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan())
         it = node.children().iterator()
         while it.hasNext():
             walk(it.next())
